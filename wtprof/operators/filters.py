@@ -71,7 +71,7 @@ def exclude_keywords(df: DataFrame, exceptions: DataFrame, targets: Iterable[str
         pat = exceptions.agg(
             F.nullif(F.concat_ws("|", F.collect_list(F.when(F.col(column_col) == t, F.col(keyword_col)))),
                      F.lit(""))).scalar()
-        out = out.where(~F.coalesce(F.col(t).rlike(pat), F.lit(False)))
+        out = out.where(~F.coalesce(F.rlike(F.col(t), pat), F.lit(False)))
     return out
 
 
