@@ -66,16 +66,29 @@ def remove_stop_words(tokens, stop_words: Iterable[str] = STOP_WORDS) -> Column:
     return F.filter(_c(tokens), lambda t: ~F.array_contains(stop, t))
 
 
+def bind(expr: Column, fn) -> Column:
+    """Evaluate ``expr`` once and pass it to ``fn`` as a lambda variable.
+
+    Referencing an expression inside an element lambda re-evaluates it per
+    element; binding it through a one-element ``transform`` does not.
+    """
+    return F.get(F.transform(F.array(expr), fn), 0)
+
+
 def ngrams(tokens, lo: int = 1, hi: int = 1) -> Column:
     """Word n-grams of length lo..hi, joined by one space, in sklearn order
     (all unigrams, then all bigrams, ...)."""
-    arr = _c(tokens)
-    parts = []
-    for n in range(lo, hi + 1):
-        if n == 1:
-            parts.append(arr)
-            continue
-        count = F.greatest(F.size(arr) - F.lit(n - 1), F.lit(0))
-        idx = F.filter(F.sequence(F.lit(1), F.greatest(count, F.lit(1))), lambda i: i <= count)
-        parts.append(F.transform(idx, lambda i: F.array_join(F.slice(arr, i, n), " ")))
-    return parts[0] if len(parts) == 1 else F.concat(*parts)
+    def build(arr):
+        parts = []
+        for n in range(lo, hi + 1):
+            if n == 1:
+                parts.append(arr)
+                continue
+            count = F.size(arr) - F.lit(n - 1)
+            idx = F.filter(F.sequence(F.lit(1), F.greatest(count, F.lit(1))), lambda i: i <= count)
+            parts.append(F.transform(idx, lambda i: F.array_join(F.slice(arr, i, n), " ")))
+        return parts[0] if len(parts) == 1 else F.concat(*parts)
+
+    if hi <= 1:
+        return build(_c(tokens))
+    return bind(_c(tokens), build)

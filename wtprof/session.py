@@ -59,3 +59,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for materialised tables."""
     return os.path.join(checkpoint_dir(spark), name)
+
+
+def materialize(df):
+    """Run a small fitted-state plan once and cut its lineage.
+
+    ``checkpoint()`` writes to the shared folder of ``spark.checkpoint.dir``
+    (reliable: survives executor loss), so later scalar subqueries and joins
+    on the fitted state read a tiny table instead of recomputing the fit.
+    """
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
