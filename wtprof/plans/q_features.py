@@ -107,7 +107,9 @@ def q_tfidf_transform_ngrams(spark, sf):
 _SESS_KEY = ["lgtime", "src_ip", "dst_ip", "label"]
 
 
-def _sessions_sql():
+def sessions_ctes(max_features: int = 256) -> str:
+    """DuckDB CTE chain: http_log → hour sessions ``s`` → TF-IDF ``tfv``
+    (value rounded to 6 places), for extension by other checks."""
     return with_log(f"""
 , c AS (SELECT date_trunc('hour', logtime) AS lgtime, src_ip, dst_ip, hash AS label,
           {clean_sql('http_agent')} AS agent, {clean_sql('http_query')} AS query FROM http_log),
@@ -120,14 +122,18 @@ t AS (SELECT lgtime, src_ip, dst_ip, label, 'agent' AS feature, unnest({tok_sql(
       SELECT lgtime, src_ip, dst_ip, label, 'query', unnest({tok_sql('query')}) FROM s),
 tc AS (SELECT lgtime, src_ip, dst_ip, label, feature, term, count(*) AS cnt FROM t GROUP BY ALL),
 pt AS (SELECT feature, term, sum(cnt) AS tf, count(*) AS df FROM tc GROUP BY ALL),
-top AS (SELECT * FROM pt QUALIFY row_number() OVER (PARTITION BY feature ORDER BY tf DESC, term) <= 256),
+top AS (SELECT * FROM pt QUALIFY row_number() OVER (PARTITION BY feature ORDER BY tf DESC, term) <= {max_features}),
 vocab AS (SELECT feature, term, row_number() OVER (PARTITION BY feature ORDER BY term) - 1 AS idx,
   ln((1.0 + (SELECT count(*) FROM s)) / (1.0 + df)) + 1 AS idf FROM top),
 raw AS (SELECT tc.lgtime, tc.src_ip, tc.dst_ip, tc.label, feature, term, v.idx, tc.cnt * v.idf AS raw
-        FROM tc JOIN vocab v USING (feature, term))
-SELECT lgtime, src_ip, dst_ip, label, feature, term, idx,
+        FROM tc JOIN vocab v USING (feature, term)),
+tfv AS (SELECT lgtime, src_ip, dst_ip, label, feature, term, idx,
   round(raw / sqrt(sum(raw * raw) OVER (PARTITION BY lgtime, src_ip, dst_ip, label, feature)), 6) AS value
-FROM raw""")
+  FROM raw)""")
+
+
+def _sessions_sql():
+    return sessions_ctes() + "\nSELECT * FROM tfv"
 
 
 def session_features(spark, sf, max_features=256):

@@ -1 +1,508 @@
-"""Checked queries."""
+"""Checked queries: sampling, metrics, fusion, explanation, models."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from wtprof.operators import explain as M
+from wtprof.operators import fusion as L
+from wtprof.operators import metrics as D
+from wtprof.operators import sampling as K
+from wtprof.operators import models as ML
+from wtprof.operators import vectorize as V
+from wtprof.operators.aggregates import boxplot_threshold
+from wtprof.operators.sessions import session_text_labeled
+from wtprof.operators.topk import rank_features, top_k_features
+from wtprof.plans.q_features import sessions_ctes
+from wtprof.plans.registry import register, with_log
+from wtprof.sources.tables import http_log, load_table
+from wtprof.session import materialize
+
+# ---------------------------------------------------------------- sampling
+_ORDER_SQL = "(event_id * 7919) % 10007"
+
+
+def _order():
+    return (F.col("event_id") * 7919) % 10007
+
+
+def _rank_sql(extra: str = "") -> str:
+    return with_log(f"""
+, r AS (SELECT event_id, hash, {_ORDER_SQL} AS o FROM http_log),
+rk AS (SELECT *, row_number() OVER (PARTITION BY hash ORDER BY o % 64, o, event_id) AS rnk,
+              count(*) OVER (PARTITION BY hash) AS nc FROM r){extra}""")
+
+
+@register("oversample_to_max", _rank_sql("""
+, cp AS (SELECT event_id, hash, CAST(floor((SELECT max(nc) FROM rk) / nc)
+           + CASE WHEN rnk <= (SELECT max(nc) FROM rk) % nc THEN 1 ELSE 0 END AS INTEGER) AS copies FROM rk)
+SELECT event_id, hash, CAST(unnest(range(1, copies + 1)) AS INTEGER) AS copy FROM cp WHERE copies >= 1"""))
+def q_oversample(spark, sf):
+    log = http_log(spark, sf).select("event_id", "hash")
+    return K.oversample_to_max(log, "hash", ["event_id"], order=_order())
+
+
+@register("sample_fixed_per_class", _rank_sql("""
+, cp AS (SELECT event_id, hash, CASE WHEN hash = 'normal' THEN 3000 ELSE 1000 END AS target, rnk, nc FROM rk),
+cp2 AS (SELECT event_id, hash, CAST(floor(target / nc) + CASE WHEN rnk <= target % nc THEN 1 ELSE 0 END AS INTEGER)
+          AS copies FROM cp)
+SELECT event_id, hash, CAST(unnest(range(1, copies + 1)) AS INTEGER) AS copy FROM cp2 WHERE copies >= 1"""))
+def q_sample_fixed(spark, sf):
+    log = http_log(spark, sf).select("event_id", "hash")
+    return K.sample_fixed_per_class(log, "hash", ["event_id"], {"normal": 3000}, 1000, order=_order())
+
+
+_BUCKET_SQL = "(event_id * 37 + 11) % 100"
+
+
+def _bucket():
+    return (F.col("event_id") * 37 + 11) % 100
+
+
+@register("split_fraction", with_log(
+    f"SELECT event_id, hash, CASE WHEN {_BUCKET_SQL} < 70 THEN 'train' ELSE 'test' END AS split FROM http_log"))
+def q_split(spark, sf):
+    return K.split_fraction(http_log(spark, sf).select("event_id", "hash"), bucket=_bucket())
+
+
+@register("shuffle_rows", with_log("SELECT event_id, hash FROM http_log"))
+def q_shuffle(spark, sf):
+    return K.shuffle_rows(http_log(spark, sf).select("event_id", "hash"))
+
+
+@register("thin_class", with_log(
+    f"SELECT event_id, hash FROM http_log WHERE hash <> 'normal' OR hash IS NULL OR {_BUCKET_SQL} < 1"))
+def q_thin(spark, sf):
+    return K.thin_class(http_log(spark, sf).select("event_id", "hash"), "hash", "normal", 1, bucket=_bucket())
+
+
+_ATTACKS = ["BEACONING", "CREDENTIAL", "SQL_INJECTION", "XSS"]
+
+
+@register("class_vs_normal", with_log("""
+SELECT event_id, hash, a.attack, CAST(hash = a.attack AS INTEGER) AS target FROM http_log
+JOIN (VALUES ('BEACONING'), ('CREDENTIAL'), ('SQL_INJECTION'), ('XSS')) a(attack)
+  ON http_log.hash = 'normal' OR http_log.hash = a.attack"""))
+def q_class_vs_normal(spark, sf):
+    return K.class_vs_normal(http_log(spark, sf).select("event_id", "hash"), "hash", _ATTACKS)
+
+
+# ----------------------------------------------------------------- metrics
+_PRED_SQL = """CASE WHEN dst_port = 80 THEN hash ELSE CASE status WHEN 0 THEN 'normal' WHEN 1 THEN 'XSS'
+  WHEN 2 THEN 'SQL_INJECTION' WHEN 3 THEN 'BEACONING' WHEN 4 THEN 'CREDENTIAL' ELSE 'normal' END END"""
+
+
+def _with_pred(log):
+    st = F.col("status")
+    rule = (F.when(st == 0, "normal").when(st == 1, "XSS").when(st == 2, "SQL_INJECTION")
+            .when(st == 3, "BEACONING").when(st == 4, "CREDENTIAL").otherwise("normal"))
+    return log.withColumn("pred", F.when(F.col("dst_port") == 80, F.col("hash")).otherwise(rule))
+
+
+_PC_SQL = with_log(f", pc AS (SELECT hash AS actual, {_PRED_SQL} AS predicted, count(*) AS cnt FROM http_log GROUP BY 1, 2)")
+
+
+@register("confusion_matrix", _PC_SQL + """
+, cl AS (SELECT actual AS c FROM pc UNION SELECT predicted FROM pc)
+SELECT a.c AS actual, b.c AS predicted, coalesce(pc.cnt, 0) AS cnt FROM cl a JOIN cl b ON 1 = 1
+LEFT JOIN pc ON pc.actual = a.c AND pc.predicted = b.c""")
+def q_confusion(spark, sf):
+    return D.confusion_matrix(_with_pred(http_log(spark, sf)), "hash", "pred")
+
+
+_BM_BODY = """
+, cl AS (SELECT actual AS c FROM pc UNION SELECT predicted FROM pc),
+agg AS (SELECT cl.c AS class,
+  sum(CASE WHEN actual = c AND predicted = c THEN cnt ELSE 0 END) AS tp,
+  sum(CASE WHEN actual <> c AND predicted = c THEN cnt ELSE 0 END) AS fp,
+  sum(CASE WHEN actual = c AND predicted <> c THEN cnt ELSE 0 END) AS fn, sum(cnt) AS total
+  FROM cl JOIN pc ON 1 = 1 GROUP BY cl.c),
+bm AS (SELECT class,
+  CASE WHEN total = 0 THEN 0 ELSE (total - fp - fn) / total END AS accuracy,
+  CASE WHEN tp + fp = 0 THEN 0 ELSE tp / (tp + fp) END AS precision,
+  CASE WHEN tp + fn = 0 THEN 0 ELSE tp / (tp + fn) END AS recall,
+  CASE WHEN 2 * tp + fp + fn = 0 THEN 0 ELSE 2 * tp / (2 * tp + fp + fn) END AS f1_score,
+  tp + fp AS pred_pos, tp + fn AS actual_pos FROM agg)"""
+
+_ROUND4 = ["accuracy", "precision", "recall", "f1_score"]
+
+
+def _r6(df, cols=_ROUND4):
+    return df.withColumns({c: F.round(c, 6) for c in cols})
+
+
+@register("binary_metrics", _PC_SQL + _BM_BODY + """
+SELECT class, round(accuracy, 6) AS accuracy, round(precision, 6) AS precision, round(recall, 6) AS recall,
+  round(f1_score, 6) AS f1_score, pred_pos, actual_pos FROM bm""")
+def q_binary_metrics(spark, sf):
+    return _r6(D.binary_metrics(_with_pred(http_log(spark, sf)), "hash", "pred"))
+
+
+@register("binary_metrics_labels", """
+WITH pc AS (SELECT l.quality AS actual, CAST(d.n_chars > 1000 AS INTEGER) AS predicted, count(*) AS cnt
+  FROM labels l JOIN documents d USING (doc_id) GROUP BY 1, 2)""" + _BM_BODY + """
+SELECT class, round(accuracy, 6) AS accuracy, round(precision, 6) AS precision, round(recall, 6) AS recall,
+  round(f1_score, 6) AS f1_score, pred_pos, actual_pos FROM bm""")
+def q_binary_metrics_labels(spark, sf):
+    d = load_table(spark, sf, "labels").join(load_table(spark, sf, "documents"), "doc_id")
+    d = d.select(F.col("quality").alias("actual"), (F.col("n_chars") > 1000).cast("int").alias("predicted"))
+    return _r6(D.binary_metrics(d, "actual", "predicted"))
+
+
+@register("weighted_metrics", _PC_SQL + _BM_BODY + """
+SELECT round((SELECT sum(cnt) FILTER (WHERE actual = predicted) / sum(cnt) FROM pc), 6) AS accuracy,
+  round(sum(precision * actual_pos) / sum(actual_pos), 6) AS precision,
+  round(sum(recall * actual_pos) / sum(actual_pos), 6) AS recall,
+  round(sum(f1_score * actual_pos) / sum(actual_pos), 6) AS f1_score FROM bm""")
+def q_weighted_metrics(spark, sf):
+    return _r6(D.weighted_metrics(_with_pred(http_log(spark, sf)), "hash", "pred"))
+
+
+_EV_CLASS = """CASE event_type WHEN 'error' THEN 'SQL_INJECTION' WHEN 'signup' THEN 'XSS'
+  WHEN 'purchase' THEN 'BEACONING' WHEN 'view' THEN 'CREDENTIAL' ELSE 'normal' END"""
+
+
+@register("run_history", _PC_SQL + _BM_BODY + f"""
+, ep AS (SELECT {_EV_CLASS} AS attack_name, date_trunc('day', ts) AS day, round(avg(value) / 10, 6) AS loss,
+           round(avg(CASE WHEN value > 5 THEN 1.0 ELSE 0.0 END), 6) AS epoch_acc FROM events GROUP BY 1, 2),
+epn AS (SELECT *, row_number() OVER (PARTITION BY attack_name ORDER BY day) AS epochs FROM ep),
+last AS (SELECT attack_name, arg_max(day, epochs) AS day, arg_max(loss, epochs) AS loss,
+           arg_max(epoch_acc, epochs) AS epoch_acc, max(epochs) AS epochs FROM epn GROUP BY attack_name)
+SELECT last.*, round(bm.accuracy, 6) AS accuracy, round(bm.precision, 6) AS precision,
+  round(bm.recall, 6) AS recall, round(bm.f1_score, 6) AS f1_score, bm.pred_pos, bm.actual_pos
+FROM last LEFT JOIN bm ON bm.class = last.attack_name""")
+def q_run_history(spark, sf):
+    from wtprof.functions.timeutil import time_bucket
+    from wtprof.operators.windows import epoch_number
+    from wtprof.sources.tables import CLASSES
+    ev = load_table(spark, sf, "events")
+    t = F.col("event_type")
+    cls = F.lit("normal")
+    for k, v in CLASSES.items():
+        cls = F.when(t == k, F.lit(v)).otherwise(cls)
+    ep = ev.groupBy(cls.alias("attack_name"), time_bucket("ts", "1 day").alias("day")).agg(
+        F.round(F.avg("value") / 10, 6).alias("loss"),
+        F.round(F.avg(F.when(F.col("value") > 5, 1.0).otherwise(0.0)), 6).alias("epoch_acc"))
+    ep = epoch_number(ep, ["attack_name"], ["day"])
+    bm = _r6(D.binary_metrics(_with_pred(http_log(spark, sf)), "hash", "pred"))
+    return D.run_history(ep, bm)
+
+
+# ------------------------------------------------------------------ fusion
+LABEL_KEYS = ["beaconing", "credential", "injection", "normal", "scanning", "xss"]
+_MULT = {"beaconing": 3, "credential": 5, "injection": 7, "normal": 11, "scanning": 13, "xss": 17}
+_KEY_OF = {"SQL_INJECTION": "injection", "XSS": "xss", "BEACONING": "beaconing", "CREDENTIAL": "credential",
+           "normal": "normal"}
+_KEY_SQL = ("CASE p WHEN 'SQL_INJECTION' THEN 'injection' WHEN 'XSS' THEN 'xss' WHEN 'BEACONING' THEN 'beaconing' "
+            "WHEN 'CREDENTIAL' THEN 'credential' ELSE 'normal' END")
+
+
+def _scored(spark, sf):
+    log = _with_pred(http_log(spark, sf))
+    k = F.lit("normal")
+    for a, b in _KEY_OF.items():
+        k = F.when(F.col("pred") == a, F.lit(b)).otherwise(k)
+    d = log.select("event_id", "logtime", "src_ip", "dst_ip", k.alias("tree"),
+                   *[(((F.col("event_id") * m) % 101) / 100.0).alias(c) for c, m in _MULT.items()])
+    return L.route_by_class(d, "tree", LABEL_KEYS)
+
+
+_SCORED_SQL = with_log(f"""
+, pp AS (SELECT event_id, logtime, src_ip, dst_ip, {_PRED_SQL} AS p FROM http_log),
+raw AS (SELECT event_id, logtime, src_ip, dst_ip, {_KEY_SQL} AS tree, """ + ", ".join(
+    f"((event_id * {m}) % 101) / 100.0 AS s_{c}" for c, m in _MULT.items()) + """ FROM pp),
+routed AS (SELECT event_id, logtime, src_ip, dst_ip, tree, """ + ", ".join(
+    f"CASE WHEN tree = '{c}' THEN s_{c} ELSE 0.0 END AS {c}" for c in LABEL_KEYS) + """ FROM raw)""")
+
+
+@register("route_by_class", _SCORED_SQL + "\nSELECT event_id, tree, " + ", ".join(LABEL_KEYS) + " FROM routed")
+def q_route(spark, sf):
+    return _scored(spark, sf).select("event_id", "tree", *LABEL_KEYS)
+
+
+def _fuse_sql(train_thr: str | None) -> str:
+    attacks = [c for c in LABEL_KEYS if c != "normal"] + ["anomaly"]
+    order = LABEL_KEYS + ["anomaly"]
+    anomaly = f"CASE WHEN normal > {train_thr} THEN 1.0 ELSE 0.0 END" if train_thr else "0.0"
+    low = " AND ".join(f"{c} <= 0.5" for c in attacks)
+    hits = "[" + ", ".join(f"{c} > 0.5" for c in order) + "]"
+    names = "[" + ", ".join(f"'{c}'" for c in order) + "]"
+    return f"""
+, f1 AS (SELECT *, normal AS anomaly_score, {anomaly} AS anomaly FROM routed),
+f2 AS (SELECT * REPLACE (CASE WHEN {low} THEN 1.0 ELSE normal END AS normal) FROM f1),
+f3 AS (SELECT event_id, logtime, src_ip, dst_ip, anomaly_score, {hits} AS h FROM f2),
+f4 AS (SELECT event_id, logtime, src_ip, dst_ip, anomaly_score,
+  CAST(list_bool_or(h) AS DOUBLE) AS probs,
+  {names}[coalesce(list_position(h, true), 1)] AS att_key FROM f3),
+f5 AS (SELECT *, CASE att_key WHEN 'scanning' THEN 'HTTP_SCANNING' WHEN 'injection' THEN 'SQL_INJECTION'
+  WHEN 'xss' THEN 'XSS' WHEN 'beaconing' THEN 'BEACONING' WHEN 'credential' THEN 'CREDENTIAL'
+  WHEN 'normal' THEN 'NORMAL' WHEN 'anomaly' THEN 'ANOMALY' END AS att_name FROM f4),
+fused AS (SELECT *, 250000 + CASE att_name WHEN 'NORMAL' THEN 0 WHEN 'SQL_INJECTION' THEN 1 WHEN 'XSS' THEN 2
+  WHEN 'BEACONING' THEN 3 WHEN 'CREDENTIAL' THEN 4 WHEN 'HTTP_SCANNING' THEN 5 WHEN 'ANOMALY' THEN 9 END AS result
+  FROM f5)"""
+
+
+_FUSED_COLS = "event_id, round(anomaly_score, 6) AS anomaly_score, probs, att_key, att_name, result"
+
+
+def _fused_out(d):
+    return d.select("event_id", F.round("anomaly_score", 6).alias("anomaly_score"), "probs", "att_key",
+                    "att_name", "result")
+
+
+@register("fuse_scores", _SCORED_SQL + _fuse_sql(None) + f"\nSELECT {_FUSED_COLS} FROM fused")
+def q_fuse(spark, sf):
+    return _fused_out(L.fuse_scores(_scored(spark, sf), LABEL_KEYS))
+
+
+_THR_SQL = ("(SELECT q3 + 1.5 * (q3 - q1) FROM (SELECT quantile_cont(normal, 0.25) AS q1, "
+            "quantile_cont(normal, 0.75) AS q3 FROM routed WHERE tree = 'normal'))")
+
+
+def _threshold(scored):
+    return boxplot_threshold(scored.where(F.col("tree") == "normal"), "normal", "box").scalar()
+
+
+@register("fuse_scores_train", _SCORED_SQL + _fuse_sql(_THR_SQL) + f"\nSELECT {_FUSED_COLS} FROM fused")
+def q_fuse_train(spark, sf):
+    s = _scored(spark, sf)
+    return _fused_out(L.fuse_scores(s, LABEL_KEYS, threshold=_threshold(s), train=True))
+
+
+@register("apply_anomaly", _SCORED_SQL + _fuse_sql(None) + f"""
+, th AS (SELECT {_THR_SQL} AS t),
+fin AS (SELECT event_id, anomaly_score, CASE WHEN att_name = 'NORMAL' THEN (SELECT t FROM th) ELSE probs END AS probs,
+  CASE WHEN anomaly_score > (SELECT t FROM th) THEN 'ANOMALY' ELSE att_name END AS att_name FROM fused)
+SELECT event_id, round(anomaly_score, 6) AS anomaly_score, round(probs, 6) AS probs, att_name,
+  250000 + CASE att_name WHEN 'NORMAL' THEN 0 WHEN 'SQL_INJECTION' THEN 1 WHEN 'XSS' THEN 2 WHEN 'BEACONING' THEN 3
+  WHEN 'CREDENTIAL' THEN 4 WHEN 'HTTP_SCANNING' THEN 5 WHEN 'ANOMALY' THEN 9 END AS result FROM fin""")
+def q_apply_anomaly(spark, sf):
+    s = _scored(spark, sf)
+    d = L.apply_anomaly(L.fuse_scores(s, LABEL_KEYS), _threshold(s))
+    return d.select("event_id", F.round("anomaly_score", 6).alias("anomaly_score"),
+                    F.round("probs", 6).alias("probs"), "att_name", "result")
+
+
+@register("confirm_attack", _SCORED_SQL + """
+SELECT event_id, tree, CASE WHEN tree = 'normal' THEN 'NORMAL'
+  WHEN ((event_id * 7) % 101) / 100.0 > 0.5 THEN tree ELSE 'NORMAL' END AS ai_label_pred FROM routed""")
+def q_confirm(spark, sf):
+    s = _scored(spark, sf).withColumn("spec", ((F.col("event_id") * 7) % 101) / 100.0)
+    return L.confirm_attack(s, "tree", "spec").select("event_id", "tree", "ai_label_pred")
+
+
+@register("result_record", _SCORED_SQL + _fuse_sql(None) + """
+SELECT 250 AS model_id, logtime AS lgtime, logtime + INTERVAL 1 MINUTE AS "end", '-' AS rule, src_ip, dst_ip,
+  '-' AS src_ip_country_code, '-' AS dst_ip_country_code, 0 AS ast_ip, 0 AS related_ip, '-' AS direction_inout,
+  0 AS direction_inout_bin, '-' AS related_country, att_name, result, probs, round(anomaly_score, 6) AS anomaly_score,
+  '2024_01_31' AS feedback, 0 AS packet, 0 AS if_label, 0 AS if_score, 0 AS lof_label, 0 AS lof_score,
+  0 AS ai_label, 0 AS ai_score FROM fused""")
+def q_result_record(spark, sf):
+    d = L.fuse_scores(_scored(spark, sf), LABEL_KEYS)
+    d = d.withColumn("lgtime", F.col("logtime")).withColumn(
+        "end", F.timestamp_add("MINUTE", F.lit(1), F.col("logtime"))).withColumn(
+        "anomaly_score", F.round("anomaly_score", 6))
+    return L.result_record(d, 250, "2024_01_31")
+
+
+# ------------------------------------------------------------- explanation
+_KEY = ["lgtime", "src_ip", "dst_ip", "label"]
+MAXF_EXPLAIN = 64
+
+
+def explain_inputs(spark, sf, max_features=MAXF_EXPLAIN):
+    """Hour sessions → TF-IDF (rounded) with a global feature position
+    ``fidx`` (agent terms first, then query terms) and names."""
+    s = session_text_labeled(http_log(spark, sf), "1 hour")
+    vocab = materialize(V.tfidf_fit(s, _KEY, ["agent", "query"], max_features))
+    n_agent = vocab.where(F.col("feature") == "agent").select(F.count(F.lit(1))).scalar()
+    off = F.when(F.col("feature") == "query", n_agent).otherwise(F.lit(0))
+    long = V.tfidf_transform(s, vocab, _KEY, ["agent", "query"]).withColumn("value", F.round("value", 6))
+    long = long.withColumn("fidx", (F.col("idx") + off).cast("int"))
+    names = vocab.select((F.col("idx") + off).cast("int").alias("fidx"),
+                         F.concat_ws("_", "feature", "term").alias("feature_term"))
+    return s, vocab, long, names
+
+
+_EXPLAIN_SQL = sessions_ctes(MAXF_EXPLAIN) + """
+, voc AS (SELECT feature, term, idx FROM vocab),
+off AS (SELECT count(*) FILTER (WHERE feature = 'agent') AS na, count(*) AS v FROM voc),
+lf AS (SELECT tfv.*, CAST(idx + CASE WHEN feature = 'query' THEN (SELECT na FROM off) ELSE 0 END AS INTEGER) AS fidx
+       FROM tfv),
+names AS (SELECT CAST(idx + CASE WHEN feature = 'query' THEN (SELECT na FROM off) ELSE 0 END AS INTEGER) AS fidx,
+          feature || '_' || term AS feature_term FROM voc),
+nc AS (SELECT label, count(*) AS n FROM s GROUP BY label),
+mean AS (SELECT lf.label AS class, fidx, sum(value) / any_value(nc.n) AS m FROM lf JOIN nc USING (label)
+         GROUP BY lf.label, fidx),
+grid AS (SELECT DISTINCT f.fidx, c.label AS class FROM lf f, (SELECT DISTINCT label FROM s) c),
+w AS (SELECT g.class, g.fidx, round(coalesce(m.m, 0) - coalesce(mn.m, 0), 9) AS weight FROM grid g
+      LEFT JOIN mean m ON m.class = g.class AND m.fidx = g.fidx
+      LEFT JOIN mean mn ON mn.class = 'normal' AND mn.fidx = g.fidx),
+contrib AS (SELECT lf.lgtime, lf.src_ip, lf.dst_ip, lf.label, lf.label AS prediction, lf.fidx,
+              lf.value * coalesce(w.weight, 0) AS contribution
+            FROM lf LEFT JOIN w ON w.class = lf.label AND w.fidx = lf.fidx),
+rowsk AS (SELECT DISTINCT lgtime, src_ip, dst_ip, label, prediction FROM contrib),
+dense AS (SELECT r.*, n.fidx, n.feature_term, coalesce(c.contribution, 0.0) AS v FROM rowsk r JOIN names n ON true
+          LEFT JOIN contrib c ON c.lgtime = r.lgtime AND c.src_ip = r.src_ip AND c.dst_ip = r.dst_ip
+            AND c.label = r.label AND c.fidx = n.fidx),
+med AS (SELECT *, round(v - median(v) OVER (PARTITION BY lgtime, src_ip, dst_ip, label), 9) AS score FROM dense),
+rk AS (SELECT *, row_number() OVER (PARTITION BY lgtime, src_ip, dst_ip, label ORDER BY score DESC, fidx) AS rank
+       FROM med)"""
+
+
+def _explain(spark, sf, top_k):
+    s, vocab, long, names = explain_inputs(spark, sf)
+    labels = s.select(*_KEY)
+    w = M.class_weights(long, labels, _KEY).withColumn("weight", F.round("weight", 9))
+    preds = labels.withColumn("prediction", F.col("label"))
+    contrib = M.feature_contribution(long, preds, w, _KEY)
+    n = names.count()
+    return M.explain_rows(contrib, names, _KEY, n, top_k=top_k), names
+
+
+@register("feature_contribution", _EXPLAIN_SQL + """
+SELECT lgtime, src_ip, dst_ip, label, prediction, fidx, round(contribution, 6) AS contribution FROM contrib""")
+def q_feature_contribution(spark, sf):
+    s, vocab, long, names = explain_inputs(spark, sf)
+    labels = s.select(*_KEY)
+    w = M.class_weights(long, labels, _KEY).withColumn("weight", F.round("weight", 9))
+    c = M.feature_contribution(long, labels.withColumn("prediction", F.col("label")), w, _KEY)
+    return c.withColumn("contribution", F.round("contribution", 6))
+
+
+@register("explain_rows", _EXPLAIN_SQL + """
+SELECT lgtime, src_ip, dst_ip, label, prediction, rank, feature_term AS feature, round(score, 6) AS score
+FROM rk WHERE rank <= 20""")
+def q_explain_rows(spark, sf):
+    e, _ = _explain(spark, sf, 20)
+    z = e.select(*_KEY, "prediction", F.posexplode_outer(F.arrays_zip("feature", "score")).alias("pos", "z"))
+    return z.select(*_KEY, "prediction", (F.col("pos") + 1).alias("rank"), F.col("z.feature").alias("feature"),
+                    F.round(F.round("z.score", 9), 6).alias("score"))
+
+
+@register("explain_confirmed", _EXPLAIN_SQL + """
+SELECT lgtime, src_ip, dst_ip, label, prediction, count(*) AS n_features FROM rk
+WHERE rank <= 20 AND prediction IN ('XSS', 'SQL_INJECTION') GROUP BY ALL""")
+def q_explain_confirmed(spark, sf):
+    e, _ = _explain(spark, sf, 20)
+    c = M.explain_confirmed(e, ["XSS", "SQL_INJECTION"])
+    return c.select(*_KEY, "prediction", F.size("feature").alias("n_features"))
+
+
+_EMB_SCORES_SQL = """WITH emb AS (
+  SELECT vec_id, unnest(generate_series(0, len(embedding) - 1)) AS feature,
+         CAST(unnest(embedding) AS DOUBLE) AS score FROM embeddings)"""
+
+
+def _emb_scores(spark, sf):
+    emb = load_table(spark, sf, "embeddings")
+    return emb.select("vec_id", F.posexplode_outer(F.col("embedding").cast("array<double>")).alias("feature", "score"))
+
+
+@register("rank_features", _EMB_SCORES_SQL + """
+SELECT vec_id, feature, round(score, 6) AS score,
+  row_number() OVER (PARTITION BY vec_id ORDER BY score DESC, feature) AS rank FROM emb""")
+def q_rank_features(spark, sf):
+    return rank_features(_emb_scores(spark, sf), ["vec_id"]).withColumn("score", F.round("score", 6))
+
+
+@register("rank_features_abs", _EMB_SCORES_SQL + """
+SELECT vec_id, feature, round(score, 6) AS score,
+  row_number() OVER (PARTITION BY vec_id ORDER BY abs(score) DESC, feature) AS rank FROM emb""")
+def q_rank_features_abs(spark, sf):
+    return rank_features(_emb_scores(spark, sf), ["vec_id"], by_abs=True).withColumn("score", F.round("score", 6))
+
+
+@register("top_k_features", _EMB_SCORES_SQL + """
+SELECT vec_id, feature, round(score, 6) AS score, rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY score DESC, feature) AS rank FROM emb) WHERE rank <= 20""")
+def q_top_k_features(spark, sf):
+    return top_k_features(_emb_scores(spark, sf), ["vec_id"], 20).withColumn("score", F.round("score", 6))
+
+
+# ------------------------------------------------------------------ models
+_CACHE: dict = {}
+
+
+def trained(spark, sf, max_depth=6, max_features=MAXF_EXPLAIN):
+    """Train once per (session, sf): sessions → TF-IDF → vectors → tree,
+    specialists and outlier model. Training rows are the 70 % split."""
+    key = (id(spark), sf)
+    if key in _CACHE:
+        return _CACHE[key]
+    s, vocab, long, names = explain_inputs(spark, sf, max_features)
+    n = names.count()
+    vec = V.assemble(long, _KEY, n, index_col="fidx")
+    allrows = s.select(*_KEY).join(vec, _KEY, "left")
+    zero = F.lit([0.0] * n)
+    from pyspark.ml.functions import array_to_vector
+    allrows = allrows.withColumn("features", F.coalesce(F.col("features"), array_to_vector(zero)))
+    allrows = K.split_fraction(allrows, _KEY, 0.7)
+    data = materialize(allrows)
+    train = data.where(F.col("split") == "train")
+    tree, labels = ML.fit_tree(train, max_depth=max_depth)
+    pairs = K.class_vs_normal(train, "label", [x for x in labels if x != "normal"])
+    spec = ML.fit_specialists(pairs, [x for x in labels if x != "normal"], max_iter=20)
+    pca = ML.fit_outlier(train.where(F.col("label") == "normal"), k=4)
+    out = dict(data=data, tree=tree, labels=labels, spec=spec, pca=pca, names=names, n=n)
+    _CACHE[key] = out
+    return out
+
+
+_T0 = dt.datetime(2024, 1, 31)
+
+
+@register("predict_tree")
+def q_predict_tree(spark, sf):
+    """L1: tree predictions on the held-out 30 % (rows-only)."""
+    t = trained(spark, sf)
+    test = t["data"].where(F.col("split") == "test")
+    return ML.predict_tree(t["tree"], t["labels"], test).select(*_KEY, "pred")
+
+
+@register("tree_nodes")
+def q_tree_nodes(spark, sf):
+    """L2 + G4: node table of the fitted tree with parents and levels."""
+    from wtprof.session import scratch_path
+    t = trained(spark, sf)
+    path = scratch_path(spark, f"tree_model_{abs(hash(sf))}")
+    return ML.tree_nodes(t["tree"], t["labels"], t["names"], path, 335, "2024_01_31", _T0)
+
+
+@register("tree_importance")
+def q_tree_importance(spark, sf):
+    t = trained(spark, sf)
+    return ML.tree_importance(t["tree"], t["names"], 335, _T0, _T0.weekday(), "00")
+
+
+@register("predict_specialists")
+def q_predict_specialists(spark, sf):
+    """L4: attack probability per specialist on held-out rows."""
+    t = trained(spark, sf)
+    test = t["data"].where(F.col("split") == "test")
+    return ML.predict_specialists(t["spec"], test).drop("features")
+
+
+@register("normal_outlier_score")
+def q_outlier(spark, sf):
+    t = trained(spark, sf)
+    return ML.outlier_score(t["pca"], t["data"]).select(*_KEY, "normal")
+
+
+@register("epoch_metrics")
+def q_epoch_metrics(spark, sf):
+    return ML.epoch_metrics(trained(spark, sf)["spec"], 335, _T0)
+
+
+def _norm_score(x):
+    import numpy as np
+    return np.sqrt((x * x).sum(axis=1)) if x.size else np.zeros(len(x))
+
+
+@register("score_with_python")
+def q_score_with_python(spark, sf):
+    """O1: a user scorer (row L2 norm here) over Arrow batches."""
+    t = trained(spark, sf)
+    return ML.score_with_python(t["data"], _norm_score, keep=_KEY)
