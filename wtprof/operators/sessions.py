@@ -17,9 +17,7 @@ from pyspark.sql import functions as F
 from wtprof.functions.text import clean_text
 from wtprof.functions.timeutil import time_bucket
 
-# Output name → input column of the session text, as in the reference layout
-# (host is off by default there).
-DEFAULT_TEXT = (("agent", "http_agent"), ("query", "http_query"))
+from wtprof.sessions_common import DEFAULT_TEXT  # noqa: E402
 
 
 def session_text(log: DataFrame, interval: str = "1 minute", label_value: str | None = None,

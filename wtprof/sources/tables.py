@@ -55,7 +55,13 @@ def http_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     ev = load_table(spark, sf_dir, "events")
     pages = load_table(spark, sf_dir, "pages").select("page_id", "url")
-    n_pages = pages.select(F.count(F.lit(1))).scalar()
+    return http_log_from(ev, pages, pages.select(F.count(F.lit(1))).scalar())
+
+
+def http_log_from(ev: DataFrame, pages: DataFrame, n_pages) -> DataFrame:
+    """The fixture mapping over any ``events``-shaped frame (batch or
+    stream); ``n_pages`` is a Column or a number."""
+    pages = pages.select("page_id", "url")
     e = ev.withColumn("_page", F.col("event_id") % n_pages)
     j = e.join(pages, e["_page"] == pages["page_id"])
     uid = F.col("user_id")
