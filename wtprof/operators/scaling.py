@@ -28,9 +28,34 @@ def scale_fit(df: DataFrame, cols: Sequence[str], method: str = "minmax", approx
               n_quantiles: int | None = None, lazy: bool = False) -> DataFrame:
     """Fit parameters (materialised unless ``lazy``); see :func:`_fit`."""
     fitted = _fit(df, cols, method, approx, n_quantiles)
+    if method == "quantile":
+        fitted = fitted.withColumns({k: v for c in cols for k, v in _knots(c).items()})
     return fitted if lazy else materialize(fitted)
 
 
+def _knots(c: str) -> dict:
+    """Distinct quantile values (``knots``) with the first and last
+    position of each in the quantile array (ties span several positions)."""
+    q = F.col(f"{c}__quantiles")
+    knots = F.array_distinct(q)  # q is sorted, so the distinct values stay sorted
+    first = F.transform(knots, lambda v: F.array_position(q, v).cast("int") - 1)
+    last = F.transform(knots, lambda v: F.size(q) - F.array_position(F.reverse(q), v).cast("int"))
+    return {f"{c}__knots": knots, f"{c}__first": first, f"{c}__last": last}
+
+
+def _bucketize(df: DataFrame, fitted: DataFrame, c: str) -> DataFrame:
+    """``_k_<c>`` = index of the last knot ≤ x (-1 below the first) by the
+    JVM binary search of ``Bucketizer``. The knots (≤ n_quantiles values,
+    a fixed bound) are read from the fitted one-row table."""
+    from pyspark.ml.feature import Bucketizer
+
+    knots = fitted.select(f"{c}__knots").first()[0]
+    splits = [float("-inf")] + list(knots) + [float("inf")]
+    b = Bucketizer(splits=splits, inputCol=f"_x_{c}", outputCol=f"_k_{c}", handleInvalid="keep")
+    d = b.transform(df.withColumn(f"_x_{c}", F.col(c).cast("double")))
+    return d.withColumn(f"_k_{c}", F.col(f"_k_{c}").cast("int") - 1).drop(f"_x_{c}")
+
+
 def _fit(df: DataFrame, cols: Sequence[str], method: str, approx: bool,
          n_quantiles: int | None) -> DataFrame:
     """Fit parameters for ``cols``; returns a one-row DataFrame of columns
@@ -83,16 +108,16 @@ def scale_transform(df: DataFrame, fitted: DataFrame, cols: Sequence[str], metho
             iqr = F.get(q, 2) - F.get(q, 0)
             exprs[c] = (x - F.get(q, 1)) / F.when(iqr == 0, F.lit(1.0)).otherwise(iqr)
         elif method == "quantile":
-            # subqueries cannot sit inside lambdas: bind them as columns first
-            df = df.withColumns({f"_q_{c}": p[f"{c}__quantiles"], f"_r_{c}": p[f"{c}__refs"]})
-            exprs[c] = quantile_map(x, F.col(f"_q_{c}"), F.col(f"_r_{c}"))
+            df = _bucketize(df, fitted, c)
+            exprs[c] = quantile_map_bucket(x, F.col(f"_k_{c}"), p[f"{c}__quantiles"], p[f"{c}__refs"],
+                                           p[f"{c}__first"], p[f"{c}__last"], p[f"{c}__knots"])
         elif method == "power":
             lam = p[f"{c}__lambda"]
             y = yeo_johnson(x, lam)
             sd = p[f"{c}__std"]
             exprs[c] = (y - p[f"{c}__mean"]) / F.when(sd == 0, F.lit(1.0)).otherwise(sd)
     out = df.withColumns(exprs)
-    tmp = [c for c in out.columns if c.startswith("_q_") or c.startswith("_r_")]
+    tmp = [c for c in out.columns if c.startswith("_k_")]
     return out.drop(*tmp) if tmp else out
 
 
@@ -115,6 +140,29 @@ def _search(q: Column, x: Column, strict: bool) -> Column:
     return F.aggregate(steps, init, step, lambda acc: acc["lo"])
 
 
+def quantile_map_bucket(x: Column, k: Column, q: Column, refs: Column, first: Column, last: Column,
+                        knots: Column) -> Column:
+    """Uniform quantile transform from the knot index ``k`` (no lambdas):
+    ``le`` = #quantiles ≤ x, ``lt`` = #quantiles < x, then the mean of the
+    forward and backward interpolations (ties get their mid rank)."""
+    n = F.size(q)
+    on_knot = (k >= 0) & (F.get(knots, k) == x)
+    le = F.when(k < 0, F.lit(0)).otherwise(F.get(last, k) + 1)
+    lt = F.when(k < 0, F.lit(0)).when(on_knot, F.get(first, k)).otherwise(F.get(last, k) + 1)
+
+    def interp(j):
+        q0, q1, r0, r1 = F.get(q, j), F.get(q, j + 1), F.get(refs, j), F.get(refs, j + 1)
+        return F.when(q1 == q0, r0).otherwise(r0 + (x - q0) / (q1 - q0) * (r1 - r0))
+
+    fwd = F.when(le == 0, F.get(refs, 0)).when(le >= n, F.get(refs, n - 1)).otherwise(interp(le - 1))
+    bq0, bq1 = F.get(q, lt - 1), F.get(q, lt)
+    br0, br1 = F.get(refs, lt - 1), F.get(refs, lt)
+    back_mid = F.when(bq1 == bq0, br1).otherwise(br1 - (bq1 - x) / (bq1 - bq0) * (br1 - br0))
+    bwd = F.when(lt == 0, F.get(refs, 0)).when(lt >= n, F.get(refs, n - 1)).otherwise(back_mid)
+    res = (fwd + bwd) / 2
+    return F.when(x.isNull(), F.lit(None)).otherwise(F.least(F.greatest(res, F.lit(0.0)), F.lit(1.0)))
+
+
 def quantile_map(x: Column, q: Column, refs: Column) -> Column:
     """Uniform quantile transform: mean of the forward and backward linear
     interpolation (ties get their mid rank), clipped to [0, 1]."""

@@ -28,15 +28,20 @@ def terms(df: DataFrame, key: Sequence[str], text_cols: Sequence[str], n_grams=(
     Null text counts as an empty document (it still counts in ``n``).
     """
     parts = []
+    unigrams = tuple(n_grams) == (1, 1)
     for c in text_cols:
         toks = tokenize(F.col(c))
-        if stop_words:
-            toks = remove_stop_words(toks, stop_words)
+        if stop_words and not unigrams:
+            toks = remove_stop_words(toks, stop_words)  # before n-grams
         grams = ngrams(toks, *n_grams)
         # explode_outer + null filter: a plain explode makes the optimizer add
         # a size(...) > 0 filter that evaluates the tokenizer a second time.
-        parts.append(df.select(*key, F.lit(c).alias("feature"), F.explode_outer(grams).alias("term"))
-                     .where(F.col("term").isNotNull()))
+        t = (df.select(*key, F.lit(c).alias("feature"), F.explode_outer(grams).alias("term"))
+             .where(F.col("term").isNotNull()))
+        if stop_words and unigrams:
+            # on exploded rows: a codegen'd IN test instead of a per-token lambda
+            t = t.where(~F.col("term").isin(list(stop_words)))
+        parts.append(t)
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -60,14 +65,39 @@ def tfidf_fit(df: DataFrame, key: Sequence[str], text_cols: Sequence[str], max_f
     with a window group limit; ``idx`` is the alphabetical position.
     """
     tc = term_counts(df, key, text_cols, n_grams=n_grams, stop_words=stop_words)
+    return _vocab_from_counts(tc, df.select(F.count(F.lit(1))).scalar(), max_features)
+
+
+def tfidf_fit_transform(df: DataFrame, key: Sequence[str], text_cols: Sequence[str], max_features: int | None = 256,
+                        n_grams=(1, 1), stop_words: Sequence[str] | None = STOP_WORDS):
+    """J7 + J8 with one tokenisation: the per-document term counts are
+    persisted (memory and disk; recomputed from lineage if an executor is
+    lost) and feed both the vocabulary and the transform. Returns
+    ``(vocab, transformed, counts)``; unpersist ``counts`` when done."""
+    from pyspark import StorageLevel
+
+    tc = term_counts(df, key, text_cols, n_grams=n_grams, stop_words=stop_words).persist(
+        StorageLevel.MEMORY_AND_DISK)
+    n_docs = df.select(F.count(F.lit(1))).scalar()
+    vocab = _vocab_from_counts(tc, n_docs, max_features)
+    v = F.broadcast(vocab.select("feature", "term", "idx", "idf"))
+    raw = tc.join(v, ["feature", "term"]).withColumn("raw", F.col("cnt") * F.col("idf"))
+    return vocab, _l2(raw, key), tc
+
+
+def _vocab_from_counts(tc: DataFrame, n_docs, max_features: int | None) -> DataFrame:
     per_term = tc.groupBy("feature", "term").agg(F.sum("cnt").alias("tf"), F.count(F.lit(1)).alias("df"))
     if max_features:
         per_term = top_terms(per_term, max_features, group=["feature"], count_col="tf")
-    n_docs = df.select(F.count(F.lit(1))).scalar()
     idf = F.log((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)
     w = Window.partitionBy("feature").orderBy("term")
-    return per_term.select("feature", "term", (F.row_number().over(w) - 1).alias("idx"),
-                           "df", idf.alias("idf"))
+    return per_term.select("feature", "term", (F.row_number().over(w) - 1).alias("idx"), "df", idf.alias("idf"))
+
+
+def _l2(raw: DataFrame, key: Sequence[str]) -> DataFrame:
+    w = Window.partitionBy(*key, "feature")
+    norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(w))
+    return raw.select(*key, "feature", "term", "idx", (F.col("raw") / norm).alias("value"))
 
 
 def tfidf_transform(df: DataFrame, vocab: DataFrame, key: Sequence[str], text_cols: Sequence[str],
@@ -84,10 +114,7 @@ def tfidf_transform(df: DataFrame, vocab: DataFrame, key: Sequence[str], text_co
     v = F.broadcast(vocab.select("feature", "term", "idx", "idf"))
     hit = t.join(v, ["feature", "term"])
     tf = hit.groupBy(*key, "feature", "term", "idx", "idf").agg(F.count(F.lit(1)).alias("cnt"))
-    raw = tf.withColumn("raw", F.col("cnt") * F.col("idf"))
-    w = Window.partitionBy(*key, "feature")
-    norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(w))
-    return raw.select(*key, "feature", "term", "idx", (F.col("raw") / norm).alias("value"))
+    return _l2(tf.withColumn("raw", F.col("cnt") * F.col("idf")), key)
 
 
 def feature_names(vocab: DataFrame) -> DataFrame:

@@ -87,8 +87,8 @@ def q_tfidf_fit(spark, sf):
 @register("tfidf_transform", _tfidf_sql("documents", "doc_id", "text", 256, 1, True))
 def q_tfidf_transform(spark, sf):
     d = load_table(spark, sf, "documents")
-    vocab = V.tfidf_fit(d, ["doc_id"], ["text"], 256)
-    return _round(V.tfidf_transform(d, vocab, ["doc_id"], ["text"]), "value")
+    _, out, _ = V.tfidf_fit_transform(d, ["doc_id"], ["text"], 256)
+    return _round(out, "value")
 
 
 @register("tfidf_fit_ngrams", _tfidf_sql("conversations", "conv_id, turn", "text", 2000, 2, False))
@@ -100,8 +100,8 @@ def q_tfidf_fit_ngrams(spark, sf):
 @register("tfidf_transform_ngrams", _tfidf_sql("conversations", "conv_id, turn", "text", 2000, 2, True))
 def q_tfidf_transform_ngrams(spark, sf):
     c = load_table(spark, sf, "conversations")
-    vocab = V.tfidf_fit(c, ["conv_id", "turn"], ["text"], 2000, n_grams=(1, 2))
-    return _round(V.tfidf_transform(c, vocab, ["conv_id", "turn"], ["text"], n_grams=(1, 2)), "value")
+    _, out, _ = V.tfidf_fit_transform(c, ["conv_id", "turn"], ["text"], 2000, n_grams=(1, 2))
+    return _round(out, "value")
 
 
 _SESS_KEY = ["lgtime", "src_ip", "dst_ip", "label"]
@@ -138,8 +138,8 @@ def _sessions_sql():
 
 def session_features(spark, sf, max_features=256):
     s = session_text_labeled(http_log(spark, sf), "1 hour")
-    vocab = V.tfidf_fit(s, _SESS_KEY, ["agent", "query"], max_features)
-    return s, vocab, V.tfidf_transform(s, vocab, _SESS_KEY, ["agent", "query"])
+    vocab, out, _ = V.tfidf_fit_transform(s, _SESS_KEY, ["agent", "query"], max_features)
+    return s, vocab, out
 
 
 @register("tfidf_sessions", _sessions_sql())

@@ -316,10 +316,11 @@ def explain_inputs(spark, sf, max_features=MAXF_EXPLAIN):
     """Hour sessions → TF-IDF (rounded) with a global feature position
     ``fidx`` (agent terms first, then query terms) and names."""
     s = session_text_labeled(http_log(spark, sf), "1 hour")
-    vocab = materialize(V.tfidf_fit(s, _KEY, ["agent", "query"], max_features))
+    vocab, long, _ = V.tfidf_fit_transform(s, _KEY, ["agent", "query"], max_features)
+    vocab = materialize(vocab)
     n_agent = vocab.where(F.col("feature") == "agent").select(F.count(F.lit(1))).scalar()
     off = F.when(F.col("feature") == "query", n_agent).otherwise(F.lit(0))
-    long = V.tfidf_transform(s, vocab, _KEY, ["agent", "query"]).withColumn("value", F.round("value", 6))
+    long = long.withColumn("value", F.round("value", 6))
     long = long.withColumn("fidx", (F.col("idx") + off).cast("int"))
     names = vocab.select((F.col("idx") + off).cast("int").alias("fidx"),
                          F.concat_ws("_", "feature", "term").alias("feature_term"))
