@@ -48,6 +48,31 @@ def terms(df: DataFrame, key: Sequence[str], text_cols: Sequence[str], n_grams=(
     return out
 
 
+DOC_MARKER = "__doc__"
+
+
+def _terms_with_docs(df: DataFrame, key: Sequence[str], text_cols: Sequence[str], n_grams=(1, 1),
+                     stop_words: Sequence[str] | None = STOP_WORDS) -> DataFrame:
+    """One pass over the documents: every text column's terms plus one
+    marker row per document (feature ``__doc__``, null term), so the
+    document count needs no second scan of an expensive input."""
+    unigrams = tuple(n_grams) == (1, 1)
+    blocks = []
+    for c in text_cols:
+        toks = tokenize(F.col(c))
+        if stop_words and not unigrams:
+            toks = remove_stop_words(toks, stop_words)
+        blocks.append(F.struct(F.lit(c).alias("feature"), ngrams(toks, *n_grams).alias("terms")))
+    blocks.append(F.struct(F.lit(DOC_MARKER).alias("feature"), F.array(F.lit(None).cast("string")).alias("terms")))
+    # explode_outer: no inferred size filter that would re-run the tokenizer
+    t = df.select(*key, F.explode_outer(F.array(*blocks)).alias("_b"))
+    t = t.select(*key, F.col("_b.feature").alias("feature"), F.explode_outer("_b.terms").alias("term"))
+    keep = F.col("term").isNotNull() | (F.col("feature") == DOC_MARKER)
+    if stop_words and unigrams:
+        keep = keep & (F.col("term").isNull() | ~F.col("term").isin(list(stop_words)))
+    return t.where(keep)
+
+
 def term_counts(df: DataFrame, key: Sequence[str], text_cols: Sequence[str], **kw) -> DataFrame:
     """``(key…, feature, term, cnt)``: occurrences per document. Each
     document's tokens sit in one partition, so the partial aggregate already
@@ -76,9 +101,11 @@ def tfidf_fit_transform(df: DataFrame, key: Sequence[str], text_cols: Sequence[s
     ``(vocab, transformed, counts)``; unpersist ``counts`` when done."""
     from pyspark import StorageLevel
 
-    tc = term_counts(df, key, text_cols, n_grams=n_grams, stop_words=stop_words).persist(
-        StorageLevel.MEMORY_AND_DISK)
-    n_docs = df.select(F.count(F.lit(1))).scalar()
+    tc = (_terms_with_docs(df, key, text_cols, n_grams=n_grams, stop_words=stop_words)
+          .groupBy(*key, "feature", "term").agg(F.count(F.lit(1)).alias("cnt"))
+          .persist(StorageLevel.MEMORY_AND_DISK))
+    n_docs = tc.where(F.col("feature") == DOC_MARKER).select(F.count(F.lit(1))).scalar()
+    tc = tc.where(F.col("feature") != DOC_MARKER)
     vocab = _vocab_from_counts(tc, n_docs, max_features)
     v = F.broadcast(vocab.select("feature", "term", "idx", "idf"))
     raw = tc.join(v, ["feature", "term"]).withColumn("raw", F.col("cnt") * F.col("idf"))

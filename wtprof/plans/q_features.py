@@ -34,7 +34,7 @@ def grams_sql(toks: str, hi: int) -> str:
 SELECT doc_id, len(t) AS n_tokens, array_to_string(t, ' ') AS tokens FROM (
   SELECT doc_id, {tok_sql('text', stop=False)} AS t FROM documents)""")
 def q_tokenize(spark, sf):
-    d = load_table(spark, sf, "documents").select("doc_id", tokenize("text").alias("t"))
+    d = load_table(spark, sf, "documents", balance=True).select("doc_id", tokenize("text").alias("t"))
     return d.select("doc_id", F.size("t").alias("n_tokens"), F.array_join("t", " ").alias("tokens"))
 
 
@@ -42,7 +42,7 @@ def q_tokenize(spark, sf):
 SELECT doc_id, len(t) AS n_kept, array_to_string(t, ' ') AS tokens FROM (
   SELECT doc_id, {tok_sql('text')} AS t FROM documents)""")
 def q_remove_stop_words(spark, sf):
-    d = load_table(spark, sf, "documents").select("doc_id", remove_stop_words(tokenize("text")).alias("t"))
+    d = load_table(spark, sf, "documents", balance=True).select("doc_id", remove_stop_words(tokenize("text")).alias("t"))
     return d.select("doc_id", F.size("t").alias("n_kept"), F.array_join("t", " ").alias("tokens"))
 
 
@@ -51,7 +51,7 @@ SELECT conv_id, turn, array_to_string(g, '|') AS grams FROM (
   SELECT conv_id, turn, {grams_sql('t', 3)} AS g FROM (
     SELECT conv_id, turn, {tok_sql('text')} AS t FROM conversations))""")
 def q_ngrams(spark, sf):
-    c = load_table(spark, sf, "conversations")
+    c = load_table(spark, sf, "conversations", balance=True)
     g = ngrams(remove_stop_words(tokenize("text")), 1, 3)
     return c.select("conv_id", "turn", F.array_join(g, "|").alias("grams"))
 
@@ -80,26 +80,26 @@ def _round(df, *cols):
 
 @register("tfidf_fit", _tfidf_sql("documents", "doc_id", "text", 256, 1, False))
 def q_tfidf_fit(spark, sf):
-    d = load_table(spark, sf, "documents")
+    d = load_table(spark, sf, "documents", balance=True)
     return _round(V.tfidf_fit(d, ["doc_id"], ["text"], 256), "idf")
 
 
 @register("tfidf_transform", _tfidf_sql("documents", "doc_id", "text", 256, 1, True))
 def q_tfidf_transform(spark, sf):
-    d = load_table(spark, sf, "documents")
+    d = load_table(spark, sf, "documents", balance=True)
     _, out, _ = V.tfidf_fit_transform(d, ["doc_id"], ["text"], 256)
     return _round(out, "value")
 
 
 @register("tfidf_fit_ngrams", _tfidf_sql("conversations", "conv_id, turn", "text", 2000, 2, False))
 def q_tfidf_fit_ngrams(spark, sf):
-    c = load_table(spark, sf, "conversations")
+    c = load_table(spark, sf, "conversations", balance=True)
     return _round(V.tfidf_fit(c, ["conv_id", "turn"], ["text"], 2000, n_grams=(1, 2)), "idf")
 
 
 @register("tfidf_transform_ngrams", _tfidf_sql("conversations", "conv_id, turn", "text", 2000, 2, True))
 def q_tfidf_transform_ngrams(spark, sf):
-    c = load_table(spark, sf, "conversations")
+    c = load_table(spark, sf, "conversations", balance=True)
     _, out, _ = V.tfidf_fit_transform(c, ["conv_id", "turn"], ["text"], 2000, n_grams=(1, 2))
     return _round(out, "value")
 
@@ -160,7 +160,7 @@ FROM raw
 UNION ALL
 SELECT conv_id, turn, 'role' AS feature, role AS term, 1.0 AS value FROM conversations""")
 def q_concat_feature_blocks(spark, sf):
-    c = load_table(spark, sf, "conversations")
+    c = load_table(spark, sf, "conversations", balance=True)
     vocab = V.tfidf_fit(c, ["conv_id", "turn"], ["text"], 64)
     text = V.tfidf_transform(c, vocab, ["conv_id", "turn"], ["text"]).select(
         "conv_id", "turn", "feature", "term", F.round("value", 6).alias("value"))
@@ -174,7 +174,7 @@ WITH t AS (SELECT lang, unnest({tok_sql('text')}) AS term FROM documents)
 SELECT lang, term, count(*) AS cnt FROM t GROUP BY lang, term
 QUALIFY row_number() OVER (PARTITION BY lang ORDER BY count(*) DESC, term) <= 20""")
 def q_top_terms(spark, sf):
-    d = load_table(spark, sf, "documents")
+    d = load_table(spark, sf, "documents", balance=True)
     tc = V.terms(d, ["lang"], ["text"]).groupBy("lang", "term").agg(F.count(F.lit(1)).alias("cnt"))
     return top_terms(tc, 20, group=["lang"])
 
@@ -183,14 +183,14 @@ def q_top_terms(spark, sf):
 SELECT term, row_number() OVER (ORDER BY term) - 1 AS idx FROM (
   SELECT DISTINCT unnest({tok_sql('text', stop=False)}) AS term FROM documents)""")
 def q_bow_fit(spark, sf):
-    return V.bow_fit(load_table(spark, sf, "documents"), ["doc_id"], "text")
+    return V.bow_fit(load_table(spark, sf, "documents", balance=True), ["doc_id"], "text")
 
 
 @register("bow_transform", f"""
 SELECT doc_id, term, count(*) AS cnt FROM (
   SELECT doc_id, unnest({tok_sql('text', stop=False)}) AS term FROM documents) GROUP BY ALL""")
 def q_bow_transform(spark, sf):
-    return V.bow_transform(load_table(spark, sf, "documents"), ["doc_id"], "text")
+    return V.bow_transform(load_table(spark, sf, "documents", balance=True), ["doc_id"], "text")
 
 
 @register("onehot_fit", """

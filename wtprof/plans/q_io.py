@@ -134,7 +134,7 @@ SELECT 'text' AS feature, term, row_number() OVER (ORDER BY term) - 1 AS idx, df
   round(ln((1.0 + (SELECT count(*) FROM documents)) / (1.0 + df)) + 1, 6) AS idf FROM top""")
 def q_save_fit(spark, sf):
     """Two vocabulary versions saved; the newer one loaded back."""
-    d = load_table(spark, sf, "documents")
+    d = load_table(spark, sf, "documents", balance=True)
     base = _fresh(spark, "fits")
     A.save_fit(V.tfidf_fit(d, ["doc_id"], ["text"], 16), base, "tfidf_text", "2024_01_30")
     A.save_fit(V.tfidf_fit(d, ["doc_id"], ["text"], 32), base, "tfidf_text", "2024_01_31")

@@ -17,9 +17,26 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "embeddings pages benchmark labels conversations").split()
 
 
-def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Parquet scan of one table; filters and projections push into the scan."""
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+def load_table(spark: SparkSession, sf_dir: str, name: str, balance: bool = False) -> DataFrame:
+    """Parquet scan of one table; filters and projections push into the scan.
+
+    ``balance=True`` is for inputs of CPU-heavy per-row work (regex, text):
+    see :func:`balanced`.
+    """
+    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    return balanced(df) if balance else df
+
+
+def balanced(scan: DataFrame) -> DataFrame:
+    """Spread a plain file scan over the cluster when it has fewer splits
+    than the default parallelism (e.g. one large row group). A round-robin
+    repartition is skew-free; with many splits (big inputs) this is a no-op,
+    so large jobs keep their scan-side partitioning and pay no shuffle.
+    The split count of a bare scan comes from file listing only (no job)."""
+    target = scan.sparkSession.sparkContext.defaultParallelism
+    if scan.rdd.getNumPartitions() < target:
+        return scan.repartition(target)
+    return scan
 
 
 # Fixed values of the fixture view (FIXTURES.md §3): agent strings by
@@ -53,7 +70,7 @@ def http_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     is an equi-join on a computed key; Spark/AQE picks broadcast only when
     the pages side is measured small.
     """
-    ev = load_table(spark, sf_dir, "events")
+    ev = load_table(spark, sf_dir, "events", balance=True)
     pages = load_table(spark, sf_dir, "pages").select("page_id", "url")
     return http_log_from(ev, pages, pages.select(F.count(F.lit(1))).scalar())
 
