@@ -60,8 +60,10 @@ CLASS_CODES = {"NORMAL": 0, "SQL_INJECTION": 1, "XSS": 2, "BEACONING": 3, "CREDE
 
 
 def display_name(c):
+    """Class key → display name; a value that already is a display name
+    passes through; anything else is null."""
     m = F.create_map(*[F.lit(x) for kv in CLASS_DISPLAY.items() for x in kv])
-    return F.try_element_at(m, c)
+    return F.coalesce(F.try_element_at(m, c), F.when(c.isin(list(CLASS_DISPLAY.values())), c))
 
 
 def class_code(c):

@@ -507,3 +507,37 @@ def q_score_with_python(spark, sf):
     """O1: a user scorer (row L2 norm here) over Arrow batches."""
     t = trained(spark, sf)
     return ML.score_with_python(t["data"], _norm_score, keep=_KEY)
+
+
+def _jobs(spark, sf):
+    key = ("jobs", id(spark), sf)
+    if key in _CACHE:
+        return _CACHE[key]
+    from wtprof.plans.jobs import TrainConfig, predict_job, train_job
+    from wtprof.session import scratch_path
+    import uuid
+    base = scratch_path(spark, f"artifacts_{uuid.uuid4().hex[:10]}")
+    log = http_log(spark, sf)
+    cfg = TrainConfig(start="2024-01-01 00:00:00", end="2024-01-22 00:00:00", max_features=64, max_depth=6,
+                      spec_iter=20, pca_k=4)
+    tr = train_job(spark, log, cfg, base, "2024_01_21")
+    pr = predict_job(spark, log, base, "2024_01_31", "2024-01-22 00:00:00", "2024-01-31 00:00:00")
+    _CACHE[key] = (tr, pr)
+    return tr, pr
+
+
+@register("train_job")
+def q_train_job(spark, sf):
+    """§3.1/3.3 end to end: held-out per-class metrics + history row."""
+    return _jobs(spark, sf)[0]["history"]
+
+
+@register("predict_job")
+def q_predict_job(spark, sf):
+    """§3.2/3.3 end to end: result rows (25-column layout), NORMAL thinned."""
+    return _jobs(spark, sf)[1]["result"]
+
+
+@register("predict_job_explanations")
+def q_predict_job_explanations(spark, sf):
+    return _jobs(spark, sf)[1]["explanations"]
