@@ -40,9 +40,45 @@ def queries() -> dict[str, Builder]:
     return dict(_QUERIES)
 
 
+# Output types the SQL twins must carry to equal Spark's result schema
+# (DuckDB gives BIGINT for row_number/len, HUGEINT for integer sums).
+SQL_TYPES = {
+    "row_numbering": {"row_id": "INTEGER"},
+    "epoch_number": {"epochs": "INTEGER"},
+    "center_by_median": {"pos": "INTEGER"},
+    "l2_norm": {"pos": "INTEGER"},
+    "array_rescale": {"pos": "INTEGER"},
+    "version_of": {"weekday": "INTEGER", "hour": "INTEGER"},
+    "tokenize": {"n_tokens": "INTEGER"},
+    "remove_stop_words": {"n_kept": "INTEGER"},
+    "tfidf_fit": {"idx": "INTEGER"},
+    "tfidf_transform": {"idx": "INTEGER"},
+    "tfidf_fit_ngrams": {"idx": "INTEGER"},
+    "tfidf_transform_ngrams": {"idx": "INTEGER"},
+    "tfidf_sessions": {"idx": "INTEGER"},
+    "onehot_fit": {"idx": "INTEGER"},
+    "onehot_long": {"idx": "INTEGER", "value": "DOUBLE"},
+    "save_fit": {"idx": "INTEGER"},
+    "binary_metrics": {"pred_pos": "BIGINT", "actual_pos": "BIGINT"},
+    "binary_metrics_labels": {"pred_pos": "BIGINT", "actual_pos": "BIGINT"},
+    "run_history": {"epochs": "INTEGER", "pred_pos": "BIGINT", "actual_pos": "BIGINT"},
+    "explain_rows": {"rank": "INTEGER"},
+    "explain_confirmed": {"n_features": "INTEGER"},
+    "rank_features": {"feature": "INTEGER", "rank": "INTEGER"},
+    "rank_features_abs": {"feature": "INTEGER", "rank": "INTEGER"},
+    "top_k_features": {"feature": "INTEGER", "rank": "INTEGER"},
+    "load_model_config": {"model_id": "INTEGER", "now_delta_seconds": "BIGINT"},
+}
+
+
+def typed(sql: str, types: dict[str, str]) -> str:
+    casts = ", ".join(f'CAST("{c}" AS {t}) AS "{c}"' for c, t in types.items())
+    return f"SELECT * REPLACE ({casts}) FROM (\n{sql}\n) AS _typed"
+
+
 def oracle_sql() -> dict[str, str]:
     _load_all()
-    return dict(_SQL)
+    return {n: typed(q, SQL_TYPES[n]) if n in SQL_TYPES else q for n, q in _SQL.items()}
 
 
 # DuckDB twin of wtprof.sources.tables.http_log, used as a CTE.
