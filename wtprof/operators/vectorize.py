@@ -25,34 +25,18 @@ def terms(df: DataFrame, key: Sequence[str], text_cols: Sequence[str], n_grams=(
           stop_words: Sequence[str] | None = STOP_WORDS) -> DataFrame:
     """Explode documents into ``(key…, feature, term)`` rows, repeats kept.
 
-    Null text counts as an empty document (it still counts in ``n``).
+    All text columns come out of one pass over ``df`` (an array of
+    (feature, terms) structs exploded twice), so an expensive input such as
+    the session aggregate is computed once, not once per text column.
     """
-    parts = []
-    unigrams = tuple(n_grams) == (1, 1)
-    for c in text_cols:
-        toks = tokenize(F.col(c))
-        if stop_words and not unigrams:
-            toks = remove_stop_words(toks, stop_words)  # before n-grams
-        grams = ngrams(toks, *n_grams)
-        # explode_outer + null filter: a plain explode makes the optimizer add
-        # a size(...) > 0 filter that evaluates the tokenizer a second time.
-        t = (df.select(*key, F.lit(c).alias("feature"), F.explode_outer(grams).alias("term"))
-             .where(F.col("term").isNotNull()))
-        if stop_words and unigrams:
-            # on exploded rows: a codegen'd IN test instead of a per-token lambda
-            t = t.where(~F.col("term").isin(list(stop_words)))
-        parts.append(t)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return _terms_with_docs(df, key, text_cols, n_grams, stop_words, marker=False)
 
 
 DOC_MARKER = "__doc__"
 
 
 def _terms_with_docs(df: DataFrame, key: Sequence[str], text_cols: Sequence[str], n_grams=(1, 1),
-                     stop_words: Sequence[str] | None = STOP_WORDS) -> DataFrame:
+                     stop_words: Sequence[str] | None = STOP_WORDS, marker: bool = True) -> DataFrame:
     """One pass over the documents: every text column's terms plus one
     marker row per document (feature ``__doc__``, null term), so the
     document count needs no second scan of an expensive input."""
@@ -63,7 +47,9 @@ def _terms_with_docs(df: DataFrame, key: Sequence[str], text_cols: Sequence[str]
         if stop_words and not unigrams:
             toks = remove_stop_words(toks, stop_words)
         blocks.append(F.struct(F.lit(c).alias("feature"), ngrams(toks, *n_grams).alias("terms")))
-    blocks.append(F.struct(F.lit(DOC_MARKER).alias("feature"), F.array(F.lit(None).cast("string")).alias("terms")))
+    if marker:
+        blocks.append(F.struct(F.lit(DOC_MARKER).alias("feature"),
+                               F.array(F.lit(None).cast("string")).alias("terms")))
     # explode_outer: no inferred size filter that would re-run the tokenizer
     t = df.select(*key, F.explode_outer(F.array(*blocks)).alias("_b"))
     t = t.select(*key, F.col("_b.feature").alias("feature"), F.explode_outer("_b.terms").alias("term"))

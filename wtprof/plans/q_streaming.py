@@ -22,7 +22,7 @@ def _stream_log(spark, sf):
     ev = load_table(spark, sf, "events")
     ev.write.parquet(f"{run}/source")
     pages = load_table(spark, sf, "pages")
-    n_pages = pages.count()  # one number: scalar subqueries are not allowed in streams
+    n_pages = pages.count()  # a number: scalar subqueries are not allowed in streams
     stream = N.events_stream(spark, f"{run}/source", ev.schema)
     return run, http_log_from(stream, pages, n_pages)
 

@@ -72,15 +72,22 @@ def http_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     ev = load_table(spark, sf_dir, "events", balance=True)
     pages = load_table(spark, sf_dir, "pages").select("page_id", "url")
-    return http_log_from(ev, pages, pages.select(F.count(F.lit(1))).scalar())
+    return http_log_from(ev, pages, pages.count())
 
 
-def http_log_from(ev: DataFrame, pages: DataFrame, n_pages) -> DataFrame:
+# Broadcast the page side only up to this many rows (URL strings: a few
+# hundred MB at most); beyond it the join is left to a shuffled plan.
+BROADCAST_MAX_ROWS = 2_000_000
+
+
+def http_log_from(ev: DataFrame, pages: DataFrame, n_pages: int) -> DataFrame:
     """The fixture mapping over any ``events``-shaped frame (batch or
-    stream); ``n_pages`` is a Column or a number."""
+    stream). ``n_pages`` is the page count (a parquet count reads footers
+    only); it is both the join key's modulus and the broadcast size check."""
     pages = pages.select("page_id", "url")
-    e = ev.withColumn("_page", F.col("event_id") % n_pages)
-    j = e.join(pages, e["_page"] == pages["page_id"])
+    e = ev.withColumn("_page", F.col("event_id") % F.lit(n_pages))
+    side = F.broadcast(pages) if n_pages <= BROADCAST_MAX_ROWS else pages
+    j = e.join(side, e["_page"] == side["page_id"])
     uid = F.col("user_id")
     agent = (F.when(uid % 3 == 0, F.lit(AGENTS[0]))
              .when(uid % 3 == 1, F.lit(AGENTS[1]))
