@@ -181,11 +181,9 @@ def q_latest_version_per_row(spark, sf):
 SELECT hash, count(*) AS n FROM http_log WHERE logtime >= TIMESTAMP '{S0}' AND logtime < TIMESTAMP '{E0}'
 GROUP BY hash"""))
 def q_run_sql(spark, sf):
-    import datetime as dt
-    text = "SELECT hash, count(*) AS n FROM wtprof_http_log WHERE logtime >= :s AND logtime < :e GROUP BY hash"
-    return A.run_sql(spark, text, {"s": dt.datetime(2024, 1, 5), "e": dt.datetime(2024, 1, 25)},
-                     views={"wtprof_http_log": http_log(spark, sf).withColumn(
-                         "logtime", F.col("logtime").cast("timestamp"))})
+    text = ("SELECT hash, count(*) AS n FROM wtprof_http_log "
+            "WHERE logtime >= to_timestamp_ntz(:s) AND logtime < to_timestamp_ntz(:e) GROUP BY hash")
+    return A.run_sql(spark, text, {"s": S0, "e": E0}, views={"wtprof_http_log": http_log(spark, sf)})
 
 
 @register("create_table", with_log("""

@@ -33,10 +33,12 @@ def balanced(scan: DataFrame) -> DataFrame:
     repartition is skew-free; with many splits (big inputs) this is a no-op,
     so large jobs keep their scan-side partitioning and pay no shuffle.
     The split count of a bare scan comes from file listing only (no job)."""
-    target = scan.sparkSession.sparkContext.defaultParallelism
-    if scan.rdd.getNumPartitions() < target:
-        return scan.repartition(target)
-    return scan
+    try:
+        target = scan.sparkSession.sparkContext.defaultParallelism
+        splits = scan.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. Spark Connect): keep the scan as is
+        return scan
+    return scan.repartition(target) if splits < target else scan
 
 
 # Fixed values of the fixture view (FIXTURES.md §3): agent strings by
