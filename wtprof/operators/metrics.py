@@ -6,7 +6,6 @@ per-class figures explode the class list over that small table only.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F

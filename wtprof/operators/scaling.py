@@ -121,25 +121,6 @@ def scale_transform(df: DataFrame, fitted: DataFrame, cols: Sequence[str], metho
     return out.drop(*tmp) if tmp else out
 
 
-def _search(q: Column, x: Column, strict: bool) -> Column:
-    """Number of quantiles ≤ x (or < x when strict) by binary search over
-    the sorted array: O(log n) steps in an ``aggregate`` fold."""
-    n = F.size(q)
-    steps = F.sequence(F.lit(1), F.lit(12))  # 2^12 > N_QUANTILES
-
-    def step(acc, _):
-        lo, hi = acc["lo"], acc["hi"]
-        mid = F.floor((lo + hi) / 2).cast("int")
-        v = F.get(q, mid)
-        go_right = (v < x) if strict else (v <= x)
-        open_ = lo < hi
-        return F.struct(F.when(open_ & go_right, mid + 1).otherwise(lo).alias("lo"),
-                        F.when(open_ & ~go_right, mid).otherwise(hi).alias("hi"))
-
-    init = F.struct(F.lit(0).alias("lo"), n.alias("hi"))
-    return F.aggregate(steps, init, step, lambda acc: acc["lo"])
-
-
 def quantile_map_bucket(x: Column, k: Column, q: Column, refs: Column, first: Column, last: Column,
                         knots: Column) -> Column:
     """Uniform quantile transform from the knot index ``k`` (no lambdas):
@@ -163,27 +144,6 @@ def quantile_map_bucket(x: Column, k: Column, q: Column, refs: Column, first: Co
     return F.when(x.isNull(), F.lit(None)).otherwise(F.least(F.greatest(res, F.lit(0.0)), F.lit(1.0)))
 
 
-def quantile_map(x: Column, q: Column, refs: Column) -> Column:
-    """Uniform quantile transform: mean of the forward and backward linear
-    interpolation (ties get their mid rank), clipped to [0, 1]."""
-    n = F.size(q)
-    le = _search(q, x, strict=False)  # count q <= x
-    lt = _search(q, x, strict=True)   # count q <  x
-
-    def interp(j):  # between q[j] and q[j+1]
-        q0, q1, r0, r1 = F.get(q, j), F.get(q, j + 1), F.get(refs, j), F.get(refs, j + 1)
-        return F.when(q1 == q0, r0).otherwise(r0 + (x - q0) / (q1 - q0) * (r1 - r0))
-
-    fwd = F.when(le == 0, F.get(refs, 0)).when(le >= n, F.get(refs, n - 1)).otherwise(interp(le - 1))
-    k = lt
-    bq0, bq1 = F.get(q, k - 1), F.get(q, k)
-    br0, br1 = F.get(refs, k - 1), F.get(refs, k)
-    back_mid = F.when(bq1 == bq0, br1).otherwise(br1 - (bq1 - x) / (bq1 - bq0) * (br1 - br0))
-    bwd = F.when(k == 0, F.get(refs, 0)).when(k >= n, F.get(refs, n - 1)).otherwise(back_mid)
-    res = (fwd + bwd) / 2
-    return F.when(x.isNull(), F.lit(None)).otherwise(F.least(F.greatest(res, F.lit(0.0)), F.lit(1.0)))
-
-
 def yeo_johnson(x: Column, lam) -> Column:
     lam = lam if isinstance(lam, Column) else F.lit(lam)
     pos = F.when(F.abs(lam) < 1e-12, F.log1p(x)).otherwise((F.pow(x + 1, lam) - 1) / lam)
