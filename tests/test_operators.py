@@ -172,3 +172,18 @@ def test_boxplot_threshold(spark):
     df = spark.createDataFrame([(float(v),) for v in range(1, 9)], "score double")
     thr = AG.boxplot_threshold(df, "score").first()["threshold"]
     assert thr == pytest.approx(6.25 + 1.5 * (6.25 - 2.75))
+
+
+def test_heavy_copies_are_chunked(spark):
+    df = spark.createDataFrame([(1, 250_001), (2, 3)], "k int, _copies int")
+    out = K._explode_copies(df, chunk=100_000)
+    got = {r["k"]: (r["n"], r["lo"], r["hi"], r["d"]) for r in out.groupBy("k").agg(
+        F.count(F.lit(1)).alias("n"), F.min("copy").alias("lo"), F.max("copy").alias("hi"),
+        F.count_distinct("copy").alias("d")).collect()}
+    assert got == {1: (250_001, 1, 250_001, 250_001), 2: (3, 1, 3, 3)}
+
+
+def test_unbounded_vocabulary_index(spark):
+    docs = spark.createDataFrame([(1, "bb aa cc", "zz"), (2, "aa dd", "yy zz")], "id int, t string, u string")
+    v = {(r["feature"], r["term"]): r["idx"] for r in V.tfidf_fit(docs, ["id"], ["t", "u"], None).collect()}
+    assert v == {("t", "aa"): 0, ("t", "bb"): 1, ("t", "cc"): 2, ("t", "dd"): 3, ("u", "yy"): 0, ("u", "zz"): 1}

@@ -32,13 +32,20 @@ def onehot_names(categories: list[tuple[str, str]], n_cols: int) -> list[str]:
     return [f"{c}_{v}" if n_cols > 1 else v for c, v in categories]
 
 
+MAX_WIDE_CATEGORIES = 1000
+
+
 def onehot_transform(df: DataFrame, fitted: DataFrame, cols: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     """J10 transform, wide: one 0/1 double column per fitted category.
 
-    The category list is needed at plan time to name columns; it is
-    collected from ``fitted``, whose size is bounded by the category rule
-    (≤ threshold values per column, J12).
+    The category list is needed at plan time to name columns, so it is
+    collected from ``fitted`` — only after checking its size (categories
+    are ≤ threshold per column by the role rule, J12); wider encodings must
+    use :func:`onehot_long`.
     """
+    n = fitted.count()
+    if n > MAX_WIDE_CATEGORIES:
+        raise ValueError(f"{n} categories: too wide for columns, use onehot_long")
     cats = [(r["column"], r["category"]) for r in fitted.orderBy("column", "idx").collect()]
     names = onehot_names(cats, len(cols))
     exprs = [F.when(F.col(c).cast("string") == F.lit(v), F.lit(1.0)).otherwise(F.lit(0.0)).alias(n)

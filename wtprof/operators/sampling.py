@@ -48,8 +48,30 @@ def replicate_to(df: DataFrame, class_col: str, key: Sequence[str], targets: Dat
     copies = (F.floor(F.col("target") / F.col("_nc")) +
               F.when(F.col("_rank") <= F.pmod(F.col("target"), F.col("_nc")), 1).otherwise(0)).cast("int")
     d = d.withColumn("_copies", copies).where(F.col("_copies") >= 1)  # sequence(1, 0) would be [1, 0]
-    d = d.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-    return d.drop("_nc", "target", "_rank", "_copies")
+    return _explode_copies(d).drop("_nc", "target", "_rank", "_copies")
+
+
+COPY_CHUNK = 100_000
+
+
+def _explode_copies(d: DataFrame, chunk: int = COPY_CHUNK) -> DataFrame:
+    """Emit ``_copies`` copies of each row (column ``copy`` = 1..n).
+
+    Rows needing more than ``chunk`` copies (a tiny class lifted to a huge
+    one) would otherwise produce all copies in one task: they are first cut
+    into chunk rows, spread round-robin, then each chunk explodes in its own
+    task. Ordinary rows explode in place, without a shuffle.
+    """
+    light = d.where(F.col("_copies") <= chunk).withColumn(
+        "copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+    heavy = d.where(F.col("_copies") > chunk)
+    n_chunks = F.ceil(F.col("_copies") / chunk).cast("int")
+    heavy = (heavy.withColumn("_c", F.explode(F.sequence(F.lit(0), n_chunks - 1)))
+             .repartition(heavy.sparkSession.sparkContext.defaultParallelism))
+    first = F.col("_c") * chunk + 1
+    last = F.least(F.col("_copies"), (F.col("_c") + 1) * chunk)
+    heavy = heavy.withColumn("copy", F.explode(F.sequence(first.cast("int"), last.cast("int")))).drop("_c")
+    return light.unionByName(heavy)
 
 
 def oversample_to_max(df: DataFrame, class_col: str, key: Sequence[str], buckets: int = SALT_BUCKETS,

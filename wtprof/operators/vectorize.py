@@ -103,8 +103,16 @@ def _vocab_from_counts(tc: DataFrame, n_docs, max_features: int | None) -> DataF
     if max_features:
         per_term = top_terms(per_term, max_features, group=["feature"], count_col="tf")
     idf = F.log((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)
-    w = Window.partitionBy("feature").orderBy("term")
-    return per_term.select("feature", "term", (F.row_number().over(w) - 1).alias("idx"), "df", idf.alias("idf"))
+    if max_features:
+        # ≤ max_features rows per feature: a per-feature window is bounded
+        w = Window.partitionBy("feature").orderBy("term")
+        idx = per_term.withColumn("idx", F.row_number().over(w) - 1)
+    else:
+        # unbounded vocabulary: distributed numbering, then per-feature offsets
+        g = global_index(per_term.withColumn("_o", F.concat_ws("\u0000", "feature", "term")), "_o", "_g")
+        off = g.groupBy("feature").agg(F.min("_g").alias("_off"))  # one row per text column
+        idx = g.join(F.broadcast(off), "feature").withColumn("idx", F.col("_g") - F.col("_off"))
+    return idx.select("feature", "term", F.col("idx").cast("int").alias("idx"), "df", idf.alias("idf"))
 
 
 def _l2(raw: DataFrame, key: Sequence[str]) -> DataFrame:
