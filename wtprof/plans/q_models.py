@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from wtprof.operators import explain as M
@@ -321,7 +322,9 @@ def explain_inputs(spark, sf, max_features=MAXF_EXPLAIN):
     n_agent = vocab.where(F.col("feature") == "agent").select(F.count(F.lit(1))).scalar()
     off = F.when(F.col("feature") == "query", n_agent).otherwise(F.lit(0))
     long = long.withColumn("value", F.round("value", 6))
-    long = long.withColumn("fidx", (F.col("idx") + off).cast("int"))
+    # read three times downstream (class sums, feature grid, contributions):
+    # keep it (memory and disk; recomputed from lineage if an executor is lost)
+    long = long.withColumn("fidx", (F.col("idx") + off).cast("int")).persist(StorageLevel.MEMORY_AND_DISK)
     names = vocab.select((F.col("idx") + off).cast("int").alias("fidx"),
                          F.concat_ws("_", "feature", "term").alias("feature_term"))
     return s, vocab, long, names
