@@ -29,7 +29,7 @@ def test_closed_windows_only_and_in_time_rows_kept(spark):
     out = spark.read.parquet(f"{run}/sink").collect()
     # only the 10:00 window is closed (watermark 11:30); 11:00 and 12:00 stay open
     assert [r["lgtime"] for r in out] == [dt.datetime(2024, 1, 1, 10)]
-    assert {" a", " b"} <= {" " + t for t in out[0]["query"].split("  ")} or out[0]["query"].startswith(" a  b")
+    assert out[0]["query"].startswith(" a  b")  # in-time texts present (sorted set)
 
 
 def test_dedupe_within_watermark(spark):
