@@ -187,3 +187,22 @@ def test_unbounded_vocabulary_index(spark):
     docs = spark.createDataFrame([(1, "bb aa cc", "zz"), (2, "aa dd", "yy zz")], "id int, t string, u string")
     v = {(r["feature"], r["term"]): r["idx"] for r in V.tfidf_fit(docs, ["id"], ["t", "u"], None).collect()}
     assert v == {("t", "aa"): 0, ("t", "bb"): 1, ("t", "cc"): 2, ("t", "dd"): 3, ("u", "yy"): 0, ("u", "zz"): 1}
+
+
+def test_fusion_anomaly_wins_option(spark):
+    from wtprof.operators import fusion as L
+    labels = ["beaconing", "normal", "xss"]
+    # raw normal 0.9 above threshold 0.6: the flag is raised, normal also > 0.5
+    df = spark.createDataFrame([(1, 0.0, 0.9, 0.0), (2, 0.7, 0.0, 0.0), (3, 0.0, 0.1, 0.2)],
+                               "k int, beaconing double, normal double, xss double")
+    win = {r["k"]: r["att_name"] for r in L.fuse_scores(df, labels, 0.6, train=True).collect()}
+    keep = {r["k"]: r["att_name"] for r in L.fuse_scores(df, labels, 0.6, train=True, anomaly_wins=False).collect()}
+    assert win == {1: "ANOMALY", 2: "BEACONING", 3: "NORMAL"}
+    assert keep == {1: "NORMAL", 2: "BEACONING", 3: "NORMAL"}
+
+
+def test_apply_anomaly_recomputes_code(spark):
+    from wtprof.operators import fusion as L
+    df = spark.createDataFrame([(1, 0.0, 0.9, 0.0)], "k int, beaconing double, normal double, xss double")
+    out = L.apply_anomaly(L.fuse_scores(df, ["beaconing", "normal", "xss"]), 0.6).first()
+    assert out["att_name"] == "ANOMALY" and out["result"] == 250009

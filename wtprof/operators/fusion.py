@@ -32,14 +32,17 @@ def confirm_attack(df: DataFrame, pred_col: str, score_col: str, out: str = "ai_
                          .when(F.col(score_col) > CUT, p).otherwise(F.lit("NORMAL")))
 
 
-def fuse_scores(df: DataFrame, labels: Sequence[str], threshold=None, train: bool = False) -> DataFrame:
+def fuse_scores(df: DataFrame, labels: Sequence[str], threshold=None, train: bool = False,
+                anomaly_wins: bool = True) -> DataFrame:
     """Fused decision.
 
     ``anomaly`` flag: in training, normal score > threshold; at predict
     time 0. Rows with no attack (or anomaly) score above 0.5 get normal = 1.
     The label is the first score above 0.5 in ``labels + [anomaly]`` order
     (index 0 when none), ``probs`` whether any is above 0.5; then display
-    name and numeric code.
+    name and numeric code. With ``anomaly_wins`` (default) a raised anomaly
+    flag turns a NORMAL decision into ANOMALY; ``False`` keeps the
+    first-in-order rule, where normal (sorted before anomaly) wins.
     """
     thr = threshold if isinstance(threshold, Column) else F.lit(threshold)
     anomaly = (F.when(F.col(NORMAL) > thr, F.lit(1.0)).otherwise(F.lit(0.0)) if train else F.lit(0.0))
@@ -56,6 +59,9 @@ def fuse_scores(df: DataFrame, labels: Sequence[str], threshold=None, train: boo
     names = F.array(*[F.lit(c) for c in order])
     d = d.withColumn("probs", F.exists(hits, lambda h: h).cast("double"))
     d = d.withColumn("att_key", F.get(names, idx.cast("int")))
+    if anomaly_wins:
+        d = d.withColumn("att_key", F.when((F.col("att_key") == NORMAL) & (F.col(ANOMALY) > CUT), F.lit(ANOMALY))
+                         .otherwise(F.col("att_key")))
     d = d.withColumn("att_name", display_name(F.col("att_key"))).withColumn("result", class_code(F.col("att_name")))
     return d.drop(*order)
 

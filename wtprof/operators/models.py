@@ -37,12 +37,20 @@ def fit_tree(train: DataFrame, max_depth: int = 10, features_col: str = "feature
     return dt.fit(d), labels
 
 
-def predict_tree(model, labels: Sequence[str], df: DataFrame, out: str = "pred") -> DataFrame:
-    """L1 predict: class name of the tree's prediction."""
+def predict_tree(model, labels: Sequence[str], df: DataFrame, out: str = "pred",
+                 multioutput_fallback: bool = False) -> DataFrame:
+    """L1 predict: class name of the tree's prediction (majority class).
+
+    ``multioutput_fallback`` emulates a tree fitted on one-hot labels: when
+    no class has probability above 0.5 the decision falls back to the first
+    class."""
     arr = F.array(*[F.lit(x) for x in labels])
     p = model.transform(df)
-    return p.withColumn(out, F.get(arr, F.col("prediction").cast("int"))).drop(
-        "rawPrediction", "probability", "prediction")
+    idx = F.col("prediction").cast("int")
+    if multioutput_fallback:
+        prob = vector_to_array(F.col("probability"))
+        idx = F.when(F.array_max(prob) > 0.5, idx).otherwise(F.lit(0))
+    return p.withColumn(out, F.get(arr, idx)).drop("rawPrediction", "probability", "prediction")
 
 
 def tree_nodes(model, labels: Sequence[str], names: DataFrame, path: str, model_id: int, version: str,

@@ -51,6 +51,7 @@ class TrainConfig:
     spec_iter: int = 50
     pca_k: int = 8
     model_id: int = 335
+    fit_on: str = "train"  # "balanced": fit TF-IDF after oversampling, as the reference did
 
 
 def _vectors(long: DataFrame, vocab: DataFrame, sessions: DataFrame) -> tuple[DataFrame, DataFrame, int]:
@@ -73,7 +74,10 @@ def train_job(spark: SparkSession, log: DataFrame, cfg: TrainConfig, base: str,
     s = limit_per_class(s, cfg.limit, "label", ["lgtime", "src_ip", "dst_ip"])
     s = materialize(K.split_fraction(s, KEY, 0.7))
     train, test = s.where(F.col("split") == "train"), s.where(F.col("split") == "test")
-    vocab = materialize(V.tfidf_fit(train, KEY, TEXT, cfg.max_features))
+    bal_sessions = K.oversample_to_max(train, "label", ["lgtime", "src_ip", "dst_ip"])
+    fit_rows = bal_sessions if cfg.fit_on == "balanced" else train
+    vocab = materialize(V.tfidf_fit(fit_rows, [*KEY, "copy"] if cfg.fit_on == "balanced" else KEY, TEXT,
+                                    cfg.max_features))
     A.save_fit(vocab, base, "tfidf", version)
     long_tr = V.tfidf_transform(train, vocab, KEY, TEXT)
     rows_tr, names, n = _vectors(long_tr, vocab, train)

@@ -233,10 +233,12 @@ def _fuse_sql(train_thr: str | None) -> str:
     return f"""
 , f1 AS (SELECT *, normal AS anomaly_score, {anomaly} AS anomaly FROM routed),
 f2 AS (SELECT * REPLACE (CASE WHEN {low} THEN 1.0 ELSE normal END AS normal) FROM f1),
-f3 AS (SELECT event_id, logtime, src_ip, dst_ip, anomaly_score, {hits} AS h FROM f2),
-f4 AS (SELECT event_id, logtime, src_ip, dst_ip, anomaly_score,
+f3 AS (SELECT event_id, logtime, src_ip, dst_ip, anomaly_score, anomaly, {hits} AS h FROM f2),
+f4a AS (SELECT event_id, logtime, src_ip, dst_ip, anomaly_score, anomaly,
   CAST(list_bool_or(h) AS DOUBLE) AS probs,
   {names}[coalesce(list_position(h, true), 1)] AS att_key FROM f3),
+f4 AS (SELECT * EXCLUDE (anomaly) REPLACE (
+  CASE WHEN att_key = 'normal' AND anomaly > 0.5 THEN 'anomaly' ELSE att_key END AS att_key) FROM f4a),
 f5 AS (SELECT *, CASE att_key WHEN 'scanning' THEN 'HTTP_SCANNING' WHEN 'injection' THEN 'SQL_INJECTION'
   WHEN 'xss' THEN 'XSS' WHEN 'beaconing' THEN 'BEACONING' WHEN 'credential' THEN 'CREDENTIAL'
   WHEN 'normal' THEN 'NORMAL' WHEN 'anomaly' THEN 'ANOMALY' END AS att_name FROM f4),
