@@ -23,19 +23,32 @@ from wtprof.sessions_common import DEFAULT_TEXT  # noqa: E402
 def session_text(log: DataFrame, interval: str = "1 minute", label_value: str | None = None,
                  text_cols: Sequence[tuple[str, str]] = DEFAULT_TEXT,
                  keys: Sequence[str] = ("src_ip", "dst_ip"), time_col: str = "logtime",
-                 label_col: str | None = None) -> DataFrame:
+                 label_col: str | None = None, pre_distinct: bool = False) -> DataFrame:
     """Group by (bucket, keys), distinct cleaned texts sorted and joined by ' '.
 
     With ``label_col`` the label is a fourth grouping key (D2); otherwise the
     constant ``label_value`` is attached as ``label``.
+
+    ``pre_distinct`` is for skewed sessions: (session, column, text) rows are
+    de-duplicated first, in a shuffle spread by the text, so the final task
+    of a hot session receives each distinct text once instead of one partial
+    set per map partition.
     """
     grp = [time_bucket(time_col, interval).alias("lgtime")] + [F.col(k) for k in keys]
     if label_col:
         grp.append(F.col(label_col).alias("label"))
     cleaned = log.select(*grp, *[clean_text(src).alias(out) for out, src in text_cols])
     gkeys = ["lgtime", *keys] + (["label"] if label_col else [])
-    aggs = [F.array_join(F.sort_array(F.collect_set(out)), " ").alias(out) for out, _ in text_cols]
-    out = cleaned.groupBy(*gkeys).agg(*aggs)
+    if pre_distinct:
+        cells = F.array(*[F.struct(F.lit(o).alias("c"), F.col(o).alias("t")) for o, _ in text_cols])
+        long = (cleaned.select(*gkeys, F.explode(cells).alias("_e"))
+                .select(*gkeys, F.col("_e.c").alias("_c"), F.col("_e.t").alias("_t")).distinct())
+        aggs = [F.array_join(F.sort_array(F.collect_list(F.when(F.col("_c") == o, F.col("_t")))), " ").alias(o)
+                for o, _ in text_cols]
+        out = long.groupBy(*gkeys).agg(*aggs)
+    else:
+        aggs = [F.array_join(F.sort_array(F.collect_set(out)), " ").alias(out) for out, _ in text_cols]
+        out = cleaned.groupBy(*gkeys).agg(*aggs)
     if not label_col:
         out = out.withColumn("label", F.lit(label_value))
     return out

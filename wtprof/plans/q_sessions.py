@@ -38,6 +38,12 @@ def q_session_text(spark, sf):
     return session_text(C.by_label(http_log(spark, sf), "normal"), "1 minute", label_value="normal")
 
 
+@register("session_text_pre_distinct", _session_sql("date_trunc('day', logtime)", "true", "", True))
+def q_session_text_pre_distinct(spark, sf):
+    """D2 by day with the skew option: texts de-duplicated per session first."""
+    return session_text_labeled(http_log(spark, sf), "1 day", pre_distinct=True)
+
+
 @register("session_text_hour", _session_sql("date_trunc('hour', logtime)", "hash = 'XSS'", "XSS", False))
 def q_session_text_hour(spark, sf):
     return session_text(C.by_label(http_log(spark, sf), "XSS"), "1 hour", label_value="XSS")
