@@ -50,3 +50,22 @@ def test_python_hook_batches(spark, trained):
     from wtprof.operators.models import score_with_python
     out = score_with_python(trained["data"], lambda x: x.sum(axis=1), keep=["label"])
     assert out.count() == trained["data"].count()
+
+
+def test_jobs_with_numeric_features(spark):
+    """Train + predict with status counts appended to the text vector."""
+    import uuid
+
+    from wtprof.plans.jobs import TrainConfig, predict_job, train_job
+    from wtprof.session import scratch_path
+    from wtprof.sources.tables import http_log
+    log = http_log(spark, SF_SMALL)
+    base = scratch_path(spark, f"jobs_num_{uuid.uuid4().hex[:6]}")
+    cfg = TrainConfig(start="2024-01-01 00:00:00", end="2024-01-22 00:00:00", max_features=32, max_depth=4,
+                      spec_iter=5, pca_k=2, numeric=True)
+    tr = train_job(spark, log, cfg, base, "2024_01_21")
+    assert tr["weighted"].first()["accuracy"] >= 0.9
+    pr = predict_job(spark, log, base, "2024_01_31", "2024-01-22 00:00:00", "2024-01-31 00:00:00")
+    res = pr["result"]
+    assert res.count() > 0 and len(res.columns) == 25
+    assert res.where("att_name IS NULL").count() == 0

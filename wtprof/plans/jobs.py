@@ -31,7 +31,8 @@ from wtprof.operators import sampling as K
 from wtprof.operators import vectorize as V
 from wtprof.operators.aggregates import boxplot_threshold
 from wtprof.operators.filters import predict_filter, time_range
-from wtprof.operators.sessions import session_text_labeled
+from wtprof.operators.scaling import scale_fit, scale_transform
+from wtprof.operators.sessions import session_text_labeled, status_class_counts
 from wtprof.operators.topk import limit_per_class
 from wtprof.session import materialize
 from wtprof.sources import io as A
@@ -52,6 +53,25 @@ class TrainConfig:
     pca_k: int = 8
     model_id: int = 335
     fit_on: str = "train"  # "balanced": fit TF-IDF after oversampling, as the reference did
+    numeric: bool = False  # append min-max scaled status counts (D9 ⋈ sessions) to the vector
+
+
+NUMERIC = ["dst_port_cnt", "info_st", "succ_st", "redir_st", "cler_st", "serer_st", "oth_st"]
+
+
+def _with_numeric(s: DataFrame, log: DataFrame, interval: str) -> DataFrame:
+    """G1: sessions ⋈ per-session status counts (D9) on (bucket, src, dst)."""
+    st = status_class_counts(log, interval)
+    return s.join(st, ["lgtime", "src_ip", "dst_ip"], "left").fillna(0, subset=NUMERIC)
+
+
+def _append_numeric(rows: DataFrame, sessions: DataFrame, scaler: DataFrame) -> DataFrame:
+    """Scaled numeric columns appended after the text features."""
+    from pyspark.ml.functions import vector_to_array
+    num = scale_transform(sessions.select(*KEY, *NUMERIC), scaler, NUMERIC, "minmax")
+    j = rows.join(num, KEY, "left").fillna(0.0, subset=NUMERIC)
+    arr = F.concat(vector_to_array(F.col("features")), F.array(*[F.col(c).cast("double") for c in NUMERIC]))
+    return j.withColumn("features", array_to_vector(arr)).drop(*NUMERIC)
 
 
 def _vectors(long: DataFrame, vocab: DataFrame, sessions: DataFrame) -> tuple[DataFrame, DataFrame, int]:
@@ -70,7 +90,10 @@ def _vectors(long: DataFrame, vocab: DataFrame, sessions: DataFrame) -> tuple[Da
 
 
 def train_job(spark: SparkSession, log: DataFrame, cfg: TrainConfig, base: str, version: str) -> dict:
-    s = session_text_labeled(predict_filter(time_range(log, cfg.start, cfg.end)), cfg.interval)
+    part = predict_filter(time_range(log, cfg.start, cfg.end))
+    s = session_text_labeled(part, cfg.interval)
+    if cfg.numeric:
+        s = _with_numeric(s, part, cfg.interval)
     s = limit_per_class(s, cfg.limit, "label", ["lgtime", "src_ip", "dst_ip"])
     s = materialize(K.split_fraction(s, KEY, 0.7))
     train, test = s.where(F.col("split") == "train"), s.where(F.col("split") == "test")
@@ -81,6 +104,14 @@ def train_job(spark: SparkSession, log: DataFrame, cfg: TrainConfig, base: str,
     A.save_fit(vocab, base, "tfidf", version)
     long_tr = V.tfidf_transform(train, vocab, KEY, TEXT)
     rows_tr, names, n = _vectors(long_tr, vocab, train)
+    scaler = None
+    if cfg.numeric:
+        scaler = scale_fit(train, NUMERIC, "minmax")
+        A.save_fit(scaler, base, "scaler", version)
+        rows_tr = _append_numeric(rows_tr, train, scaler)
+        names = names.unionByName(spark.createDataFrame([(n + i, c) for i, c in enumerate(NUMERIC)],
+                                                        "fidx int, feature_term string"))
+        n += len(NUMERIC)
     balanced = materialize(K.oversample_to_max(rows_tr, "label", KEY).drop("copy"))
     tree, labels = ML.fit_tree(balanced, max_depth=cfg.max_depth)
     mdir = os.path.join(base, "models", version)
@@ -97,6 +128,8 @@ def train_job(spark: SparkSession, log: DataFrame, cfg: TrainConfig, base: str,
     A.save_fit(thr, base, "threshold", version)
     # held-out evaluation
     rows_te, _, _ = _vectors(V.tfidf_transform(test, vocab, KEY, TEXT), vocab, test)
+    if scaler is not None:
+        rows_te = _append_numeric(rows_te, test, scaler)
     pred = ML.predict_tree(tree, labels, rows_te)
     metrics = D.binary_metrics(pred, "label", "pred")
     epochs = ML.epoch_metrics(spec, cfg.model_id, F.current_timestamp())
@@ -122,9 +155,13 @@ def predict_job(spark: SparkSession, log: DataFrame, base: str, as_of: str, star
     spec = {a: LogisticRegressionModel.load(os.path.join(mdir, f"spec_{a}")) for a in labels if a != "normal"
             and os.path.exists(os.path.join(mdir, f"spec_{a}"))}
     pca = PCAModel.load(os.path.join(mdir, "pca"))
-    s = session_text_labeled(predict_filter(time_range(log, start, end)), interval)
+    part = predict_filter(time_range(log, start, end))
+    s = session_text_labeled(part, interval)
     long = V.tfidf_transform(s, vocab, KEY, TEXT)
     rows, names, n = _vectors(long, vocab, s)
+    if os.path.exists(os.path.join(base, "scaler")):  # model trained with numeric features
+        scaler = A.load_fit(spark, base, "scaler", version)
+        rows = _append_numeric(rows, _with_numeric(s, part, interval), scaler)
     scored = ML.outlier_score(pca, ML.predict_specialists(spec, ML.predict_tree(tree, labels, rows)))
     for a in labels:
         if a not in scored.columns:
