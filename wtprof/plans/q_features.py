@@ -232,14 +232,6 @@ def q_onehot_inverse(spark, sf):
     return EN.onehot_inverse(wide, fitted, "o_orderstatus", ["F", "O"]).select("o_orderkey", "category")
 
 
-@register("assemble", None)
-def q_assemble(spark, sf):
-    """Session TF-IDF → one dense vector per session (rows-only)."""
-    s, vocab, long = session_features(spark, sf, 64)
-    off = F.when(F.col("feature") == "agent", F.lit(0)).otherwise(F.lit(64))
-    return V.assemble(long.withColumn("gidx", F.col("idx") + off), _SESS_KEY, 128, index_col="gidx")
-
-
 _SCALE_COLS = ["l_extendedprice", "l_quantity"]
 
 

@@ -368,6 +368,18 @@ def _explain(spark, sf, top_k):
     return M.explain_rows(contrib, names, _KEY, n, top_k=top_k), names
 
 
+@register("assemble", _EXPLAIN_SQL + """
+SELECT lgtime, src_ip, dst_ip, label, fidx AS pos, value FROM lf WHERE value <> 0""")
+def q_assemble(spark, sf):
+    """One dense vector per session; its non-zero entries, exploded
+    with their position, equal the TF-IDF rows at the global feature index."""
+    from pyspark.ml.functions import vector_to_array
+    s, vocab, long, names = explain_inputs(spark, sf)
+    vec = V.assemble(long, _KEY, names.count(), index_col="fidx")
+    e = vec.select(*_KEY, F.posexplode_outer(vector_to_array("features")).alias("pos", "value"))
+    return e.where(F.col("value") != 0)
+
+
 @register("feature_contribution", _EXPLAIN_SQL + """
 SELECT lgtime, src_ip, dst_ip, label, prediction, fidx, round(contribution, 6) AS contribution FROM contrib""")
 def q_feature_contribution(spark, sf):

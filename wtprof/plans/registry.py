@@ -63,6 +63,7 @@ SQL_TYPES = {
     "binary_metrics_labels": {"pred_pos": "BIGINT", "actual_pos": "BIGINT"},
     "run_history": {"epochs": "INTEGER", "pred_pos": "BIGINT", "actual_pos": "BIGINT"},
     "explain_rows": {"rank": "INTEGER"},
+    "assemble": {"pos": "INTEGER"},
     "explain_confirmed": {"n_features": "INTEGER"},
     "rank_features": {"feature": "INTEGER", "rank": "INTEGER"},
     "rank_features_abs": {"feature": "INTEGER", "rank": "INTEGER"},
