@@ -206,3 +206,26 @@ def test_apply_anomaly_recomputes_code(spark):
     df = spark.createDataFrame([(1, 0.0, 0.9, 0.0)], "k int, beaconing double, normal double, xss double")
     out = L.apply_anomaly(L.fuse_scores(df, ["beaconing", "normal", "xss"]), 0.6).first()
     assert out["att_name"] == "ANOMALY" and out["result"] == 250009
+
+
+def test_map_to_class_handles_quotes(spark):
+    df = spark.createDataFrame([("O'Brien scan",), ("plain",)], "attack_name string")
+    m = spark.createDataFrame([("O'Brien scan", "scanning")], "attack_name string, mapping string")
+    out = C.map_to_class(df, m, "attack_name", map_key="attack_name").collect()
+    assert [(r["attack_name"], r["mapped_class"]) for r in out] == [("O'Brien scan", "scanning")]
+
+
+def test_distinct_counts_approx_close(spark):
+    df = spark.range(0, 20000).select((F.col("id") % 1000).alias("a"))
+    exact = AG.distinct_counts(df, ["a"]).first()["nunique"]
+    approx = AG.distinct_counts(df, ["a"], approx=True, rsd=0.02).first()["nunique"]
+    assert exact == 1000 and abs(approx - 1000) <= 60
+
+
+def test_column_roles_record(spark):
+    from wtprof.operators.roles import ColumnRoles, infer_roles
+    df = spark.createDataFrame([(i, f"s{i}", i % 3, "x", f"c{i % 2}") for i in range(20)],
+                               "id int, txt string, cat int, label string, c2 string")
+    r = ColumnRoles.from_frame(infer_roles(df, index_cols=["id"], label_col="label"))
+    assert r.index == ["id"] and r.label == ["label"]
+    assert sorted(r.category) == ["c2", "cat"] and r.string == ["txt"] and r.number == []
