@@ -55,13 +55,14 @@ def onehot_transform(df: DataFrame, fitted: DataFrame, cols: Sequence[str], keep
 
 def onehot_long(df: DataFrame, fitted: DataFrame, key: Sequence[str], cols: Sequence[str]) -> DataFrame:
     """J10 transform, long: ``(key…, column, category, idx, value=1.0)`` for
-    known values only (zeros implicit). A broadcast join on the fitted
-    categories; no collect."""
+    known values only (zeros implicit). A join on the fitted categories,
+    broadcast after a size check; no collect."""
     parts = [df.select(*key, F.lit(c).alias("column"), F.col(c).cast("string").alias("category")) for c in cols]
     vals = parts[0]
     for p in parts[1:]:
         vals = vals.unionByName(p)
-    return vals.join(F.broadcast(fitted), ["column", "category"]).withColumn("value", F.lit(1.0))
+    from wtprof.operators.vectorize import small_side
+    return vals.join(small_side(fitted), ["column", "category"]).withColumn("value", F.lit(1.0))
 
 
 def onehot_inverse(df: DataFrame, fitted: DataFrame, column: str, onehot_cols: Sequence[str],

@@ -33,6 +33,18 @@ def terms(df: DataFrame, key: Sequence[str], text_cols: Sequence[str], n_grams=(
 
 
 DOC_MARKER = "__doc__"
+# A fitted table is broadcast only up to this many rows; larger ones join
+# by shuffle (an uncapped vocabulary grows with the corpus).
+BROADCAST_MAX_ROWS = 1_000_000
+
+
+def small_side(df: DataFrame, bounded: bool = False) -> DataFrame:
+    """Broadcast hint for a fitted table whose size is proven (``bounded``)
+    or checked now by a count (fitted tables are small, materialised
+    parquet); otherwise leave the join strategy to the planner."""
+    if bounded or df.count() <= BROADCAST_MAX_ROWS:
+        return F.broadcast(df)
+    return df
 
 
 def _terms_with_docs(df: DataFrame, key: Sequence[str], text_cols: Sequence[str], n_grams=(1, 1),
@@ -93,7 +105,8 @@ def tfidf_fit_transform(df: DataFrame, key: Sequence[str], text_cols: Sequence[s
     n_docs = tc.where(F.col("feature") == DOC_MARKER).select(F.count(F.lit(1))).scalar()
     tc = tc.where(F.col("feature") != DOC_MARKER)
     vocab = _vocab_from_counts(tc, n_docs, max_features)
-    v = F.broadcast(vocab.select("feature", "term", "idx", "idf"))
+    # capped vocabulary: ≤ max_features per text column, a proven bound
+    v = small_side(vocab.select("feature", "term", "idx", "idf"), bounded=bool(max_features))
     raw = tc.join(v, ["feature", "term"]).withColumn("raw", F.col("cnt") * F.col("idf"))
     return vocab, _l2(raw, key), tc
 
@@ -126,13 +139,13 @@ def tfidf_transform(df: DataFrame, vocab: DataFrame, key: Sequence[str], text_co
     """``(key…, feature, term, idx, value)`` with value = L2-normalised
     tf·idf; only non-zero entries (missing = 0).
 
-    Tokens are filtered by a broadcast join against the vocabulary (bounded
-    by max_features) before counting. Counting groups by (key, term) and the
+    Tokens are filtered by a join against the vocabulary before counting:
+    a broadcast after a row-count check of the (small, fitted) vocabulary. Counting groups by (key, term) and the
     norm is a window by key: when the input is already hash-partitioned by
     ``key`` (e.g. the session aggregate), neither step shuffles again.
     """
     t = terms(df, key, text_cols, n_grams=n_grams, stop_words=stop_words)
-    v = F.broadcast(vocab.select("feature", "term", "idx", "idf"))
+    v = small_side(vocab.select("feature", "term", "idx", "idf"))
     hit = t.join(v, ["feature", "term"])
     tf = hit.groupBy(*key, "feature", "term", "idx", "idf").agg(F.count(F.lit(1)).alias("cnt"))
     return _l2(tf.withColumn("raw", F.col("cnt") * F.col("idf")), key)
