@@ -40,3 +40,13 @@ def test_dedupe_within_watermark(spark):
     d = N.stream_dedupe(src, ["src_ip", "http_query"], "1 hour")
     N.run_to_completion(d, f"{run}/sink", f"{run}/ckpt")
     assert sorted(r["http_query"] for r in spark.read.parquet(f"{run}/sink").collect()) == ["/a", "/b"]
+
+
+def test_replayed_batch_is_not_duplicated(spark):
+    sink = scratch_path(spark, f"sink_test_{uuid.uuid4().hex[:8]}")
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    N.write_batch(df, sink, 0)
+    N.write_batch(df, sink, 0)  # replay after a failure
+    N.write_batch(df.limit(1), sink, 1)
+    out = spark.read.parquet(sink)
+    assert out.count() == 3 and out.where("batch_id = 0").count() == 2

@@ -57,14 +57,24 @@ def run_to_completion(stream: DataFrame, sink_path: str, checkpoint: str, mode:
 def stream_predict(sessions: DataFrame, score: Callable[[DataFrame], DataFrame], sink_path: str,
                    checkpoint: str) -> None:
     """Score every micro-batch of closed sessions with the newest
-    fitted artifacts and append the results (``foreachBatch``: batch
-    operators, idempotent per batch id)."""
+    fitted artifacts (``foreachBatch``: plain batch operators).
+
+    Each micro-batch overwrites its own ``batch_id=<id>`` folder, so a batch
+    replayed after a failure replaces its earlier output instead of adding
+    duplicates (exactly-once output with the stream checkpoint)."""
     def handle(batch: DataFrame, batch_id: int) -> None:
-        score(batch).withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(sink_path)
+        write_batch(score(batch), sink_path, batch_id)
 
     run_to_completion(sessions, sink_path, checkpoint, foreach_batch=handle)
 
 
+def write_batch(df: DataFrame, sink_path: str, batch_id: int) -> None:
+    """Idempotent micro-batch sink: overwrite the batch's own folder."""
+    import os
+
+    df.write.mode("overwrite").parquet(os.path.join(sink_path, f"batch_id={batch_id}"))
+
+
 def events_stream(spark: SparkSession, source_dir: str, schema) -> DataFrame:
     """File stream over a folder of ``events``-shaped parquet files."""
     return spark.readStream.schema(schema).parquet(source_dir)
