@@ -65,7 +65,9 @@ def test_jobs_with_numeric_features(spark):
                       spec_iter=5, pca_k=2, numeric=True)
     tr = train_job(spark, log, cfg, base, "2024_01_21")
     assert tr["weighted"].first()["accuracy"] >= 0.9
-    pr = predict_job(spark, log, base, "2024_01_31", "2024-01-22 00:00:00", "2024-01-31 00:00:00")
-    res = pr["result"]
-    assert res.count() > 0 and len(res.columns) == 25
+    sinks = {k: scratch_path(spark, f"{k}_{uuid.uuid4().hex[:6]}") for k in ("result", "explain", "features")}
+    pr = predict_job(spark, log, base, "2024_01_31", "2024-01-22 00:00:00", "2024-01-31 00:00:00", sinks=sinks)
+    res = spark.read.parquet(sinks["result"])
+    assert res.count() == pr["result"].count() > 0 and len(res.columns) == 25
     assert res.where("att_name IS NULL").count() == 0
+    assert spark.read.parquet(sinks["features"]).where("att_name = 'NORMAL'").count() == 0

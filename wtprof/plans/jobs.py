@@ -142,7 +142,12 @@ def train_job(spark: SparkSession, log: DataFrame, cfg: TrainConfig, base: str,
 
 
 def predict_job(spark: SparkSession, log: DataFrame, base: str, as_of: str, start: str, end: str,
-                interval: str = "1 hour", model_id: int = 250, explain_top: int = 20) -> dict:
+                interval: str = "1 hour", model_id: int = 250, explain_top: int = 20,
+                sinks: dict | None = None) -> dict:
+    """Predict (see module doc). ``sinks`` may name folders or tables for
+    ``result`` (A6 append), ``explain`` and ``features`` (A7 appends in
+    files of ≤ 200 000 rows): results, explanations and the non-NORMAL
+    sessions' feature lists."""
     versions = spark.read.parquet(os.path.join(base, "labels")).select("version").distinct()
     version = A.latest_version(versions, as_of).first()[0]  # one string
     if version is None:
@@ -179,4 +184,16 @@ def predict_job(spark: SparkSession, log: DataFrame, base: str, as_of: str, star
     contrib = M.feature_contribution(long_f, preds, w, KEY)
     expl = M.explain_confirmed(M.explain_rows(contrib, names, KEY, n, version=version, top_k=explain_top),
                                [x for x in labels if x != "normal"])
-    return dict(version=version, result=thinned, explanations=expl, fused=fused)
+    # feature lists of non-NORMAL sessions: (term, value) pairs per text column
+    feats = (long.groupBy(*KEY).agg(F.map_from_entries(F.collect_list(F.struct(
+        F.concat_ws("_", "feature", "term"), F.col("value")))).alias("feature_values"))
+        .join(fused.where(F.col("att_name") != "NORMAL").select(*KEY, "att_name"), KEY)
+        .withColumn("model_id", F.lit(model_id)).withColumn("model_ver", F.lit(version)))
+    if sinks:
+        if "result" in sinks:
+            A.append_results(thinned, sinks["result"])
+        if "explain" in sinks:
+            A.append_batched(expl, sinks["explain"])
+        if "features" in sinks:
+            A.append_batched(feats, sinks["features"])
+    return dict(version=version, result=thinned, explanations=expl, fused=fused, features=feats)
