@@ -7,8 +7,10 @@ whole table and derives the contract's columns.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from wtprof.llm import bpe, packing, token_counts
+from wtprof.llm import (bpe, embedding_forest, multiset_hash, packing, secret_grammar, simhash_vp, substring_dedup,
+                        token_counts, toxicity, url_reputation)
 from wtprof.llm.common import table
 
 WORD_BPE = "word_bpe_49k.json"
@@ -20,17 +22,66 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+# Fixed rules of the url filter (host, path).
+URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
+
+
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return secret_grammar.digest(secret_grammar.scan(docs, secret_grammar.learn(docs)))
+
+
 def op2_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.codec_digests(table(spark, sf_dir, "documents"), tokenizer_path(WORD_BPE))
 
 
+def page_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(url, good) of the labelled pages: a page shows the document whose id
+    is the first number in its path, and is good if that document's label is
+    of good quality and not toxic."""
+    path = url_reputation.url_parts(F.col("url"))[1]
+    shown = (table(spark, sf_dir, "pages").select("url", F.regexp_extract(path, r"/(\d+)(?:/|$)", 1).alias("number"))
+             .select("url", F.expr("try_cast(number as bigint)").alias("doc_id")))
+    labels = table(spark, sf_dir, "labels").select(
+        "doc_id", ((F.col("quality") == 1) & (F.col("toxic") == 0)).cast("int").alias("good"))
+    return shown.join(labels, "doc_id").select("url", "good")
+
+
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_reputation.filter_urls(table(spark, sf_dir, "pages"), page_outcomes(spark, sf_dir), URL_RULES)
+
+
+def op4_embedding_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_forest.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substring_dedup.remove_repeats(docs, digest=True)
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer_path(PIECE_BPE))
 
 
+def op7_simhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_vp.digest(simhash_vp.near_duplicates(table(spark, sf_dir, "documents")))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(WORD_BPE))
 
 
-QUERIES = {f.__name__: f for f in (op2_bpe_codec, op6_token_counts, op8_packing)}
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def op10_multiset_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multiset_hash.edit_likeness(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_secret_scan, op2_bpe_codec, op3_url_filter, op4_embedding_near_dup, op5_substring_dedup, op6_token_counts,
+    op7_simhash_near_dup, op8_packing, op9_toxicity, op10_multiset_fingerprints)}
 SQL: dict[str, str] = {}
