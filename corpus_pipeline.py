@@ -1,30 +1,64 @@
 """Corpus pipeline: the stages that turn ``documents`` into packed sequences.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, written as
-Parquet and reread as the next stage's docs.
+Parquet and reread as the next stage's docs. All but the last return the
+columns of ``documents``; a changed text has its ``n_chars`` renewed.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from wtprof.llm import packing
+from wtprof.llm import packing, secret_grammar, simhash_vp, substring_dedup, toxicity
 from wtprof.llm.common import table, written
 from wtprof.llm.queries import WORD_BPE, tokenizer_path
 
 
+def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the string-kernel model does not call toxic."""
+    return toxicity.keep_clean(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-equal SimHash fingerprints."""
+    return simhash_vp.keep_one(docs)
+
+
+def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the passages that smaller documents have; one that
+    consisted of such passages only is dropped."""
+    cut = substring_dedup.remove_repeats(docs)
+    left = cut.where((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_words")))
+    n_chars = F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    return left.withColumn("n_chars", n_chars).select(*docs.columns)
+
+
+def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with every secret found replaced by a mark."""
+    clean = secret_grammar.redact(docs.withColumn("_before", F.xxhash64("text")), secret_grammar.learn(docs))
+    n_chars = F.when(F.xxhash64("text") != F.col("_before"), F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    return clean.withColumn("n_chars", n_chars).select(*docs.columns)
+
+
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of sequences of at most 2048 tokens over all documents kept."""
     return packing.pack(docs, tokenizer_path(WORD_BPE))
 
 
-STAGES = [("packing", packed)]
+STAGES = [
+    ("toxicity", without_toxic),
+    ("simhash near-dedup", without_near_duplicates),
+    ("substring dedup", without_repeats),
+    ("secret scans", without_secrets),
+    ("packing", packed),
+]
 
-ORACLE_SQL = None  # tokenization is not expressible in SQL; tests use brute force
+ORACLE_SQL = None  # fitted models and tokenization are not expressible in SQL; tests use brute force
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        docs = written(stage(spark, docs, sf_dir), "pipeline-" + name.replace(" ", "-"))
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -188,6 +188,16 @@ def links(fps: DataFrame, bits: int = BITS) -> DataFrame:
     return spread.groupBy("shard").applyInPandas(compare, "a long, b long")
 
 
+def _components(own: DataFrame, bits: int) -> DataFrame:
+    """(fp, root, component_id) of the distinct fingerprints of (id, fp) rows."""
+    classes = written(own.groupBy("fp").agg(F.min("id").alias("least")), "classes")
+    root = components(links(classes.select("fp"), bits))
+    rooted = (classes.join(root, classes["fp"] == root["node"], "left")
+              .select("fp", "least", F.coalesce("root", "fp").alias("root")))
+    return rooted.join(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "root").select(
+        "fp", "root", "component_id")
+
+
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
                     bits: int = BITS) -> DataFrame:
     """id_col, fp (long) and component_id (smallest id reachable over links of
@@ -201,15 +211,23 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     An empty table gives an empty result; other columns are ignored.
     """
     own = written(fingerprints(df, id_col, text_col, shingle).withColumnRenamed(id_col, "id"), "fingerprints")
-    classes = written(own.groupBy("fp").agg(F.min("id").alias("least")), "classes")
-    root = components(links(classes.select("fp"), bits))
-    rooted = (classes.join(root, classes["fp"] == root["node"], "left")
-              .select("fp", "least", F.coalesce("root", "fp").alias("root")))
-    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    of = rooted.join(least, "root").select("fp", "component_id")
+    of = _components(own, bits).select("fp", "component_id")
     return own.join(of, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
 
 
+def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
+             bits: int = BITS) -> DataFrame:
+    """The row of smallest id (null ids last) of each component, with all
+    columns of ``df``; of rows that share that id, one."""
+    importable(df.sparkSession)
+    prints = fingerprints(df.select(F.struct(*df.columns).alias("row"), F.col(text_col).alias("text")), "row", "text", shingle)
+    rows = written(prints.select("row", "fp", F.monotonically_increasing_id().alias("key")), "rows")
+    own = rows.select(F.col("row")[id_col].alias("id"), "fp", "key")
+    first = F.min(F.struct(F.col("id").isNull(), "id", "key")).alias("first")
+    kept = own.join(_components(own, bits), "fp").groupBy("root").agg(first).select(F.col("first.key").alias("key"))
+    return rows.join(kept, "key", "left_semi").select("row.*")
+
+
 def digest(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """id_col, fingerprint (16 lowercase hex digits), component_id."""
     return found.select(id_col, F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")

@@ -13,13 +13,12 @@ the witnesses; then witnesses are chosen anew. Sentences of toxic documents
 without a toxic witness drop out: most sentences of such a document are
 clean. The SVM is linear in the landmarks' subsequences, so the fitted model
 is one weight for each (hashed) subsequence, and scoring is a table look-up.
-A document's score is a logistic function of its three highest word scores,
-fitted on labelled documents that the SVM has not seen.
+A document's score is a logistic function of its highest word score, so one
+insult is enough; it is fitted on labelled documents the SVM has not seen.
 """
 
 from __future__ import annotations
 
-import heapq
 import math
 import re
 from collections import Counter
@@ -27,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wtprof.llm.common import importable, text_or_empty, written
@@ -35,14 +34,16 @@ from wtprof.llm.common import importable, text_or_empty, written
 GAPS = ((1, 1), (1, 2), (2, 1), (1, 3), (2, 2), (3, 1))  # distances between the three characters
 DECAY = 0.6
 TABLE_BITS = 20
-LANDMARKS = 256
+LANDMARKS = 384
+NEGATIVES = 2000          # hard and frequent clean words of a round
 TRAIN_DOCS = 4000         # labelled documents of each class that a fit reads at most
 TRAIN_SENTENCES = 15_000  # their distinct sentences of each class at most (by hash)
-ROUNDS = 4
-COST = 10.0
+ROUNDS = 3
+COST = 100.0
+FIRST_ODDS = 2.5          # log of how many times as frequent the first witnesses must be, and
+FIRST_MARGIN = 3.0        # log-odds by which the first witnesses must beat chance over the vocabulary
 SENTENCE_WORDS = 32       # longer sentences are cut
 WORD_CHARS = 64           # longer words are scored in overlapping windows
-TOP = 3
 MAX_WORDS = 1_000_000     # entries of a Python worker's word table
 EDGE = "\"'.,;:!?()[]{}<>…«»„“”‘’*%&$#@+-_/\\|~^`="
 SPACED = re.compile(r"(?<!\S)\S(?: \S){2,}(?!\S)")  # letters written one by one
@@ -91,20 +92,16 @@ def subsequences(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 class Model:
-    """Subsequence weights, bias, and the logistic of the top word scores."""
+    """Subsequence weights, bias, and the logistic of the highest word score."""
 
     def __init__(self, table: np.ndarray, bias: float):
         self.table, self.bias = table.astype(np.float32), bias
-        self.logistic = np.array([1.0] * TOP + [0.0])
+        self.slope, self.offset = 4.0, 0.0
 
     def word_scores(self, words: list[str]) -> np.ndarray:
         at, code, weight = subsequences(words)
         return np.bincount(at, weight * self.table[code], len(words)) + self.bias
 
-    def probability(self, top: np.ndarray) -> np.ndarray:
-        z = top @ self.logistic[:-1] + self.logistic[-1]
-        return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
-
 
 def _svm(z: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
     """Squared-hinge linear SVM by Newton steps; the last weight is the bias."""
@@ -122,61 +119,99 @@ def _svm(z: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
     return w
 
 
-def fit_svm(positive: list[str], negative: list[str], landmarks: int = LANDMARKS) -> Model:
-    """Train on sentences of toxic and of clean documents."""
-    pos, neg = [sorted(set(words_of(s))) for s in positive], [sorted(set(words_of(s))) for s in negative]
-    pos, neg = [s for s in pos if s], [s for s in neg if s]
-    in_pos, in_neg = Counter(w for s in pos for w in s), Counter(w for s in neg for w in s)
-    if not pos or not neg:
-        return Model(np.zeros(1 << TABLE_BITS), -1.0)
-    vocab = sorted(in_pos.keys() | in_neg.keys())
-    number = {w: k for k, w in enumerate(vocab)}
-    rate = len(pos) / (len(pos) + len(neg))
-    a = np.array([in_pos[w] for w in vocab], float)
-    n = a + np.array([in_neg[w] for w in vocab], float)
-    surprise = (a - n * rate) / np.sqrt(n * rate * (1 - rate))   # z-score of the word's share of toxic sentences
-    order = np.argsort(-surprise, kind="stable")
-    toxic = order[:landmarks // 2]
-    clean = np.argsort(-(n - a), kind="stable")[:landmarks // 4]
-    step = max(1, len(vocab) // (landmarks // 4))
-    marks = np.unique(np.concatenate([toxic, clean, np.arange(0, len(vocab), step)[:landmarks // 4]]))
-    at, code, weight = subsequences([vocab[k] for k in marks])
+def _explicit(words: list[str], marks: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Nyström features of ``words`` for landmark words ``marks``, and what
+    turns weights on features into weights on subsequences (codes, matrix)."""
+    at, code, weight = subsequences(marks)
     used, of = np.unique(code, return_inverse=True)
     phi = np.zeros((len(used), len(marks)))
     np.add.at(phi, (of, at), weight)
     value, vector = np.linalg.eigh(phi.T @ phi)
     keep = value > 1e-6 * value.max()
-    whiten = vector[:, keep] / np.sqrt(value[keep])
-    features = np.zeros((len(vocab), keep.sum()), np.float32)
-    base = phi @ whiten
-    for k in range(0, len(vocab), 2000):
-        at, code, weight = subsequences(vocab[k:k + 2000])
+    base = phi @ (vector[:, keep] / np.sqrt(value[keep]))
+    out = np.zeros((len(words), keep.sum()))
+    for k in range(0, len(words), 1000):
+        at, code, weight = subsequences(words[k:k + 1000])
         where = np.minimum(np.searchsorted(used, code), len(used) - 1)
         ok = used[where] == code
-        part = np.zeros((len(vocab[k:k + 2000]), len(used)), np.float32)
+        part = np.zeros((len(words[k:k + 1000]), len(used)))
         np.add.at(part, (at[ok], where[ok]), weight[ok])
-        features[k:k + 2000] = part @ base
+        out[k:k + 1000] = part @ base
+    return out, used, base
+
+
+def _runs(word: str) -> set[str]:
+    marked = "^" + word + "$"
+    return {marked, *(marked[i:i + size] for size in (4, 5) for i in range(len(marked) - size + 1))}
+
+
+def _first_witnesses(vocab: list[str], pos: list[np.ndarray], neg: list[np.ndarray]) -> np.ndarray:
+    """Which words are the first witnesses: those with a run of characters (or
+    the whole word) that is many times as frequent in toxic sentences, so
+    plainly that chance would hardly give one such run among all (by
+    log-likelihood ratio). The best run is taken first and the sentences it
+    explains are set aside, so that chance neighbours of an insult are not."""
+    runs: dict[str, int] = {}
+    of = [np.array([runs.setdefault(g, len(runs)) for g in sorted(_runs(w))]) for w in vocab]
+
+    def incidence(side: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        each = [np.unique(np.concatenate([of[k] for k in s])) for s in side]
+        return np.repeat(np.arange(len(side)), [len(e) for e in each]), np.concatenate(each)
+
+    (ps, pr), (_, nr) = incidence(pos), incidence(neg)
+    b = np.bincount(nr, minlength=len(runs)).astype(float)
+    chosen = np.zeros(len(runs), bool)
+    while len(ps):
+        a, left = np.bincount(pr, minlength=len(runs)).astype(float), len(np.unique(ps))
+        n, rate = a + b, left / (left + len(neg))
+        with np.errstate(divide="ignore", invalid="ignore"):
+            ratio = a * np.log(np.maximum(a, 1e-9) / (n * rate)) + b * np.log(np.maximum(b, 1e-9) / (n * (1 - rate)))
+        odds = np.log((a + 0.5) / (b + 0.5)) - np.log(rate / (1 - rate))
+        fit = np.where((odds > FIRST_ODDS) & (a > 0), ratio, 0)
+        best = int(np.argmax(fit))
+        if fit[best] < np.log(len(runs)) + FIRST_MARGIN:
+            break
+        chosen[best] = True
+        stay = ~np.isin(ps, ps[pr == best])
+        ps, pr = ps[stay], pr[stay]
+    return np.array([chosen[k].any() for k in of])
+
+
+def fit_svm(positive: list[str], negative: list[str], landmarks: int = LANDMARKS) -> Model:
+    """Train on sentences of toxic and of clean documents."""
+    model = Model(np.zeros(1 << TABLE_BITS), -1.0)
+    pos, neg = ([x for x in (sorted({w.strip(EDGE)[:WORD_CHARS] for w in words_of(s)} - {""}) for s in side) if x]
+                for side in (positive, negative))
+    if not pos or not neg:
+        return model
+    in_pos, in_neg = Counter(w for s in pos for w in s), Counter(w for s in neg for w in s)
+    vocab = sorted(in_pos.keys() | in_neg.keys())
+    number = {w: k for k, w in enumerate(vocab)}
     pos_ids, neg_ids = ([np.array([number[w] for w in s]) for s in side] for side in (pos, neg))
-    score = np.where(n >= 3, surprise - 3.0, -1.0)   # the first witnesses must be plainly more toxic
-    w = None
+    a, b = (np.array([c[w] for w in vocab], float) for c in (in_pos, in_neg))
+    first = _first_witnesses(vocab, pos_ids, neg_ids) & (a > b)
+    score = np.where(first, a, -1.0)
+    frequent = np.argsort(-b, kind="stable")[:NEGATIVES]
+    clean = b > 0  # a word that only toxic sentences have is never a negative
     for _ in range(ROUNDS):
-        best_p = np.array([s[np.argmax(score[s])] for s in pos_ids])
-        best_n = np.array([s[np.argmax(score[s])] for s in neg_ids])
-        best_p = best_p[score[best_p] > 0]
-        if not len(best_p):
+        best = np.array([s[np.argmax(score[s])] for s in pos_ids])
+        wp, cp = np.unique(best[score[best] > 0], return_counts=True)
+        if not len(wp):
             break
-        other = np.concatenate([best_n, np.argsort(-(n - a), kind="stable")[:2000]])  # and frequent clean words
-        (wp, cp), (wn, cn) = np.unique(best_p, return_counts=True), np.unique(other, return_counts=True)
-        wn, cn = wn[a[wn] < n[wn]], cn[a[wn] < n[wn]]  # never a word that only toxic sentences have
+        hard = np.flatnonzero(clean)[np.argsort(-score[clean], kind="stable")[:NEGATIVES]]
+        wn = np.unique(np.concatenate([[s[np.argmax(np.where(clean[s], score[s], -np.inf))] for s in neg_ids], hard, frequent]))
+        wn = wn[clean[wn] & ~np.isin(wn, wp)].astype(int)
+        third = landmarks // 3
+        marks = np.unique(np.concatenate([wp[np.argsort(-cp, kind="stable")[:third]], hard[:third], frequent[:third]]))
+        x, used, base = _explicit([vocab[k] for k in np.concatenate([wp, wn])], [vocab[k] for k in marks])
         y = np.concatenate([np.ones(len(wp)), -np.ones(len(wn))])
-        many = np.concatenate([np.sqrt(cp) / np.sqrt(cp).sum(), np.sqrt(cn) / np.sqrt(cn).sum()]) * len(y) / 2
-        w = _svm(features[np.concatenate([wp, wn])], y, many)
-        score = features @ w[:-1] + w[-1]
-    if w is None:
-        return Model(np.zeros(1 << TABLE_BITS), -1.0)
-    table = np.zeros(1 << TABLE_BITS)
-    table[used] = phi @ (whiten @ w[:-1])
-    return Model(table, float(w[-1]))
+        many = np.sqrt(np.concatenate([cp, b[wn]]))
+        w = _svm(x, y, many)
+        table = np.zeros(1 << TABLE_BITS)
+        table[used] = base @ w[:-1]
+        model = Model(table, float(w[-1]))
+        score = np.concatenate([model.word_scores(vocab[k:k + 20_000]) for k in range(0, len(vocab), 20_000)])
+    return model
 
 
 class _Scores(dict):
@@ -186,6 +221,15 @@ class _Scores(dict):
         super().__init__()
         self.model = model
 
+    @staticmethod
+    def _readings(word: str) -> list[str]:
+        """The word, also without marks put between its letters, in windows."""
+        out = [word]
+        if not word.strip(EDGE).isalnum():
+            bare = "".join(filter(str.isalnum, word))
+            out += [bare] if bare else []
+        return [w[j:j + WORD_CHARS] for w in out for j in range(0, max(1, len(w) - WORD_CHARS // 2), WORD_CHARS // 2)]
+
     def learn(self, words: set[str]) -> None:
         new = [w for w in words if w not in self]
         if len(self) + len(new) > MAX_WORDS:
@@ -193,22 +237,19 @@ class _Scores(dict):
             new = list(words)
         for k in range(0, len(new), 20_000):
             part = new[k:k + 20_000]
-            pieces = [[w[j:j + WORD_CHARS] for j in range(0, max(1, len(w) - WORD_CHARS // 2), WORD_CHARS // 2)]
-                      if len(w) > WORD_CHARS else [w] for w in part]
+            pieces = [self._readings(w) for w in part]
             got = iter(self.model.word_scores([p for ps in pieces for p in ps]).tolist())
             self.update((w, max(next(got) for _ in ps)) for w, ps in zip(part, pieces))
 
 
 def _top_scores(texts: list[str], table: _Scores) -> np.ndarray:
-    """The three highest scores of distinct words of each text."""
-    out = np.empty((len(texts), TOP))
+    """The highest word score of each text (the bias if it has no word)."""
+    out = np.empty(len(texts))
     for k in range(0, len(texts), 500):
         sets = [set(words_of(t)) for t in texts[k:k + 500]]
         table.learn(set().union(*sets))
-        for j, s in enumerate(sets):
-            best = heapq.nlargest(TOP, map(table.__getitem__, s))
-            out[k + j] = best + [table.model.bias] * (TOP - len(best))
-    return out
+        out[k:k + 500] = [max(map(table.__getitem__, s), default=table.model.bias) for s in sets]
+    return np.clip(out, -1, 1)  # beyond the margin a score says no more
 
 
 _TABLES: dict[str, _Scores] = {}
@@ -222,22 +263,22 @@ def _scorer(model: Model, key: str) -> _Scores:
 
 
 def _scored(df: DataFrame, model: Model, keep: list, text_col: str) -> DataFrame:
-    """``keep`` columns and the three top word scores of each row."""
+    """``keep`` columns and the highest word score of each row."""
     spark = df.sparkSession
     importable(spark)
     shared = spark.sparkContext.broadcast(model)  # one table of 2^20 weights
     key = f"{spark.sparkContext.applicationId}-{shared._jbroadcast.id()}"
 
-    @F.pandas_udf("array<double>")
+    @F.pandas_udf("double")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         table = _scorer(shared.value, key)
         for texts in batches:
-            yield pd.Series(list(_top_scores(texts.tolist(), table)), dtype=object)
+            yield pd.Series(_top_scores(texts.tolist(), table))
 
     return df.select(*keep, run(text_or_empty(text_col)).alias("top"))
 
 
-def held_out(id_col: str) -> F.Column:
+def held_out(id_col: str) -> Column:
     """Is the crc32 of the id as text divisible by five? (null id: as empty text)"""
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))) % 5 == 0
 
@@ -256,7 +297,8 @@ def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str
     known = (labels.where(F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1) & ~held_out(id_col))
              .groupBy(id_col).agg(F.max(label_col).cast("int").alias("label")))
     known = known.select(F.col(id_col).alias("l_id"), "label", F.xxhash64(F.lit("fit"), id_col).alias("h"))
-    drawn = None
+    known = written(known, "labels")
+    drawn, of_class = None, {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
     for y in (0, 1):
         part = known.where(F.col("label") == y).orderBy("h", "l_id").limit(train_docs)
         drawn = part if drawn is None else drawn.union(part)
@@ -276,24 +318,32 @@ def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str
     model = fit_svm(*sides)
     rows = _scored(sample.where("second"), model, ["label"], "text").collect()  # at most 2 x train_docs
     if {r["label"] for r in rows} == {0, 1}:
-        model.logistic = _logistic(np.array([r["top"] for r in rows]), np.array([r["label"] for r in rows], float))
+        y = np.array([r["label"] for r in rows], float)
+        share = of_class[1] / (of_class[0] + of_class[1])  # classes count as often as among all labels
+        weight = np.where(y == 1, share / y.mean(), (1 - share) / (1 - y.mean()))
+        model.slope, model.offset = _logistic(np.array([r["top"] for r in rows]), y, weight)
     return model
 
 
-def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Class-balanced logistic regression with non-negative slopes."""
-    scale = np.maximum(x.std(axis=0), 1e-9)
-    z = np.hstack([(x - x.mean(axis=0)) / scale, np.ones((len(x), 1))])
-    weight = np.where(y == 1, 0.5 / y.mean(), 0.5 / (1 - y.mean()))
-    w = np.zeros(z.shape[1])
+def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
+    """(slope, offset) of a weighted logistic regression, slope not negative."""
+    mean, scale = x.mean(), max(x.std(), 1e-9)
+    z = np.stack([(x - mean) / scale, np.ones(len(x))], axis=1)
+    def loss(w: np.ndarray) -> float:
+        t = np.where(y == 1, 1, -1) * (z @ w)
+        return float((weight * np.logaddexp(0, -t)).mean() + 5e-4 * w[0] ** 2)
+
+    w = np.zeros(2)
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(z @ w, -40, 40)))
-        grad = z.T @ (weight * (p - y)) / len(y) + 1e-3 * np.append(w[:-1], 0)
-        hess = (z * (weight * p * (1 - p))[:, None]).T @ z / len(y) + 1e-3 * np.eye(len(w))
-        w = w - np.linalg.solve(hess, grad)
-    w[:-1] = np.maximum(w[:-1], 0)
-    slope = w[:-1] / scale
-    return np.append(slope, w[-1] - slope @ x.mean(axis=0))
+        grad = z.T @ (weight * (p - y)) / len(y) + 1e-3 * np.array([w[0], 0])
+        hess = (z * (weight * p * (1 - p))[:, None]).T @ z / len(y) + 1e-3 * np.eye(2)
+        step, size = np.linalg.solve(hess, grad), 1.0
+        while loss(w - size * step) > loss(w) and size > 1e-6:
+            size /= 2
+        w = w - size * step
+    slope = max(w[0], 0.0) / scale
+    return float(slope), float(w[1] - slope * mean)
 
 
 def score(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -306,10 +356,8 @@ def score(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "
         "*", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
 
 
-def _probability(model: Model) -> F.Column:
-    z = F.lit(float(model.logistic[-1]))
-    for k in range(TOP):
-        z = z + F.col("top")[k] * float(model.logistic[k])
+def _probability(model: Model) -> Column:
+    z = F.col("top") * model.slope + model.offset
     return 1 / (1 + F.exp(-F.greatest(F.lit(-40.0), F.least(F.lit(40.0), z))))
 
 
