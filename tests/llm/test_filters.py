@@ -1,0 +1,171 @@
+"""Secret scan, url filter and toxicity."""
+
+import random
+import re
+from hashlib import sha256
+
+from edges import by_rows, empty, frame, rows
+
+from wtprof.llm import queries, secret_grammar, toxicity, url_reputation
+
+ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
+
+
+def base(text):
+    out = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= 6]
+    out += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
+    out += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24]
+    return sorted(out)
+
+
+def test_base_spans_brute_force():
+    rnd = random.Random(2)
+    parts = ["password", "PassWD", "secret:", "token=", "api_key", "apikey", " = ", ":", "'", '"', "AKIA", "ABCD1234", "0123abcd",
+             "deadbeef" * 3, "==", " ", "ſecret", "toKen", "\n", "x", "short", "longer9"]
+    for _ in range(3000):
+        text = "".join(rnd.choice(parts) for _ in range(rnd.randint(1, 12)))
+        assert secret_grammar.base_spans(text) == base(text)
+
+
+def learned():
+    rnd = random.Random(4)
+    def of(alphabet, n):
+        return "".join(rnd.choice(alphabet) for _ in range(n))
+    hexes = "0123456789abcdef"
+    creds = {"assign": [of(hexes, 18) for _ in range(300)], "access": ["AKIA" + of("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", 16) for _ in range(300)],
+             "hex": [of(hexes, 40) for _ in range(300)]}
+    words = sorted({of("aeiounrst", rnd.randint(4, 12)) for _ in range(900)})
+    return secret_grammar.Grammar(creds, words), of
+
+
+def test_grammar_learns_formats():
+    grammar, of = learned()
+    assert [k for k, *_ in grammar.kinds] == ["access", "assign", "hex"]
+    good = [of("0123456789abcdef", 18) for _ in range(100)] + [of("0123456789abcdef", 40) for _ in range(100)]
+    assert sum(map(grammar.accepts, good)) >= 190
+    bad = [of("aeiounrst", 18) for _ in range(200)] + [of("0123456789abcdef", n) for n in (16, 17, 19, 25, 39, 41) for _ in range(20)]
+    assert not any(map(grammar.accepts, bad))
+
+
+def test_scan_rows(spark):
+    grammar, of = learned()
+    alone = of("0123456789abcdef", 18)
+    data = [*rows(), (20, f"say {alone} and password={alone}.")]
+    got = by_rows(secret_grammar.digest(secret_grammar.scan(frame(spark, data), grammar)))
+    want = []
+    for i, t in data:
+        b = base(t or "")
+        names = [f"{secret_grammar.KINDS[k]}:{a}:{z}" for a, k, z in b]
+        spans = ["grammar:4:22", *names] if i == 20 else names
+        want.append((i, *(sum(k == j for _, k, _ in b) for j in range(3)), sha256(",".join(names).encode()).hexdigest(), ",".join(spans)))
+    assert got == sorted(want, key=repr)
+    assert secret_grammar.scan(empty(spark), grammar).count() == 0
+    hidden = secret_grammar.redact(frame(spark, data), grammar)
+    assert hidden.columns == frame(spark).columns and hidden.count() == len(data)
+    assert hidden.where("doc_id = 20").first()["text"] == "say [secret] and [secret]"
+    assert {r["text"] for r in hidden.where("doc_id = 1").collect()} == {None}
+
+
+def test_learning_from_nothing(spark):
+    grammar = secret_grammar.learn(empty(spark))
+    assert grammar.kinds == [] and not grammar.accepts("0123456789abcdef")
+
+
+def test_op1(spark, duck):
+    from conftest import SF_SMALL
+    texts = dict(duck.sql("SELECT doc_id, text FROM documents").fetchall())
+    for r in queries.op1_secret_scan(spark, SF_SMALL).collect():
+        names = [f"{secret_grammar.KINDS[k]}:{a}:{z}" for a, k, z in base(texts[r["doc_id"]] or "")]
+        assert r["base_sha256"] == sha256(",".join(names).encode()).hexdigest()
+        assert set(names) <= set(r["spans"].split(","))
+
+
+URLS = [(1, "HTTP://User@WWW.Ads.NET:80/x?q#f"), (2, "https://a.example.net/en/1"), (3, "https://example.net/en"),
+        (4, "https://b.example.com/de/2#x"), (5, "https://org/fr/"), (6, "https://x.org/fr/9"), (7, "https://notorg/fr/9"),
+        (8, None), (9, ""), (10, "no scheme/x"), (11, "://"), (12, "http://host?q=://z"), (None, "https://a.example.net/en/1"),
+        (2, "https://a.example.net/en/1"), (13, "https://s.co.uk/" + "p" * 50_000), (14, "https://net"), (15, "https://KELVINK.org")]
+
+
+def judge(url):
+    host = path = ""
+    if url and "://" in url:
+        rest = url.split("://", 1)[1]
+        host = re.match("[^/?#]*", rest)[0]
+        path = re.match("[^?#]*", rest[len(host):])[0]
+        host = "".join(c.lower() if "A" <= c <= "Z" else c for c in host)
+    best = None
+    for what, rule in queries.URL_RULES:
+        h, _, p = rule.partition("/")
+        if (host == h or host.endswith("." + h)) and path.startswith("/" + p) and (best is None or len(rule) > len(best[1])):
+            best = (what, rule)
+    return host, path, best
+
+
+def test_url_rows(spark):
+    pages = spark.createDataFrame(URLS, "page_id long, url string").selectExpr("*", "'x' as name", "1 as n", "'y' as host", "2 as bound")
+    marks = [(f"http://h{k % 3}.bad.com/{k}", 0) for k in range(90)] + [(f"http://h{k % 3}.good.org/{k}", 1) for k in range(90)]
+    outcomes = spark.createDataFrame(marks + [(None, 1), ("http://h0.bad.com/", None)], "url string, good int")
+    got = url_reputation.filter_urls(pages, outcomes, queries.URL_RULES).collect()
+    assert len(got) == len(URLS)
+    for i, u in URLS:
+        host, path, best = judge(u)
+        r = next(r for r in got if r["page_id"] == i and r["path"] == path and r["host"] == host)
+        assert r["rule"] == (best[1] if best else None)
+        assert r["verdict"] == best[0] if best else r["verdict"] in ("allow", "block")
+    probe = spark.createDataFrame([(1, "http://h1.bad.com/"), (2, "http://new.bad.com/"), (3, "http://h1.good.org/"), (4, "http://new.good.org/")],
+                                  "page_id long, url string")
+    rates = {r["page_id"]: r for r in url_reputation.filter_urls(probe, outcomes, []).collect()}
+    assert [rates[k]["verdict"] for k in (1, 2, 3, 4)] == ["block", "block", "allow", "allow"]
+    assert rates[1]["rate"] < 0.1 < rates[2]["rate"] + 0.1 and rates[3]["rate"] > 0.9
+    assert url_reputation.filter_urls(pages.where("false"), outcomes, []).count() == 0
+    assert url_reputation.filter_urls(pages, outcomes.where("false"), []).count() == len(URLS)
+
+
+def test_op3(spark, duck):
+    from conftest import SF_SMALL
+    urls = dict(duck.sql("SELECT page_id, url FROM pages").fetchall())
+    got = queries.op3_url_filter(spark, SF_SMALL).collect()
+    assert len(got) == len(urls)
+    for r in got:
+        host, path, best = judge(urls[r["page_id"]])
+        assert (r["host"], r["path"], r["rule"]) == (host, path, best[1] if best else None)
+        assert not best or r["verdict"] == best[0]
+
+
+def toxic_corpus(n=600):
+    rnd = random.Random(8)
+    syllables = "the an re on ti in st er al en or ha ou ed ly".split()
+    insults = ["idiot", "scumbag", "worthless", "lowlife", "pathetic"]
+    docs = []
+    for k in range(n):
+        words = ["".join(rnd.choice(syllables) for _ in range(rnd.randint(1, 3))) for _ in range(60)]
+        toxic = k % 4 == 0
+        if toxic:
+            for _ in range(3):
+                words[rnd.randrange(60)] = rnd.choice(insults)
+        docs.append((k, ". ".join(" ".join(words[j:j + 12]) for j in range(0, 60, 12)), int(toxic)))
+    return docs
+
+
+def test_toxicity_held_out(spark):
+    docs = toxic_corpus()
+    df, labels = frame(spark, [d[:2] for d in docs]), spark.createDataFrame([(d[0], d[2]) for d in docs], "doc_id long, toxic int")
+    model = toxicity.fit(df, labels)
+    got = {r["doc_id"]: r for r in toxicity.score(df, model).collect()}
+    held = [d for d in docs if got[d[0]]["held_out"]]
+    assert len(held) > 80 and all(0 <= got[d[0]]["score"] <= 1 for d in docs)
+    assert sum(got[d[0]]["predicted"] == d[2] for d in held) / len(held) > 0.95
+    odd = [(1, "you are a w.o.r.t.h.l.e.s.s one"), (2, "such an idi-ot"), (3, "an i d i o t indeed"), (4, "pathhetic")]
+    found = {r["doc_id"]: r["predicted"] for r in toxicity.score(frame(spark, odd), model).collect()}
+    assert sum(found.values()) >= 3
+    every = toxicity.score(frame(spark), model)
+    assert every.count() == len(rows()) and every.where("score is null or predicted is null or held_out is null").count() == 0
+    assert toxicity.score(empty(spark), model).count() == 0
+    kept = toxicity.keep_clean(df, model)
+    assert kept.columns == df.columns and 400 < kept.count() < 500
+
+
+def test_toxicity_without_labels(spark):
+    none = spark.createDataFrame([(1, None), (None, 1)], "doc_id long, toxic int")
+    model = toxicity.fit(frame(spark), none)
+    assert toxicity.score(frame(spark), model).where("predicted = 1").count() == 0

@@ -1,0 +1,96 @@
+"""Multiset fingerprints and the corpus pipeline."""
+
+from hashlib import sha256
+
+from edges import empty, frame, long_text, rows
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from wtprof.llm import multiset_hash, queries
+
+PYTHON = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "MapInArrow", "FlatMapGroups", "PythonMapInArrow")
+
+
+def edited(data):
+    """n_chars and the digest of the edited text of (id, text) with distinct ids."""
+    data = sorted(data, key=lambda r: (r[0] is not None, r[0] or 0))
+    out = {}
+    for k, (i, t) in enumerate(data):
+        t, n = t or "", data[(k + 1) % len(data)][1] or ""
+        q = len(t) // 4
+        out[i] = (len(t), sha256((t[:len(t) - q] + n[:q]).encode()).hexdigest())
+    return out
+
+
+def test_edit_rows(spark):
+    data = [r for r in rows() if r[0] is not None and r[0] != 7] + [(None, "x\ny")]
+    got = multiset_hash.edit_likeness(frame(spark, data)).collect()
+    assert {r["doc_id"]: (r["n_chars"], r["edited_sha256"]) for r in got} == edited(data)
+    assert len(got) == len(data) and all(0 <= r["near_edited"] <= 1 and 0 <= r["near_next"] <= 1 for r in got)
+    by = {r["doc_id"]: r for r in got}
+    assert by[12]["fingerprint"] == by[13]["fingerprint"] != by[4]["fingerprint"]  # order of lines doesn't matter
+    assert by[1]["fingerprint"] == by[2]["fingerprint"]  # null and empty
+    assert by[9]["near_edited"] > 0.6 > 0.3 > by[9]["near_next"]
+
+
+def test_repeated_and_lone_ids(spark):
+    got = multiset_hash.edit_likeness(frame(spark)).collect()
+    assert len(got) == len(rows())
+    assert len({(r["fingerprint"], r["edited_sha256"]) for r in got if r["doc_id"] == 7}) == 1
+    lone = multiset_hash.edit_likeness(frame(spark, [(3, "abcdefgh")])).first()
+    assert lone["edited_sha256"] == sha256(b"abcdefab").hexdigest() and lone["near_next"] == 1.0
+    assert multiset_hash.edit_likeness(empty(spark)).count() == 0
+
+
+def test_insertion_and_deletion(spark):
+    a, b = long_text(50, 1), long_text(20, 2).replace("\n", " ")
+    df = spark.createDataFrame([(1, a), (2, b), (3, a + "\n" + b)], "k int, t string")
+    v = {r["k"]: r["vector"] for r in multiset_hash.vectors(df, ["k"], "t").collect()}
+    one = spark.createDataFrame([(v[1], v[2], v[3])], "a array<long>, b array<long>, c array<long>")
+    r = one.select((multiset_hash.combine(F.col("a"), F.col("b")) == F.col("c")).alias("plus"),
+                   (multiset_hash.combine(F.col("c"), F.col("b"), -1) == F.col("a")).alias("minus")).first()
+    assert r["plus"] and r["minus"]
+
+
+def test_op10(spark, duck):
+    from conftest import SF_SMALL
+    data = duck.sql("SELECT doc_id, text FROM documents").fetchall()
+    df = queries.op10_multiset_fingerprints(spark, SF_SMALL)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert not any(p in plan for p in PYTHON)
+    got = df.collect()
+    assert {r["doc_id"]: (r["n_chars"], r["edited_sha256"]) for r in got} == edited(data)
+    texts = dict(data)
+    of = {}
+    for r in got:
+        assert of.setdefault(texts[r["doc_id"]], r["fingerprint"]) == r["fingerprint"]
+    assert len(set(of.values())) == len(of)
+
+
+def test_pipeline_stages(spark):
+    from conftest import SF_SMALL
+    from wtprof.llm.common import table, written
+    docs = table(spark, SF_SMALL, "documents")
+    columns, counts = docs.columns, [docs.count()]
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = written(stage(spark, docs, SF_SMALL), "test-" + name.replace(" ", "-"))
+        assert docs.columns == columns
+        assert docs.where("n_chars <> length(text)").count() == 0
+        counts.append(docs.count())
+    assert counts == sorted(counts, reverse=True) and counts[-1] > 0.6 * counts[0]
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, SF_SMALL)
+    assert packed.select("doc_id").distinct().count() == counts[-1]
+    assert corpus_pipeline.run(spark, SF_SMALL).select("doc_id").distinct().count() == counts[-1]
+
+
+def test_pipeline_stages_on_odd_rows(spark):
+    from conftest import SF_SMALL
+    docs = frame(spark).select("doc_id", "text", F.lit("en").alias("lang"), F.lit("s").alias("source"),
+                               F.length("text").cast("long").alias("n_chars"))
+    for odd in (docs, docs.where("false")):
+        now = odd
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            now = stage(spark, now, SF_SMALL)
+            assert now.columns == odd.columns
+            now.count()
+        assert corpus_pipeline.STAGES[-1][1](spark, now, SF_SMALL).count() >= 0

@@ -8,8 +8,8 @@ of all their successors) agree within the Hoeffding bound are merged
 so a format is a chain of classes, lengths and typical characters.
 
 Every token-like run of every text is a candidate. It is a secret if some
-automaton accepts it, its likelihood a character is no lower than that of all
-but 1 % of that kind's training strings, and it beats a character model of
+automaton accepts it, its likelihood a character is not plainly below that of
+all but 1 % of that kind's training strings, and it beats a character model of
 the table's ordinary words by a margin that no sampled ordinary word reaches.
 """
 
@@ -46,6 +46,7 @@ MAX_TRAIN = 1500         # training strings of each kind, and ordinary words (bo
 MAX_TRAIN_CHARS = 256    # longer strings are scored but not learned from
 ALPHA = 0.05             # significance of the merge test
 MIN_STRINGS = 20         # a kind with fewer examples gets no automaton
+SLACK = 0.25             # likelihood (nats a character) a new string may lack against the training strings
 MARGIN = 4.0             # log-odds above the best ordinary word
 
 CLASS = {c: ("x" if c in "0123456789abcdef" else "l" if c.islower() else "U" if c.isupper() else c)
@@ -205,7 +206,7 @@ class Grammar:
             a = Automaton(strings)
             rates = sorted(a.loglik(s) / len(s) for s in strings)
             odds = [a.loglik(w) - self.ordinary.loglik(w) for w in words]
-            self.kinds.append((kind, a, rates[len(rates) // 100], max([0.0, *(o for o in odds if o > -math.inf)]) + MARGIN))
+            self.kinds.append((kind, a, rates[len(rates) // 100] - SLACK, max([0.0, *(o for o in odds if o > -math.inf)]) + MARGIN))
 
     def accepts(self, s: str) -> bool:
         for _, a, rate, margin in self.kinds:
