@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wtprof.operators.quantiles import exact_quantiles
+
 
 def distinct_counts(df: DataFrame, cols: Sequence[str], approx: bool = False,
                     rsd: float = 0.01) -> DataFrame:
@@ -36,23 +38,27 @@ def boxplot_threshold(scores: DataFrame, col: str = "score", mode: str = "box",
     """D11 [inferred]: upper outlier bound of scores, as one row ``threshold``.
 
     ``box``: Q3 + k·IQR with linearly interpolated quartiles. ``mad``:
-    median + k·MAD, MAD = median(|x − median|) in a second aggregate pass.
-    Exact percentiles buffer values per task; ``approx=True`` uses the
-    bounded-memory ``percentile_approx`` sketch instead.
+    median + k·MAD, MAD = median(|x − median|) in a second pass. Quantiles
+    are exact and spread over the cluster; ``approx=True`` uses the
+    ``percentile_approx`` sketch instead. No scores: a null threshold.
     """
     x = F.col(col)
 
-    def pct(c, p):
-        return F.percentile_approx(c, p, accuracy) if approx else F.percentile(c, p)
+    def pct(c, ps):
+        if approx:
+            return scores.agg(F.percentile_approx(c.cast("double"), ps, accuracy)).first()[0]
+        return exact_quantiles(scores, c, ps)
 
+    value = None
     if mode == "box":
-        q = scores.agg(pct(x, 0.25).alias("q1"), pct(x, 0.75).alias("q3"))
-        return q.select((F.col("q3") + F.lit(k) * (F.col("q3") - F.col("q1"))).alias("threshold"))
-    if mode == "mad":
-        med = scores.agg(pct(x, 0.5)).scalar()
-        mad = scores.agg(pct(F.abs(x - med), 0.5).alias("mad"), pct(x, 0.5).alias("med"))
-        return mad.select((F.col("med") + F.lit(k) * F.col("mad")).alias("threshold"))
-    raise ValueError(mode)
+        q = pct(x, [0.25, 0.75])
+        value = q and q[1] + k * (q[1] - q[0])
+    elif mode == "mad":
+        med = pct(x, [0.5])
+        value = med and med[0] + k * pct(F.abs(x - F.lit(med[0])), [0.5])[0]
+    else:
+        raise ValueError(mode)
+    return scores.sparkSession.createDataFrame([(value,)], "threshold double")
 
 
 def vector_stats(df: DataFrame, key: Sequence[str], vec_col: str) -> DataFrame:

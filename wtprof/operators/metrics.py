@@ -71,7 +71,10 @@ def weighted_metrics(df: DataFrame, true_col: str = "label", pred_col: str = "pr
 
 def run_history(epochs: DataFrame, metrics: DataFrame, class_col: str = "attack_name",
                 epoch_col: str = "epochs") -> DataFrame:
-    """Per class the last epoch's row joined to its metrics."""
+    """Per class the last epoch's row joined to its metrics. An epoch
+    column that the metrics have too (accuracy) gets the prefix ``epoch_``."""
+    epochs = epochs.withColumnsRenamed({c: f"epoch_{c}" for c in epochs.columns
+                                        if c != class_col and c in metrics.columns})
     last = epochs.groupBy(class_col).agg(F.max_by(F.struct(*[c for c in epochs.columns if c != class_col]),
                                                   F.col(epoch_col)).alias("_last"))
     last = last.select(class_col, "_last.*")

@@ -123,13 +123,13 @@ def predict_specialists(models: dict, df: DataFrame) -> DataFrame:
 
 def epoch_metrics(models: dict, model_id: int, logtime) -> DataFrame:
     """Loss per iteration and class from the training summaries; the
-    accuracy of the final iteration on the last row (others 0)."""
+    final model's accuracy on the last row, null where it is not known."""
     rows = []
     for a, m in models.items():
         s = m.summary
         hist = list(s.objectiveHistory)
         for i, loss in enumerate(hist, start=1):
-            rows.append((model_id, a, i, float(loss), float(s.accuracy) if i == len(hist) else 0.0))
+            rows.append((model_id, a, i, float(loss), float(s.accuracy) if i == len(hist) else None))
     from pyspark.sql import SparkSession
     ss = SparkSession.getActiveSession()
     df = ss.createDataFrame(rows, "model_id int, attack_name string, epochs int, loss double, accuracy double")

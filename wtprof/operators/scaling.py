@@ -9,21 +9,19 @@ power with maximum-likelihood λ followed by standardisation.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wtprof.operators.quantiles import exact_quantiles
 from wtprof.session import materialize
 
 METHODS = ("standard", "minmax", "maxabs", "robust", "quantile", "power")
 N_QUANTILES = 1000
 
 
-def _pct(c, p, approx: bool, accuracy: int = 100000):
-    return F.percentile_approx(c, p, accuracy) if approx else F.percentile(c, p)
-
-
 def scale_fit(df: DataFrame, cols: Sequence[str], method: str = "minmax", approx: bool = False,
               n_quantiles: int | None = None, lazy: bool = False) -> DataFrame:
     """Fit parameters (materialised unless ``lazy``); see :func:`_fit`."""
@@ -59,8 +57,8 @@ def _bucketize(df: DataFrame, fitted: DataFrame, c: str) -> DataFrame:
 def _fit(df: DataFrame, cols: Sequence[str], method: str, approx: bool,
          n_quantiles: int | None) -> DataFrame:
     """Fit parameters for ``cols``; returns a one-row DataFrame of columns
-    ``<col>__<param>``. Exact percentiles buffer values; ``approx=True``
-    switches robust/quantile to the bounded-memory sketch for huge tables."""
+    ``<col>__<param>``. Quantiles are exact and spread over the cluster;
+    ``approx=True`` switches robust/quantile to the sketch (one pass)."""
     if method not in METHODS:
         raise ValueError(f"unknown scaling method {method!r}")
     aggs = []
@@ -72,15 +70,18 @@ def _fit(df: DataFrame, cols: Sequence[str], method: str, approx: bool,
             aggs += [F.min(x).alias(f"{c}__min"), F.max(x).alias(f"{c}__max")]
         elif method == "maxabs":
             aggs += [F.max(F.abs(x)).alias(f"{c}__maxabs")]
-        elif method == "robust":
-            q = _pct(x, [0.25, 0.5, 0.75], approx)
-            aggs += [q.alias(f"{c}__q")]
-        elif method == "quantile":
+        elif method in ("robust", "quantile"):
             n = n_quantiles or N_QUANTILES
-            refs = [i / (n - 1) for i in range(n)] if n > 1 else [0.0]
-            aggs += [_pct(x, refs, approx).alias(f"{c}__quantiles"), F.lit(refs).alias(f"{c}__refs")]
+            refs = [0.25, 0.5, 0.75] if method == "robust" else [i / (n - 1) for i in range(n)] if n > 1 else [0.0]
+            if approx:
+                q = F.percentile_approx(x, refs, 100_000)
+            else:
+                q = F.lit(exact_quantiles(df, x, refs)).cast("array<double>")
+            aggs += [q.alias(f"{c}__q")] if method == "robust" else [q.alias(f"{c}__quantiles"), F.lit(refs).alias(f"{c}__refs")]
         elif method == "power":
             return power_fit(df, cols)
+    if method in ("robust", "quantile") and not approx:
+        return df.sparkSession.range(1).select(*aggs)
     return df.agg(*aggs)
 
 
@@ -151,51 +152,49 @@ def yeo_johnson(x: Column, lam) -> Column:
     return F.when(x >= 0, pos).otherwise(neg)
 
 
-# Grid of the λ search: coarse step over [LAMBDA_LO, LAMBDA_HI], then a fine
-# step around the coarse optimum.
-LAMBDA_LO, LAMBDA_HI, COARSE, FINE = -4.0, 4.0, 0.01, 0.0001
-
-
-def _grid_llf(df: DataFrame, c: str, grid: Column, base=None, digits: int = 6) -> DataFrame:
-    """Log-likelihood of every λ in ``grid`` (a literal array of values or
-    offsets from the scalar ``base``).
-
-    Rows are first pre-aggregated to (distinct x, count): that shuffle
-    spreads the work over all partitions and shrinks it to the distinct
-    values. Each distinct x then explodes over the grid inside its task and
-    a partial aggregate per λ (weighted sums) runs before the final shuffle
-    of grid-size rows per partition.
-    """
-    x = F.col(c).cast("double")
-    dist = df.where(x.isNotNull()).groupBy(x.alias("x")).agg(F.count(F.lit(1)).cast("double").alias("w"))
-    rows = dist.select("x", "w", F.explode_outer(grid).alias("lam"))
-    if base is not None:
-        rows = rows.withColumn("lam", F.round(base + F.col("lam"), digits))
-    y = yeo_johnson(F.col("x"), F.col("lam"))
-    w = F.col("w")
-    agg = rows.groupBy("lam").agg(
-        F.sum(w).alias("n"), F.sum(w * y).alias("sy"), F.sum(w * y * y).alias("syy"),
-        F.sum(w * F.signum("x") * F.log1p(F.abs("x"))).alias("slog"))
-    mean = F.col("sy") / F.col("n")
-    var = F.greatest(F.col("syy") / F.col("n") - mean * mean, F.lit(0.0))
-    llf = -F.col("n") / 2 * F.log(var) + (F.col("lam") - 1) * F.col("slog")
-    return agg.select("lam", llf.alias("llf"))
+STEPS = 16          # λ values of one pass, less one
+LAMBDA_DIGITS = 4   # resolution of the fitted λ
 
 
 def power_fit(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """J6 fit: λ maximising the Yeo-Johnson log-likelihood (coarse grid,
-    then a fine grid around its optimum), then mean / population std of the
-    transformed column. λ values are scalar subqueries; one aggregate
-    computes every column's mean and std."""
-    n_coarse = int(round((LAMBDA_HI - LAMBDA_LO) / COARSE))
-    # literal grids: folded once, not rebuilt per row
-    coarse = F.lit([round(LAMBDA_LO + i * COARSE, 6) for i in range(n_coarse + 1)])
-    offsets = F.lit([i * FINE for i in range(-100, 101)])
-    aggs, lams = [], {}
+    """J6 fit: λ maximising the Yeo-Johnson log-likelihood, then mean and
+    population std of the transformed column.
+
+    Each pass is one aggregate that evaluates 17 λ of every column; the
+    bracket shrinks around the best one, or moves on without bound if that
+    lies at its edge. The likelihood has one maximum; λ is given to four
+    decimals. Only the 17 likelihoods of a pass reach the driver."""
+    bracket = {c: (-4.0, 4.0) for c in cols}
+    best: dict[str, float] = {}
+    while bracket:
+        aggs = []
+        for c, (lo, hi) in bracket.items():
+            x = F.col(c).cast("double")
+            grid = [lo + (hi - lo) * i / STEPS for i in range(STEPS + 1)]
+            aggs.append(F.struct(
+                F.count(x).alias("n"), F.sum(F.signum(x) * F.log1p(F.abs(x))).alias("slog"),
+                F.array(*[F.var_pop(yeo_johnson(x, v)) for v in grid]).alias("var")).alias(c))
+        row = df.agg(*aggs).first()
+        for c, (lo, hi) in list(bracket.items()):
+            n, slog, var = row[c]["n"], row[c]["slog"], row[c]["var"]
+            step = (hi - lo) / STEPS
+            if not n or not any(v and math.isfinite(v) for v in var):
+                best[c] = 1.0  # nothing to fit: the identity
+                del bracket[c]
+                continue
+            fit = [-n / 2 * math.log(v) + (lo + i * step - 1) * slog if v and math.isfinite(v) else -math.inf
+                   for i, v in enumerate(var)]
+            k = max(range(len(fit)), key=fit.__getitem__)
+            at = lo + k * step
+            if k in (0, STEPS) and abs(at) < 1e3:
+                bracket[c] = (at - (hi - lo) / 2, at + (hi - lo) / 2)
+            elif step > 0.1 * 10.0 ** -LAMBDA_DIGITS:
+                bracket[c] = (at - step, at + step)
+            else:
+                best[c] = round(at, LAMBDA_DIGITS)
+                del bracket[c]
+    aggs = []
     for c in cols:
-        best0 = _grid_llf(df, c, coarse).agg(F.max_by("lam", "llf")).scalar()
-        lam = _grid_llf(df, c, offsets, base=best0, digits=8).agg(F.max_by("lam", "llf")).scalar()
-        lams[f"{c}__lambda"] = lam
-        y = yeo_johnson(F.col(c).cast("double"), lam)
+        y = yeo_johnson(F.col(c).cast("double"), best[c])
         aggs += [F.avg(y).alias(f"{c}__mean"), F.stddev_pop(y).alias(f"{c}__std")]
-    return df.agg(*aggs).withColumns(lams)
+    return df.agg(*aggs).withColumns({f"{c}__lambda": F.lit(best[c]) for c in cols})

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from wtprof.functions.text import STOP_WORDS, ngrams, remove_stop_words, tokenize
 from wtprof.operators.topk import top_terms
+from wtprof.session import materialize
 
 
 def terms(df: DataFrame, key: Sequence[str], text_cols: Sequence[str], n_grams=(1, 1),
@@ -173,8 +174,10 @@ def global_index(df: DataFrame, order_col: str, out: str = "idx") -> DataFrame:
 
     A range-partitioned sort, then row numbers within each partition plus
     the row counts of the earlier partitions (one small row per partition).
+    The sorted rows are written with their partition number first: counts and
+    numbers must come from the same partitioning, whatever columns are read.
     """
-    s = df.orderBy(order_col).withColumn("_pid", F.spark_partition_id())
+    s = materialize(df.orderBy(order_col).withColumn("_pid", F.spark_partition_id()))
     local = s.withColumn("_rn", F.row_number().over(Window.partitionBy("_pid").orderBy(order_col)))
     sizes = s.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     offs = sizes.select("_pid", (F.sum("_n").over(Window.orderBy("_pid")) - F.col("_n")).alias("_off"))
@@ -184,13 +187,19 @@ def global_index(df: DataFrame, order_col: str, out: str = "idx") -> DataFrame:
 
 def assemble(long: DataFrame, key: Sequence[str], size: int, index_col: str = "idx",
              value_col: str = "value", label_col: str | None = None, out: str = "features") -> DataFrame:
-    """Sparse long rows → one dense ML vector per key (size = vocabulary
+    """Sparse long rows → one ML vector per key (size = vocabulary
     size, bounded by max_features × text columns). Rows with no entry get
-    the zero vector when ``long`` is right-joined by the caller."""
+    the zero vector when ``long`` is right-joined by the caller.
+
+    The row's entries are sorted once and the gaps between them filled, so
+    the work is linear in the vector, without a look-up per position."""
     from pyspark.ml.functions import array_to_vector
 
-    g = long.groupBy(*key, *([label_col] if label_col else [])).agg(
-        F.map_from_entries(F.collect_list(F.struct(F.col(index_col).cast("int"), F.col(value_col)))).alias("_m"))
-    dense = F.transform(F.sequence(F.lit(0), F.lit(size - 1)),
-                        lambda i: F.coalesce(F.element_at(F.col("_m"), i), F.lit(0.0)))
-    return g.select(*key, *([label_col] if label_col else []), array_to_vector(dense).alias(out))
+    entry = F.struct(F.col(index_col).cast("int").alias("i"), F.col(value_col).cast("double").alias("v"))
+    g = long.groupBy(*key, *([label_col] if label_col else [])).agg(F.sort_array(F.collect_list(entry)).alias("_e"))
+    e = F.col("_e")
+    filled = F.transform(e, lambda x, j: F.concat(
+        F.array_repeat(F.lit(0.0), x["i"] - F.when(j == 0, F.lit(-1)).otherwise(F.get(e, j - 1)["i"]) - 1),
+        F.array(x["v"])))
+    tail = F.array_repeat(F.lit(0.0), F.lit(size - 1) - F.element_at(e, -1)["i"])
+    return g.select(*key, *([label_col] if label_col else []), array_to_vector(F.concat(F.flatten(filled), tail)).alias(out))

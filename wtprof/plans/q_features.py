@@ -288,20 +288,36 @@ _YJ = """CASE WHEN x >= 0 THEN (CASE WHEN abs(lam) < 1e-12 THEN ln(1 + x) ELSE (
   ELSE (CASE WHEN abs(lam - 2) < 1e-12 THEN -ln(1 - x) ELSE -(pow(1 - x, 2 - lam) - 1) / (2 - lam) END) END"""
 
 
-@register("scale_power", f"""
-WITH x AS (SELECT value AS x FROM events WHERE value IS NOT NULL),
-g1 AS (SELECT round(-4.0 + i * 0.01, 6) AS lam FROM range(0, 801) t(i)),
-l1 AS (SELECT lam, -count(*) / 2 * ln(var_pop({_YJ})) + (lam - 1) * sum(sign(x) * ln(1 + abs(x))) AS llf
-       FROM x, g1 GROUP BY lam),
-b1 AS (SELECT arg_max(lam, llf) AS lam0 FROM l1),
-g2 AS (SELECT round(lam0 + i * 0.0001, 8) AS lam FROM b1, range(-100, 101) t(i)),
-l2 AS (SELECT lam, -count(*) / 2 * ln(var_pop({_YJ})) + (lam - 1) * sum(sign(x) * ln(1 + abs(x))) AS llf
-       FROM x, g2 GROUP BY lam),
-b2 AS (SELECT arg_max(lam, llf) AS lam FROM l2),
-y AS (SELECT e.event_id, (SELECT lam FROM b2) AS lam, e.value AS x FROM events e),
-yy AS (SELECT event_id, {_YJ} AS y FROM y),
+def _power_sql(table: str, col: str, key: str) -> str:
+    """Twin of the power scaler: three grids, coarse to fine, over [-32, 32]."""
+    def level(k: int, lam: str, src: str) -> str:
+        return f"""g{k} AS (SELECT {lam} AS lam FROM {src}),
+l{k} AS (SELECT lam, -count(*) / 2 * ln(var_pop({_YJ})) + (lam - 1) * sum(sign(x) * ln(1 + abs(x))) AS llf
+       FROM x, g{k} GROUP BY lam),
+b{k} AS (SELECT arg_max(lam, llf) AS lam FROM l{k} WHERE isfinite(llf)),
+"""
+    return f"""
+WITH x AS (SELECT {col} AS x FROM {table} WHERE {col} IS NOT NULL),
+""" + level(1, "-32.0 + i * 0.5", "range(0, 129) t(i)") + level(
+        2, "round(b1.lam + i * 0.01, 6)", "b1, range(-50, 51) t(i)") + level(
+        3, "round(b2.lam + i * 0.0001, 8)", "b2, range(-100, 101) t(i)") + f"""
+y AS (SELECT e.{key}, (SELECT lam FROM b3) AS lam, e.{col} AS x FROM {table} e),
+yy AS (SELECT {key}, {_YJ} AS y FROM y),
 st AS (SELECT avg(y) AS m, stddev_pop(y) AS s FROM yy)
-SELECT event_id, round((y - m) / CASE WHEN s = 0 THEN 1 ELSE s END, 6) AS value FROM yy, st""")
+SELECT {key}, round((y - m) / CASE WHEN s = 0 THEN 1 ELSE s END, 6) AS value FROM yy, st"""
+
+
+_FAR_SQL = "(SELECT event_id, 5 + ln(1 + value) / 8 AS far FROM events) AS far_events"
+
+
+@register("scale_power_far", _power_sql(_FAR_SQL, "far", "event_id").replace("AS far_events e", "AS e"))
+def q_scale_power_far(spark, sf):
+    """J6 where the best λ lies far outside [-4, 4]."""
+    ev = load_table(spark, sf, "events").select("event_id", (5 + F.log(1 + F.col("value")) / 8).alias("value"))
+    return _round(SC.scale_transform(ev, SC.scale_fit(ev, ["value"], "power"), ["value"], "power"), "value")
+
+
+@register("scale_power", _power_sql("events", "value", "event_id"))
 def q_scale_power(spark, sf):
     ev = load_table(spark, sf, "events").select("event_id", "value")
     return _round(SC.scale_transform(ev, SC.scale_fit(ev, ["value"], "power"), ["value"], "power"), "value")

@@ -167,10 +167,10 @@ _EV_CLASS = """CASE event_type WHEN 'error' THEN 'SQL_INJECTION' WHEN 'signup' T
 
 @register("run_history", _PC_SQL + _BM_BODY + f"""
 , ep AS (SELECT {_EV_CLASS} AS attack_name, date_trunc('day', ts) AS day, round(avg(value) / 10, 6) AS loss,
-           round(avg(CASE WHEN value > 5 THEN 1.0 ELSE 0.0 END), 6) AS epoch_acc FROM events GROUP BY 1, 2),
+           round(avg(CASE WHEN value > 5 THEN 1.0 ELSE 0.0 END), 6) AS epoch_accuracy FROM events GROUP BY 1, 2),
 epn AS (SELECT *, row_number() OVER (PARTITION BY attack_name ORDER BY day) AS epochs FROM ep),
 last AS (SELECT attack_name, arg_max(day, epochs) AS day, arg_max(loss, epochs) AS loss,
-           arg_max(epoch_acc, epochs) AS epoch_acc, max(epochs) AS epochs FROM epn GROUP BY attack_name)
+           arg_max(epoch_accuracy, epochs) AS epoch_accuracy, max(epochs) AS epochs FROM epn GROUP BY attack_name)
 SELECT last.*, round(bm.accuracy, 6) AS accuracy, round(bm.precision, 6) AS precision,
   round(bm.recall, 6) AS recall, round(bm.f1_score, 6) AS f1_score, bm.pred_pos, bm.actual_pos
 FROM last LEFT JOIN bm ON bm.class = last.attack_name""")
@@ -185,7 +185,7 @@ def q_run_history(spark, sf):
         cls = F.when(t == k, F.lit(v)).otherwise(cls)
     ep = ev.groupBy(cls.alias("attack_name"), time_bucket("ts", "1 day").alias("day")).agg(
         F.round(F.avg("value") / 10, 6).alias("loss"),
-        F.round(F.avg(F.when(F.col("value") > 5, 1.0).otherwise(0.0)), 6).alias("epoch_acc"))
+        F.round(F.avg(F.when(F.col("value") > 5, 1.0).otherwise(0.0)), 6).alias("accuracy"))
     ep = epoch_number(ep, ["attack_name"], ["day"])
     bm = _r6(D.binary_metrics(_with_pred(http_log(spark, sf)), "hash", "pred"))
     return D.run_history(ep, bm)

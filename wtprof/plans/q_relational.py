@@ -92,21 +92,25 @@ def q_sort_rows(spark, sf):
                        ["o_orderdate", "o_orderkey"])
 
 
+_ATTACKS = ("BEACONING", "CREDENTIAL", "SQL_INJECTION", "XSS")
+
+
 @register("union_classes", with_log("""
 SELECT lgtime, src_ip, dst_ip, label, coalesce(n_req, 0) AS n_req, coalesce(n_ports, 0) AS n_ports FROM (
   SELECT date_trunc('hour', logtime) AS lgtime, src_ip, dst_ip, 'normal' AS label, count(*) AS n_req,
-         NULL AS n_ports FROM http_log WHERE hash = 'normal' GROUP BY 1, 2, 3
+         NULL AS n_ports FROM http_log WHERE hash = 'normal' GROUP BY 1, 2, 3""" + "".join(f"""
   UNION ALL
-  SELECT date_trunc('hour', logtime), src_ip, dst_ip, 'SQL_INJECTION', NULL, count(DISTINCT dst_port)
-  FROM http_log WHERE hash = 'SQL_INJECTION' GROUP BY 1, 2, 3)"""))
+  SELECT date_trunc('hour', logtime), src_ip, dst_ip, '{a}', NULL, count(DISTINCT dst_port)
+  FROM http_log WHERE hash = '{a}' GROUP BY 1, 2, 3""" for a in _ATTACKS) + ")"))
 def q_union_classes(spark, sf):
+    """normal and all four attacks, each with its own columns."""
     log = http_log(spark, sf)
     b = TU.time_bucket("logtime", "1 hour").alias("lgtime")
-    normal = (C.by_label(log, "normal").groupBy(b, "src_ip", "dst_ip")
-              .agg(F.count(F.lit(1)).alias("n_req")).withColumn("label", F.lit("normal")))
-    inj = (C.by_label(log, "SQL_INJECTION").groupBy(b, "src_ip", "dst_ip")
-           .agg(F.count_distinct("dst_port").alias("n_ports")).withColumn("label", F.lit("SQL_INJECTION")))
-    return S.union_classes([normal, inj])
+    parts = [C.by_label(log, "normal").groupBy(b, "src_ip", "dst_ip")
+             .agg(F.count(F.lit(1)).alias("n_req")).withColumn("label", F.lit("normal"))]
+    parts += [C.by_label(log, a).groupBy(b, "src_ip", "dst_ip")
+              .agg(F.count_distinct("dst_port").alias("n_ports")).withColumn("label", F.lit(a)) for a in _ATTACKS]
+    return S.union_classes(parts)
 
 
 @register("dedupe_results", with_log("SELECT DISTINCT src_ip, dst_ip, hash FROM http_log"))
@@ -167,7 +171,7 @@ def q_tree_parent(spark, sf):
 , sc AS (SELECT event_id, CASE WHEN event_id % 2 = 0 THEN hash ELSE 'XSS' END AS class,
                 (event_id % 100) / 100.0 AS score FROM http_log WHERE hash <> 'normal')
 SELECT l.event_id, l.hash AS pred, coalesce(sc.score, 0.0) AS score
-FROM http_log l LEFT JOIN sc ON sc.event_id = l.event_id AND sc.class = l.hash"""))
+FROM http_log l LEFT JOIN sc ON sc.event_id = l.event_id AND sc.class = l.hash""").replace("http_log AS (", "http_log AS MATERIALIZED (", 1))
 def q_class_rows_join(spark, sf):
     log = http_log(spark, sf)
     full = log.select("event_id", F.col("hash").alias("pred"))

@@ -45,11 +45,15 @@ def get_spark(master: str | None = None, app: str = "wtprof", shuffle_partitions
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 
-    Only when the session names none (local tests) a scratch folder is made
+    Only when a local session names none (tests) a scratch folder is made
     and registered, so ``DataFrame.checkpoint()`` can cut lineage reliably.
+    A cluster must name one: a folder of the driver's machine is refused.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="wtprof-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
