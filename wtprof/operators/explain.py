@@ -4,7 +4,8 @@ class weight is the mean value in the class minus the mean in normal.
 
 Rows are ranked over the *whole* vocabulary: the median is taken with the
 implicit zeros counted, and features are ordered by score descending, ties
-by feature position — all inside the row (the vocabulary is bounded).
+by feature position — all inside the row, of which only the non-zero
+entries are sorted.
 """
 
 from __future__ import annotations
@@ -14,6 +15,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wtprof.operators.vectorize import small_side
+
 NORMAL = "normal"
 
 
@@ -39,45 +42,55 @@ def class_weights(long: DataFrame, labels: DataFrame, key: Sequence[str], label_
 def feature_contribution(long: DataFrame, preds: DataFrame, weights: DataFrame, key: Sequence[str],
                          pred_col: str = "prediction", feature_col: str = "fidx",
                          value_col: str = "value") -> DataFrame:
-    """M1: value × weight of the row's predicted class (zero if unseen)."""
+    """M1: value × weight of the row's predicted class (zero if unseen). The
+    weights (classes × vocabulary) are broadcast after a check of their
+    size, so a common term of a common class is no hot key."""
     j = long.join(preds.select(*key, pred_col), list(key))
-    j = j.join(weights.withColumnRenamed("class", pred_col), [pred_col, feature_col], "left")
+    j = j.join(small_side(weights.withColumnRenamed("class", pred_col)), [pred_col, feature_col], "left")
     return j.select(*key, pred_col, feature_col,
                     (F.col(value_col) * F.coalesce("weight", F.lit(0.0))).alias("contribution"))
 
 
 def explain_rows(contrib: DataFrame, names: DataFrame, key: Sequence[str], n_features: int,
                  pred_col: str = "prediction", feature_col: str = "fidx", version: str | None = None,
-                 top_k: int | None = None) -> DataFrame:
+                 top_k: int | None = None, rows: DataFrame | None = None) -> DataFrame:
     """M2: per row ``feature`` / ``score`` arrays over all ``n_features``
     features, score = contribution − median(all contributions, zeros
-    included), sorted by score descending then feature position.
+    included), sorted by score descending then feature position; all of them
+    unless ``top_k`` cuts the list (E5).
 
-    ``names``: (fidx, feature_term), bounded by the vocabulary; it becomes
-    one literal-size array through a scalar subquery (no join per row).
+    Rows stay sparse: only the non-zero contributions are sorted. The median
+    follows from how many lie below and above zero, and the zero block, in
+    feature order, goes between the positive and the negative ones. With
+    ``rows`` (key and prediction) rows without any entry are kept: all their
+    scores are zero. ``names``: (fidx, feature_term), bounded by the
+    vocabulary; one array through a scalar subquery (no join per row).
     """
-    g = contrib.groupBy(*key, pred_col).agg(
-        F.map_from_entries(F.collect_list(F.struct(F.col(feature_col).cast("int"), "contribution"))).alias("_m"))
+    entry = F.struct((-F.col("contribution")).alias("neg"), F.col(feature_col).cast("int").alias("i"))
+    g = contrib.where(F.col("contribution") != 0).groupBy(*key, pred_col).agg(F.sort_array(F.collect_list(entry)).alias("_e"))
+    every = (rows if rows is not None else contrib).select(*key, pred_col)
+    g = (every if rows is not None else every.distinct()).join(g, [*key, pred_col], "left")
+    g = g.withColumn("_e", F.coalesce("_e", F.array().cast("array<struct<neg:double,i:int>>")))
     name_arr = names.agg(F.transform(F.array_sort(F.collect_list(F.struct(F.col(feature_col).cast("int"),
                                                                            "feature_term"))),
                                      lambda s: s["feature_term"])).scalar()
-    g = g.withColumn("_names", name_arr)
-    dense = F.transform(F.sequence(F.lit(0), F.lit(n_features - 1)),
-                        lambda i: F.coalesce(F.element_at(F.col("_m"), i), F.lit(0.0)))
-    g = g.withColumn("_v", dense).drop("_m")
-    s = F.array_sort(F.col("_v"))
+    e = F.col("_e")
+    up, down = F.filter(e, lambda x: x["neg"] < 0), F.filter(e, lambda x: x["neg"] > 0)
+    idle = F.array_except(F.sequence(F.lit(0), F.lit(n_features - 1)), F.transform(e, lambda x: x["i"]))
+    zeros = F.transform(idle, lambda i: F.struct(F.lit(0.0).alias("neg"), i.alias("i")))
+    g = g.select(*key, pred_col, F.concat(up, zeros, down).alias("_r"))
+
+    def at(place: int):
+        # the place-th smallest contribution: the ranking read from its end
+        return -F.get(F.col("_r"), F.lit(n_features - 1 - place))["neg"]
+
     mid = n_features // 2
-    med = (F.get(s, mid) if n_features % 2 else (F.get(s, mid - 1) + F.get(s, mid)) / 2)
-    g = g.withColumn("_med", med)
-    scored = F.transform(F.col("_v"), lambda v, i: F.struct((-(v - F.col("_med"))).alias("neg"), i.alias("i"),
-                                                           (v - F.col("_med")).alias("score")))
-    ranked = F.array_sort(scored)
-    if top_k:
-        ranked = F.slice(ranked, 1, top_k)
-    g = g.withColumn("_r", ranked)
-    out = g.select(*key, pred_col,
-                   F.transform("_r", lambda r: F.get(F.col("_names"), r["i"])).alias("feature"),
-                   F.transform("_r", lambda r: r["score"]).alias("score"))
+    med = at(mid) if n_features % 2 else (at(mid - 1) + at(mid)) / 2
+    g = g.withColumn("_med", med).withColumn("_names", name_arr)
+    ranked = F.slice("_r", 1, top_k) if top_k else F.col("_r")
+    out = g.withColumn("_r", ranked).select(
+        *key, pred_col, F.transform("_r", lambda r: F.get(F.col("_names"), r["i"])).alias("feature"),
+        F.transform("_r", lambda r: -r["neg"] - F.col("_med")).alias("score"))
     if version is not None:
         out = out.withColumn("version", F.lit(version))
     return out

@@ -1,19 +1,21 @@
 """End-to-end train and predict jobs built from the operators.
 
-Train: sessions (C1, C3, D2) → per-class cap (E2) → held-out split (K3) →
-balance (K1) → TF-IDF fit (J7) → vectors (J13) → tree (L1, L2, L3),
+Train: sessions (C1, C3, D2) → held-out split (K3) → TF-IDF fit (J7) →
+vectors (J13) → rows for the classifiers (E2, K1) → tree (L1, L2, L3),
 specialists (K6, L4, L11), outlier model (L5) + threshold (D11) → metrics
 and history on the held-out rows (D7, D8, D10). Artifacts are saved under
 ``<base>/<name>/version=<v>`` (A9) and ``<base>/models/<v>/…``.
 
 Predict: newest version ≤ as_of (A10) → sessions → TF-IDF transform with
 the saved vocabulary (J8) → tree → specialists routed by class (L6) →
-fusion (L8) → anomaly (L9) → result layout (L10) → dedupe (F2) → thin
-NORMAL (K5) → explanations of confirmed attacks (M1-M3).
+confirmation (L7) → fusion (L8) → anomaly (L9) → result layout (L10) →
+dedupe (F2) → thin NORMAL (K5) → explanations of confirmed attacks with the
+trained weights (M1-M3).
 """
 
 from __future__ import annotations
 
+import datetime as dt
 import os
 from dataclasses import dataclass
 
@@ -36,6 +38,7 @@ from wtprof.operators.sessions import session_text_labeled, status_class_counts
 from wtprof.operators.topk import limit_per_class
 from wtprof.session import materialize
 from wtprof.sources import io as A
+from wtprof.streaming.sessions import stream_predict
 
 KEY = ["lgtime", "src_ip", "dst_ip", "label"]
 TEXT = ["agent", "query"]
@@ -43,10 +46,15 @@ TEXT = ["agent", "query"]
 
 @dataclass
 class TrainConfig:
+    """``fit_rows`` bounds the rows of a class that the tree and specialist
+    fits read (those of smallest key hash); everything else, vocabulary,
+    scaler, outlier model, threshold and evaluation, takes all rows.
+    ``class_ranges`` gives classes a time range of their own."""
+
     start: str
     end: str
-    interval: str = "1 hour"
-    limit: int = 100_000
+    interval: str = "1 minute"
+    fit_rows: int = 100_000
     max_features: int = 256
     max_depth: int = 10
     spec_iter: int = 50
@@ -54,6 +62,7 @@ class TrainConfig:
     model_id: int = 335
     fit_on: str = "train"  # "balanced": fit TF-IDF after oversampling, as the reference did
     numeric: bool = False  # append min-max scaled status counts (D9 ⋈ sessions) to the vector
+    class_ranges: dict | None = None  # class → (start, end); other classes: start, end
 
 
 NUMERIC = ["dst_port_cnt", "info_st", "succ_st", "redir_st", "cler_st", "serer_st", "oth_st"]
@@ -89,18 +98,43 @@ def _vectors(long: DataFrame, vocab: DataFrame, sessions: DataFrame) -> tuple[Da
     return rows, names, n
 
 
-def train_job(spark: SparkSession, log: DataFrame, cfg: TrainConfig, base: str, version: str) -> dict:
-    part = predict_filter(time_range(log, cfg.start, cfg.end))
+def _feature_index(long: DataFrame, vocab: DataFrame) -> DataFrame:
+    """Global feature position ``fidx``: agent terms, then query terms."""
+    n_agent = vocab.where(F.col("feature") == TEXT[0]).select(F.count(F.lit(1))).scalar()
+    off = F.when(F.col("feature") == TEXT[1], n_agent).otherwise(F.lit(0))
+    return long.withColumn("fidx", (F.col("idx") + off).cast("int"))
+
+
+def _training_log(log: DataFrame, cfg: TrainConfig) -> DataFrame:
+    """C1/C3 with a time range of its own for the classes that have one."""
+    rows = predict_filter(log)
+    if not cfg.class_ranges:
+        return time_range(rows, cfg.start, cfg.end)
+    ranged = None
+    for cls, (start, end) in cfg.class_ranges.items():
+        part = time_range(rows, start, end).where(F.col("hash") == cls)
+        ranged = part if ranged is None else ranged.unionByName(part)
+    rest = time_range(rows, cfg.start, cfg.end).where(~F.col("hash").isin(list(cfg.class_ranges)) | F.col("hash").isNull())
+    return ranged.unionByName(rest)
+
+
+def train_job(spark: SparkSession, log: DataFrame, cfg: TrainConfig, base: str, version: str,
+              sinks: dict | None = None) -> dict:
+    """Train (see module doc). ``sinks`` may name folders or tables for
+    ``nodes``, ``importance``, ``epochs`` and ``history`` (A6 appends)."""
+    part = _training_log(log, cfg)
     s = session_text_labeled(part, cfg.interval)
     if cfg.numeric:
         s = _with_numeric(s, part, cfg.interval)
-    s = limit_per_class(s, cfg.limit, "label", ["lgtime", "src_ip", "dst_ip"])
     s = materialize(K.split_fraction(s, KEY, 0.7))
     train, test = s.where(F.col("split") == "train"), s.where(F.col("split") == "test")
-    bal_sessions = K.oversample_to_max(train, "label", ["lgtime", "src_ip", "dst_ip"])
-    fit_rows = bal_sessions if cfg.fit_on == "balanced" else train
-    vocab = materialize(V.tfidf_fit(fit_rows, [*KEY, "copy"] if cfg.fit_on == "balanced" else KEY, TEXT,
-                                    cfg.max_features))
+    by_hash = F.xxhash64(*KEY)
+    chosen = limit_per_class(train.withColumn("_h", by_hash), cfg.fit_rows, "label", ["_h", *KEY[:3]]).drop("_h")
+    if cfg.fit_on == "balanced":
+        vocab = V.tfidf_fit(K.oversample_to_max(train, "label", KEY[:3]), [*KEY, "copy"], TEXT, cfg.max_features)
+    else:
+        vocab = V.tfidf_fit(train, KEY, TEXT, cfg.max_features)
+    vocab = materialize(vocab)
     A.save_fit(vocab, base, "tfidf", version)
     long_tr = V.tfidf_transform(train, vocab, KEY, TEXT)
     rows_tr, names, n = _vectors(long_tr, vocab, train)
@@ -112,7 +146,10 @@ def train_job(spark: SparkSession, log: DataFrame, cfg: TrainConfig, base: str,
         names = names.unionByName(spark.createDataFrame([(n + i, c) for i, c in enumerate(NUMERIC)],
                                                         "fidx int, feature_term string"))
         n += len(NUMERIC)
-    balanced = materialize(K.oversample_to_max(rows_tr, "label", KEY).drop("copy"))
+    rows_tr = materialize(rows_tr)
+    weights = materialize(M.class_weights(_feature_index(long_tr, vocab), train.select(*KEY), KEY))
+    A.save_fit(weights, base, "weights", version)
+    balanced = materialize(K.oversample_to_max(rows_tr.join(chosen.select(*KEY), KEY, "left_semi"), "label", KEY).drop("copy"))
     tree, labels = ML.fit_tree(balanced, max_depth=cfg.max_depth)
     mdir = os.path.join(base, "models", version)
     tree.write().overwrite().save(os.path.join(mdir, "tree"))
@@ -121,7 +158,10 @@ def train_job(spark: SparkSession, log: DataFrame, cfg: TrainConfig, base: str,
     spec = ML.fit_specialists(K.class_vs_normal(balanced, "label", attacks), attacks, max_iter=cfg.spec_iter)
     for a, m in spec.items():
         m.write().overwrite().save(os.path.join(mdir, f"spec_{a}"))
-    pca = ML.fit_outlier(balanced.where(F.col("label") == "normal"), k=min(cfg.pca_k, n))
+    # what belongs to this version is data, read back with it (no probing of folders)
+    A.save_fit(spark.createDataFrame([(x,) for x in spec], "label string"), base, "specialists", version)
+    A.save_fit(spark.createDataFrame([(cfg.numeric,)], "numeric boolean"), base, "settings", version)
+    pca = ML.fit_outlier(rows_tr.where(F.col("label") == "normal"), k=min(cfg.pca_k, n))
     pca.write().overwrite().save(os.path.join(mdir, "pca"))
     normal_scores = ML.outlier_score(pca, rows_tr.where(F.col("label") == "normal"))
     thr = materialize(boxplot_threshold(normal_scores, "normal", "box"))
@@ -130,65 +170,99 @@ def train_job(spark: SparkSession, log: DataFrame, cfg: TrainConfig, base: str,
     rows_te, _, _ = _vectors(V.tfidf_transform(test, vocab, KEY, TEXT), vocab, test)
     if scaler is not None:
         rows_te = _append_numeric(rows_te, test, scaler)
-    pred = ML.predict_tree(tree, labels, rows_te)
+    pred = materialize(ML.predict_tree(tree, labels, rows_te).select(*KEY, "pred"))
     metrics = D.binary_metrics(pred, "label", "pred")
-    epochs = ML.epoch_metrics(spec, cfg.model_id, F.current_timestamp())
+    logtime = F.lit(cfg.end).cast("timestamp_ntz")  # the run's own time, not the clock
+    epochs = ML.epoch_metrics(spec, cfg.model_id, logtime)
     history = D.run_history(epochs, metrics)
-    return dict(vocab=vocab, names=names, labels=labels, tree=tree, spec=spec, pca=pca, threshold=thr,
-                metrics=metrics, weighted=D.weighted_metrics(pred, "label", "pred"), history=history,
-                nodes=ML.tree_nodes(tree, labels, names, os.path.join(mdir, "tree_nodes_model"),
-                                    cfg.model_id, version, cfg.start),
-                confusion=D.confusion_matrix(pred, "label", "pred"))
+    nodes = ML.tree_nodes(tree, labels, names, os.path.join(mdir, "tree_nodes_model"), cfg.model_id, version, cfg.end)
+    day = dt.datetime.fromisoformat(cfg.end)
+    importance = ML.tree_importance(tree, names, cfg.model_id, cfg.end, day.weekday(), f"{day.hour:02d}")
+    out = dict(vocab=vocab, names=names, labels=labels, tree=tree, spec=spec, pca=pca, threshold=thr, weights=weights,
+               metrics=metrics, weighted=D.weighted_metrics(pred, "label", "pred"), epochs=epochs, history=history,
+               nodes=nodes, importance=importance, confusion=D.confusion_matrix(pred, "label", "pred"))
+    for name, target in (sinks or {}).items():
+        A.append_results(out[name], target)
+    return out
 
 
-def predict_job(spark: SparkSession, log: DataFrame, base: str, as_of: str, start: str, end: str,
-                interval: str = "1 hour", model_id: int = 250, explain_top: int = 20,
-                sinks: dict | None = None) -> dict:
-    """Predict (see module doc). ``sinks`` may name folders or tables for
-    ``result`` (A6 append), ``explain`` and ``features`` (A7 appends in
-    files of ≤ 200 000 rows): results, explanations and the non-NORMAL
-    sessions' feature lists."""
+@dataclass
+class Artifacts:
+    """Everything of one model version that scoring needs."""
+
+    version: str
+    vocab: DataFrame
+    labels: list
+    threshold: float
+    tree: object
+    spec: dict
+    pca: object
+    weights: DataFrame
+    scaler: DataFrame | None
+
+
+def load_artifacts(spark: SparkSession, base: str, as_of: str) -> Artifacts:
+    """Newest version at or before ``as_of`` (A10). What a version consists
+    of is read from its saved lists; a listed part that is missing fails."""
     versions = spark.read.parquet(os.path.join(base, "labels")).select("version").distinct()
     version = A.latest_version(versions, as_of).first()[0]  # one string
     if version is None:
         raise ValueError(f"no model version at or before {as_of}")
-    vocab = A.load_fit(spark, base, "tfidf", version)
-    labels = [r[0] for r in A.load_fit(spark, base, "labels", version).orderBy("label").collect()]
-    thr = A.load_fit(spark, base, "threshold", version).select("threshold").scalar()
+    load = lambda name: A.load_fit(spark, base, name, version)
+    names = lambda name: [r[0] for r in load(name).orderBy("label").collect()]  # noqa: E731  a row for each class
     mdir = os.path.join(base, "models", version)
-    tree = DecisionTreeClassificationModel.load(os.path.join(mdir, "tree"))
-    spec = {a: LogisticRegressionModel.load(os.path.join(mdir, f"spec_{a}")) for a in labels if a != "normal"
-            and os.path.exists(os.path.join(mdir, f"spec_{a}"))}
-    pca = PCAModel.load(os.path.join(mdir, "pca"))
-    part = predict_filter(time_range(log, start, end))
-    s = session_text_labeled(part, interval)
-    long = V.tfidf_transform(s, vocab, KEY, TEXT)
-    rows, names, n = _vectors(long, vocab, s)
-    if os.path.exists(os.path.join(base, "scaler")):  # model trained with numeric features
-        scaler = A.load_fit(spark, base, "scaler", version)
-        rows = _append_numeric(rows, _with_numeric(s, part, interval), scaler)
-    scored = ML.outlier_score(pca, ML.predict_specialists(spec, ML.predict_tree(tree, labels, rows)))
-    for a in labels:
+    return Artifacts(
+        version, materialize(load("tfidf")), names("labels"), load("threshold").select("threshold").first()[0],
+        DecisionTreeClassificationModel.load(os.path.join(mdir, "tree")),
+        {a: LogisticRegressionModel.load(os.path.join(mdir, f"spec_{a}")) for a in names("specialists")},
+        PCAModel.load(os.path.join(mdir, "pca")), materialize(load("weights")),
+        load("scaler") if load("settings").first()["numeric"] else None)
+
+
+def score_sessions(art: Artifacts, s: DataFrame, interval: str, part: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame, int]:
+    """Tree, specialists, confirmation (L7), fusion (L8) and anomaly (L9) of
+    sessions. Returns (fused rows, TF-IDF entries with ``fidx``, names, size).
+    A model with numeric features needs the log rows ``part``, too."""
+    long = _feature_index(V.tfidf_transform(s, art.vocab, KEY, TEXT), art.vocab)
+    rows, names, n = _vectors(long.drop("fidx"), art.vocab, s)
+    if art.scaler is not None:
+        if part is None:
+            raise ValueError("this model version has numeric features: scoring needs the log rows")
+        rows = _append_numeric(rows, _with_numeric(s, part, interval), art.scaler)
+    scored = ML.outlier_score(art.pca, ML.predict_specialists(art.spec, ML.predict_tree(art.tree, art.labels, rows)))
+    for a in art.labels:
         if a not in scored.columns:
-            scored = scored.withColumn(a, F.lit(0.0))
-    routed = L.route_by_class(scored, "pred", labels)
-    fused = L.apply_anomaly(L.fuse_scores(routed, labels), thr)
-    out = fused.withColumn("end", F.timestamp_add("HOUR", F.lit(1), F.col("lgtime")))
-    result = L.result_record(out, model_id, version).dropDuplicates()
+            scored = scored.withColumn(a, F.lit(0.0))  # a class without a specialist
+    routed = L.route_by_class(scored, "pred", art.labels)
+    attacks = [a for a in art.labels if a != "normal"]
+    own = F.greatest(*[F.col(a) for a in attacks], F.lit(0.0)) if attacks else F.lit(0.0)
+    routed = L.confirm_attack(routed.withColumn("_own", own), "pred", "_own").drop("_own")
+    fused = L.apply_anomaly(L.fuse_scores(routed, art.labels), art.threshold)
+    fused = fused.withColumn("end", F.col("lgtime") + F.expr(f"INTERVAL '{interval}'"))
+    return fused.drop("features"), long, names, n
+
+
+def predict_job(spark: SparkSession, log: DataFrame, base: str, as_of: str, start: str, end: str,
+                interval: str = "1 minute", model_id: int = 250, explain_top: int | None = None,
+                sinks: dict | None = None) -> dict:
+    """Predict (see module doc). ``sinks`` may name folders or tables for
+    ``result`` (A6 append), ``explain`` and ``features`` (A7 appends in
+    files of ≤ 200 000 rows): results, explanations of the attacks that were
+    confirmed (full rankings unless ``explain_top`` cuts them), and the
+    non-NORMAL sessions' feature lists."""
+    art = load_artifacts(spark, base, as_of)
+    part = predict_filter(time_range(log, start, end))
+    s = materialize(session_text_labeled(part, interval))
+    fused, long, names, n = score_sessions(art, s, interval, part)
+    fused = materialize(fused)
+    result = L.result_record(fused, model_id, art.version).dropDuplicates()
     thinned = K.thin_class(result, "att_name", "NORMAL", 1, key=["lgtime", "src_ip", "dst_ip"])
-    # explanations for rows the fusion confirmed as an attack class
-    long_f = long.withColumn("fidx", F.col("idx") + F.when(F.col("feature") == TEXT[1], F.lit(
-        vocab.where(F.col("feature") == TEXT[0]).count())).otherwise(F.lit(0)))
-    w = M.class_weights(long_f, s.select(*KEY), KEY)
-    preds = fused.select(*KEY, F.col("pred").alias("prediction"))
-    contrib = M.feature_contribution(long_f, preds, w, KEY)
-    expl = M.explain_confirmed(M.explain_rows(contrib, names, KEY, n, version=version, top_k=explain_top),
-                               [x for x in labels if x != "normal"])
-    # feature lists of non-NORMAL sessions: (term, value) pairs per text column
-    feats = (long.groupBy(*KEY).agg(F.map_from_entries(F.collect_list(F.struct(
-        F.concat_ws("_", "feature", "term"), F.col("value")))).alias("feature_values"))
-        .join(fused.where(F.col("att_name") != "NORMAL").select(*KEY, "att_name"), KEY)
-        .withColumn("model_id", F.lit(model_id)).withColumn("model_ver", F.lit(version)))
+    # explanations: the trained weights, for the class after confirmation
+    confirmed = fused.where(F.col("ai_label_pred") != "NORMAL").select(*KEY, F.col("ai_label_pred").alias("prediction"))
+    contrib = M.feature_contribution(long, confirmed, art.weights, KEY)
+    expl = M.explain_confirmed(M.explain_rows(contrib, names, KEY, n, version=art.version, top_k=explain_top, rows=confirmed),
+                               [x for x in art.labels if x != "normal"])
+    feats = _feature_lists(fused, long, s, part, interval, model_id, art.version)
     if sinks:
         if "result" in sinks:
             A.append_results(thinned, sinks["result"])
@@ -196,4 +270,33 @@ def predict_job(spark: SparkSession, log: DataFrame, base: str, as_of: str, star
             A.append_batched(expl, sinks["explain"])
         if "features" in sinks:
             A.append_batched(feats, sinks["features"])
-    return dict(version=version, result=thinned, explanations=expl, fused=fused, features=feats)
+    return dict(version=art.version, result=thinned, explanations=expl, fused=fused, features=feats)
+
+
+def _feature_lists(fused: DataFrame, long: DataFrame, s: DataFrame, part: DataFrame, interval: str, model_id: int,
+                   version: str) -> DataFrame:
+    """Feature lists of the non-NORMAL sessions: for each text column the
+    terms and their values (by term), and the status and port counts."""
+    cells = F.struct("term", "value")
+    per = long.groupBy(*KEY).agg(*[F.sort_array(F.collect_list(F.when(F.col("feature") == c, cells))).alias(f"_{c}") for c in TEXT])
+    hit = fused.where(F.col("att_name") != "NORMAL").select(*KEY, "end", "att_name", "result", "probs", "anomaly_score")
+    empty = F.array().cast("array<struct<term:string,value:double>>")
+    rows = _with_numeric(hit.join(per, KEY, "left"), part, interval)
+    lists = []
+    for c in TEXT:
+        e = F.coalesce(f"_{c}", empty)
+        lists += [F.transform(e, lambda x: x["term"]).alias(f"{c}_feature"), F.transform(e, lambda x: x["value"]).alias(f"{c}_value")]
+    return rows.select(F.lit(model_id).alias("model_id"), F.lit(version).alias("model_ver"), *KEY, "end", "att_name", "result",
+                       "probs", "anomaly_score", *lists, *NUMERIC)
+
+
+def stream_predict_job(spark: SparkSession, sessions: DataFrame, base: str, as_of: str, interval: str, sink: str,
+                       checkpoint: str, model_id: int = 250) -> None:
+    """Closed sessions of a stream, scored per micro-batch with the
+    newest model version into result records."""
+    art = load_artifacts(spark, base, as_of)
+
+    def score(batch: DataFrame) -> DataFrame:
+        return L.result_record(score_sessions(art, batch, interval)[0], model_id, art.version)
+
+    stream_predict(sessions, score, sink, checkpoint)

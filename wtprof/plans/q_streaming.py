@@ -54,22 +54,12 @@ def q_stream_dedupe(spark, sf):
 
 @register("stream_predict")
 def q_stream_predict(spark, sf):
-    """Closed sessions from N1 scored per micro-batch with a vocabulary
-    fitted on the batch sessions (rows-only)."""
-    from wtprof.operators import vectorize as V
-    from wtprof.operators.sessions import session_text_labeled
-    from wtprof.session import materialize
-    from wtprof.sources.tables import http_log
+    """Closed sessions from N1, scored per micro-batch by the newest
+    trained model into result records (tests compare them with the batch job)."""
+    from wtprof.plans.jobs import stream_predict_job
+    from wtprof.plans.q_models import trained_artifacts
     run, log = _stream_log(spark, sf)
     N.run_to_completion(N.stream_session_text(log, "1 hour", "1 hour"), f"{run}/sessions", f"{run}/ckpt1")
-    key = ["lgtime", "src_ip", "dst_ip", "label"]
-    vocab = materialize(V.tfidf_fit(session_text_labeled(http_log(spark, sf), "1 hour"), key,
-                                    ["agent", "query"], 64))
-
-    def score(batch):
-        t = V.tfidf_transform(batch, vocab, key, ["agent", "query"])
-        return t.groupBy(*key).agg(F.count(F.lit(1)).alias("n_terms"), F.max("value").alias("max_value"))
-
     sessions = spark.readStream.schema(spark.read.parquet(f"{run}/sessions").schema).parquet(f"{run}/sessions")
-    N.stream_predict(sessions, score, f"{run}/scored", f"{run}/ckpt2")
-    return spark.read.parquet(f"{run}/scored")
+    stream_predict_job(spark, sessions, trained_artifacts(spark, sf), "2024_01_31", "1 hour", f"{run}/scored", f"{run}/ckpt2")
+    return spark.read.parquet(f"{run}/scored").drop("batch_id")
