@@ -61,12 +61,12 @@ def test_jobs_with_numeric_features(spark):
     from wtprof.sources.tables import http_log
     log = http_log(spark, SF_SMALL)
     base = scratch_path(spark, f"jobs_num_{uuid.uuid4().hex[:6]}")
-    cfg = TrainConfig(start="2024-01-01 00:00:00", end="2024-01-22 00:00:00", max_features=32, max_depth=4,
-                      spec_iter=5, pca_k=2, numeric=True)
+    cfg = TrainConfig(start="2024-01-01 00:00:00", end="2024-01-22 00:00:00", interval="1 hour", max_features=32,
+                      max_depth=4, spec_iter=5, pca_k=2, numeric=True)
     tr = train_job(spark, log, cfg, base, "2024_01_21")
     assert tr["weighted"].first()["accuracy"] >= 0.9
     sinks = {k: scratch_path(spark, f"{k}_{uuid.uuid4().hex[:6]}") for k in ("result", "explain", "features")}
-    pr = predict_job(spark, log, base, "2024_01_31", "2024-01-22 00:00:00", "2024-01-31 00:00:00", sinks=sinks)
+    pr = predict_job(spark, log, base, "2024_01_31", "2024-01-22 00:00:00", "2024-01-31 00:00:00", interval="1 hour", sinks=sinks)
     res = spark.read.parquet(sinks["result"])
     assert res.count() == pr["result"].count() > 0 and len(res.columns) == 25
     assert res.where("att_name IS NULL").count() == 0

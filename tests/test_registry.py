@@ -36,7 +36,9 @@ def test_matches_duckdb(spark, duck, name):
     same_rows(scalable_plan(QS[name](spark, SF_SMALL)), duck.sql(SQL[name]))
 
 
-@pytest.mark.parametrize("name", sorted(set(QS) - set(SQL)))
+@pytest.mark.parametrize("name", sorted(n for n in set(QS) - set(SQL) if n != "pipeline" and not n.startswith("op")))
 def test_rows_only_runs(spark, name):
     from conftest import SF_SMALL
-    assert scalable_plan(QS[name](spark, SF_SMALL)).count() >= 0
+    df = scalable_plan(QS[name](spark, SF_SMALL))
+    assert len(set(df.columns)) == len(df.columns)
+    df.write.format("noop").mode("overwrite").save()  # every column is computed

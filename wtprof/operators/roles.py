@@ -22,7 +22,8 @@ CAT_THRESHOLD = 10
 def infer_roles(df: DataFrame, index_cols: Sequence[str] = (), label_col: str | None = "label",
                 cat_threshold: int = CAT_THRESHOLD, approx: bool = False) -> DataFrame:
     """One row per column: ``column_name, dtype, nunique, role``, from one
-    distinct-count aggregate over the data."""
+    distinct-count aggregate over the data. ``screen_roles`` gives the same
+    roles without exact counts of columns that are plainly over the threshold."""
     fields = {f.name: f.dataType for f in df.schema.fields}
     kind = {n: "number" if isinstance(t, NumericType) else "string" if isinstance(t, StringType) else "none"
             for n, t in fields.items()}
@@ -38,6 +39,20 @@ def infer_roles(df: DataFrame, index_cols: Sequence[str] = (), label_col: str |
     return counts.select(c, F.element_at(dtype, c).alias("dtype"), nu, role.alias("role"))
 
 
+def screen_roles(df: DataFrame, index_cols: Sequence[str] = (), label_col: str | None = "label",
+                 cat_threshold: int = CAT_THRESHOLD, rsd: float = 0.02) -> DataFrame:
+    """``column_name, dtype, role`` as :func:`infer_roles` gives them: one
+    HyperLogLog pass over all columns, then exact counts only of those whose
+    estimate is within ten standard errors of the threshold or below it."""
+    estimate = {r["column_name"]: r["nunique"] for r in distinct_counts(df, df.columns, approx=True, rsd=rsd).collect()}
+    near = [c for c in df.columns if estimate[c] <= cat_threshold * (1 + 10 * rsd) + 1]
+    exact = infer_roles(df.select(*near), index_cols, label_col, cat_threshold) if near else None
+    far = infer_roles(df.limit(0).select(*[c for c in df.columns if c not in near]), index_cols, label_col, cat_threshold) \
+        if len(near) < len(df.columns) else None  # over the threshold: the role follows from the type
+    parts = [p.select("column_name", "dtype", "role") for p in (exact, far) if p is not None]
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
 @dataclass
 class ColumnRoles:
     index: list = field(default_factory=list)

@@ -13,83 +13,123 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SALT_BUCKETS = 64
+from wtprof.session import materialize
+
+SALT_BUCKETS = 64           # buckets of a class at least
+BUCKET_ROWS = 1_000_000     # rows a bucket should hold at most
 
 
 def key_hash(key: Sequence[str], seed: int = 42) -> Column:
     return F.xxhash64(F.lit(seed), *[F.col(k) for k in key])
 
 
-def salted_rank(df: DataFrame, class_col: str, key: Sequence[str], buckets: int = SALT_BUCKETS,
-                order: Column | None = None, out: str = "_rank") -> DataFrame:
-    """1-based rank within each class in (bucket, order, key) order,
-    computed per (class, bucket) so no task holds more than one bucket."""
+def _bucketed(df: DataFrame, class_col: str, key: Sequence[str], buckets: int | None,
+              order: Column | None) -> tuple[DataFrame, DataFrame]:
+    """(rows with hash ``_h`` and bucket ``_b``, sizes by class and bucket).
+    The sizes come from one pass over the input and serve class counts,
+    targets and offsets; the number of buckets follows the largest class."""
     h = order if order is not None else key_hash(key)
-    d = df.withColumn("_h", h).withColumn("_b", F.pmod(F.col("_h"), F.lit(buckets)))
+    if buckets is None:
+        # counted in small buckets first; any multiple of SALT_BUCKETS nests in them
+        fine = SALT_BUCKETS * 1024
+        counts = materialize(df.groupBy(class_col, F.pmod(h, F.lit(fine)).alias("_f")).agg(F.count(F.lit(1)).alias("_n")))
+        largest = counts.groupBy(class_col).agg(F.sum("_n").alias("n")).agg(F.max("n")).first()[0] or 0
+        buckets = SALT_BUCKETS
+        while buckets < fine and largest / buckets > BUCKET_ROWS:
+            buckets *= 2
+        sizes = counts.groupBy(class_col, F.pmod("_f", F.lit(buckets)).alias("_b")).agg(F.sum("_n").alias("_n"))
+    else:
+        sizes = materialize(df.groupBy(class_col, F.pmod(h, F.lit(buckets)).alias("_b")).agg(F.count(F.lit(1)).alias("_n")))
+    return df.withColumn("_h", h).withColumn("_b", F.pmod(F.col("_h"), F.lit(buckets))), sizes
+
+
+def _ranked(d: DataFrame, sizes: DataFrame, class_col: str, key: Sequence[str], out: str) -> DataFrame:
     w = Window.partitionBy(class_col, "_b").orderBy("_h", *key)
-    d = d.withColumn("_rb", F.row_number().over(w))
-    sizes = d.groupBy(class_col, "_b").agg(F.count(F.lit(1)).alias("_n"))
     offs = sizes.select(class_col, "_b", (F.sum("_n").over(Window.partitionBy(class_col).orderBy("_b"))
                                           - F.col("_n")).alias("_off"))
     # classes × buckets rows: bounded by construction
-    d = d.join(F.broadcast(offs), [class_col, "_b"])
+    d = d.withColumn("_rb", F.row_number().over(w)).join(F.broadcast(offs), [class_col, "_b"])
     return d.withColumn(out, F.col("_off") + F.col("_rb")).drop("_h", "_b", "_rb", "_off")
 
 
-def replicate_to(df: DataFrame, class_col: str, key: Sequence[str], targets: DataFrame,
-                 buckets: int = SALT_BUCKETS, order: Column | None = None) -> DataFrame:
-    """Each class to exactly its target size: every row ``target div n``
-    times, plus one more copy for the first ``target mod n`` rows in rank
-    order. Classes bigger than the target are cut to the target rows.
-    ``targets``: (class_col, target)."""
-    counts = df.groupBy(class_col).agg(F.count(F.lit(1)).alias("_nc"))
-    plan = counts.join(targets, class_col)  # one row per class
-    d = salted_rank(df, class_col, key, buckets, order).join(F.broadcast(plan), class_col)
+def salted_rank(df: DataFrame, class_col: str, key: Sequence[str], buckets: int | None = None,
+                order: Column | None = None, out: str = "_rank") -> DataFrame:
+    """1-based rank within each class in (bucket, order, key) order,
+    computed per (class, bucket) so no task holds more than one bucket."""
+    d, sizes = _bucketed(df, class_col, key, buckets, order)
+    return _ranked(d, sizes, class_col, key, out)
+
+
+def replicate_to(df: DataFrame, class_col: str, key: Sequence[str], target, buckets: int | None = None,
+                 order: Column | None = None, draw: str = "even", seed: int = 42) -> DataFrame:
+    """Each class to exactly its target size; ``target(counts)`` gives
+    (class_col, target) from (class_col, _nc).
+
+    ``draw="even"``: every row ``target div n`` times, plus one more copy for
+    the first ``target mod n`` rows in rank order (classes bigger than the
+    target are cut to the target rows). ``draw="random"``: ``target`` draws
+    with replacement, reproducible by ``seed``: draw number i of a class takes
+    the row whose rank is a hash of i; the draws are spread, not the driver's.
+    """
+    d, sizes = _bucketed(df, class_col, key, buckets, order)
+    counts = sizes.groupBy(class_col).agg(F.sum("_n").alias("_nc"))
+    plan = counts.join(target(counts), class_col)  # one row per class
+    d = _ranked(d, sizes, class_col, key, "_rank")
+    heavy = (plan.agg(F.max(F.col("target") / F.col("_nc"))).first()[0] or 0) >= COPY_CHUNK / 2  # copies of a row
+    if draw == "random":
+        chunk = F.lit(COPY_CHUNK).cast("long")
+        part = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.greatest(F.col("target"), F.lit(1)) - 1) / chunk)))
+        slots = plan.select(class_col, "_nc", "target", part.alias("_c")).repartition(
+            df.sparkSession.sparkContext.defaultParallelism)
+        last = F.least(F.col("target"), (F.col("_c") + 1) * chunk) - 1
+        slots = slots.where("target > 0").select(class_col, "_nc", F.explode(F.sequence(F.col("_c") * chunk, last)).alias("_i"))
+        rank = F.pmod(F.xxhash64(F.lit(seed), class_col, "_i"), F.col("_nc")) + 1
+        drawn = slots.select(class_col, rank.alias("_rank")).groupBy(class_col, "_rank").agg(
+            F.count(F.lit(1)).cast("int").alias("_copies"))
+        return _explode_copies(d.join(drawn, [class_col, "_rank"]), heavy=heavy).drop("_rank", "_copies")
+    d = d.join(F.broadcast(plan), class_col)
     copies = (F.floor(F.col("target") / F.col("_nc")) +
               F.when(F.col("_rank") <= F.pmod(F.col("target"), F.col("_nc")), 1).otherwise(0)).cast("int")
     d = d.withColumn("_copies", copies).where(F.col("_copies") >= 1)  # sequence(1, 0) would be [1, 0]
-    return _explode_copies(d).drop("_nc", "target", "_rank", "_copies")
+    return _explode_copies(d, heavy=heavy).drop("_nc", "target", "_rank", "_copies")
 
 
 COPY_CHUNK = 100_000
 
 
-def _explode_copies(d: DataFrame, chunk: int = COPY_CHUNK) -> DataFrame:
+def _explode_copies(d: DataFrame, chunk: int = COPY_CHUNK, heavy: bool = True) -> DataFrame:
     """Emit ``_copies`` copies of each row (column ``copy`` = 1..n).
 
-    Rows needing more than ``chunk`` copies (a tiny class lifted to a huge
-    one) would otherwise produce all copies in one task: they are first cut
-    into chunk rows, spread round-robin, then each chunk explodes in its own
-    task. Ordinary rows explode in place, without a shuffle.
+    With ``heavy`` rows (a tiny class lifted to a huge one) a row is first
+    cut into chunks of copies, which a rebalance spreads, so each chunk
+    explodes in a task of its own. Otherwise rows explode where they are.
     """
-    light = d.where(F.col("_copies") <= chunk).withColumn(
-        "copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-    heavy = d.where(F.col("_copies") > chunk)
+    if not heavy:
+        return d.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
     n_chunks = F.ceil(F.col("_copies") / chunk).cast("int")
-    heavy = (heavy.withColumn("_c", F.explode(F.sequence(F.lit(0), n_chunks - 1)))
-             .repartition(heavy.sparkSession.sparkContext.defaultParallelism))
+    d = d.withColumn("_c", F.explode(F.sequence(F.lit(0), n_chunks - 1))).hint("rebalance")
     first = F.col("_c") * chunk + 1
     last = F.least(F.col("_copies"), (F.col("_c") + 1) * chunk)
-    heavy = heavy.withColumn("copy", F.explode(F.sequence(first.cast("int"), last.cast("int")))).drop("_c")
-    return light.unionByName(heavy)
+    return d.withColumn("copy", F.explode(F.sequence(first.cast("int"), last.cast("int")))).drop("_c")
 
 
-def oversample_to_max(df: DataFrame, class_col: str, key: Sequence[str], buckets: int = SALT_BUCKETS,
-                      order: Column | None = None) -> DataFrame:
+def oversample_to_max(df: DataFrame, class_col: str, key: Sequence[str], buckets: int | None = None,
+                      order: Column | None = None, draw: str = "even") -> DataFrame:
     """K1: every class replicated up to the size of the largest class."""
-    counts = df.groupBy(class_col).agg(F.count(F.lit(1)).alias("_n"))
-    n_max = counts.agg(F.max("_n")).scalar()
-    return replicate_to(df, class_col, key, counts.select(class_col, n_max.alias("target")), buckets, order)
+    def target(counts: DataFrame) -> DataFrame:
+        return counts.select(class_col, counts.agg(F.max("_nc")).scalar().alias("target"))
+
+    return replicate_to(df, class_col, key, target, buckets, order, draw)
 
 
 def sample_fixed_per_class(df: DataFrame, class_col: str, key: Sequence[str], targets: Mapping[str, int],
-                           default: int, buckets: int = SALT_BUCKETS, order: Column | None = None) -> DataFrame:
+                           default: int, buckets: int | None = None, order: Column | None = None,
+                           draw: str = "even") -> DataFrame:
     """K2: per-class target sizes (e.g. normal 50 000, each attack 10 000)."""
     t = F.lit(default)
     for cls, n in targets.items():
         t = F.when(F.col(class_col) == cls, F.lit(n)).otherwise(t)
-    classes = df.select(class_col).distinct().withColumn("target", t)
-    return replicate_to(df, class_col, key, classes, buckets, order)
+    return replicate_to(df, class_col, key, lambda counts: counts.select(class_col, t.alias("target")), buckets, order, draw)
 
 
 def split_fraction(df: DataFrame, key: Sequence[str] | None = None, train: float = 0.7,

@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wtprof.functions.timeutil import cron_bucket, parse_delta_seconds
+from wtprof.operators.vectorize import small_side
+from wtprof.session import materialize
 
 
 def run_windows(configs: DataFrame) -> DataFrame:
@@ -35,5 +37,6 @@ def rows_in_windows(log: DataFrame, windows: DataFrame, time_col: str = "logtime
     days = windows.select("job_id", "logtime_s", "logtime_e",
                           F.explode(F.sequence(F.to_date("logtime_s"), F.to_date("logtime_e"))).alias("_day"))
     t = F.col(time_col)
-    j = log.withColumn("_day", F.to_date(t)).join(F.broadcast(days), "_day")
+    days = materialize(days)  # job windows × days: broadcast after a check of the size
+    j = log.withColumn("_day", F.to_date(t)).join(small_side(days), "_day")
     return j.where((t >= F.col("logtime_s")) & (t < F.col("logtime_e"))).drop("_day", "logtime_s", "logtime_e")

@@ -13,6 +13,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+SALTS = 16
+
+
 def limit_n(df: DataFrame, n: int, key: Sequence[str], order: str = "hash") -> DataFrame:
     """A reproducible cap of ``n`` rows (top-k per partition, then merge).
 
@@ -30,6 +33,9 @@ def limit_per_class(df: DataFrame, n: int, class_col: str, order: Sequence[str],
     """At most ``n`` rows per class, each class with its own time range.
 
     One scan serves every class: the per-class ranges become one predicate.
+    The limit is taken in two levels, per (class, salt) and then per class,
+    so the last task of a class gets ``SALTS`` x ``n`` rows at most, not
+    ``n`` from every input partition.
     """
     out = df
     if class_ranges:
@@ -42,7 +48,11 @@ def limit_per_class(df: DataFrame, n: int, class_col: str, order: Sequence[str],
             s, e = default_range
             cond = cond | (~c.isin(list(class_ranges)) & (t >= F.lit(s)) & (t < F.lit(e)))
         out = out.where(cond)
-    w = Window.partitionBy(class_col).orderBy(*[F.col(o) for o in order])
+    cols = [F.col(o) for o in order]
+    salted = Window.partitionBy(class_col, "_salt").orderBy(*cols)
+    w = Window.partitionBy(class_col).orderBy(*cols)
+    out = out.withColumn("_salt", F.pmod(F.xxhash64(*cols), F.lit(SALTS)))
+    out = out.withColumn("_rn", F.row_number().over(salted)).where(F.col("_rn") <= n).drop("_rn", "_salt")
     return out.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
 
 
