@@ -201,10 +201,14 @@ def q_onehot_fit(spark, sf):
     return EN.onehot_fit(load_table(spark, sf, "orders"), ["o_orderstatus", "o_orderpriority"])
 
 
-@register("onehot_transform", None)
+_WIDE = [("o_orderpriority", v) for v in ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")] + [
+    ("o_orderstatus", v) for v in ("F", "O")]
+
+
+@register("onehot_transform", "SELECT o_orderkey, " + ", ".join(
+    f"CASE WHEN {c} = '{v}' THEN 1.0 ELSE 0.0 END::DOUBLE AS \"{c}_{v}\"" for c, v in _WIDE) + " FROM orders")
 def q_onehot_transform(spark, sf):
-    """Fit on orders that are not 'P', transform all: 'P' encodes to zeros.
-    Wide names depend on fitted values, so this check is rows-only."""
+    """Fit on orders that are not 'P', transform all: 'P' encodes to zeros."""
     o = load_table(spark, sf, "orders")
     fitted = EN.onehot_fit(o.where(F.col("o_orderstatus") != "P"), ["o_orderstatus", "o_orderpriority"])
     return EN.onehot_transform(o, fitted, ["o_orderstatus", "o_orderpriority"], keep=["o_orderkey"])

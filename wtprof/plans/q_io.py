@@ -212,6 +212,21 @@ def q_evolve_table(spark, sf):
     return d
 
 
+@register("alter_table", with_log("""
+SELECT event_id, CAST(NULL AS INTEGER) AS status, CAST(dst_port AS SMALLINT) AS dst_port, hash AS label,
+  CAST(NULL AS VARCHAR) AS note FROM http_log"""))
+def q_alter_table(spark, sf):
+    """B4 on a table: ALTER for ADD and COMMENT, rewrite and swap for the rest."""
+    name = f"log_{uuid.uuid4().hex[:12]}"
+    http_log(spark, sf).select("event_id", "status", "dst_port", "hash", "src_ip").write.format("parquet").saveAsTable(name)
+    B.alter_table(spark, name, "ADD", "note", "String")
+    B.alter_table(spark, name, "DROP", "src_ip")
+    B.alter_table(spark, name, "RENAME", "hash", "label")
+    B.alter_table(spark, name, "CLEAR", "status")
+    B.alter_table(spark, name, "MODIFY", "dst_port", "UInt8")
+    return B.alter_table(spark, name, "COMMENT", "label", "class of the request")
+
+
 _DECL = [("event_id", "UInt32"), ("dst_port", "Int8"), ("status_code", "Nullable(UInt8)"),
          ("src_ip", "IPv4"), ("http_host", "LowCardinality(String)")]
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark import StorageLevel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from wtprof.operators import explain as M
@@ -373,7 +374,6 @@ SELECT lgtime, src_ip, dst_ip, label, fidx AS pos, value FROM lf WHERE value <>
 def q_assemble(spark, sf):
     """One dense vector per session; its non-zero entries, exploded
     with their position, equal the TF-IDF rows at the global feature index."""
-    from pyspark.ml.functions import vector_to_array
     s, vocab, long, names = explain_inputs(spark, sf)
     vec = V.assemble(long, _KEY, names.count(), index_col="fidx")
     e = vec.select(*_KEY, F.posexplode_outer(vector_to_array("features")).alias("pos", "value"))
@@ -445,6 +445,16 @@ def q_top_k_features(spark, sf):
 _CACHE: dict = {}
 
 
+def _split_bucket():
+    """0..99 from the session's hour and source: a split SQL can repeat."""
+    hour = F.hour("lgtime") + 24 * F.dayofmonth("lgtime")
+    return (hour * 37 + F.element_at(F.split("src_ip", r"\."), -1).cast("int") * 11) % 100
+
+
+_HELD_OUT_SQL = """(((hour(lgtime) + 24 * day(lgtime)) * 37
+  + CAST(string_split(src_ip, '.')[4] AS INTEGER) * 11) % 100 >= 70)"""
+
+
 def trained(spark, sf, max_depth=10, max_features=MAXF_EXPLAIN):
     """Train once per (session, sf): sessions → TF-IDF → vectors → tree,
     specialists and outlier model. Training rows are the 70 % split."""
@@ -458,7 +468,7 @@ def trained(spark, sf, max_depth=10, max_features=MAXF_EXPLAIN):
     zero = F.lit([0.0] * n)
     from pyspark.ml.functions import array_to_vector
     allrows = allrows.withColumn("features", F.coalesce(F.col("features"), array_to_vector(zero)))
-    allrows = K.split_fraction(allrows, _KEY, 0.7)
+    allrows = K.split_fraction(allrows, bucket=_split_bucket())
     data = materialize(allrows)
     train = data.where(F.col("split") == "train")
     tree, labels = ML.fit_tree(train, max_depth=max_depth)
@@ -481,6 +491,50 @@ def q_predict_tree(spark, sf):
     return ML.predict_tree(t["tree"], t["labels"], test).select(*_KEY, "pred")
 
 
+@register("predict_tree_invariants", _EXPLAIN_SQL + f"""
+SELECT lgtime, src_ip, dst_ip, label, true AS known_class FROM s WHERE {_HELD_OUT_SQL}""")
+def q_predict_tree_invariants(spark, sf):
+    """L1: every held-out session gets one prediction, of a trained class."""
+    t = trained(spark, sf)
+    return q_predict_tree(spark, sf).select(*_KEY, F.col("pred").isin(t["labels"]).alias("known_class"))
+
+
+@register("specialist_invariants", _EXPLAIN_SQL + f"""
+, att AS (SELECT DISTINCT label AS attack FROM s WHERE label <> 'normal')
+SELECT attack, count(*) AS n, count(*) AS in_unit_interval FROM s JOIN att ON true WHERE {_HELD_OUT_SQL} GROUP BY attack""")
+def q_specialist_invariants(spark, sf):
+    """L4: a probability of every specialist for every held-out session."""
+    t = trained(spark, sf)
+    p = q_predict_specialists(spark, sf)
+    long = p.select(F.explode(F.array(*[F.struct(F.lit(a).alias("attack"), F.col(a).alias("p")) for a in t["spec"]])).alias("x"))
+    return long.groupBy("x.attack").agg(F.count("*").alias("n"), F.count_if(F.col("x.p").between(0, 1)).alias("in_unit_interval"))
+
+
+@register("outlier_invariants", _EXPLAIN_SQL + """
+SELECT lgtime, src_ip, dst_ip, label, true AS bounded FROM s""")
+def q_outlier_invariants(spark, sf):
+    """Every session's reconstruction error lies between 0 and its squared norm."""
+    t = trained(spark, sf)
+    sq = F.aggregate(vector_to_array(F.col("features")), F.lit(0.0), lambda a, v: a + v * v)
+    d = ML.outlier_score(t["pca"], t["data"].withColumn("_sq", sq))
+    return d.select(*_KEY, ((F.col("normal") >= 0) & (F.col("normal") <= F.col("_sq") + 1e-9)).alias("bounded"))
+
+
+@register("tree_invariants", """
+SELECT 1 AS roots, 0 AS bad_levels, 0 AS half_splits, 0 AS lost_children""")
+def q_tree_invariants(spark, sf):
+    """The node table is one binary tree with right levels."""
+    nodes = materialize(q_tree_nodes(spark, sf))
+    parent = nodes.select(F.col("node_num").alias("node_from"), F.col("level").alias("_up"))
+    j = nodes.join(parent, "node_from", "left")
+    kids = nodes.where("node_from is not null").groupBy("node_from").count()
+    return j.agg(
+        F.count_if(F.col("node_from").isNull()).cast("int").alias("roots"),
+        F.count_if(F.col("node_from").isNotNull() & ~F.coalesce(F.col("level") == F.col("_up") + 1, F.lit(False))).cast("int").alias("bad_levels"),
+        F.count_if((F.col("node_to_left") >= 0) != (F.col("node_to_right") >= 0)).cast("int").alias("half_splits")).withColumn(
+        "lost_children", kids.agg(F.count_if(F.col("count") != 2)).scalar().cast("int"))
+
+
 @register("tree_nodes")
 def q_tree_nodes(spark, sf):
     """L2 + G4: node table of the fitted tree with parents and levels."""

@@ -118,6 +118,31 @@ def evolve_table(df: DataFrame, op: str, column: str, arg=None) -> DataFrame:
     return df.withColumn(column, F.col(column).try_cast(spark_type(arg) if arg[0].isupper() else arg))
 
 
+def alter_table(spark: SparkSession, name: str, op: str, column: str, arg=None) -> DataFrame:
+    """B4 on a catalog table: ADD and COMMENT are metadata changes (ALTER
+    TABLE); DROP, RENAME, CLEAR and MODIFY, which Parquet tables refuse, write
+    the changed rows as a new table beside the old one and swap the names, so
+    a failed rewrite leaves the old table as it was."""
+    op = op.upper()
+    for n in (column, *([arg] if op == "RENAME" else [])):
+        if not NAME_RE.match(n):
+            raise ValueError(f"bad column name {n!r}")
+    if op == "ADD":
+        kind = spark_type(arg) if arg[0].isupper() else arg
+        kind = kind if isinstance(kind, str) else kind.simpleString()
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS (`{column}` {kind})")
+    elif op == "COMMENT":
+        text = str(arg).replace("\\", "\\\\").replace("'", "\\'")
+        spark.sql(f"ALTER TABLE {name} ALTER COLUMN `{column}` COMMENT '{text}'")
+    else:
+        made = f"{name}__new"
+        evolve_table(spark.table(name), op, column, arg).write.format("parquet").saveAsTable(made)
+        spark.sql(f"DROP TABLE {name}")
+        spark.sql(f"ALTER TABLE {made} RENAME TO {name}")
+    spark.catalog.refreshTable(name)
+    return spark.table(name)
+
+
 def conform_schema(df: DataFrame, declared: Sequence[tuple[str, str]], bad_col: str = "bad_columns") -> DataFrame:
     """Cast every declared column with ``try_cast`` and list, per row,
     the columns whose non-null value did not fit (became null)."""

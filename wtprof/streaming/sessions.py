@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wtprof.functions.text import clean_text
+from wtprof.functions.timeutil import parse_interval
 from wtprof.sessions_common import DEFAULT_TEXT
 
 
@@ -28,7 +29,12 @@ def stream_session_text(log: DataFrame, interval: str = "1 hour", delay: str = "
     """D1/D2 on a stream. Append mode emits a session once the
     watermark passes its window end; state holds cleaned distinct texts."""
     d = event_time(log, time_col).withWatermark(time_col, delay)
-    grp = [F.window(time_col, interval).alias("w"), *keys] + ([F.col(label_col).alias("label")] if label_col else [])
+    n, unit = parse_interval(interval)
+    if unit in ("month", "quarter", "year"):
+        raise ValueError(f"a stream window has a fixed length; {unit} has none")
+    # weeks start on Monday, as in batch (the epoch is a Thursday)
+    window = F.window(time_col, f"{n} {unit}", startTime="4 days" if unit == "week" else None)
+    grp = [window.alias("w"), *keys] + ([F.col(label_col).alias("label")] if label_col else [])
     cleaned = d.select(*grp, *[clean_text(src).alias(out) for out, src in text_cols])
     agg = cleaned.groupBy("w", *keys, *(["label"] if label_col else [])).agg(
         *[F.collect_set(out).alias(out) for out, _ in text_cols])
