@@ -39,7 +39,7 @@ from wtprof.llm.common import importable, shuffle_width, written
 from wtprof.llm.words import Words
 
 WINDOW = 13
-BATCH_BYTES = 8 << 20        # text of a batch
+BATCH_BYTES = 4 << 20        # text of a batch
 BUCKET_WORDS = 1 << 22       # rolling windows a bucket should hold
 KEY_BITS = 28                # bits of an anchor hash within its bucket; a false anchor only costs a look-up
 MORE = 0xFFFF                # delta code: add this and go on
@@ -192,7 +192,7 @@ def _spread(answers: list | None, ids: np.ndarray, begin: np.ndarray) -> np.ndar
 # -- sequences around anchors --------------------------------------------------
 
 SEQ_CELL = pa.schema([("bucket", pa.int64()), ("batch", pa.int64()), ("keys", pa.binary()), ("extra", pa.binary()),
-                      ("base", pa.int64()), ("docs", pa.binary()), ("width", pa.int32()), ("near", pa.binary())])
+                      ("base", pa.int64()), ("docs", pa.binary()), ("width", pa.int32())])
 
 
 class _Sequences:
@@ -273,56 +273,54 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 yield from _rows(CELL, out).to_batches()
 
     first = packed.select("batch", "blob").mapInArrow(cells, "bucket long, batch long, keys binary, wide boolean, marks binary")
-    anchors = first.groupBy("bucket").applyInArrow(shared_entries, "batch long, bucket long, bits binary")
+    anchors = written(first.groupBy("bucket").applyInArrow(shared_entries, "batch long, bucket long, bits binary"),
+                      "anchors")
 
     def with_answers(table: DataFrame, answers: DataFrame, name: str) -> DataFrame:
         # as many bits as the batch has entries: bounded by the batch
         own = answers.groupBy("batch").agg(F.collect_list(F.struct("bucket", "bits")).alias(name))
         return table.join(own, "batch", "left")
 
+    def candidates(b: _Batch, answers: list | None) -> _Sequences:
+        """The sequences of a batch that hold an anchor."""
+        at, of, entries, aligned, places = _rolling(b.words, block, buckets)
+        bits = _spread(answers, *_bucket_slices(entries, KEY_BITS)) | aligned & (places > 1)
+        n = len(b.words.hash)
+        hits = np.zeros(n + 1, np.int64)
+        hits[at + 1] = bits[of]
+        hits = np.cumsum(hits)
+        reach = hits[np.minimum(np.arange(n) + window - block + 1, n)] - hits[:n]
+        return _Sequences(b, np.flatnonzero((reach > 0) & b.words.window_starts(window)), window, buckets)
+
     def sequences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
             for row in rows.to_pylist():
-                b = _Batch(row["blob"], id_at, text_at)
-                at, of, entries, aligned, places = _rolling(b.words, block, buckets)
-                bits = _spread(row["anchors"], *_bucket_slices(entries, KEY_BITS)) | aligned & (places > 1)
-                hits = np.zeros(len(b.words.hash) + 1, np.int64)
-                hits[at + 1] = bits[of]
-                hits = np.cumsum(hits)
-                n = len(b.words.hash)
-                reach = hits[np.minimum(np.arange(n) + window - block + 1, n)] - hits[:n]
-                near = (reach > 0) & b.words.window_starts(window)
-                s = _Sequences(b, np.flatnonzero(near), window, buckets)
+                s = candidates(_Batch(row["blob"], id_at, text_at), row["anchors"])
                 base = int(s.least.min()) if len(s.least) else 0
                 span = int(s.least.max()) - base if len(s.least) else 0
                 width = 2 if span < 1 << 16 else 4 if span < 1 << 32 else 8
                 docs = (s.least - base).astype(f"u{width}")
-                out = [(int(i), row["batch"], s.h[a:z].tobytes(), s.x[a:z].tobytes(), base, docs[a:z].tobytes(), width, None)
+                out = [(int(i), row["batch"], s.h[a:z].tobytes(), s.x[a:z].tobytes(), base, docs[a:z].tobytes(), width)
                        for i, a, z in zip(s.buckets, s.begin, s.begin[1:])]
-                out.append((-1, row["batch"], None, None, None, None, None, np.packbits(near).tobytes()))
                 yield from _rows(SEQ_CELL, out).to_batches()
 
-    second = written(with_answers(packed.select("batch", "blob"), anchors, "anchors").mapInArrow(
-        sequences, "bucket long, batch long, keys binary, extra binary, base long, docs binary, width int, near binary"),
-        "sequences")
-    near = second.where("bucket = -1").select("batch", "near")
-    earlier = second.where("bucket >= 0").drop("near").groupBy("bucket").applyInArrow(
-        earlier_sequences, "batch long, bucket long, bits binary")
+    known = with_answers(packed.select("batch", "blob"), anchors, "anchors")
+    earlier = known.mapInArrow(
+        sequences, "bucket long, batch long, keys binary, extra binary, base long, docs binary, width int",
+    ).groupBy("bucket").applyInArrow(earlier_sequences, "batch long, bucket long, bits binary")
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
             for row in rows.to_pylist():
                 b = _Batch(row["blob"], id_at, text_at)
-                n = len(b.words.hash)
-                at = np.flatnonzero(np.unpackbits(np.frombuffer(row["near"], np.uint8), count=n))
-                s = _Sequences(b, at, window, buckets)
+                s = candidates(b, row["anchors"])
                 repeat = _spread(row["earlier"], s.buckets, s.begin)[s.of] | (s.least[s.of] < s.doc)
-                mark = np.zeros(n + 1, np.int64)
-                np.add.at(mark, at[repeat], 1)
-                np.add.at(mark, at[repeat] + window, -1)
-                yield from _kept(b, np.cumsum(mark)[:n] > 0, id_at, text_at, digest)
+                mark = np.zeros(len(b.words.hash) + 1, np.int64)
+                np.add.at(mark, s.at[repeat], 1)
+                np.add.at(mark, s.at[repeat] + window, -1)
+                yield from _kept(b, np.cumsum(mark)[:-1] > 0, id_at, text_at, digest)
 
-    joined = with_answers(packed.select("batch", "blob").join(near, "batch"), earlier, "earlier")
+    joined = with_answers(known, earlier, "earlier")
     if digest:
         kind = T.StructType([df.schema[id_col], T.StructField("n_words", T.LongType()),
                              T.StructField("n_removed", T.LongType()), T.StructField("kept_sha256", T.StringType())])
