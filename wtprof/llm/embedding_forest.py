@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wtprof.llm.common import importable, written
-from wtprof.llm.graph import components
+from wtprof.llm.graph import LocalUnion, components
 
 THRESHOLD = 0.95
 TREES = 5
@@ -105,7 +105,7 @@ def _leaf_links(key_leaf: int, ids: np.ndarray, x: np.ndarray, copies: np.ndarra
                 left: np.ndarray, right: np.ndarray, same: bool, threshold: float) -> pd.DataFrame:
     """Link counts and spanning links of one block pair of a leaf."""
     degree = np.zeros(len(ids), np.int64)
-    ea, eb = [], []
+    union = LocalUnion(len(ids))
     xr = x[right]
     for k in range(0, len(left), STEP):
         part = left[k:k + STEP]
@@ -126,19 +126,13 @@ def _leaf_links(key_leaf: int, ids: np.ndarray, x: np.ndarray, copies: np.ndarra
                 break
         np.add.at(degree, a[first], copies[b[first]])
         np.add.at(degree, b[first], copies[a[first]])
-        rows, at = np.unique(a, return_index=True)
-        anchor = b[at][np.searchsorted(rows, a)]
-        hub = np.unique(np.stack([b, anchor], 1)[b != anchor], axis=0)
-        ea += [rows, hub[:, 0]]
-        eb += [b[at], hub[:, 1]]
+        union.add(a, b)
     got = np.flatnonzero(degree)
-    n_edges = sum(map(len, ea))
-    edge_a = np.concatenate(ea) if ea else np.zeros(0, np.int64)
-    edge_b = np.concatenate(eb) if eb else np.zeros(0, np.int64)
+    node, label = union.links()
     # one row kind for counts (b null) and one for links (n null)
-    return pd.DataFrame({"a": np.concatenate([ids[got], ids[edge_a]]),
-                         "b": pd.array([None] * len(got) + ids[edge_b].tolist(), dtype="Int64"),
-                         "n": pd.array(degree[got].tolist() + [None] * n_edges, dtype="Int64")})
+    return pd.DataFrame({"a": np.concatenate([ids[got], ids[node]]),
+                         "b": pd.array([None] * len(got) + ids[label].tolist(), dtype="Int64"),
+                         "n": pd.array(degree[got].tolist() + [None] * len(node), dtype="Int64")})
 
 
 def near_duplicates(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", threshold: float = THRESHOLD,

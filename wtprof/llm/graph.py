@@ -2,12 +2,42 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wtprof.llm.common import written
 
 
+class LocalUnion:
+    """Components of up to n nodes within one task, from pairs in blocks.
+
+    ``label`` is the least node of each node's component so far. Pairs that
+    are already together cost a comparison; the others hook the larger label
+    onto the smallest one seen, and labels are shortened until they rest."""
+
+    def __init__(self, n: int):
+        self.label = np.arange(n)
+
+    def add(self, a: np.ndarray, b: np.ndarray) -> None:
+        while True:
+            x, y = self.label[a], self.label[b]
+            apart = x != y
+            if not apart.any():
+                return
+            a, b, x, y = a[apart], b[apart], x[apart], y[apart]
+            up = np.arange(len(self.label))
+            np.minimum.at(up, np.maximum(x, y), np.minimum(x, y))
+            while (up[up] != up).any():
+                up = up[up]
+            self.label = up[self.label]
+
+    def links(self) -> tuple[np.ndarray, np.ndarray]:
+        """(node, label) of every node that is not its own label."""
+        node = np.flatnonzero(self.label != np.arange(len(self.label)))
+        return node, self.label[node]
+
+
 def _neighbours(edges: DataFrame) -> DataFrame:
     return edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
 
