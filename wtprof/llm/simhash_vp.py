@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wtprof.llm.common import importable, shuffle_width, text_or_empty, written
-from wtprof.llm.graph import components
+from wtprof.llm.graph import LocalUnion, components
 
 SHINGLE = 4
 BITS = 4
@@ -114,50 +114,32 @@ def choose_levels(n: int, width: int, bits: int) -> int:
     return levels
 
 
-def _join(q: np.ndarray, h: np.ndarray, code_q: np.ndarray, code_h: np.ndarray, points: list[int], radius: int,
-          bits: int, same: bool, out: list) -> None:
-    """Index pairs (into q and h) within ``bits``; splits by one vantage point
-    after another while there is too much to compare."""
-    todo = [(np.arange(len(q)), np.arange(len(h)), 0)]
+def _join(left: np.ndarray, right: np.ndarray, fp: np.ndarray, code: np.ndarray, points: list[int], radius: int,
+          bits: int, union: LocalUnion) -> None:
+    """Unite the rows of ``left`` with those of ``right`` (row numbers) within
+    ``bits``; splits by one vantage point after another while there is too
+    much to compare."""
+    todo = [(left, right, 0)]
     while todo:
-        iq, ih, level = todo.pop()
-        if not len(iq) or not len(ih):
+        a, b, level = todo.pop()
+        if not len(a) or not len(b):
             continue
-        if len(iq) * len(ih) > LEAF and level < len(points):
-            dq, dh = (np.bitwise_count(code_q[iq] ^ np.uint64(points[level])).astype(np.int16),
-                      np.bitwise_count(code_h[ih] ^ np.uint64(points[level])).astype(np.int16))
-            values = np.unique(dh)
-            if len(values) > 1:
-                for d in values:
-                    near = np.abs(dq - d) <= radius
-                    todo.append((iq[near], ih[dh == d], level + 1))
-                continue
-            todo.append((iq, ih, level + 1))
+        if len(a) * len(b) > LEAF and level < len(points):
+            da, db = (np.bitwise_count(code[x] ^ np.uint64(points[level])).astype(np.int16) for x in (a, b))
+            for d in np.unique(db):
+                todo.append((a[np.abs(da - d) <= radius], b[db == d], level + 1))
             continue
-        step = max(1, LEAF // len(ih))
-        for k in range(0, len(iq), step):
-            part = iq[k:k + step]
-            a, b = np.nonzero(np.bitwise_count(q[part][:, None] ^ h[ih][None, :]) <= bits)
-            a, b = part[a], ih[b]
-            if same:
-                a, b = a[a < b], b[a < b]
-            if len(a):
-                out.append(_spanning(a, b))
-
-
-def _spanning(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Fewer links with the same components as the pairs (a, b): every partner
-    of an a goes to that a's first partner; (a, first) and (b, first)."""
-    rows, first = np.unique(a, return_index=True)
-    anchor = b[first]
-    of = anchor[np.searchsorted(rows, a)]
-    hub = np.unique(np.stack([b, of], 1)[b != of], axis=0)
-    return rows, anchor, hub[:, 0], hub[:, 1]
+        step = max(1, LEAF // len(b))
+        for k in range(0, len(a), step):
+            part = a[k:k + step]
+            x, y = np.nonzero(np.bitwise_count(fp[part][:, None] ^ fp[b][None, :]) <= bits)
+            union.add(part[x], b[y])
 
 
 def links(fps: DataFrame, bits: int = BITS) -> DataFrame:
     """Links (a, b) between distinct fingerprints (column fp) that give the
-    components of all pairs within ``bits`` differing bits."""
+    components of all pairs within ``bits`` differing bits. A shard returns
+    fewer links than it has rows, however many pairs it finds."""
     spark = fps.sparkSession
     importable(spark)
     forest = Forest(bits, choose_levels(fps.count(), shuffle_width(spark), bits))
@@ -168,21 +150,13 @@ def links(fps: DataFrame, bits: int = BITS) -> DataFrame:
         a, b = bands[k]
         fp = rows["fp"].to_numpy().view(np.uint64)
         code = fp >> np.uint64(a) & np.uint64((1 << (b - a)) - 1)
-        home = rows["home"].to_numpy(bool)
-        found: list = []
-        h, ch = fp[home], code[home]
-        if len(h):
-            more = points[k][levels:]
-            inner: list = []
-            _join(h, h, ch, ch, more, radius, bits, True, inner)
-            found += [(h[x], h[y]) for r, f, u, v in inner for x, y in ((r, f), (u, v))]
-            q, outer = fp[~home], []
-            _join(q, h, code[~home], ch, more, radius, bits, False, outer)
-            found += [p for r, f, u, v in outer for p in ((q[r], h[f]), (h[u], h[v]))]
-        if not found:
-            return pd.DataFrame({"a": pd.Series(dtype="int64"), "b": pd.Series(dtype="int64")})
-        return pd.DataFrame({"a": np.concatenate([x for x, _ in found]).view(np.int64),
-                             "b": np.concatenate([y for _, y in found]).view(np.int64)}).drop_duplicates()
+        home = np.flatnonzero(rows["home"].to_numpy(bool))
+        query = np.flatnonzero(~rows["home"].to_numpy(bool))
+        union = LocalUnion(len(fp))
+        _join(home, home, fp, code, points[k][levels:], radius, bits, union)
+        _join(query, home, fp, code, points[k][levels:], radius, bits, union)
+        x, y = union.links()
+        return pd.DataFrame({"a": fp[x].view(np.int64), "b": fp[y].view(np.int64)})
 
     spread = fps.select("fp", F.explode(forest.shards(F.col("fp"))).alias("s")).select("fp", "s.shard", "s.home")
     return spread.groupBy("shard").applyInPandas(compare, "a long, b long")
