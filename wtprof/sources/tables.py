@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,7 +37,7 @@ def balanced(scan: DataFrame) -> DataFrame:
     try:
         target = scan.sparkSession.sparkContext.defaultParallelism
         splits = scan.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD view (e.g. Spark Connect): keep the scan as is
+    except PySparkException:  # no RDD view (e.g. Spark Connect): keep the scan as is
         return scan
     return scan.repartition(target) if splits < target else scan
 
