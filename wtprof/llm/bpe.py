@@ -37,7 +37,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wtprof.llm.common import importable, text_or_empty
+from wtprof.llm.common import importable, text_or_empty, worker_state
 
 END = ""          # stands for the end-of-word suffix inside patterns
 MAX_CHUNKS = 1_000_000  # entries of the chunk table of one Python worker
@@ -279,14 +279,9 @@ def gather(blob: np.ndarray, offsets: np.ndarray, ids: np.ndarray, step: int = 1
     return b"".join(out)
 
 
-_LOADED: dict[str, WordBpe] = {}
-
-
 def load(path: str) -> WordBpe:
-    """One codec for each vocabulary and Python worker."""
-    if path not in _LOADED:
-        _LOADED[path] = WordBpe(path)
-    return _LOADED[path]
+    """The codec of a vocabulary, kept by the Python worker."""
+    return worker_state(("bpe", path), lambda: WordBpe(path))
 
 
 def codec(df: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

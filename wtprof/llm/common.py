@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import uuid
+from collections.abc import Callable
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,16 +17,38 @@ from wtprof.session import scratch_path
 PACKAGE_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
+ARROW_ROWS = 2000  # a document is a large row: batches of Spark's 10 000 would be tens of megabytes
+
+
 def importable(spark: SparkSession) -> None:
-    """Let Python workers import this package where it lies in the same
-    folder as here (local runs, shared installs). On other clusters ship it
-    with ``--py-files``; the extra entry does no harm there."""
+    """Ready the session for this package's Python workers: they can import
+    it where it lies in the same folder as here (local runs, shared installs;
+    on other clusters ship it with ``--py-files``), and Arrow batches hold at
+    most ``ARROW_ROWS`` rows unless the session asks for another number than
+    Spark's default."""
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(rows, "10000") == "10000":
+        spark.conf.set(rows, str(ARROW_ROWS))
     env = spark.sparkContext.environment
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if PACKAGE_ROOT not in paths:
         env["PYTHONPATH"] = os.pathsep.join([*paths, PACKAGE_ROOT])
 
 
+_STATE: dict[Any, Any] = {}
+
+
+def worker_state(key: Any, make: Callable[[], Any]) -> Any:
+    """What a Python worker keeps between tasks (vocabularies, word tables).
+    Only one operator's state is kept: the next operator's takes its place,
+    so a worker that serves several stages holds one table at a time."""
+    if key not in _STATE:
+        _STATE.clear()
+        gc.collect()
+        _STATE[key] = make()
+    return _STATE[key]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Parquet scan of one table; ``sf_dir`` may be any path Spark reads."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wtprof.llm.common import importable, text_or_empty, written
+from wtprof.llm.common import importable, text_or_empty, worker_state, written
 
 KINDS = ("assign", "access", "hex")   # base kinds, in this order
 FOUND = "grammar"                     # kind of spans the automata add
@@ -240,6 +240,7 @@ def learn(df: DataFrame, text_col: str = "text", max_train: int = MAX_TRAIN) ->
 
     @F.pandas_udf("array<struct<kind:string,value:string>>")
     def examples(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        worker_state("secrets", dict)
         for texts in batches:
             out = []
             for text in texts:
@@ -273,6 +274,7 @@ def scan(df: DataFrame, grammar: Grammar, id_col: str = "doc_id", text_col: str
 
     @F.pandas_udf("array<struct<kind:string,start:int,end:int>>")
     def spans(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        worker_state("secrets", dict)
         for texts in batches:
             yield pd.Series([[{"kind": names[k], "start": a, "end": b} for a, k, b in all_spans(t, grammar)] for t in texts],
                             dtype=object)

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wtprof.llm.common import importable, shuffle_width, text_or_empty, written
+from wtprof.llm.common import importable, shuffle_width, text_or_empty, worker_state, written
 from wtprof.llm.graph import LocalUnion, components
 
 SHINGLE = 4
@@ -66,6 +66,7 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     @F.pandas_udf("long")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        worker_state("simhash", dict)
         for texts in batches:
             yield pd.Series([fingerprint(t, shingle) for t in texts], dtype="int64")
 

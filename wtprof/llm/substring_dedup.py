@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wtprof.llm.common import importable, shuffle_width, written
+from wtprof.llm.common import importable, shuffle_width, worker_state, written
 from wtprof.llm.words import Words
 
 WINDOW = 13
@@ -50,6 +50,7 @@ LAST = np.iinfo(np.int64).max
 
 def _pack(batches: Iterator[pa.RecordBatch], text_at: int) -> Iterator[pa.RecordBatch]:
     """Rows → batches of about BATCH_BYTES of text, one compressed row each."""
+    worker_state("substring", dict)
     base, made = TaskContext.get().partitionId() << 32, 0
     held: list[pa.RecordBatch] = []
     size = 0

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wtprof.llm.common import importable, text_or_empty
+from wtprof.llm.common import importable, text_or_empty, worker_state
 
 CHUNK_CHARS = 32_768
 OVERLAP_CHARS = 256
@@ -94,14 +94,9 @@ class ChunkedCounter:
         return [next(got) if len(t) <= self.chunk else self._long(t) for t in texts]
 
 
-_LOADED: dict[tuple, ChunkedCounter] = {}
-
-
 def load(path: str, chunk_chars: int, overlap_chars: int) -> ChunkedCounter:
     key = (path, chunk_chars, overlap_chars)
-    if key not in _LOADED:
-        _LOADED[key] = ChunkedCounter(*key)
-    return _LOADED[key]
+    return worker_state(("pieces", *key), lambda: ChunkedCounter(*key))
 
 
 def count_tokens(df: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text",

@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wtprof.llm.common import importable, text_or_empty, written
+from wtprof.llm.common import importable, text_or_empty, worker_state, written
 
 GAPS = ((1, 1), (1, 2), (2, 1), (1, 3), (2, 2), (3, 1))  # distances between the three characters
 DECAY = 0.6
@@ -44,7 +44,7 @@ FIRST_ODDS = 2.5          # log of how many times as frequent the first witnesse
 FIRST_MARGIN = 3.0        # log-odds by which the first witnesses must beat chance over the vocabulary
 SENTENCE_WORDS = 32       # longer sentences are cut
 WORD_CHARS = 64           # longer words are scored in overlapping windows
-MAX_WORDS = 1_000_000     # entries of a Python worker's word table
+MAX_WORDS = 300_000       # entries of a Python worker's word table
 EDGE = "\"'.,;:!?()[]{}<>…«»„“”‘’*%&$#@+-_/\\|~^`="
 SPACED = re.compile(r"(?<!\S)\S(?: \S){2,}(?!\S)")  # letters written one by one
 
@@ -235,8 +235,8 @@ class _Scores(dict):
         if len(self) + len(new) > MAX_WORDS:
             self.clear()
             new = list(words)
-        for k in range(0, len(new), 20_000):
-            part = new[k:k + 20_000]
+        for k in range(0, len(new), 8000):
+            part = new[k:k + 8000]
             pieces = [self._readings(w) for w in part]
             got = iter(self.model.word_scores([p for ps in pieces for p in ps]).tolist())
             self.update((w, max(next(got) for _ in ps)) for w, ps in zip(part, pieces))
@@ -252,16 +252,6 @@ def _top_scores(texts: list[str], table: _Scores) -> np.ndarray:
     return np.clip(out, -1, 1)  # beyond the margin a score says no more
 
 
-_TABLES: dict[str, _Scores] = {}
-
-
-def _scorer(model: Model, key: str) -> _Scores:
-    if key not in _TABLES:
-        _TABLES.clear()
-        _TABLES[key] = _Scores(model)
-    return _TABLES[key]
-
-
 def _scored(df: DataFrame, model: Model, keep: list, text_col: str) -> DataFrame:
     """``keep`` columns and the highest word score of each row."""
     spark = df.sparkSession
@@ -271,7 +261,7 @@ def _scored(df: DataFrame, model: Model, keep: list, text_col: str) -> DataFrame
 
     @F.pandas_udf("double")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        table = _scorer(shared.value, key)
+        table = worker_state(("toxicity", key), lambda: _Scores(shared.value))
         for texts in batches:
             yield pd.Series(_top_scores(texts.tolist(), table))
 
