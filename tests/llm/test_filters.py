@@ -132,6 +132,83 @@ def test_op3(spark, duck):
         assert not best or r["verdict"] == best[0]
 
 
+def level_names(host):
+    name = host.rsplit("@", 1)[-1]
+    name = (name[:name.rindex(":")] if ":" in name else name).removesuffix(".")
+    parts = name.split(".")
+    two = ".".join(parts[-2:])
+    if two in url_reputation.TWO_LABEL_SUFFIXES:
+        return name, ".".join(parts[-3:]), two
+    return name, two, parts[-1]
+
+
+def strength(groups):
+    """Method of moments over (n, k, mean above)."""
+    over = sum((k - n * m) ** 2 - n * m * (1 - m) for n, k, m in groups)
+    pairs = sum(n * (n - 1) * m * (1 - m) for n, k, m in groups)
+    return min(max(1 / max(over / pairs, 1e-9) - 1, 1.0), 10_000.0) if pairs else 1.0
+
+
+def posterior(urls, labels):
+    """Brute force over all pages: {host name: (rate, bound)}, and the number
+    of labelled outcomes by whether the path ends in .html."""
+    seen, kinds = [], {True: 0, False: 0}
+    for url in urls:
+        host, path, _ = judge(url)
+        number = re.search(r"/([0-9]+)", path)
+        if number and int(number[1]) in labels:
+            seen.append((level_names(host), labels[int(number[1])]))
+            kinds[path.endswith(".html")] += 1
+    def counts(level):
+        out = {}
+        for names, y in seen:
+            n, k = out.get(names[level], (0, 0))
+            out[names[level]] = (n + 1, k + y)
+        return out
+    host_n, domain_n, suffix_n = map(counts, range(3))
+    above = {names[level]: names[level + 1] for names, _ in seen for level in (0, 1)}
+    mean = (sum(y for _, y in seen) + 0.5) / (len(seen) + 1)
+    s = strength([(n, k, mean) for n, k in suffix_n.values()])
+    suffix_m = {x: (k + s * mean) / (n + s) for x, (n, k) in suffix_n.items()}
+    s = strength([(n, k, suffix_m[above[x]]) for x, (n, k) in domain_n.items()])
+    domain_m = {x: (k + s * suffix_m[above[x]]) / (n + s) for x, (n, k) in domain_n.items()}
+    s = strength([(n, k, domain_m[level_names(x)[1]]) for x, (n, k) in host_n.items()])
+    out = {}
+    for url in urls:
+        name, domain, suffix = level_names(judge(url)[0])
+        m = domain_m.get(domain, suffix_m.get(suffix, mean))
+        n, k = host_n.get(name, (0, 0))
+        a, b = k + s * m, n - k + s * (1 - m)
+        out[name] = (a / (a + b), a / (a + b) - 1.645 * (a * b / ((a + b) ** 2 * (a + b + 1))) ** 0.5)
+    return out, kinds
+
+
+def test_op3_verdicts_without_a_rule(spark):
+    import duckdb
+    from conftest import SF_CHECK, SF_SMALL
+    for sf in (SF_SMALL, SF_CHECK):
+        urls = dict(duckdb.sql(f"SELECT page_id, url FROM '{sf}/pages.parquet'").fetchall())
+        labels = dict(duckdb.sql(f"SELECT doc_id, (quality = 1 AND toxic = 0)::int FROM '{sf}/labels.parquet'").fetchall())
+        want, kinds = posterior(urls.values(), labels)
+        assert kinds[True] and kinds[False]
+        got = queries.op3_url_filter(spark, sf).collect()
+        assert len(got) == len(urls)
+        for r in got:
+            rate, bound = want[level_names(r["host"])[0]]
+            assert abs(r["rate"] - rate) < 1e-9 and abs(r["bound"] - bound) < 1e-9
+            if r["rule"] is None:
+                assert r["verdict"] == ("allow" if bound >= 0.5 else "block")
+
+
+def test_page_numbers(spark, tmp_path):
+    urls = ["http://a.org/en/1", "http://a.org/en/2/", "http://a.org/en/3.html", "http://a.org/4.html?page=9", "http://a.org/en/5-title",
+            "http://a.org/en/6/7", "http://8.org/en/", None]
+    spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").write.parquet(f"{tmp_path}/pages.parquet")
+    spark.createDataFrame([(k, 1, k % 2) for k in range(9)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    got = sorted(map(tuple, queries.page_outcomes(spark, str(tmp_path)).collect()))
+    assert got == sorted((u, int(k % 2 == 0)) for k, u in enumerate(urls[:6], 1))
+
+
 def toxic_corpus(n=600):
     rnd = random.Random(8)
     syllables = "the an re on ti in st er al en or ha ou ed ly".split()

@@ -37,10 +37,11 @@ def op2_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def page_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(url, good) of the labelled pages: a page shows the document whose id
-    is the first number in its path, and is good if that document's label is
-    of good quality and not toxic."""
+    is the first number after a slash of its path, whatever follows it
+    (``/en/4033.html``), and is good if that document's label is of good
+    quality and not toxic."""
     path = url_reputation.url_parts(F.col("url"))[1]
-    shown = (table(spark, sf_dir, "pages").select("url", F.regexp_extract(path, r"/(\d+)(?:/|$)", 1).alias("number"))
+    shown = (table(spark, sf_dir, "pages").select("url", F.regexp_extract(path, r"/(\d+)", 1).alias("number"))
              .select("url", F.expr("try_cast(number as bigint)").alias("doc_id")))
     labels = table(spark, sf_dir, "labels").select(
         "doc_id", ((F.col("quality") == 1) & (F.col("toxic") == 0)).cast("int").alias("good"))
