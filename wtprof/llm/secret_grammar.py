@@ -7,10 +7,12 @@ of all their successors) agree within the Hoeffding bound are merged
 (the ALERGIA rule). Each transition keeps how often each character was seen,
 so a format is a chain of classes, lengths and typical characters.
 
-Every token-like run of every text is a candidate. It is a secret if some
-automaton accepts it, its likelihood a character is not plainly below that of
-all but 1 % of that kind's training strings, and it beats a character model of
-the table's ordinary words by a margin that no sampled ordinary word reaches.
+Every token-like run of every text, and each of its parts that starts and ends
+at one of ``+/_.=-`` (``auth=...``, ``?sig=...``), is a candidate from the
+shortest learned length up. It is a secret if some automaton accepts it, its
+likelihood a character is not plainly below that of all but 1 % of that kind's
+training strings, and it beats a character model of the table's ordinary words
+by a margin that no sampled ordinary word reaches.
 """
 
 from __future__ import annotations
@@ -19,6 +21,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 from zlib import crc32
 
 import pandas as pd
@@ -38,10 +41,12 @@ MIN_ASSIGN, MIN_ACCESS, MIN_HEX = 6, 20, 24
 HINTS = ("passw", "secret", "token", "api")
 
 RUN = re.compile(r"(?<![A-Za-z0-9+/_.=-])[A-Za-z0-9+/_.=-]{16,}")
+RUN_FROM = r"(?<![A-Za-z0-9+/_.=-])[A-Za-z0-9+/_.=-]{%d,}"
 WORD = re.compile(r"(?<!\S)[A-Za-z]{4,}(?!\S)")
 WORD_SHARE = 64          # ordinary words are drawn from the 64th part of all words, by hash
-EDGES = "+/_.=-"
-MIN_CANDIDATE = 16       # shorter runs carry too little to tell
+EDGES = "+/_.=-"         # parts of a run start after and end before one of these
+EDGE = re.compile(r"[+/_.=-]")
+MEMO_CHARS, MEMO_RUNS = 64, 1 << 17   # runs kept with their answer, as words come again and again
 MAX_TRAIN = 1500         # training strings of each kind, and ordinary words (bounds the fit)
 MAX_TRAIN_CHARS = 256    # longer strings are scored but not learned from
 ALPHA = 0.05             # significance of the merge test
@@ -199,6 +204,9 @@ class Grammar:
 
     def __init__(self, credentials: dict[str, list[str]], words: list[str]):
         self.ordinary = Ordinary(words)
+        self.shortest = min((len(s) for strings in credentials.values() if len(strings) >= MIN_STRINGS for s in strings), default=0)
+        self.runs = re.compile(RUN_FROM % self.shortest)
+        self.memo: dict[str, list[tuple[int, int]]] = {}
         self.kinds: list[tuple[str, Automaton, float, float]] = []
         for kind, strings in sorted(credentials.items()):
             if len(strings) < MIN_STRINGS:
@@ -215,19 +223,59 @@ class Grammar:
                 return True
         return False
 
+    def parts(self, run: str) -> list[tuple[int, int]]:
+        """(start, end) of all parts of a run that are accepted: those without
+        marks at their edges first, then by start, the longest first."""
+        if len(run) > MEMO_CHARS:
+            return self._parts(run)
+        found = self.memo.get(run)
+        if found is None:
+            if len(self.memo) >= MEMO_RUNS:
+                self.memo.clear()
+            found = self.memo[run] = self._parts(run)
+        return found
+
+    def _parts(self, run: str) -> list[tuple[int, int]]:
+        marks = [m.start() for m in EDGE.finditer(run)]
+        ends = {*marks, len(run)}
+        ordinary: list[float] = []   # log likelihood of run[:k + 1] after its first character
+        found = set()
+        for start in (0, *(k + 1 for k in marks)):
+            if len(run) - start < self.shortest:
+                break
+            for _, a, rate, margin in self.kinds:
+                at, total = 0, 0.0
+                for k in range(start, len(run)):
+                    step = a.steps[at].get(run[k])
+                    if step is None:
+                        break
+                    at, p = step
+                    total += p
+                    fit = total + a.ends[at]
+                    if k + 1 in ends and fit > -math.inf and fit / (k + 1 - start) >= rate:
+                        ordinary = ordinary or [0.0, *accumulate(map(self.ordinary.p.__getitem__, zip(run, run[1:])))]
+                        if fit - self.ordinary.p["^", run[start]] - ordinary[k] + ordinary[start] >= margin:
+                            found.add((start, k + 1))
+        return sorted(found, key=lambda f: (run[f[0]] in EDGES or run[f[1] - 1] in EDGES, f[0], -f[1]))
+
 
 def all_spans(text: str, grammar: Grammar) -> list[tuple[int, int, int]]:
-    """Base spans and those the grammar adds where no base span lies."""
+    """Base spans and those the grammar adds where no base span lies; of
+    accepted parts that overlap the first of :meth:`Grammar.parts` is taken."""
     base = base_spans(text)
     added = []
+    taken = None     # a mark for each character within a span
     if grammar.kinds:
-        for run in RUN.finditer(text):
-            s = run[0]
-            core = s.strip(EDGES)
-            start = run.start() + len(s) - len(s.lstrip(EDGES))
-            end = start + len(core)
-            if len(core) >= MIN_CANDIDATE and not any(a < end and start < b for a, _, b in base) and grammar.accepts(core):
-                added.append((start, len(KINDS), end))
+        for run in grammar.runs.finditer(text):
+            for start, end in grammar.parts(run[0]):
+                if taken is None:
+                    taken = bytearray(len(text))
+                    for a, _, b in base:
+                        taken[a:b] = b"\1" * (b - a)
+                start, end = run.start() + start, run.start() + end
+                if taken.find(1, start, end) < 0:
+                    taken[start:end] = b"\1" * (end - start)
+                    added.append((start, len(KINDS), end))
     return sorted(base + added)
 
 
