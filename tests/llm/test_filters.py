@@ -1,8 +1,10 @@
 """Secret scan, url filter and toxicity."""
 
+import math
 import random
 import re
 from hashlib import sha256
+from zlib import crc32
 
 from edges import by_rows, empty, frame, rows
 
@@ -285,3 +287,23 @@ def test_toxicity_without_labels(spark):
     none = spark.createDataFrame([(1, None), (None, 1)], "doc_id long, toxic int")
     model = toxicity.fit(frame(spark), none)
     assert toxicity.score(frame(spark), model).where("predicted = 1").count() == 0
+
+
+def toxic_probability(text, model):
+    """The logistic of the highest score of a word, word by word."""
+    words = toxicity.words_of(text or "")
+    best = max((model.word_scores([x])[0] for w in words for x in toxicity._Scores._readings(w)), default=model.bias)
+    return 1 / (1 + math.exp(-min(40, max(-40, min(1, max(-1, best)) * model.slope + model.offset))))
+
+
+def test_op9(spark, duck):
+    from conftest import SF_SMALL
+    from wtprof.llm.common import table
+    texts = dict(duck.sql("SELECT doc_id, text FROM documents").fetchall())
+    model = toxicity.fit(table(spark, SF_SMALL, "documents"), table(spark, SF_SMALL, "labels"))
+    got = queries.op9_toxicity(spark, SF_SMALL).collect()
+    assert sorted(r["doc_id"] for r in got) == sorted(texts)
+    for r in got:
+        want = toxic_probability(texts[r["doc_id"]], model)
+        assert abs(r["score"] - want) < 1e-4 and r["predicted"] == int(r["score"] >= 0.5)
+        assert r["held_out"] == (crc32(str(r["doc_id"]).encode()) % 5 == 0)

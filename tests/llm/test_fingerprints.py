@@ -3,10 +3,12 @@
 from hashlib import sha256
 
 from edges import empty, frame, long_text, rows
+from test_dedup import repeats_want, simhash_want
+from test_filters import toxic_probability
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from wtprof.llm import multiset_hash, queries
+from wtprof.llm import multiset_hash, queries, secret_grammar, toxicity
 
 PYTHON = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "MapInArrow", "FlatMapGroups", "PythonMapInArrow")
 
@@ -83,6 +85,43 @@ def test_pipeline_stages(spark):
     assert corpus_pipeline.run(spark, SF_SMALL).select("doc_id").distinct().count() == counts[-1]
 
 
+def test_pipeline_stage_texts(spark):
+    """Rows and texts after each stage against a small Python version."""
+    from conftest import SF_SMALL
+    from wtprof.llm.common import table, written
+    docs = table(spark, SF_SMALL, "documents")
+    labels = table(spark, SF_SMALL, "labels")
+    def collected(df):
+        return {r["doc_id"]: r["text"] for r in df.collect()}
+
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        old = collected(docs)
+        new = written(stage(spark, docs, SF_SMALL), "texts-" + name.replace(" ", "-"))
+        assert new.count() == len(got := collected(new))
+        if name == "toxicity":
+            model = toxicity.fit(docs, labels)
+            want = {i: t for i, t in old.items() if toxic_probability(t, model) < 0.5}
+        elif name == "simhash near-dedup":
+            data = list(old.items())
+            want = {i: old[i] for i in set(simhash_want(data)[1])}
+        elif name == "substring dedup":
+            cut = repeats_want(list(old.items()))
+            kept = {i: digest for i, n, gone, digest in cut if gone == 0 or gone < n}
+            assert {i: sha256(b" ".join((t or "").encode().split())).hexdigest() for i, t in got.items()} == kept
+            assert all(got[i] == old[i] for i, n, gone, _ in cut if gone == 0)
+            want = got
+        else:
+            grammar, want = secret_grammar.learn(docs), {}
+            for i, t in old.items():
+                hidden = [False] * len(t)
+                for a, _, b in secret_grammar.all_spans(t, grammar):
+                    hidden[a:b] = [True] * (b - a)
+                want[i] = "".join(c if not h else "" if k and hidden[k - 1] else "[secret]" for k, (c, h) in enumerate(zip(t, hidden)))
+            assert not any(secret_grammar.base_spans(t) for t in got.values())
+        assert got == want, name
+        docs = new
+
+
 def test_pipeline_stages_on_odd_rows(spark):
     from conftest import SF_SMALL
     docs = frame(spark).select("doc_id", "text", F.lit("en").alias("lang"), F.lit("s").alias("source"),

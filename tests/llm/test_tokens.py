@@ -90,6 +90,13 @@ def test_token_count_rows(spark, pieces):
     assert token_counts.count_tokens(empty(spark), PIECE).count() == 0
 
 
+def test_op6(spark, pieces, duck):
+    from conftest import SF_SMALL
+    texts = duck.sql("SELECT doc_id, coalesce(text, '') FROM documents").fetchall()
+    got = sorted((r["doc_id"], r["n_bytes"], r["n_tokens"]) for r in queries.op6_token_counts(spark, SF_SMALL).collect())
+    assert got == sorted((i, len(t.encode()), len(pieces.encode(t))) for i, t in texts)
+
+
 def test_differencing_is_a_near_equal_partition():
     rnd = np.random.default_rng(3)
     for n, m in ((0, 1), (1, 4), (50, 7), (300, 16)):
