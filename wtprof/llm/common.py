@@ -8,7 +8,7 @@ import uuid
 from collections.abc import Callable
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wtprof.session import scratch_path
@@ -68,5 +68,20 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def numbered(df: DataFrame, name: str, out: str = "idx") -> DataFrame:
+    """The rows of ``df``, written, with a gapless number from 0 (``out``).
+
+    A row's place in its partition is written with it; the sizes of the
+    earlier partitions (one small row each) are added. Nothing is sorted, and
+    every later read sees the same numbers."""
+    rows = written(df.withColumn("_place", F.monotonically_increasing_id()), name)
+    part = F.shiftright("_place", 33)
+    sizes = rows.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
+    before = sizes.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_before"))
+    place = F.col("_before") + F.col("_place").bitwiseAND((1 << 33) - 1)
+    return (rows.withColumn("_part", part).join(F.broadcast(before), "_part")
+            .withColumn(out, place).drop("_part", "_before", "_place"))
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

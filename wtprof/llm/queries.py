@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wtprof.llm import (bpe, embedding_forest, multiset_hash, packing, secret_grammar, simhash_vp, substring_dedup,
-                        token_counts, toxicity, url_reputation)
+                        token_counts, toxicity, url_reputation, whitening)
 from wtprof.llm.common import table
 
 WORD_BPE = "word_bpe_49k.json"
@@ -82,7 +82,12 @@ def op10_multiset_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multiset_hash.edit_likeness(table(spark, sf_dir, "documents"))
 
 
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_secret_scan, op2_bpe_codec, op3_url_filter, op4_embedding_near_dup, op5_substring_dedup, op6_token_counts,
-    op7_simhash_near_dup, op8_packing, op9_toxicity, op10_multiset_fingerprints)}
+    op7_simhash_near_dup, op8_packing, op9_toxicity, op10_multiset_fingerprints,
+    op13_embedding_whitening)}
 SQL: dict[str, str] = {}
