@@ -85,3 +85,21 @@ def numbered(df: DataFrame, name: str, out: str = "idx") -> DataFrame:
 
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def hot_join(many: DataFrame, one: DataFrame, key: str) -> DataFrame:
+    """Inner join of ``many`` rows with at most one row a key of ``one``, where
+    a key may hold any share of ``many``.
+
+    A key with more than its share (all rows over twice the shuffle width) is
+    hot; there are at most that many such keys, so their list can be sent to
+    every task. A hot key's rows are dealt to as many salts as it has shares,
+    and its row of ``one`` is repeated for each."""
+    share = 2 * shuffle_width(many.sparkSession)
+    sizes = many.groupBy(key).agg(F.count("*").alias("_n"))
+    limit = max(1, many.count() // share)
+    hot = F.broadcast(written(sizes.where(F.col("_n") > limit).select(key, F.ceil(F.col("_n") / limit).alias("_salts")), "hot"))
+    salts = F.coalesce("_salts", F.lit(1))
+    left = many.join(hot, key, "left").withColumn("_salt", F.pmod(F.xxhash64(*[c for c in many.columns if c != key]), salts)).drop("_salts")
+    right = one.join(hot, key, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), salts - 1))).drop("_salts")
+    return left.join(right, [key, "_salt"]).drop("_salt")

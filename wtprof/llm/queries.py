@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wtprof.llm import (bpe, embedding_forest, multiset_hash, packing, secret_grammar, simhash_vp, substring_dedup,
-                        token_counts, toxicity, url_reputation, whitening)
+                        token_counts, topk_threshold, toxicity, url_reputation, whitening)
 from wtprof.llm.common import table
 
 WORD_BPE = "word_bpe_49k.json"
@@ -82,6 +82,10 @@ def op10_multiset_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multiset_hash.edit_likeness(table(spark, sf_dir, "documents"))
 
 
+def op11_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_threshold.top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
 
@@ -89,5 +93,18 @@ def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_secret_scan, op2_bpe_codec, op3_url_filter, op4_embedding_near_dup, op5_substring_dedup, op6_token_counts,
     op7_simhash_near_dup, op8_packing, op9_toxicity, op10_multiset_fingerprints,
-    op13_embedding_whitening)}
-SQL: dict[str, str] = {}
+    op11_exact_top_k, op13_embedding_whitening)}
+SQL: dict[str, str] = {
+    "op11_exact_top_k": """
+WITH x AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda c: floor(64 * CAST(c AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM x q JOIN x c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 20
+""",
+}
