@@ -9,6 +9,7 @@ import xxhash
 from edges import by_rows, empty, frame, long_text, rows
 
 from wtprof.llm import embedding_forest, graph, queries, simhash_vp, substring_dedup
+from wtprof.llm.words import Words
 
 
 def roots(n, pairs):
@@ -156,6 +157,27 @@ def test_batches_meet(spark, monkeypatch):
     assert by_rows(substring_dedup.remove_repeats(frame(spark, data).repartition(3), digest=True)) == repeats_want(data)
 
 
+def test_words_built_against_polynomials(spark):
+    """Thue-Morse words and their complements meet under any polynomial modulo 2^64."""
+    bits = [0]
+    while len(bits) < 4096:
+        bits += [1 - b for b in bits]
+    a, b = ("".join("ab"[x ^ f] for x in bits) for f in (0, 1))
+    rest = " ".join(f"w{k}" for k in range(12))
+    data = [(1, f"{a} {rest}"), (2, f"{b} {rest}"), (3, f"{a} {rest}"), (4, f"x {a} y {b} {rest}")]
+    assert by_rows(substring_dedup.remove_repeats(frame(spark, data), digest=True)) == repeats_want(data)
+
+
+def test_word_hashes():
+    """Words of all lengths and endings have their own hashes, the same wherever they stand."""
+    words = sorted({w[:k].encode() for w in ("a" * 40, "b" * 40, "ab" * 20, "0123456789" * 4, "\0" * 40, "aaaaaaa\0" * 5) for k in range(1, 41)})
+    w = Words([b" ".join(words), b"xx  " + b"\t".join(reversed(words))])
+    for h in (w.hash, w.second):
+        assert len(set(h[:len(words)].tolist())) == len(words)
+        assert h[len(words) + 1:][::-1].tolist() == h[:len(words)].tolist()
+    assert not set(w.hash.tolist()) & set(w.second.tolist())
+
+
 def test_delta_code():
     for keys in ([], [0], [5, 5 + 65535, 5 + 3 * 65535, 1 << 27], list(range(0, 1 << 20, 37)), [1, 1 << 27]):
         keys = np.array(keys, np.int64)
