@@ -42,6 +42,21 @@ def test_encoder_equals_library(text):
     assert codec.decode(codec.encode(text)).decode() == t.decode(ids, skip_special_tokens=False)
 
 
+@settings(max_examples=400, deadline=None)
+@given(st.text(alphabet=st.one_of(st.sampled_from("aeihTHWYJkKİıÉé<. \n"), st.characters(min_codepoint=0x300, max_codepoint=0x36F),
+                                  st.characters(min_codepoint=0x1E00, max_codepoint=0x1EFF)), max_size=30))
+def test_marks_equal_library(text):
+    test_encoder_equals_library.hypothesis.inner_test(text)
+
+
+def test_decomposed_capitals(library):
+    codec = bpe.load(WORD)
+    letters = "ABCHIJKTWYZ"
+    for text in [a + chr(m) + tail for a in letters for m in range(0x300, 0x370) for tail in ("", "a", "\u0307")] + ["İ͇", "xİ͇̇ İ"]:
+        for whole in (text, f"some Words {text}, {text.lower()}"):
+            assert codec.encode(whole).tolist() == library.encode(whole, add_special_tokens=False).ids
+
+
 def test_vocabulary_tokens_side_by_side(library):
     vocab = sorted(library.get_vocab())
     codec = bpe.load(WORD)
@@ -108,6 +123,24 @@ def test_differencing_is_a_near_equal_partition():
     assert count == 5  # the count rose from ceil(7500 / 2048) until each fits
 
 
+def test_batch_cuts_only_what_no_window_holds():
+    rnd = np.random.default_rng(5)
+    for sizes in ([1500] * 5, [2048], [1], [700] * 300, rnd.integers(1, 2048, 400).tolist(), [2047] * 64 + [1] * 64):
+        p = packing.pack_batch(sizes, 2048)
+        full = np.bincount(p.window, p.length).astype(int)
+        over = sum(sizes) % 2048
+        assert full.tolist() == [2048] * (sum(sizes) // 2048) + [1 << b for b in range(10, -1, -1) if over >> b & 1]
+        at = [0] * len(sizes)
+        for item, start, length in sorted(zip(p.item.tolist(), p.start.tolist(), p.length.tolist())):
+            assert start == at[item] and length > 0
+            at[item] += length
+        assert at == sizes
+        for w in range(len(full)):
+            o, n = p.offset[p.window == w], p.length[p.window == w]
+            assert o.tolist() == (np.cumsum(n) - n).tolist()
+        assert len(p.item) <= len(sizes) + len(full)  # a window gets one part of a cut document at most beside whole ones
+
+
 def check_packing(pieces_rows, ids_of):
     seqs, docs = defaultdict(list), defaultdict(list)
     for r in pieces_rows:

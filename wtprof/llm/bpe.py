@@ -43,6 +43,9 @@ END = ""          # stands for the end-of-word suffix inside patterns
 MAX_CHUNKS = 1_000_000  # entries of the chunk table of one Python worker
 MAX_PAIRS = 1_000_000
 KEEP_LEN = 48           # longer chunks are encoded but not kept
+PIECE = b" "            # no chunk holds a blank
+TEXT_MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+MARKS = TEXT_MARKS.encode()
 
 
 def byte_symbols() -> list[str]:
@@ -60,16 +63,21 @@ def byte_symbols() -> list[str]:
 
 
 class _Chunks(dict):
-    """chunk bytes → uint16 ids; fills itself."""
+    """chunk bytes → uint16 ids; fills itself. A pre-tokenized piece stands
+    under PIECE and its bytes: it is normalised already."""
 
     def __init__(self, encode):
         super().__init__()
         self.encode = encode
+        self.old: dict[bytes, bytes] = {}   # entries of before the last turn, taken over when used again
 
     def __missing__(self, chunk: bytes) -> bytes:
-        ids = self.encode(chunk)
+        ids = self.old.pop(chunk, None)
+        if ids is None:
+            ids = self.encode(chunk)
         if len(chunk) <= KEEP_LEN:
-            if len(self) >= MAX_CHUNKS:
+            if len(self) >= MAX_CHUNKS // 2:
+                self.old = self.copy()
                 self.clear()
             self[chunk] = ids
         return ids
@@ -99,7 +107,8 @@ class WordBpe:
             self.merge.setdefault((ia, ib), r)
             if made is not None and made not in self.rank:
                 self.rank[made], self.parts[made] = r, (ia, ib)
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, dict[int, bool]] = {}   # verdicts by left token
+        self.verdicts = 0
         self._edges_right: dict[int, list] = {}
         self._edges_left: dict[int, list] = {}
         self.automaton = ahocorasick.Automaton()
@@ -107,8 +116,11 @@ class WordBpe:
                 for t, i in self.vocab.items() if self._makes_itself(i)}
         self.size = [0] * (max(self.tokens) + 1)      # symbols of each token
         self.shorter = [-1] * (max(self.tokens) + 1)  # its longest proper prefix that is a token
+        # tokens of one or two symbols are found by a look-up where no longer one starts
+        self.brief = {key: i for key, i in keys.items() if len(key) < 3}
         for key, i in keys.items():
-            self.automaton.add_word(key, i)
+            if len(key) >= 3:
+                self.automaton.add_word(key, (len(key) - 1, i))
             self.size[i] = len(key)
             self.shorter[i] = next((keys[key[:k]] for k in range(len(key) - 1, 0, -1) if key[:k] in keys), -1)
         self.automaton.make_automaton()
@@ -159,11 +171,14 @@ class WordBpe:
         return False
 
     def compatible(self, a: int, b: int) -> bool:
-        ok = self.pairs.get((a, b))
+        """Verdict on neighbours, from the pair table or added to it."""
+        row = self.pairs.get(a)
+        if row is None:
+            row = self.pairs[a] = {}
+        ok = row.get(b)
         if ok is None:
-            if len(self.pairs) >= MAX_PAIRS:
-                self.pairs.clear()
-            ok = self.pairs[a, b] = not self._broken(a, b, float("inf"))
+            self.verdicts += 1
+            ok = row[b] = not self._broken(a, b, float("inf"))
         return ok
 
     def _makes_itself(self, i: int) -> bool:
@@ -178,33 +193,44 @@ class WordBpe:
     def encode_word(self, symbols: str) -> list[int]:
         """Tokens of one pre-tokenized word in byte symbols."""
         word = symbols + END
-        n, size, shorter, pairs = len(word), self.size, self.shorter, self.pairs
-        longest = [-1] * n
-        for end, i in self.automaton.iter(word):
-            longest[end + 1 - size[i]] = i  # ends ascend: the longest comes last
-        dead = bytearray(n + 1)
+        n, size, shorter, pairs, brief = len(word), self.size, self.shorter, self.pairs, self.brief
+        if self.verdicts >= MAX_PAIRS:
+            pairs.clear()
+            self.verdicts = 0
+        # ends ascend, so the longest of a start comes last
+        longest = {end - back: i for end, (back, i) in self.automaton.iter(word)} if n > 2 else {}
+        dead: set[int] = set()
         ids: list[int] = []
-        pos, prev, tok = 0, -1, longest[0]
+        row: dict[int, bool] = {}
+        pos, prev, fresh, tok = 0, -1, True, -1
         while True:
+            if fresh:
+                tok = longest.get(pos, -1)
+                if tok < 0:
+                    tok = brief.get(word[pos:pos + 2], -1)
+                    if tok < 0:
+                        tok = brief.get(word[pos], -1)
             while tok >= 0:
-                after = pos + size[tok]
-                if not dead[after]:
-                    if prev < 0:
-                        break
-                    ok = pairs.get((prev, tok))
-                    if ok or ok is None and self.compatible(prev, tok):
+                if prev < 0 or (row[tok] if tok in row else self.compatible(prev, tok)):
+                    after = pos + size[tok]
+                    if after not in dead:
                         break
                 tok = shorter[tok]
             if tok >= 0:
                 ids.append(tok)
                 if after == n:
                     return ids
-                pos, prev, tok = after, tok, longest[after]
+                pos, prev, fresh = after, tok, True
+                row = pairs.get(tok)
+                if row is None:
+                    row = pairs[tok] = {}
             elif ids:
-                dead[pos] = 1
+                dead.add(pos)
                 tok = ids.pop()
                 pos -= size[tok]
-                prev, tok = ids[-1] if ids else -1, shorter[tok]
+                prev, fresh, tok = ids[-1] if ids else -1, False, shorter[tok]
+                if ids:
+                    row = pairs[prev]
             else:
                 raise ValueError(f"no encoding of {symbols!r}")
 
@@ -224,26 +250,38 @@ class WordBpe:
                 for s, _ in pre.pre_tokenize_str(norm.normalize_str(text))]
 
     def _encode_chunk(self, chunk: bytes) -> bytes:
+        if chunk[:1] == PIECE:
+            return array("H", self.encode_word("".join(map(self.symbol.__getitem__, chunk[1:])))).tobytes()
         if chunk.isalpha():  # ASCII letters: one piece
             return array("H", self.encode_word(chunk.decode().lower())).tobytes()
+        # letters and marks after them are two pieces: the letters stand in the table by themselves
+        core = chunk.rstrip(MARKS)
+        if core.isalpha():
+            return self.chunks[core] + self.chunks[PIECE + chunk[len(core):]]
         text, out = chunk.decode("utf-8"), []
+        if not core.isascii():
+            word = text.rstrip(TEXT_MARKS)
+            low = word.lower()
+            if low.isalpha() and self.plain.fullmatch(word):
+                first = self.chunks[PIECE + low.encode()]
+                return first + self.chunks[PIECE + text[len(word):].encode()] if len(word) < len(text) else first
         for part in (self.specials.split(text) if "<|" in text else (text,)):
             if part in self.special:
                 out.append(array("H", [self.special[part]]).tobytes())
                 continue
             for piece in self._pieces_of(part) if part else ():
                 raw = piece.encode("utf-8", "surrogatepass")
-                if raw != chunk and len(raw) <= KEEP_LEN:
-                    out.append(self.chunks[raw])  # a piece alone is a chunk of its own
-                else:
-                    out.append(array("H", self.encode_word("".join(map(self.symbol.__getitem__, raw)))).tobytes())
+                out.append(self.chunks[raw if raw.islower() and raw.isalpha() else PIECE + raw])
         return b"".join(out)
 
     def encode(self, text: str) -> np.ndarray:
         """Token ids (uint16) of a whole text."""
         raw = text.encode()
-        if b"<|" not in raw:
-            raw = raw.lower()  # ASCII letters only; the rest is normalised chunk by chunk
+        # ASCII letters may be lowered first where no combining mark (U+0300 to U+036F)
+        # could join one: the tokenizer composes before it lowers. The rest is
+        # normalised chunk by chunk.
+        if b"<|" not in raw and b"\xcc" not in raw and b"\xcd" not in raw:
+            raw = raw.lower()
         return np.frombuffer(b"".join(map(self.chunks.__getitem__, raw.split())), np.uint16)
 
     # -- decoding -----------------------------------------------------------
