@@ -7,6 +7,9 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wtprof.operators.vectorize import small_side
+from wtprof.session import materialize
+
 
 def time_range(df: DataFrame, start, end, col: str = "logtime") -> DataFrame:
     """Half-open ``[start, end)``; on a raw column it reaches the scan."""
@@ -75,6 +78,51 @@ def exclude_keywords(df: DataFrame, exceptions: DataFrame, targets: Iterable[str
     return out
 
 
+GRAM = 4             # symbols of an indexed gram; shorter keywords are looked up whole
+REGEX_MARKS = r"[\\\[\](){}.*+?^$|]"
+
+
+def _grams(c: Column) -> Column:
+    """The distinct runs of 1 to GRAM symbols of a text, lengths apart."""
+    return F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(1), F.lit(GRAM)), lambda n: F.when(
+        F.length(c) >= n, F.transform(F.sequence(F.lit(1), F.length(c) - n + 1), lambda i: F.substring(c, i, n))).otherwise(
+        F.array().cast("array<string>")))))
+
+
+def exclude_keywords_many(df: DataFrame, exceptions: DataFrame, targets: Iterable[str],
+                          column_col: str = "selectcolumn", keyword_col: str = "keyword") -> DataFrame:
+    """C7 for long keyword lists: the rows that :func:`exclude_keywords` keeps,
+    without an alternation that grows with the list.
+
+    A keyword without marks of regular expressions is a plain string. It is
+    indexed by the rarest of its grams, as counted over the distinct values
+    of the column; a value meets, by an equi-join on its grams, only the
+    keywords filed under one of them, and ``contains`` decides. Keywords that
+    are expressions stay in one alternation. Rows go by an anti join on the
+    value. A null value never matches, a null keyword is none, an empty one is
+    as in :func:`exclude_keywords`, a part of the alternation."""
+    out = df
+    for t in targets:
+        words = exceptions.where((F.col(column_col) == t) & F.col(keyword_col).isNotNull()).select(F.col(keyword_col).alias("_k")).distinct()
+        plain = words.where((F.length("_k") > 0) & ~F.rlike("_k", F.lit(REGEX_MARKS)))
+        others = words.where((F.length("_k") == 0) | F.rlike("_k", F.lit(REGEX_MARKS)))
+        others = others.unionByName(plain.orderBy("_k").limit(1))  # beside another keyword an empty one matches all
+        out = exclude_keywords(out, others.select(F.lit(t).alias(column_col), F.col("_k").alias(keyword_col)), [t],
+                               column_col, keyword_col)
+        values = materialize(out.select(F.col(t).alias("_v")).where(F.col(t).isNotNull()).distinct())
+        size = F.least(F.length("_k"), F.lit(GRAM))
+        own = F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("_k") - size + 1), lambda i: F.substring("_k", i, size)))
+        filed = plain.select("_k", F.explode(own).alias("_g"))
+        seen = values.select(F.explode(_grams(F.col("_v"))).alias("_g")).groupBy("_g").agg(F.count("*").alias("_n"))
+        # a keyword with a gram that no value has matches none
+        rare = filed.join(seen, "_g", "left").groupBy("_k").agg(
+            F.min(F.struct(F.coalesce("_n", F.lit(0)).alias("n"), "_g")).alias("r")).where("r.n > 0").select("_k", F.col("r._g").alias("_g"))
+        met = values.select("_v", F.explode(_grams(F.col("_v"))).alias("_g")).join(rare, "_g")
+        hit = materialize(met.where(F.contains("_v", "_k")).select(F.col("_v").alias(t)).distinct())
+        out = out.join(small_side(hit), t, "left_anti").select(*df.columns)
+    return out
+
+
 # Fixed class keys of the note / attack-name mapping files.
 MAPPED_CLASSES = ["beaconing", "injection", "scanning", "credential", "xss"]
 

@@ -53,8 +53,8 @@ CLASS_DISPLAY = {
     "normal": "NORMAL",
     "anomaly": "ANOMALY",
 }
-# Result codes are this base plus the class code (our own code table).
-CODE_BASE = 250 * 1000
+# Fixed value: result codes are this base plus the class code (our own code table).
+CODE_BASE = 250000
 CLASS_CODES = {"NORMAL": 0, "SQL_INJECTION": 1, "XSS": 2, "BEACONING": 3, "CREDENTIAL": 4,
                "HTTP_SCANNING": 5, "ANOMALY": 9}
 

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StringType
 
+from wtprof.functions.nulls import FILL_CATEGORY, FILL_NUMBER, FILL_STRING, fill_nulls
 from wtprof.operators.aggregates import distinct_counts
 
 CAT_THRESHOLD = 10
@@ -69,3 +70,50 @@ class ColumnRoles:
             if hasattr(r, row["role"]):
                 getattr(r, row["role"]).append(row["column_name"])
         return r
+
+
+FILLS = {"number": str(FILL_NUMBER), "string": FILL_STRING, "category": FILL_CATEGORY}
+
+
+def fit_roles(df: DataFrame, index_cols: Sequence[str] = (), label_col: str | None = "label",
+              cat_threshold: int = CAT_THRESHOLD) -> DataFrame:
+    """C11 + I14 as fitted state: ``(column_name, dtype, role, fill)``, a row
+    for each column, to be saved with the model and applied at predict."""
+    roles = screen_roles(df, index_cols, label_col, cat_threshold)
+    fills = F.create_map(*[F.lit(x) for kv in FILLS.items() for x in kv])
+    return roles.select("column_name", "dtype", "role", F.try_element_at(fills, F.col("role")).alias("fill"))
+
+
+def apply_roles(df: DataFrame, fitted: DataFrame) -> DataFrame:
+    """``df`` with its nulls filled by the fitted roles (I14); index and label
+    columns, and columns without a role, stay as they are.
+
+    The columns must be those of the fit: one that is missing or has another
+    type fails by name, whatever its role. Columns the fit doesn't know pass
+    through."""
+    found = dict(df.dtypes)
+    state = fitted.collect()  # a row for each column
+    wrong = [f"{r['column_name']}: {r['dtype']} when fitted, {found.get(r['column_name'], 'missing')} now"
+             for r in state if found.get(r["column_name"]) != r["dtype"]]
+    if wrong:
+        raise ValueError("columns differ from the fit: " + "; ".join(sorted(wrong)))
+    by_role = {role: [r["column_name"] for r in state if r["role"] == role] for role in FILLS}
+    texts = [c for c in by_role["category"] if found[c] == "string"]
+    numbers = by_role["number"] + [c for c in by_role["category"] if c not in texts and isinstance(df.schema[c].dataType, NumericType)]
+    return fill_nulls(df, number=numbers, string=by_role["string"], category=texts)
+
+
+def role_drift(df: DataFrame, fitted: DataFrame, index_cols: Sequence[str] = (), label_col: str | None = "label",
+               cat_threshold: int = CAT_THRESHOLD) -> DataFrame:
+    """What changed since the fit, as data: ``(column_name, dtype, role,
+    found_dtype, found_role, nulls)`` of the columns whose type or role
+    differs, that are new or gone (null on that side), or that hold nulls."""
+    now = screen_roles(df, index_cols, label_col, cat_threshold).select(
+        F.col("column_name").alias("_c"), F.col("dtype").alias("found_dtype"), F.col("role").alias("found_role"))
+    nulls = df.agg(*[F.count_if(F.col(f"`{c}`").isNull()).alias(c) for c in df.columns])
+    nulls = nulls.select(F.explode(F.map_from_arrays(F.array(*[F.lit(c) for c in df.columns]),
+                                                    F.array(*[F.col(f"`{c}`") for c in df.columns]))).alias("_n", "nulls"))
+    both = fitted.join(now.join(nulls, F.col("_c") == F.col("_n")), F.col("column_name") == F.col("_c"), "full")
+    out = both.select(F.coalesce("column_name", "_c").alias("column_name"), "dtype", "role", "found_dtype", "found_role", "nulls")
+    same = F.col("dtype").eqNullSafe(F.col("found_dtype")) & F.col("role").eqNullSafe(F.col("found_role")) & (F.coalesce("nulls", F.lit(0)) == 0)
+    return out.where(~same)

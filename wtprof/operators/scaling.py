@@ -161,9 +161,10 @@ def power_fit(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     population std of the transformed column.
 
     Each pass is one aggregate that evaluates 17 λ of every column; the
-    bracket shrinks around the best one, or moves on without bound if that
-    lies at its edge. The likelihood has one maximum; λ is given to four
-    decimals. Only the 17 likelihoods of a pass reach the driver."""
+    bracket shrinks around the best one, or moves on and widens, without
+    bound, if that lies at its edge; a λ whose values overflow has no
+    likelihood, which ends the search at the latest. The likelihood has one
+    maximum; λ is given to four decimals. Only the 17 likelihoods of a pass reach the driver."""
     bracket = {c: (-4.0, 4.0) for c in cols}
     best: dict[str, float] = {}
     while bracket:
@@ -186,8 +187,8 @@ def power_fit(df: DataFrame, cols: Sequence[str]) -> DataFrame:
                    for i, v in enumerate(var)]
             k = max(range(len(fit)), key=fit.__getitem__)
             at = lo + k * step
-            if k in (0, STEPS) and abs(at) < 1e3:
-                bracket[c] = (at - (hi - lo) / 2, at + (hi - lo) / 2)
+            if k in (0, STEPS) and fit[k] - fit[STEPS // 2] > 1e-12 * abs(fit[k]):
+                bracket[c] = (at - (hi - lo), at + (hi - lo))  # twice as wide: far λ take few passes
             elif step > 0.1 * 10.0 ** -LAMBDA_DIGITS:
                 bracket[c] = (at - step, at + step)
             else:

@@ -12,14 +12,16 @@ proven bound), so joining it is a broadcast.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wtprof.functions.text import STOP_WORDS, ngrams, remove_stop_words, tokenize
 from wtprof.operators.topk import top_terms
-from wtprof.session import materialize
+from wtprof.session import materialize, scratch_path
 
 
 def terms(df: DataFrame, key: Sequence[str], text_cols: Sequence[str], n_grams=(1, 1),
@@ -185,21 +187,37 @@ def global_index(df: DataFrame, order_col: str, out: str = "idx") -> DataFrame:
             .withColumn(out, F.col("_off") + F.col("_rn") - 1).drop("_pid", "_rn", "_off"))
 
 
-def assemble(long: DataFrame, key: Sequence[str], size: int, index_col: str = "idx",
-             value_col: str = "value", label_col: str | None = None, out: str = "features") -> DataFrame:
-    """Sparse long rows → one ML vector per key (size = vocabulary
-    size, bounded by max_features × text columns). Rows with no entry get
-    the zero vector when ``long`` is right-joined by the caller.
+def as_vectors(df: DataFrame, col: str) -> DataFrame:
+    """``df`` with the struct ``col`` (type, size, indices, values: the stored
+    form of an ML vector) as a vector column. Spark casts no struct to a
+    vector, so the rows are written once to the shared folder and read back
+    with the vector type; later plans start from these files."""
+    from pyspark.ml.linalg import VectorUDT
+
+    path = scratch_path(df.sparkSession, f"vectors-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    fields = [T.StructField(f.name, VectorUDT() if f.name == col else f.dataType) for f in df.schema.fields]
+    return df.sparkSession.read.schema(T.StructType(fields)).parquet(path)
 
-    The row's entries are sorted once and the gaps between them filled, so
-    the work is linear in the vector, without a look-up per position."""
-    from pyspark.ml.functions import array_to_vector
 
+def assemble(long: DataFrame, key: Sequence[str], size: int, index_col: str = "idx",
+             value_col: str = "value", label_col: str | None = None, out: str = "features",
+             rows: DataFrame | None = None) -> DataFrame:
+    """Long rows → one sparse ML vector per key, of ``size`` dimensions.
+
+    A vector holds the sorted (index, value) pairs of its row that are not
+    zero; nothing of vocabulary size is built, so the size costs nothing.
+    With ``rows`` (a frame with the key) each of its rows gets a vector and
+    keeps its columns, the zero vector where ``long`` has no entry. An index
+    must occur once a key."""
     entry = F.struct(F.col(index_col).cast("int").alias("i"), F.col(value_col).cast("double").alias("v"))
-    g = long.groupBy(*key, *([label_col] if label_col else [])).agg(F.sort_array(F.collect_list(entry)).alias("_e"))
-    e = F.col("_e")
-    filled = F.transform(e, lambda x, j: F.concat(
-        F.array_repeat(F.lit(0.0), x["i"] - F.when(j == 0, F.lit(-1)).otherwise(F.get(e, j - 1)["i"]) - 1),
-        F.array(x["v"])))
-    tail = F.array_repeat(F.lit(0.0), F.lit(size - 1) - F.element_at(e, -1)["i"])
-    return g.select(*key, *([label_col] if label_col else []), array_to_vector(F.concat(F.flatten(filled), tail)).alias(out))
+    by = [*key, *([label_col] if label_col else [])]
+    g = long.groupBy(*by).agg(F.sort_array(F.collect_list(entry)).alias("_e"))
+    keep = by
+    if rows is not None:
+        g, keep = rows.join(g, by, "left"), rows.columns
+    e = F.filter(F.coalesce("_e", F.array().cast("array<struct<i:int,v:double>>")), lambda x: x["v"] != 0)
+    g = g.select(*keep, e.alias("_e"))
+    vector = F.struct(F.lit(0).cast("tinyint").alias("type"), F.lit(size).cast("int").alias("size"),
+                      F.transform("_e", lambda x: x["i"]).alias("indices"), F.transform("_e", lambda x: x["v"]).alias("values"))
+    return as_vectors(g.select(*keep, vector.alias(out)), out)

@@ -24,7 +24,7 @@ def row_numbering(df: DataFrame, partition: Sequence[str], order: Sequence[str],
     before = F.sum("_n").over(Window.partitionBy("_key").orderBy("_pid")) - F.col("_n")
     sizes = sizes.select("_pid", F.to_json("_key").alias("_key"), before.alias("_before"))
     out = cut.withColumn("_local", local).withColumn("_key", F.to_json(F.struct(*keys))).join(sizes, ["_pid", "_key"])
-    return out.withColumn(name, (F.col("_before") + F.col("_local")).cast("int")).drop("_pid", "_key", "_local", "_before")
+    return out.withColumn(name, F.col("_before") + F.col("_local")).drop("_pid", "_key", "_local", "_before")
 
 
 def center_by_median(long: DataFrame, key: Sequence[str], value_col: str = "value", out: str = "centered") -> DataFrame:

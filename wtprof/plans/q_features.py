@@ -152,7 +152,7 @@ WITH docs AS (SELECT conv_id, turn, {tok_sql('text')} AS g FROM conversations),
 t AS (SELECT conv_id, turn, unnest(g) AS term FROM docs),
 tc AS (SELECT conv_id, turn, term, count(*) AS cnt FROM t GROUP BY ALL),
 pt AS (SELECT term, sum(cnt) AS tf, count(*) AS df FROM tc GROUP BY term),
-top AS (SELECT * FROM pt QUALIFY row_number() OVER (ORDER BY tf DESC, term) <= 64),
+top AS (SELECT * FROM pt QUALIFY row_number() OVER (ORDER BY tf DESC, term) <= 256),
 vocab AS (SELECT term, ln((1.0 + (SELECT count(*) FROM conversations)) / (1.0 + df)) + 1 AS idf FROM top),
 raw AS (SELECT conv_id, turn, term, cnt * idf AS raw FROM tc JOIN vocab USING (term))
 SELECT conv_id, turn, 'text' AS feature, term, round(raw / sqrt(sum(raw * raw) OVER (PARTITION BY conv_id, turn)), 6) AS value
@@ -161,7 +161,7 @@ UNION ALL
 SELECT conv_id, turn, 'role' AS feature, role AS term, 1.0 AS value FROM conversations""")
 def q_concat_feature_blocks(spark, sf):
     c = load_table(spark, sf, "conversations", balance=True)
-    vocab = V.tfidf_fit(c, ["conv_id", "turn"], ["text"], 64)
+    vocab = V.tfidf_fit(c, ["conv_id", "turn"], ["text"], 256)
     text = V.tfidf_transform(c, vocab, ["conv_id", "turn"], ["text"]).select(
         "conv_id", "turn", "feature", "term", F.round("value", 6).alias("value"))
     roles = EN.onehot_long(c, EN.onehot_fit(c, ["role"]), ["conv_id", "turn"], ["role"]).select(

@@ -129,15 +129,15 @@ WITH docs AS (SELECT doc_id, list_filter(regexp_extract_all(lower(coalesce(text,
 t AS (SELECT doc_id, unnest(g) AS term FROM docs),
 tc AS (SELECT doc_id, term, count(*) AS cnt FROM t GROUP BY ALL),
 pt AS (SELECT term, sum(cnt) AS tf, count(*) AS df FROM tc GROUP BY term),
-top AS (SELECT * FROM pt QUALIFY row_number() OVER (ORDER BY tf DESC, term) <= 32)
+top AS (SELECT * FROM pt QUALIFY row_number() OVER (ORDER BY tf DESC, term) <= 256)
 SELECT 'text' AS feature, term, row_number() OVER (ORDER BY term) - 1 AS idx, df,
   round(ln((1.0 + (SELECT count(*) FROM documents)) / (1.0 + df)) + 1, 6) AS idf FROM top""")
 def q_save_fit(spark, sf):
     """Two vocabulary versions saved; the newer one loaded back."""
     d = load_table(spark, sf, "documents", balance=True)
     base = _fresh(spark, "fits")
-    A.save_fit(V.tfidf_fit(d, ["doc_id"], ["text"], 16), base, "tfidf_text", "2024_01_30")
-    A.save_fit(V.tfidf_fit(d, ["doc_id"], ["text"], 32), base, "tfidf_text", "2024_01_31")
+    A.save_fit(V.tfidf_fit(d, ["doc_id"], ["text"], 2000), base, "tfidf_text", "2024_01_30")
+    A.save_fit(V.tfidf_fit(d, ["doc_id"], ["text"], 256), base, "tfidf_text", "2024_01_31")
     v = A.load_fit(spark, base, "tfidf_text", "2024_01_31")
     return v.withColumn("idf", F.round("idf", 6))
 

@@ -8,11 +8,13 @@ from pyspark import StorageLevel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from wtprof.operators import attribution as AT
 from wtprof.operators import explain as M
 from wtprof.operators import fusion as L
 from wtprof.operators import metrics as D
 from wtprof.operators import sampling as K
 from wtprof.operators import models as ML
+from wtprof.operators import specialists as SP
 from wtprof.operators import vectorize as V
 from wtprof.operators.aggregates import boxplot_threshold
 from wtprof.operators.sessions import session_text_labeled
@@ -333,7 +335,11 @@ def explain_inputs(spark, sf, max_features=MAXF_EXPLAIN):
     return s, vocab, long, names
 
 
-_EXPLAIN_SQL = sessions_ctes(MAXF_EXPLAIN) + """
+def _explain_sql(max_features):
+    return sessions_ctes(max_features) + _EXPLAIN_CTES
+
+
+_EXPLAIN_CTES = """
 , voc AS (SELECT feature, term, idx FROM vocab),
 off AS (SELECT count(*) FILTER (WHERE feature = 'agent') AS na, count(*) AS v FROM voc),
 lf AS (SELECT tfv.*, CAST(idx + CASE WHEN feature = 'query' THEN (SELECT na FROM off) ELSE 0 END AS INTEGER) AS fidx
@@ -357,6 +363,7 @@ dense AS (SELECT r.*, n.fidx, n.feature_term, coalesce(c.contribution, 0.0) AS v
 med AS (SELECT *, round(v - median(v) OVER (PARTITION BY lgtime, src_ip, dst_ip, label), 9) AS score FROM dense),
 rk AS (SELECT *, row_number() OVER (PARTITION BY lgtime, src_ip, dst_ip, label ORDER BY score DESC, fidx) AS rank
        FROM med)"""
+_EXPLAIN_SQL = _explain_sql(MAXF_EXPLAIN)
 
 
 def _explain(spark, sf, top_k):
@@ -372,14 +379,25 @@ def _explain(spark, sf, top_k):
 @register("assemble", _EXPLAIN_SQL + """
 SELECT lgtime, src_ip, dst_ip, label, fidx AS pos, value FROM lf WHERE value <> 0""")
 def q_assemble(spark, sf):
-    """One dense vector per session; its non-zero entries, exploded
+    """One sparse vector per session; its non-zero entries, exploded
     with their position, equal the TF-IDF rows at the global feature index."""
-    s, vocab, long, names = explain_inputs(spark, sf)
-    vec = V.assemble(long, _KEY, names.count(), index_col="fidx")
+    return _assembled(spark, sf, MAXF_EXPLAIN)
+
+
+def _assembled(spark, sf, max_features):
+    s, vocab, long, names = explain_inputs(spark, sf, max_features)
+    vec = V.assemble(long, _KEY, names.count(), index_col="fidx", rows=s.select(*_KEY))
     e = vec.select(*_KEY, F.posexplode_outer(vector_to_array("features")).alias("pos", "value"))
     return e.where(F.col("value") != 0)
 
 
+@register("assemble_uncapped", _explain_sql(1 << 40) + """
+SELECT lgtime, src_ip, dst_ip, label, fidx AS pos, value FROM lf WHERE value <> 0""")
+def q_assemble_uncapped(spark, sf):
+    """J13 over the whole vocabulary."""
+    return _assembled(spark, sf, None)
+
+
 @register("feature_contribution", _EXPLAIN_SQL + """
 SELECT lgtime, src_ip, dst_ip, label, prediction, fidx, round(contribution, 6) AS contribution FROM contrib""")
 def q_feature_contribution(spark, sf):
@@ -463,19 +481,13 @@ def trained(spark, sf, max_depth=10, max_features=MAXF_EXPLAIN):
         return _CACHE[key]
     s, vocab, long, names = explain_inputs(spark, sf, max_features)
     n = names.count()
-    vec = V.assemble(long, _KEY, n, index_col="fidx")
-    allrows = s.select(*_KEY).join(vec, _KEY, "left")
-    zero = F.lit([0.0] * n)
-    from pyspark.ml.functions import array_to_vector
-    allrows = allrows.withColumn("features", F.coalesce(F.col("features"), array_to_vector(zero)))
-    allrows = K.split_fraction(allrows, bucket=_split_bucket())
-    data = materialize(allrows)
+    allrows = V.assemble(long, _KEY, n, index_col="fidx", rows=s.select(*_KEY))
+    data = K.split_fraction(allrows, bucket=_split_bucket())
     train = data.where(F.col("split") == "train")
     tree, labels = ML.fit_tree(train, max_depth=max_depth)
-    pairs = K.class_vs_normal(train, "label", [x for x in labels if x != "normal"])
-    spec = ML.fit_specialists(pairs, [x for x in labels if x != "normal"])
+    spec, epochs = SP.fit_specialists_together(train, [x for x in labels if x != "normal"])
     pca = ML.fit_outlier(train.where(F.col("label") == "normal"))
-    out = dict(data=data, tree=tree, labels=labels, spec=spec, pca=pca, names=names, n=n)
+    out = dict(data=data, tree=tree, labels=labels, spec=spec, pca=pca, names=names, n=n, epochs=epochs, entries=long)
     _CACHE[key] = out
     return out
 
@@ -566,7 +578,95 @@ def q_outlier(spark, sf):
 
 @register("epoch_metrics")
 def q_epoch_metrics(spark, sf):
-    return ML.epoch_metrics(trained(spark, sf)["spec"], 335, _T0)
+    """Loss and accuracy of every epoch of the specialists' fits."""
+    e = trained(spark, sf)["epochs"]
+    return e.select(F.lit(335).alias("model_id"), "attack_name", F.lit(_T0).alias("logtime"), "epochs", "loss", "accuracy")
+
+
+@register("epoch_invariants", _EXPLAIN_SQL + """
+SELECT DISTINCT label AS attack_name, true AS gapless, true AS known, true AS fell FROM s WHERE label <> 'normal'""")
+def q_epoch_invariants(spark, sf):
+    """Every attack's epochs are numbered from 1 without gaps, all have
+    loss and accuracy, and the loss falls."""
+    known = F.col("loss").isNotNull() & F.col("accuracy").between(0, 1)
+    return trained(spark, sf)["epochs"].groupBy("attack_name").agg(
+        ((F.max("epochs") == F.count("*")) & (F.min("epochs") == 1)).alias("gapless"), F.every(known).alias("known"),
+        (F.min_by("loss", "epochs") >= F.min("loss")).alias("fell"))
+
+
+_EPOCHS_SQL = f"""WITH RECURSIVE ep AS (
+  SELECT {_EV_CLASS} AS attack_name, date_trunc('day', ts) AS day, round(avg(value) / 10, 6) AS loss FROM events GROUP BY 1, 2),
+epn AS (SELECT *, row_number() OVER (PARTITION BY attack_name ORDER BY day) AS e FROM ep),
+walk(attack_name, e, best, best_at, wait, stop) AS (
+  SELECT attack_name, CAST(0 AS BIGINT), CAST('inf' AS DOUBLE), CAST(NULL AS BIGINT), 0, CAST(NULL AS BIGINT) FROM epn WHERE e = 1
+  UNION ALL
+  SELECT w.attack_name, n.e, CASE WHEN n.loss < w.best - @DELTA THEN n.loss ELSE w.best END,
+    CASE WHEN n.loss < w.best - @DELTA THEN n.e ELSE w.best_at END,
+    CASE WHEN n.loss < w.best - @DELTA THEN 0 ELSE w.wait + 1 END,
+    CASE WHEN n.loss < w.best - @DELTA OR w.wait + 1 < @PATIENCE THEN NULL ELSE n.e END
+  FROM walk w JOIN epn n ON n.attack_name = w.attack_name AND n.e = w.e + 1 WHERE w.stop IS NULL)
+SELECT attack_name, CAST((SELECT count(*) FROM epn x WHERE x.attack_name = walk.attack_name) AS INTEGER) AS epochs,
+  CAST(max(e) AS INTEGER) AS stop_epoch, CAST(arg_max(best_at, e) AS INTEGER) AS best_epoch, arg_max(best, e) AS best_loss
+FROM walk GROUP BY attack_name"""
+
+
+def _early_stop(spark, sf, patience, min_delta):
+    from wtprof.functions.timeutil import time_bucket
+    from wtprof.operators.windows import epoch_number
+    from wtprof.sources.tables import CLASSES
+    cls = F.lit("normal")
+    for k, v in CLASSES.items():
+        cls = F.when(F.col("event_type") == k, F.lit(v)).otherwise(cls)
+    ep = load_table(spark, sf, "events").groupBy(cls.alias("attack_name"), time_bucket("ts", "1 day").alias("day")).agg(
+        F.round(F.avg("value") / 10, 6).alias("loss"))
+    return SP.early_stop(epoch_number(ep, ["attack_name"], ["day"]), ["attack_name"], patience=patience, min_delta=min_delta)
+
+
+@register("early_stop", _EPOCHS_SQL.replace("@DELTA", str(SP.MIN_DELTA)).replace("@PATIENCE", str(SP.PATIENCE)))
+def q_early_stop(spark, sf):
+    """Where the stop rule ends a run whose epochs are the days of each class."""
+    return _early_stop(spark, sf, SP.PATIENCE, SP.MIN_DELTA)
+
+
+@register("early_stop_impatient", _EPOCHS_SQL.replace("@DELTA", "0.05").replace("@PATIENCE", "3"))
+def q_early_stop_impatient(spark, sf):
+    return _early_stop(spark, sf, 3, 0.05)
+
+
+@register("model_contribution", _EXPLAIN_SQL + f"""
+SELECT lgtime, src_ip, dst_ip, label, label AS prediction, true AS additive FROM s WHERE {_HELD_OUT_SQL}""")
+def q_model_contribution(spark, sf):
+    """M1 by the model: every held-out session's contributions, for its own
+    class, sum to the class's score (from the models' own predictions) minus
+    the base value."""
+    from wtprof.session import scratch_path
+    t = trained(spark, sf)
+    path = scratch_path(spark, f"tree_explained_{abs(hash(sf))}")
+    t["tree"].write().overwrite().save(path)
+    paths, base = map(materialize, AT.tree_paths(spark, path, t["labels"]))
+    rows = t["data"].where(F.col("split") == "test").withColumn("prediction", F.col("label")).drop("split")
+    scored = AT.model_score(rows, t["tree"], t["labels"], base, t["spec"])
+    parts = AT.model_contribution(t["entries"], scored, paths, AT.coefficients(spark, t["spec"]), _KEY)
+    total = parts.groupBy(*_KEY).agg(F.sum("contribution").alias("total"))
+    gap = F.abs(F.col("score") - F.col("base") - F.coalesce("total", F.lit(0.0)))
+    return scored.join(total, _KEY, "left").select(*_KEY, "prediction", (gap <= 1e-6 * (1 + F.abs("score"))).alias("additive"))
+
+
+@register("tree_importance_invariants", "SELECT 0 AS differing, true AS sums_to_one")
+def q_tree_importance_invariants(spark, sf):
+    """L3: the importances are those of the node table, gain times rows of
+    each feature's splits over all, and sum to one."""
+    from wtprof.session import scratch_path
+    t = trained(spark, sf)
+    path = scratch_path(spark, f"tree_weighed_{abs(hash(sf))}")
+    t["tree"].write().overwrite().save(path)
+    splits = spark.read.parquet(f"{path}/data").where("leftChild >= 0")
+    own = splits.groupBy(F.col("split.featureIndex").alias("fidx")).agg(F.sum(F.col("gain") * F.col("rawCount")).alias("g"))
+    own = own.select("fidx", (F.col("g") / own.agg(F.sum("g")).scalar()).alias("own"))
+    given = q_tree_importance(spark, sf).select("feature", "value")
+    j = t["names"].join(given, t["names"]["feature_term"] == given["feature"]).join(own, "fidx", "left")
+    return j.agg(F.count_if(F.abs(F.col("value") - F.coalesce("own", F.lit(0.0))) > 1e-9).cast("int").alias("differing"),
+                 (F.abs(F.sum("value") - 1) < 1e-9).alias("sums_to_one"))
 
 
 def _norm_score(x):
@@ -625,3 +725,58 @@ def q_predict_job(spark, sf):
 @register("predict_job_explanations")
 def q_predict_job_explanations(spark, sf):
     return _predict(spark, sf)["explanations"]
+
+
+# ------------------------------------------------------------- exact tree
+_CART_FEATURES = ["o_totalprice", "o_custkey % 100", "month(o_orderdate)", "year(o_orderdate)"]
+
+
+def _cart_level(nodes: str, rows: str, out: str) -> str:
+    """The best split of each node of ``nodes``, over ``rows`` (node, label, x, f)."""
+    return f"""
+{out}_v AS (SELECT node, f, x, label, count(*) AS c FROM {rows} GROUP BY ALL),
+{out}_d AS (SELECT DISTINCT node, f, x FROM {rows}),
+{out}_k AS (SELECT DISTINCT label FROM {rows}),
+{out}_g AS (SELECT d.node, d.f, d.x, k.label, coalesce(v.c, 0) AS c FROM {out}_d d CROSS JOIN {out}_k k
+  LEFT JOIN {out}_v v ON v.node = d.node AND v.f = d.f AND v.x = d.x AND v.label = k.label),
+{out}_p AS (SELECT node, f, x, label, sum(c) OVER (PARTITION BY node, f, label ORDER BY x) AS l,
+  sum(c) OVER (PARTITION BY node, f, label) AS t FROM {out}_g),
+{out}_s AS (SELECT node, f, x, sum(CAST(l AS DOUBLE) * l) / sum(l) AS pl, sum(CAST(t - l AS DOUBLE) * (t - l)) / nullif(sum(t - l), 0) AS pr,
+  sum(CAST(t AS DOUBLE) * t) / sum(t) AS before, sum(t) AS n FROM {out}_p GROUP BY node, f, x),
+{out}_n AS (SELECT *, lead(x) OVER (PARTITION BY node, f ORDER BY x) AS nx FROM {out}_s),
+{out} AS (SELECT node, f, x / 2 + nx / 2 AS threshold FROM {out}_n WHERE nx IS NOT NULL AND round(pl + pr, 9) > before + 1e-9 * n
+  QUALIFY row_number() OVER (PARTITION BY node ORDER BY round(pl + pr, 9) DESC, f, x / 2 + nx / 2) = 1)"""
+
+
+_CART_SQL = "WITH long AS (" + " UNION ALL ".join(
+    f"SELECT o_orderkey AS k, o_orderstatus AS label, {i} AS f, CAST({c} AS DOUBLE) AS x FROM orders"
+    for i, c in enumerate(_CART_FEATURES)) + f"""),
+r0 AS (SELECT 0 AS node, k, label, f, x FROM long),
+{_cart_level("", "r0", "s0")},
+m1 AS (SELECT r.k, 2 * r.node + CASE WHEN r.x <= s.threshold THEN 1 ELSE 2 END AS node
+  FROM r0 r JOIN s0 s ON s.node = r.node AND s.f = r.f),
+r1 AS (SELECT m.node, l.* FROM long l JOIN m1 m USING (k)),
+{_cart_level("", "r1", "s1")},
+m2 AS (SELECT r.k, 2 * r.node + CASE WHEN r.x <= s.threshold THEN 1 ELSE 2 END AS node
+  FROM r1 r JOIN s1 s ON s.node = r.node AND s.f = r.f),
+lab AS (SELECT k, label FROM long WHERE f = 0),
+every AS (
+  SELECT 0 AS node, 0 AS level, label, count(*) AS c FROM lab GROUP BY label
+  UNION ALL SELECT node, 1, label, count(*) FROM m1 JOIN lab USING (k) GROUP BY node, label
+  UNION ALL SELECT node, 2, label, count(*) FROM m2 JOIN lab USING (k) GROUP BY node, label),
+sums AS (SELECT node, level, CAST(sum(c) AS BIGINT) AS n, first(label ORDER BY c DESC, label) AS prediction FROM every GROUP BY node, level),
+splits AS (SELECT * FROM s0 UNION ALL SELECT * FROM s1)
+SELECT CAST(u.node AS BIGINT) AS node, CAST(u.level AS INTEGER) AS level, CAST(s.f AS INTEGER) AS fidx, round(s.threshold, 6) AS threshold,
+  u.n, u.prediction FROM sums u LEFT JOIN splits s ON s.node = u.node"""
+
+
+@register("exact_tree", _CART_SQL)
+def q_exact_tree(spark, sf):
+    """L1: the nodes of an exact CART of depth 2 over the orders."""
+    from wtprof.operators.exact_tree import fit_exact_tree
+    orders = load_table(spark, sf, "orders")
+    cells = F.array(*[F.struct(F.lit(i).alias("fidx"), F.expr(c).cast("double").alias("value")) for i, c in enumerate(_CART_FEATURES)])
+    entries = orders.select(F.col("o_orderkey").alias("k"), F.explode(cells).alias("e")).select("k", "e.fidx", "e.value")
+    rows = orders.select(F.col("o_orderkey").alias("k"), F.col("o_orderstatus").alias("label"))
+    nodes = fit_exact_tree(entries, rows, ["k"], len(_CART_FEATURES), max_depth=2)
+    return nodes.select("node", "level", "fidx", F.round("threshold", 6).alias("threshold"), "n", "prediction")

@@ -86,6 +86,23 @@ def q_limit_per_class(spark, sf):
     return out.select("event_id", "hash", "logtime")
 
 
+@register("limit_by_threshold", with_log("""
+SELECT event_id, hash, logtime FROM http_log
+QUALIFY row_number() OVER (PARTITION BY hash ORDER BY logtime, event_id) <= 700"""))
+def q_limit_by_threshold(spark, sf):
+    """E2 by a histogram of the order key: a timestamp."""
+    return E.limit_by_threshold(http_log(spark, sf).select("event_id", "hash", "logtime"), 700, "hash", ["logtime", "event_id"])
+
+
+@register("limit_by_threshold_ties", """
+SELECT event_type, event_id, value FROM (SELECT *, row_number() OVER (
+  PARTITION BY event_type ORDER BY floor(value), event_id) AS r FROM events) WHERE r <= 300""")
+def q_limit_by_threshold_ties(spark, sf):
+    """E2 by a histogram where many rows share the order key."""
+    ev = load_table(spark, sf, "events").select("event_type", "event_id", "value", F.floor("value").alias("whole"))
+    return E.limit_by_threshold(ev, 300, "event_type", ["whole", "event_id"]).drop("whole")
+
+
 @register("sort_rows", "SELECT o_orderkey, o_orderdate FROM orders ORDER BY o_orderdate, o_orderkey")
 def q_sort_rows(spark, sf):
     return E.sort_rows(load_table(spark, sf, "orders").select("o_orderkey", "o_orderdate"),
@@ -171,7 +188,10 @@ def q_tree_parent(spark, sf):
 , sc AS (SELECT event_id, CASE WHEN event_id % 2 = 0 THEN hash ELSE 'XSS' END AS class,
                 (event_id % 100) / 100.0 AS score FROM http_log WHERE hash <> 'normal')
 SELECT l.event_id, l.hash AS pred, coalesce(sc.score, 0.0) AS score
-FROM http_log l LEFT JOIN sc ON sc.event_id = l.event_id AND sc.class = l.hash""").replace("http_log AS (", "http_log AS MATERIALIZED (", 1))
+FROM http_log l LEFT JOIN sc ON sc.event_id = l.event_id AND sc.class = l.hash""").replace(
+    # the page a row shows is a column first: an equi-join, not a cross product
+    "FROM events e JOIN pages p ON p.page_id = e.event_id % (SELECT count(*) FROM pages)",
+    "FROM (SELECT *, event_id % (SELECT count(*) FROM pages) AS _page FROM events) e JOIN pages p ON p.page_id = e._page"))
 def q_class_rows_join(spark, sf):
     log = http_log(spark, sf)
     full = log.select("event_id", F.col("hash").alias("pred"))
@@ -459,6 +479,23 @@ def q_exclude_keywords(spark, sf):
     return C.exclude_keywords(log, exc, _EXC_TARGETS).select("event_id", "http_agent", "http_query")
 
 
+_WORDS_SQL = """kw AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[a-z]{4,12}')) AS keyword FROM documents
+  WHERE doc_id % 2 = 0)"""
+
+
+@register("exclude_keywords_many", with_log(f"""
+, {_WORDS_SQL},
+v AS (SELECT DISTINCT http_query FROM http_log),
+hit AS (SELECT DISTINCT http_query FROM v JOIN kw ON contains(v.http_query, kw.keyword))
+SELECT event_id, http_agent, http_query FROM http_log WHERE http_query NOT IN (SELECT http_query FROM hit)"""))
+def q_exclude_keywords_many(spark, sf):
+    """C7 with a long keyword list: the words of half the documents."""
+    words = load_table(spark, sf, "documents", balance=True).where("doc_id % 2 = 0").select(
+        F.explode(F.regexp_extract_all(F.lower("text"), F.lit("([a-z]{4,12})"), F.lit(1))).alias("keyword")).distinct()
+    exc = words.select(F.lit("http_query").alias("selectcolumn"), "keyword")
+    return C.exclude_keywords_many(http_log(spark, sf), exc, _EXC_TARGETS[:3]).select("event_id", "http_agent", "http_query")
+
+
 NOTE_MAPPING = [("error", "injection"), ("signup", "xss"), ("purchase", "beaconing"), ("view", "credential"),
                 ("view", "scanning"), ("click", "unknown"), ("error", "injection")]
 

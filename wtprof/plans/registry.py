@@ -43,7 +43,7 @@ def queries() -> dict[str, Builder]:
 # Output types the SQL twins must carry to equal Spark's result schema
 # (DuckDB gives BIGINT for row_number/len, HUGEINT for integer sums).
 SQL_TYPES = {
-    "row_numbering": {"row_id": "INTEGER"},
+    "row_numbering": {"row_id": "BIGINT"},
     "epoch_number": {"epochs": "INTEGER"},
     "center_by_median": {"pos": "INTEGER"},
     "l2_norm": {"pos": "INTEGER"},
@@ -64,6 +64,7 @@ SQL_TYPES = {
     "run_history": {"epochs": "INTEGER", "pred_pos": "BIGINT", "actual_pos": "BIGINT"},
     "explain_rows": {"rank": "INTEGER"},
     "assemble": {"pos": "INTEGER"},
+    "assemble_uncapped": {"pos": "INTEGER"},
     "explain_confirmed": {"n_features": "INTEGER"},
     "rank_features": {"feature": "INTEGER", "rank": "INTEGER"},
     "rank_features_abs": {"feature": "INTEGER", "rank": "INTEGER"},

@@ -60,16 +60,16 @@ def run_to_completion(stream: DataFrame, sink_path: str, checkpoint: str, mode:
     q.awaitTermination()
 
 
-def stream_predict(sessions: DataFrame, score: Callable[[DataFrame], DataFrame], sink_path: str,
+def stream_predict(sessions: DataFrame, score: Callable[[DataFrame, int], DataFrame], sink_path: str,
                    checkpoint: str) -> None:
-    """Score every micro-batch of closed sessions with the newest
-    fitted artifacts (``foreachBatch``: plain batch operators).
+    """Score every micro-batch of closed sessions (``foreachBatch``:
+    plain batch operators); ``score`` gets the batch and its number.
 
     Each micro-batch overwrites its own ``batch_id=<id>`` folder, so a batch
     replayed after a failure replaces its earlier output instead of adding
     duplicates (exactly-once output with the stream checkpoint)."""
     def handle(batch: DataFrame, batch_id: int) -> None:
-        write_batch(score(batch), sink_path, batch_id)
+        write_batch(score(batch, batch_id), sink_path, batch_id)
 
     run_to_completion(sessions, sink_path, checkpoint, foreach_batch=handle)
 
