@@ -92,13 +92,13 @@ def test_threshold_limit_ranks_one_bin_only(spark):
 
 
 def test_fitted_roles(spark):
-    fit = spark.createDataFrame([(k, f"n{k}", k % 3, "ab"[k % 2], k * 1.5, "x", "l") for k in range(50)],
-                                "id int, name string, few int, kind string, amount double, one string, label string")
+    kinds = "id int, name string, few int, kind string, amount double, one string, label string"
+    fit = spark.createDataFrame([(k, f"n{k}", k % 3, "ab"[k % 2], k * 1.5, "x", "l") for k in range(50)], kinds)
     state = roles.fit_roles(fit, ["id"])
     assert {r["column_name"]: (r["role"], r["fill"]) for r in state.collect()} == {
-        "id": ("index", None), "name": ("string", "-"), "few": ("category", "empty"), "kind": ("category", "empty"),
+        "id": ("index", None), "name": ("string", "-"), "few": ("category", "-1"), "kind": ("category", "empty"),
         "amount": ("number", "-1"), "one": ("string", "-"), "label": ("label", None)}
-    new = spark.createDataFrame([(None, None, None, None, None, None, None, 3), (1, "n", 1, "a", 2.0, "x", "l", 4)], fit.schema.add("new", "int"))
+    new = spark.createDataFrame([(None, None, None, None, None, None, None, 3), (1, "n", 1, "a", 2.0, "x", "l", 4)], kinds + ", new int")
     got = roles.apply_roles(new, state).collect()
     assert tuple(got[0]) == (None, "-", -1, "empty", -1.0, "-", None, 3) and tuple(got[1]) == (1, "n", 1, "a", 2.0, "x", "l", 4)
     drift = {r["column_name"]: (r["found_role"], r["nulls"]) for r in roles.role_drift(new, state, ["id"]).collect()}

@@ -78,10 +78,13 @@ FILLS = {"number": str(FILL_NUMBER), "string": FILL_STRING, "category": FILL_CAT
 def fit_roles(df: DataFrame, index_cols: Sequence[str] = (), label_col: str | None = "label",
               cat_threshold: int = CAT_THRESHOLD) -> DataFrame:
     """C11 + I14 as fitted state: ``(column_name, dtype, role, fill)``, a row
-    for each column, to be saved with the model and applied at predict."""
+    for each column, to be saved with the model and applied at predict. A
+    category that is a number keeps its type and is filled like a number."""
     roles = screen_roles(df, index_cols, label_col, cat_threshold)
     fills = F.create_map(*[F.lit(x) for kv in FILLS.items() for x in kv])
-    return roles.select("column_name", "dtype", "role", F.try_element_at(fills, F.col("role")).alias("fill"))
+    numbers = [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)]
+    kind = F.when((F.col("role") == "category") & F.col("column_name").isin(numbers), F.lit("number")).otherwise(F.col("role"))
+    return roles.select("column_name", "dtype", "role", F.try_element_at(fills, kind).alias("fill"))
 
 
 def apply_roles(df: DataFrame, fitted: DataFrame) -> DataFrame:
