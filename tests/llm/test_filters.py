@@ -307,3 +307,53 @@ def test_op9(spark, duck):
         want = toxic_probability(texts[r["doc_id"]], model)
         assert abs(r["score"] - want) < 1e-4 and r["predicted"] == int(r["score"] >= 0.5)
         assert r["held_out"] == (crc32(str(r["doc_id"]).encode()) % 5 == 0)
+
+
+# -- long runs ----------------------------------------------------------------------
+
+def loose_grammar():
+    """Automata with loops: base64 values of all lengths, and short hex keys."""
+    rnd = random.Random(8)
+    chars = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    long_ = ["".join(rnd.choice(chars) for _ in range(rnd.randint(12, 60))) for _ in range(400)]
+    short = ["".join(rnd.choice("0123456789abcdef") for _ in range(18)) for _ in range(200)]
+    words = ["".join(rnd.choice("etaoinshrdlu") for _ in range(rnd.randint(4, 12))) for _ in range(400)]
+    return secret_grammar.Grammar({"assign": long_, "hex": short}, words)
+
+
+def test_long_runs_are_searched_like_short_ones(monkeypatch):
+    grammar = loose_grammar()
+    rnd = random.Random(9)
+    chars = "ABCXYZabcdefxyz0123456789"
+    def run():
+        parts = []
+        for _ in range(rnd.randint(2, 9)):
+            kind = rnd.randrange(5)
+            parts.append("".join(rnd.choice("0123456789abcdef") for _ in range(rnd.choice([17, 18, 19, 26]))) if kind == 0 else
+                         "".join(rnd.choice("etaoinshrdlu") for _ in range(rnd.randint(1, 30))) if kind < 3 else
+                         "".join(rnd.choice(chars) for _ in range(rnd.randint(1, 50))))
+        return "".join(p + rnd.choice(["", "=", "/", "-", "._", "++"]) for p in parts)
+    texts = [f"see {run()} and token={run()} {run()}" for _ in range(300)]
+    want = [secret_grammar.all_spans(t, grammar) for t in texts]
+    assert sum(len(w) for w in want) > 300
+    monkeypatch.setattr(secret_grammar, "LONG_RUN", 0)
+    for check in (1, 3, 64):
+        monkeypatch.setattr(secret_grammar, "CHECK_EVERY", check)
+        assert [secret_grammar.all_spans(t, grammar) for t in texts] == want
+
+
+def test_long_runs_take_linear_time():
+    import time
+    grammar = loose_grammar()
+    rnd = random.Random(10)
+    cases = {"words": lambda n: "".join(rnd.choice("etaoinshrdlu/") for _ in range(n)),
+             "base64": lambda n: "".join(rnd.choice("ABCDEFabcdef0123456789+/") for _ in range(n)),
+             "marks": lambda n: "a/" * (n // 2), "path": lambda n: "node-Modules/Index_9." * (n // 21)}
+    for name, make in cases.items():
+        took = []
+        for n in (20_000, 160_000):
+            text = make(n)
+            t = time.process_time()
+            secret_grammar.all_spans(text, grammar)
+            took.append(time.process_time() - t)
+        assert took[1] < 24 * took[0] + 0.5, (name, took)  # eight times the run; 64 times were quadratic

@@ -7,6 +7,10 @@ of all their successors) agree within the Hoeffding bound are merged
 (the ALERGIA rule). Each transition keeps how often each character was seen,
 so a format is a chain of classes, lengths and typical characters.
 
+A kind needs ``MIN_STRINGS`` distinct examples in the table: with fewer, its
+frequencies say too little and it gets no automaton, so a table that holds
+next to no credentials is scanned by the base patterns alone.
+
 Every token-like run of every text, and each of its parts that starts and ends
 at one of ``+/_.=-`` (``auth=...``, ``?sig=...``), is a candidate from the
 shortest learned length up. It is a secret if some automaton accepts it, its
@@ -24,6 +28,7 @@ from collections.abc import Iterator
 from itertools import accumulate
 from zlib import crc32
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -46,7 +51,10 @@ WORD = re.compile(r"(?<!\S)[A-Za-z]{4,}(?!\S)")
 WORD_SHARE = 64          # ordinary words are drawn from the 64th part of all words, by hash
 EDGES = "+/_.=-"         # parts of a run start after and end before one of these
 EDGE = re.compile(r"[+/_.=-]")
+FREE = re.compile(rb"\0+")
 MEMO_CHARS, MEMO_RUNS = 64, 1 << 17   # runs kept with their answer, as words come again and again
+LONG_RUN = 1024          # longer runs are searched with bounds, in time linear in the run
+CHECK_EVERY = 64         # positions at which a search compares with its bounds
 MAX_TRAIN = 1500         # training strings of each kind, and ordinary words (bounds the fit)
 MAX_TRAIN_CHARS = 256    # longer strings are scored but not learned from
 ALPHA = 0.05             # significance of the merge test
@@ -259,6 +267,90 @@ class Grammar:
         return sorted(found, key=lambda f: (run[f[0]] in EDGES or run[f[1] - 1] in EDGES, f[0], -f[1]))
 
 
+    def longest_parts(self, run: str, low: int, high: int, plain: bool) -> Iterator[tuple[int, int]]:
+        """Accepted parts of run[low:high], by start and the longest from each,
+        none overlapping: what :meth:`parts` lists first, without listing all
+        pairs. ``plain``: only parts without marks at their edges.
+
+        One pass from the right finds, for each automaton, how far likelihood
+        and odds can still rise from each state and position (the run decides
+        the path, so there is one step a state). A start that can't reach both
+        thresholds is skipped at once, and a walk ends where it no longer can."""
+        marks = [m.start() for m in EDGE.finditer(run, low, high)]
+        starts = [k for k in (low, *(k + 1 for k in marks)) if (k == 0 or run[k - 1] in EDGES) and k < high and not (plain and run[k] in EDGES)]
+        ends = {k for k in (*marks, high) if (k == len(run) or run[k] in EDGES) and k > low and not (plain and run[k - 1] in EDGES)}
+        searches = [_Search(kind, self.ordinary, run, low, high, set(starts), ends) for kind in self.kinds]
+        free = low
+        for start in starts:
+            if start >= free and len(run) - start >= self.shortest:
+                end = max(s.longest(start) for s in searches)
+                if end > start:
+                    yield start, end
+                    free = end
+
+
+class _Search:
+    """One automaton over a long run, with the bounds of what can still come."""
+
+    def __init__(self, kind: tuple, ordinary: Ordinary, run: str, low: int, high: int, starts: set[int], ends: set[int]):
+        _, self.automaton, self.rate, self.margin = kind
+        self.ordinary, self.run, self.high, self.ends = ordinary, run, high, ends
+        a = self.automaton
+        self.row = {state: k for k, state in enumerate(a.steps)}
+        size = len(self.row)
+        stop = np.array([a.ends[s] for s in a.steps])
+        step, chance = {}, {}
+        for c in set(run[low:high]):
+            to, p = np.full(size, size), np.full(size, -np.inf)
+            for state, k in self.row.items():
+                if c in a.steps[state]:
+                    to[k], p[k] = self.row[a.steps[state][c][0]], a.steps[state][c][1]
+            step[c], chance[c] = to, p
+        # best sums from here on to some end: of (log chance - rate), and of (log chance - ordinary)
+        best = np.full((2, size + 1), -np.inf)
+        self.reach: dict[int, tuple[float, float]] = {}
+        self.bounds: dict[int, np.ndarray] = {}
+        for k in range(high, low - 1, -1):
+            if k < high:
+                c = run[k]
+                to, p = step[c], chance[c]
+                if k in starts:
+                    first, here = to[self.row[0]], p[self.row[0]]
+                    self.reach[k] = (here - self.rate + best[0, first], here - ordinary.p["^", c] + best[1, first])
+                best = np.concatenate([best[:, to] + p, np.full((2, 1), -np.inf)], axis=1)
+                best[0, :size] -= self.rate
+                best[1, :size] -= ordinary.p[run[k - 1], c] if k else 0.0
+            if k in ends:
+                best[:, :size] = np.maximum(best[:, :size], stop)
+            if k % CHECK_EVERY == 0:
+                self.bounds[k] = best.copy()
+
+    def longest(self, start: int) -> int:
+        """End of the longest accepted part from ``start`` (start: none)."""
+        reach = self.reach[start]
+        if reach[0] < -1e-6 * (self.high - start) or reach[1] < self.margin - 1e-6 * (self.high - start):
+            return start
+        a, run, end = self.automaton, self.run, start
+        at, total, plain = 0, 0.0, 0.0
+        for k in range(start, self.high):
+            step = a.steps[at].get(run[k])
+            if step is None:
+                break
+            at, p = step
+            total += p
+            plain += self.ordinary.p["^" if k == start else run[k - 1], run[k]]
+            if k + 1 in self.ends:
+                fit = total + a.ends[at]
+                if fit > -math.inf and fit / (k + 1 - start) >= self.rate and fit - plain >= self.margin:
+                    end = k + 1
+            if (k + 1) % CHECK_EVERY == 0 and k + 1 in self.bounds:
+                likely, odds = self.bounds[k + 1][:, self.row[at]]
+                room = 1e-6 * (self.high - start)  # sums from the right round differently
+                if total - self.rate * (k + 1 - start) + likely < -room or total - plain + odds < self.margin - room:
+                    break
+        return end
+
+
 def all_spans(text: str, grammar: Grammar) -> list[tuple[int, int, int]]:
     """Base spans and those the grammar adds where no base span lies; of
     accepted parts that overlap the first of :meth:`Grammar.parts` is taken."""
@@ -267,15 +359,23 @@ def all_spans(text: str, grammar: Grammar) -> list[tuple[int, int, int]]:
     taken = None     # a mark for each character within a span
     if grammar.kinds:
         for run in grammar.runs.finditer(text):
-            for start, end in grammar.parts(run[0]):
-                if taken is None:
-                    taken = bytearray(len(text))
-                    for a, _, b in base:
-                        taken[a:b] = b"\1" * (b - a)
+            long_ = len(run[0]) > LONG_RUN
+            found = () if long_ else grammar.parts(run[0])
+            if taken is None and (found or long_):
+                taken = bytearray(len(text))
+                for a, _, b in base:
+                    taken[a:b] = b"\1" * (b - a)
+            for start, end in found:
                 start, end = run.start() + start, run.start() + end
                 if taken.find(1, start, end) < 0:
                     taken[start:end] = b"\1" * (end - start)
                     added.append((start, len(KINDS), end))
+            for plain in (True, False) if long_ else ():
+                for gap in FREE.finditer(taken, run.start(), run.end()):
+                    for start, end in grammar.longest_parts(run[0], gap.start() - run.start(), gap.end() - run.start(), plain):
+                        start, end = run.start() + start, run.start() + end
+                        taken[start:end] = b"\1" * (end - start)
+                        added.append((start, len(KINDS), end))
     return sorted(base + added)
 
 
