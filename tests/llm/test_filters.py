@@ -296,6 +296,27 @@ def toxic_probability(text, model):
     return 1 / (1 + math.exp(-min(40, max(-40, min(1, max(-1, best)) * model.slope + model.offset))))
 
 
+def test_spaced_letters_over_any_white_space():
+    for text in ("an i d i o t here", "an i  d\ti\no   t here", "I\u00a0D I\u2003O T"):
+        assert "idiot" in toxicity.words_of(text)
+    assert toxicity.words_of("a b") == ["a", "b"] and toxicity.words_of(" \n ") == []
+
+
+def test_sentences_with_long_words_are_learned_from(spark):
+    """An insult beside a word of over 64 characters is found as without it."""
+    rnd = random.Random(3)
+    plain = ["".join(rnd.choice("etaoinshrdlu") for _ in range(rnd.randint(3, 8))) for _ in range(300)]
+    def text(k):
+        words = [rnd.choice(plain) for _ in range(12)] + ["x" * 90]
+        return " ".join(words + (["grobblefink"] if k % 2 else []))
+    docs = spark.createDataFrame([(k, text(k)) for k in range(400)], "doc_id long, text string")
+    model = toxicity.fit(docs, spark.createDataFrame([(k, k % 2) for k in range(400)], "doc_id long, toxic int"))
+    got = {r["doc_id"]: r["predicted"] for r in toxicity.score(docs, model).where("held_out").collect()}
+    assert sum(p == k % 2 for k, p in got.items()) > 0.95 * len(got)
+    none = toxicity.fit(docs, spark.createDataFrame([], "doc_id long, toxic int"))
+    assert toxicity.keep_clean(docs, none).count() == 400  # without labels nothing is dropped
+
+
 def test_op9(spark, duck):
     from conftest import SF_SMALL
     from wtprof.llm.common import table

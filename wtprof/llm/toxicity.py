@@ -46,16 +46,13 @@ SENTENCE_WORDS = 32       # longer sentences are cut
 WORD_CHARS = 64           # longer words are scored in overlapping windows
 MAX_WORDS = 300_000       # entries of a Python worker's word table
 EDGE = "\"'.,;:!?()[]{}<>…«»„“”‘’*%&$#@+-_/\\|~^`="
-SPACED = re.compile(r"(?<!\S)\S(?: \S){2,}(?!\S)")  # letters written one by one
+SPACED = re.compile(r"(?<!\S)\S(?:\s+\S){2,}(?!\S)")  # letters written one by one, over any white space
 
 
 def words_of(text: str) -> list[str]:
     """Lower-cased words; a run of single letters also counts as one word."""
     low = text.lower()
-    words = low.split()
-    if " " in low:
-        words += [m[0].replace(" ", "") for m in SPACED.finditer(low)]
-    return words
+    return low.split() + ["".join(m[0].split()) for m in SPACED.finditer(low)]
 
 
 def sentences_of(text: str) -> list[str]:
@@ -280,8 +277,9 @@ def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str
     Of each class at most ``train_docs`` documents (smallest hash of the id)
     are read: two thirds give sentences for the SVM (at most
     ``train_sentences`` distinct ones a class), the rest fit the logistic.
-    Null labels and ids don't count; of repeated labels the largest does. With
-    one class only, or no labels, the model calls everything clean.
+    Of a word over 64 characters the first 64 are learned from. Null labels
+    and ids don't count; of repeated labels the largest does. With one class
+    only, or no labels, the model calls everything clean.
     """
     importable(df.sparkSession)
     known = (labels.where(F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1) & ~held_out(id_col))
@@ -298,7 +296,8 @@ def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str
 
     @F.pandas_udf("array<string>")
     def cut(texts: pd.Series) -> pd.Series:
-        return pd.Series([[s for s in sentences_of(t) if max(map(len, s.split())) <= WORD_CHARS] for t in texts])
+        # a word is learned from by its first characters, as in fit_svm
+        return pd.Series([[" ".join(w.lstrip(EDGE)[:WORD_CHARS] or w[:1] for w in s.split()) for s in sentences_of(t)] for t in texts])
 
     lines = sample.where(~F.col("second")).select("label", F.explode(cut("text")).alias("s")).groupBy("s").agg(
         F.max("label").alias("label"))
@@ -339,7 +338,7 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float,
 def score(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id_col, held_out, score (0 to 1) and predicted (1 if score >= 0.5) of
     every whole text; null and empty texts score as a text without toxic
-    words. One row for each input row, null ids and repeated rows too; an
+    words; a score of exactly 0.5 is predicted toxic. One row for each input row, null ids and repeated rows too; an
     empty table gives an empty result; other columns are ignored."""
     top = _scored(df, model, [F.col(id_col)], text_col)
     return top.select(id_col, held_out(id_col).alias("held_out"), _probability(model).alias("score")).select(
