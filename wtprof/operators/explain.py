@@ -74,23 +74,27 @@ def explain_rows(contrib: DataFrame, names: DataFrame, key: Sequence[str], n_fea
     name_arr = names.agg(F.transform(F.array_sort(F.collect_list(F.struct(F.col(feature_col).cast("int"),
                                                                            "feature_term"))),
                                      lambda s: s["feature_term"])).scalar()
-    e = F.col("_e")
-    up, down = F.filter(e, lambda x: x["neg"] < 0), F.filter(e, lambda x: x["neg"] > 0)
-    idle = F.array_except(F.sequence(F.lit(0), F.lit(n_features - 1)), F.transform(e, lambda x: x["i"]))
-    zeros = F.transform(idle, lambda i: F.struct(F.lit(0.0).alias("neg"), i.alias("i")))
-    g = g.select(*key, pred_col, F.concat(up, zeros, down).alias("_r"))
+    n, e = F.lit(n_features), F.col("_e")
+    g = g.select(*key, pred_col, "_e", F.filter(e, lambda x: x["neg"] < 0).alias("_up"), F.filter(e, lambda x: x["neg"] > 0).alias("_down"))
+    p, q = F.size("_up"), F.size("_down")
 
     def at(place: int):
         # the place-th smallest contribution: the ranking read from its end
-        return -F.get(F.col("_r"), F.lit(n_features - 1 - place))["neg"]
+        r = n_features - 1 - place
+        return -(F.when(F.lit(r) < p, F.get(F.col("_up"), F.lit(r))["neg"])
+                 .when(F.lit(r) < n - q, F.lit(0.0)).otherwise(F.get(F.col("_down"), F.lit(r) - n + q)["neg"]))
 
     mid = n_features // 2
     med = at(mid) if n_features % 2 else (at(mid - 1) + at(mid)) / 2
-    g = g.withColumn("_med", med).withColumn("_names", name_arr)
-    ranked = F.slice("_r", 1, top_k) if top_k else F.col("_r")
-    out = g.withColumn("_r", ranked).select(
-        *key, pred_col, F.transform("_r", lambda r: F.get(F.col("_names"), r["i"])).alias("feature"),
-        F.transform("_r", lambda r: -r["neg"] - F.col("_med")).alias("score"))
+    idle = F.array_except(F.sequence(F.lit(0), n - 1), F.transform(e, lambda x: x["i"]))
+    g = g.select(*key, pred_col, "_up", "_down", idle.alias("_idle"), med.alias("_med"), name_arr.alias("_names"))
+    order = F.concat(F.transform("_up", lambda x: x["i"]), F.col("_idle"), F.transform("_down", lambda x: x["i"]))
+    scores = F.concat(F.transform("_up", lambda x: -x["neg"] - F.col("_med")),
+                      F.array_repeat(F.lit(0.0) - F.col("_med"), F.size("_idle")),
+                      F.transform("_down", lambda x: -x["neg"] - F.col("_med")))
+    if top_k:
+        order, scores = F.slice(order, 1, top_k), F.slice(scores, 1, top_k)
+    out = g.select(*key, pred_col, F.transform(order, lambda i: F.get(F.col("_names"), i)).alias("feature"), scores.alias("score"))
     if version is not None:
         out = out.withColumn("version", F.lit(version))
     return out

@@ -114,12 +114,13 @@ def _training_log(log: DataFrame, cfg: TrainConfig) -> DataFrame:
     rows = predict_filter(log)
     if not cfg.class_ranges:
         return time_range(rows, cfg.start, cfg.end)
-    ranged = None
+    # one scan, one predicate; a class without a range of its own, or none, has the common one
+    label, time = F.col("hash"), F.col("logtime")
+    within = lambda start, end: (time >= F.lit(start)) & (time < F.lit(end))
+    keep = within(cfg.start, cfg.end) & (~label.isin(list(cfg.class_ranges)) | label.isNull())
     for cls, (start, end) in cfg.class_ranges.items():
-        part = time_range(rows, start, end).where(F.col("hash") == cls)
-        ranged = part if ranged is None else ranged.unionByName(part)
-    rest = time_range(rows, cfg.start, cfg.end).where(~F.col("hash").isin(list(cfg.class_ranges)) | F.col("hash").isNull())
-    return ranged.unionByName(rest)
+        keep = keep | ((label == cls) & within(start, end))
+    return rows.where(keep)
 
 
 def _fit_specialists(balanced: DataFrame, attacks: list[str], n: int, cfg: TrainConfig) -> tuple[dict, DataFrame]:

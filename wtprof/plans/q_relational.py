@@ -112,15 +112,18 @@ def q_sort_rows(spark, sf):
 _ATTACKS = ("BEACONING", "CREDENTIAL", "SQL_INJECTION", "XSS")
 
 
-@register("union_classes", with_log("""
+_UNION_SQL = with_log("""
 SELECT lgtime, src_ip, dst_ip, label, coalesce(n_req, 0) AS n_req, coalesce(n_ports, 0) AS n_ports FROM (
   SELECT date_trunc('hour', logtime) AS lgtime, src_ip, dst_ip, 'normal' AS label, count(*) AS n_req,
          NULL AS n_ports FROM http_log WHERE hash = 'normal' GROUP BY 1, 2, 3""" + "".join(f"""
   UNION ALL
   SELECT date_trunc('hour', logtime), src_ip, dst_ip, '{a}', NULL, count(DISTINCT dst_port)
-  FROM http_log WHERE hash = '{a}' GROUP BY 1, 2, 3""" for a in _ATTACKS) + ")"))
+  FROM http_log WHERE hash = '{a}' GROUP BY 1, 2, 3""" for a in _ATTACKS) + ")")
+
+
+@register("union_classes", _UNION_SQL)
 def q_union_classes(spark, sf):
-    """normal and all four attacks, each with its own columns."""
+    """normal and all four attacks, each with its own columns, stacked."""
     log = http_log(spark, sf)
     b = TU.time_bucket("logtime", "1 hour").alias("lgtime")
     parts = [C.by_label(log, "normal").groupBy(b, "src_ip", "dst_ip")
@@ -130,6 +133,15 @@ def q_union_classes(spark, sf):
     return S.union_classes(parts)
 
 
+@register("aggregate_classes", _UNION_SQL)
+def q_aggregate_classes(spark, sf):
+    """F1 in one scan of the log."""
+    b = TU.time_bucket("logtime", "1 hour").alias("lgtime")
+    return S.aggregate_classes(http_log(spark, sf), [b, "src_ip", "dst_ip"], "hash", {
+        "n_req": (["normal"], lambda only: F.count(only(F.lit(1)))),
+        "n_ports": (_ATTACKS, lambda only: F.count_distinct(only(F.col("dst_port"))))})
+
+
 @register("dedupe_results", with_log("SELECT DISTINCT src_ip, dst_ip, hash FROM http_log"))
 def q_dedupe(spark, sf):
     return S.dedupe_results(http_log(spark, sf).select("src_ip", "dst_ip", "hash"))
@@ -480,7 +492,7 @@ def q_exclude_keywords(spark, sf):
 
 
 _WORDS_SQL = """kw AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[a-z]{4,12}')) AS keyword FROM documents
-  WHERE doc_id % 2 = 0)"""
+  WHERE doc_id % 2 = 0 UNION SELECT CAST(doc_id AS VARCHAR) FROM documents WHERE doc_id % 2 = 0 AND doc_id >= 100)"""
 
 
 @register("exclude_keywords_many", with_log(f"""
@@ -489,10 +501,11 @@ v AS (SELECT DISTINCT http_query FROM http_log),
 hit AS (SELECT DISTINCT http_query FROM v JOIN kw ON contains(v.http_query, kw.keyword))
 SELECT event_id, http_agent, http_query FROM http_log WHERE http_query NOT IN (SELECT http_query FROM hit)"""))
 def q_exclude_keywords_many(spark, sf):
-    """C7 with a long keyword list: the words of half the documents."""
-    words = load_table(spark, sf, "documents", balance=True).where("doc_id % 2 = 0").select(
-        F.explode(F.regexp_extract_all(F.lower("text"), F.lit("([a-z]{4,12})"), F.lit(1))).alias("keyword")).distinct()
-    exc = words.select(F.lit("http_query").alias("selectcolumn"), "keyword")
+    """C7 with a long keyword list: the words and numbers of the documents of even id."""
+    docs = load_table(spark, sf, "documents", balance=True).where("doc_id % 2 = 0")
+    words = docs.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("([a-z]{4,12})"), F.lit(1))).alias("keyword"))
+    numbers = docs.where("doc_id >= 100").select(F.col("doc_id").cast("string").alias("keyword"))
+    exc = words.unionByName(numbers).distinct().select(F.lit("http_query").alias("selectcolumn"), "keyword")
     return C.exclude_keywords_many(http_log(spark, sf), exc, _EXC_TARGETS[:3]).select("event_id", "http_agent", "http_query")
 
 
