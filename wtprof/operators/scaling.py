@@ -160,11 +160,12 @@ def power_fit(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """J6 fit: λ maximising the Yeo-Johnson log-likelihood, then mean and
     population std of the transformed column.
 
-    Each pass is one aggregate that evaluates 17 λ of every column; the
-    bracket shrinks around the best one, or moves on and widens, without
+    The columns are written once. Each pass is one aggregate that evaluates 17
+    λ of every column; the bracket shrinks around the best one, or moves on and widens, without
     bound, if that lies at its edge; a λ whose values overflow has no
     likelihood, which ends the search at the latest. The likelihood has one
     maximum; λ is given to four decimals. Only the 17 likelihoods of a pass reach the driver."""
+    df = materialize(df.select(*[F.col(c).cast("double").alias(c) for c in cols]))
     bracket = {c: (-4.0, 4.0) for c in cols}
     best: dict[str, float] = {}
     while bracket:
