@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from wtprof.operators.quantiles import exact_quantiles
 from wtprof.session import materialize
+from wtprof.sources.tables import balanced
 
 METHODS = ("standard", "minmax", "maxabs", "robust", "quantile", "power")
 N_QUANTILES = 1000
@@ -165,7 +166,7 @@ def power_fit(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     bound, if that lies at its edge; a λ whose values overflow has no
     likelihood, which ends the search at the latest. The likelihood has one
     maximum; λ is given to four decimals. Only the 17 likelihoods of a pass reach the driver."""
-    df = materialize(df.select(*[F.col(c).cast("double").alias(c) for c in cols]))
+    df = materialize(balanced(df.select(*[F.col(c).cast("double").alias(c) for c in cols])))
     bracket = {c: (-4.0, 4.0) for c in cols}
     best: dict[str, float] = {}
     while bracket:
