@@ -157,3 +157,21 @@ def test_stream_uses_the_version_of_its_batch(spark, monkeypatch):
     assert handled == {0: "2024_01_01", 1: "2024_01_01", 2: "2024_02_02", 3: "2024_03_03"}
     jobs.stream_predict_job(spark, source(), f"{run}/base", "2024_02_28", "1 hour", f"{run}/out", f"{run}/ckpt9")
     assert set(handled.values()) == {"2024_02_02"}
+
+
+def test_scans_of_a_fit_read_blocks(spark, rows, monkeypatch):
+    """The rows are packed once; an epoch reads far fewer rows than there are, dense and sparse vectors alike."""
+    seen = []
+    added = specialists._partial
+    monkeypatch.setattr(specialists, "_partial", lambda attacks, size, shared: seen.append(attacks) or added(attacks, size, shared))
+    sizes = []
+    kept = specialists.materialize
+    monkeypatch.setattr(specialists, "materialize", lambda df: sizes.append(kept(df)) or sizes[-1])
+    dense = F.when(F.col("k") % 2 == 0, F.col("features"))
+    to_dense = F.udf(lambda v: Vectors.dense(v.toArray()), rows.schema["features"].dataType)
+    mixed = rows.withColumn("features", F.coalesce(dense, to_dense("features")))
+    models, _ = specialists.fit_specialists_together(mixed, ["a", "b"], reg=0.05)
+    want, _ = specialists.fit_specialists_together(rows, ["a", "b"], reg=0.05)
+    for a in ("a", "b"):
+        assert np.abs(models[a].coefficients.toArray() - want[a].coefficients.toArray()).max() < 1e-9
+    assert len(sizes) == 2 and sizes[0].count() <= 40 and len(seen) > 2

@@ -30,10 +30,14 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wtprof.session import materialize
+
 PATIENCE, MIN_DELTA = 10, 0.001
 MAX_FEATURES = 2500     # the Gram matrix of an attack stays below 50 MB
 FAN = 32                # partial sums added in a first level
 STEP_ROWS = 4096
+BLOCK_BYTES = 8192      # of the sparse rows in a block; a batch of blocks stays in the tens of MB
+BLOCK_COLUMNS = ["codes", "lengths", "indices", "vals"]
 
 
 class _State:
@@ -78,29 +82,57 @@ class _State:
         self.tried = self.beta - step
 
 
-def _partial(attacks: list[str], normal: str, size: int, shared):
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (code, i, v) as blocks of about ``BLOCK_BYTES``: codes, lengths,
+    indices and values of many sparse rows, each as one binary value."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        if batch.column("v").null_count:
+            raise ValueError("a row without features")
+        code = batch.column("code").to_numpy(zero_copy_only=False).astype(np.int32)
+        length = batch.column("v").value_lengths().to_numpy(zero_copy_only=False).astype(np.int32)
+        index = batch.column("i").flatten().to_numpy(zero_copy_only=False).astype(np.int32)
+        value = batch.column("v").flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+        ends = np.cumsum(length, dtype=np.int64)
+        block = (ends * 12 + np.arange(len(code)) * 8) // BLOCK_BYTES
+        cuts = [0, *(np.flatnonzero(np.diff(block)) + 1), len(code)]
+        entry = np.append(0, ends)
+        rows = [(code[a:b].tobytes(), length[a:b].tobytes(), index[entry[a]:entry[b]].tobytes(), value[entry[a]:entry[b]].tobytes())
+                for a, b in zip(cuts, cuts[1:])]
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*rows)], BLOCK_COLUMNS)
+
+
+def _partial(attacks: list[str], size: int, shared):
     """Sums of one partition, a row for each attack still being fitted."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         betas, open_ = shared.value
         total = {a: np.zeros(3 + 2 * size + (size + 1) + (size + 1) ** 2) for a in open_}
         for batch in batches:
-            labels = np.array(batch.column("label").to_pylist(), object)
-            x = batch.column("x").flatten().to_numpy(zero_copy_only=False).reshape(len(labels), size)
-            for a in open_:
-                mine = x[(labels == a) | (labels == normal)]
-                y = (labels[(labels == a) | (labels == normal)] == a).astype(float)
-                for k in range(0, len(mine), STEP_ROWS):
-                    m, t = mine[k:k + STEP_ROWS], y[k:k + STEP_ROWS]
-                    z = m @ betas[a][:-1] + betas[a][-1]
-                    p = 1 / (1 + np.exp(-np.clip(z, -700, 700)))
-                    s, one = total[a], np.append(m, np.ones((len(m), 1)), axis=1)
-                    s[0] += len(m)
-                    s[1] += (np.logaddexp(0, z) - t * z).sum()
-                    s[2] += ((p > 0.5) == (t > 0.5)).sum()
-                    s[3:3 + size] += m.sum(0)
-                    s[3 + size:3 + 2 * size] += (m * m).sum(0)
-                    s[3 + 2 * size:4 + 3 * size] += one.T @ (p - t)
-                    s[4 + 3 * size:] += (one.T @ (one * (p * (1 - p))[:, None])).ravel()
+            code, length, index, value = (np.frombuffer(b"".join(batch.column(c).to_pylist()), t)
+                                          for c, t in zip(BLOCK_COLUMNS, (np.int32, np.int32, np.int32, np.float64)))
+            entry = np.append(0, np.cumsum(length, dtype=np.int64))
+            for k in range(0, len(code), STEP_ROWS):
+                here, n = code[k:k + STEP_ROWS], length[k:k + STEP_ROWS]
+                cells = slice(entry[k], entry[k + len(here)])
+                x = np.zeros((len(here), size + 1))
+                x[np.repeat(np.arange(len(here)), n), index[cells]] = value[cells]
+                x[:, size] = 1.0
+                normal = x[here == 0]
+                for a in open_:
+                    for one, t in ((normal, 0.0), (x[here == attacks.index(a) + 1], 1.0)):
+                        if not len(one):
+                            continue
+                        z = one @ betas[a]
+                        p = 1 / (1 + np.exp(-np.clip(z, -700, 700)))
+                        s, m = total[a], one[:, :size]
+                        s[0] += len(one)
+                        s[1] += (np.logaddexp(0, z) - t * z).sum()
+                        s[2] += ((p > 0.5) == (t > 0.5)).sum()
+                        s[3:3 + size] += m.sum(0)
+                        s[3 + size:3 + 2 * size] += np.einsum("ij,ij->j", m, m)
+                        s[3 + 2 * size:4 + 3 * size] += one.T @ (p - t)
+                        s[4 + 3 * size:] += (one.T @ (one * (p * (1 - p))[:, None])).ravel()
         part = TaskContext.get().partitionId() % FAN
         keep = [a for a in open_ if total[a][0]]
         yield pa.RecordBatch.from_arrays([pa.array(keep, pa.string()), pa.array([part] * len(keep), pa.int32()),
@@ -131,23 +163,31 @@ def fit_specialists_together(rows: DataFrame, attacks: Sequence[str], features_c
     ``rows`` carry a class and a feature vector each (of at most
     ``MAX_FEATURES`` entries); rows of other classes are not read, and an
     attack without rows gets no model. One job a step, however many attacks
-    there are. ``rows`` should be written or cached: every step scans them."""
+    there are. The rows are written once as blocks of sparse rows, which
+    every step scans: a scan neither decodes nor converts single rows."""
     spark = rows.sparkSession
-    x = rows.where(F.col(label_col).isin([*attacks, normal])).select(F.col(label_col).alias("label"), vector_to_array(features_col).alias("x"))
-    first = x.select(F.size("x")).first()
+    mine = rows.where(F.col(label_col).isin([*attacks, normal])).select(F.col(label_col).alias("label"), F.col(features_col).alias("x"))
+    first = mine.select(F.size(vector_to_array("x"))).first()
     size = first[0] if first else 0
     if size > MAX_FEATURES:
         raise ValueError(f"{size} features: the one-pass fit takes {MAX_FEATURES}; fit class by class")
     # the scan only counts classes that occur
-    present = {r[0] for r in x.select("label").distinct().collect()} if first else set()
+    present = {r[0] for r in mine.select("label").distinct().collect()} if first else set()
     state = {a: _State(size) for a in attacks if a in present}
+    names = list(state)
+    if names:
+        raw = mine.select("label", F.unwrap_udt("x").alias("u"))
+        every = F.when(F.size("u.values") > 0, F.sequence(F.lit(0), F.size("u.values") - 1)).otherwise(F.array().cast("array<int>"))
+        code = F.when(F.col("label") == normal, 0).otherwise(F.array_position(F.array(*map(F.lit, names)), F.col("label"))).cast("int")
+        raw = raw.select(code.alias("code"), F.when(F.col("u.type") == 1, every).otherwise(F.col("u.indices")).alias("i"), F.col("u.values").alias("v"))
+        blocks = materialize(raw.mapInArrow(_packed, ", ".join(f"{c} binary" for c in BLOCK_COLUMNS)))
     for _ in range(max_iter):
         open_ = [a for a, s in state.items() if not s.done]
         if not open_:
             break
         shared = spark.sparkContext.broadcast(({a: state[a].tried for a in open_}, open_))  # attacks × features
         schema = "attack string, part int, sums binary"
-        sums = x.mapInArrow(_partial(open_, normal, size, shared), schema)
+        sums = blocks.mapInArrow(_partial(names, size, shared), schema)
         sums = sums.groupBy("attack", "part").applyInArrow(_added, schema).groupBy("attack").applyInArrow(_added, schema)
         for r in sums.collect():  # a row for each attack
             state[r["attack"]].take(np.frombuffer(r["sums"], np.float64), size, reg, tol, patience, min_delta)
