@@ -229,3 +229,49 @@ def test_column_roles_record(spark):
     r = ColumnRoles.from_frame(infer_roles(df, index_cols=["id"], label_col="label"))
     assert r.index == ["id"] and r.label == ["label"]
     assert sorted(r.category) == ["c2", "cat"] and r.string == ["txt"] and r.number == []
+
+
+def _exchanged(df):
+    """The columns that the plan shuffles by."""
+    import re
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return re.findall(r"Aggregate \[([^\]]*)\]", plan)
+
+
+def test_tfidf_counts_within_rows(spark):
+    """Documents of one row are not grouped by (key, term); repeated and null keys still make one document."""
+    docs = spark.createDataFrame([(1, "apple banana apple id"), (2, "banana cherry"), (3, None), (4, "")], "id int, t string")
+    assert not any("id#" in keys for keys in _exchanged(V.tfidf_fit(docs, ["id"], ["t"], 10)))
+    vocab, out, _ = V.tfidf_fit_transform(docs, ["id"], ["t"], 10)
+    assert not any("id#" in keys for keys in _exchanged(out))
+    split = spark.createDataFrame([(1, "apple banana"), (1, "apple id"), (2, "banana cherry"), (None, "apple"), (None, "apple plum"), (5, "plum")],
+                                  "id int, t string")
+    whole = spark.createDataFrame([(1, "apple banana apple id"), (2, "banana cherry"), (None, "apple apple plum"), (5, "plum")], "id int, t string")
+    counts = lambda d: {(r["term"], r["idx"], r["df"]) for r in V.tfidf_fit(d, ["id"], ["t"], 10).collect()}
+    assert counts(split) == counts(whole)
+    some = V.tfidf_fit(whole, ["id"], ["t"], 3)
+    got = [{(r["id"], r["term"], r["idx"], round(r["value"], 9)) for r in V.tfidf_transform(d, some, ["id"], ["t"]).collect()} for d in (split, whole)]
+    assert got[0] == got[1] and {r[0] for r in got[0]} == {1, 2, None, 5}
+    _, both, _ = V.tfidf_fit_transform(split, ["id"], ["t"], 3)
+    n = 6  # documents are counted as rows
+    assert both.where("id = 1").count() == 2 and V.tfidf_fit(split, ["id"], ["t"], 3).where("term = 'plum'").first()["idf"] == pytest.approx(
+        math.log((1 + n) / 3) + 1)
+
+
+def test_tfidf_ngrams_and_gaps_within_rows(spark):
+    docs = spark.createDataFrame([(1, "red id red blue"), (2, "blue red"), (3, "id")], "id int, t string")
+    vocab, out, _ = V.tfidf_fit_transform(docs, ["id"], ["t"], 10, n_grams=(1, 2))
+    assert [r["term"] for r in vocab.orderBy("idx").collect()] == ["blue", "blue red", "red", "red blue", "red red"]
+    part = vocab.where("idx <> 1")  # positions with a gap keep their numbers
+    got = {(r["id"], r["term"]): r["idx"] for r in V.tfidf_transform(docs, part, ["id"], ["t"], n_grams=(1, 2)).collect()}
+    assert got == {(1, "blue"): 0, (1, "red"): 2, (1, "red blue"): 3, (1, "red red"): 4, (2, "blue"): 0, (2, "red"): 2}
+    norm = {r["id"]: r["n"] for r in out.groupBy("id").agg(F.sum(F.col("value") * F.col("value")).alias("n")).collect()}
+    assert norm == {1: pytest.approx(1.0), 2: pytest.approx(1.0)}
+
+
+def test_assemble_from_cells(spark):
+    cells = spark.createDataFrame([(1, "x", [(0, 2.0), (3, 0.0), (4, 1.0)]), (2, "y", []), (None, "z", [(1, 1.0)])],
+                                  "k int, note string, cells array<struct<idx:int,value:double>>")
+    got = {r["note"]: (r["features"].size, dict(zip(r["features"].indices.tolist(), r["features"].values.tolist())))
+           for r in V.assemble(cells, ["k"], 5, cells="cells").collect()}
+    assert got == {"x": (5, {0: 2.0, 4: 1.0}), "y": (5, {}), "z": (5, {})}

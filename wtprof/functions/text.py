@@ -29,10 +29,11 @@ def url_decode_lenient(c) -> Column:
     """Percent-decode; keep malformed escapes (``%zz``, lone ``%``) and ``+``.
 
     ``url_decode`` raises on a bad escape and turns ``+`` into a space, so
-    bad ``%`` are first escaped to ``%25`` and ``+`` to ``%2B``.
+    bad ``%`` are first escaped to ``%25`` and ``+`` to ``%2B``. Text without
+    any ``%`` is its own decoding.
     """
     guarded = F.regexp_replace(F.regexp_replace(_c(c), r"%(?![0-9A-Fa-f]{2})", "%25"), r"\+", "%2B")
-    return F.url_decode(guarded)
+    return F.when(F.contains(_c(c), F.lit("%")), F.url_decode(guarded)).otherwise(_c(c))
 
 
 def mark_traversal(c) -> Column:

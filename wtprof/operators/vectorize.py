@@ -14,7 +14,11 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
+from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,6 +43,8 @@ DOC_MARKER = "__doc__"
 # A fitted table is broadcast only up to this many rows; larger ones join
 # by shuffle (an uncapped vocabulary grows with the corpus).
 BROADCAST_MAX_ROWS = 1_000_000
+# A vocabulary up to this size is looked up within the row (each task holds it).
+ROW_VOCABULARY = 50_000
 
 
 def small_side(df: DataFrame, bounded: bool = False) -> DataFrame:
@@ -81,41 +87,121 @@ def term_counts(df: DataFrame, key: Sequence[str], text_cols: Sequence[str], **k
     return terms(df, key, text_cols, **kw).groupBy(*key, "feature", "term").agg(F.count(F.lit(1)).alias("cnt"))
 
 
+def _by_key(df: DataFrame, key: Sequence[str], unique: bool) -> tuple[DataFrame, DataFrame | None]:
+    """(rows whose key no other row has, the other rows or None). A document
+    that is one row is counted within the row; only documents spread over
+    several rows (null keys count as equal) have to be grouped. The check
+    reads and shuffles the keys alone; ``unique`` skips it."""
+    if unique:
+        return df, None
+    shared = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    shared = materialize(shared.select(*[F.col(k).alias(f"_s{i}") for i, k in enumerate(key)]))
+    if shared.isEmpty():
+        return df, None
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_s{i}")) for i, k in enumerate(key)])
+    side = small_side(shared)
+    return df.join(side, same, "left_anti"), df.join(side, same, "left_semi")
+
+
+def _row_terms(df: DataFrame, key: Sequence[str], text_cols: Sequence[str], n_grams, stop_words) -> DataFrame:
+    """``key…`` and each row's terms as arrays ``_t0``, ``_t1`` … (one for
+    each text column), repeats kept. Stop words of unigrams are still in."""
+    found = []
+    for i, c in enumerate(text_cols):
+        toks = tokenize(F.col(c))
+        if stop_words and tuple(n_grams) != (1, 1):
+            toks = remove_stop_words(toks, stop_words)
+        found.append(ngrams(toks, *n_grams).alias(f"_t{i}"))
+    return df.select(*key, *found)
+
+
+def _row_counts(rows: DataFrame, text_cols: Sequence[str], n_grams, stop_words) -> DataFrame:
+    """``(feature, term, tf, df)`` of :func:`_row_terms` rows, each a document
+    of its own. Nothing is grouped by document: a row emits its terms and its
+    distinct terms, and the aggregate by term starts before the shuffle."""
+    blocks = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"_t{i}").alias("terms")) for i, c in enumerate(text_cols)])
+    t = rows.select(F.explode_outer(blocks).alias("_b")).select("_b.feature", F.col("_b.terms").alias("_all"))
+    sides = F.array(F.struct(F.lit(False).alias("once"), F.col("_all").alias("terms")),
+                    F.struct(F.lit(True).alias("once"), F.array_distinct("_all").alias("terms")))
+    t = t.select("feature", F.explode_outer(sides).alias("_b"))
+    t = t.select("feature", F.col("_b.once").alias("_once"), F.explode_outer("_b.terms").alias("term"))
+    keep = F.col("term").isNotNull()
+    if stop_words and tuple(n_grams) == (1, 1):
+        keep = keep & ~F.col("term").isin(list(stop_words))
+    return t.where(keep).groupBy("feature", "term").agg(F.count_if(~F.col("_once")).alias("tf"), F.count_if(F.col("_once")).alias("df"))
+
+
 def tfidf_fit(df: DataFrame, key: Sequence[str], text_cols: Sequence[str], max_features: int | None = 256,
-              n_grams=(1, 1), stop_words: Sequence[str] | None = STOP_WORDS) -> DataFrame:
+              n_grams=(1, 1), stop_words: Sequence[str] | None = STOP_WORDS, unique: bool = False) -> DataFrame:
     """Vocabulary ``(feature, term, idx, df, idf)`` per text column.
 
     ``n`` (documents) is a scalar subquery; document frequency and corpus
-    frequency come from one aggregate whose partial step runs map-side, so a
-    term present in every document is not a hot key. E3 keeps the top terms
-    with a window group limit; ``idx`` is the alphabetical position.
+    frequency come from one aggregate by term whose partial step runs
+    map-side, so a term present in every document is not a hot key and what
+    is shuffled is a row a term and task. Only documents spread over several
+    rows are grouped by key first (``unique``: the caller knows of none).
+    E3 keeps the top terms with a window group limit; ``idx`` is the
+    alphabetical position.
     """
-    tc = term_counts(df, key, text_cols, n_grams=n_grams, stop_words=stop_words)
-    return _vocab_from_counts(tc, df.select(F.count(F.lit(1))).scalar(), max_features)
+    once, many = _by_key(df, key, unique)
+    per_term = _row_counts(_row_terms(once, key, text_cols, n_grams, stop_words), text_cols, n_grams, stop_words)
+    if many is not None:
+        per_term = _added_counts(per_term, term_counts(many, key, text_cols, n_grams=n_grams, stop_words=stop_words))
+    return _vocab(per_term, df.select(F.count(F.lit(1))).scalar(), max_features)
 
 
 def tfidf_fit_transform(df: DataFrame, key: Sequence[str], text_cols: Sequence[str], max_features: int | None = 256,
-                        n_grams=(1, 1), stop_words: Sequence[str] | None = STOP_WORDS):
-    """J7 + J8 with one tokenisation: the per-document term counts are
+                        n_grams=(1, 1), stop_words: Sequence[str] | None = STOP_WORDS, unique: bool = False,
+                        packed: bool = False):
+    """J7 + J8 with one tokenisation: the rows' terms (for documents of
+    several rows and for uncapped vocabularies: the counts by document) are
     persisted (memory and disk; recomputed from lineage if an executor is
     lost) and feed both the vocabulary and the transform. Returns
-    ``(vocab, transformed, counts)``; unpersist ``counts`` when done."""
+    ``(vocab, transformed, counts)``; unpersist ``counts`` when done.
+    ``packed`` (unique keys, capped) gives the rows of :func:`tfidf_cells`."""
     from pyspark import StorageLevel
 
-    tc = (_terms_with_docs(df, key, text_cols, n_grams=n_grams, stop_words=stop_words)
-          .groupBy(*key, "feature", "term").agg(F.count(F.lit(1)).alias("cnt"))
-          .persist(StorageLevel.MEMORY_AND_DISK))
-    n_docs = tc.where(F.col("feature") == DOC_MARKER).select(F.count(F.lit(1))).scalar()
-    tc = tc.where(F.col("feature") != DOC_MARKER)
-    vocab = _vocab_from_counts(tc, n_docs, max_features)
-    # capped vocabulary: ≤ max_features per text column, a proven bound
-    v = small_side(vocab.select("feature", "term", "idx", "idf"), bounded=bool(max_features))
-    raw = tc.join(v, ["feature", "term"]).withColumn("raw", F.col("cnt") * F.col("idf"))
-    return vocab, _l2(raw, key), tc
-
-
-def _vocab_from_counts(tc: DataFrame, n_docs, max_features: int | None) -> DataFrame:
-    per_term = tc.groupBy("feature", "term").agg(F.sum("cnt").alias("tf"), F.count(F.lit(1)).alias("df"))
+    if packed and not (unique and max_features):
+        raise ValueError("packed rows need unique keys and a capped vocabulary")
+    once, many = _by_key(df, key, unique) if max_features else (None, df)
+    tc = rows = per_term = None
+    if many is not None:
+        tc = (_terms_with_docs(many, key, text_cols, n_grams=n_grams, stop_words=stop_words)
+              .groupBy(*key, "feature", "term").agg(F.count(F.lit(1)).alias("cnt"))
+              .persist(StorageLevel.MEMORY_AND_DISK))
+        n_docs = tc.where(F.col("feature") == DOC_MARKER).select(F.count(F.lit(1))).scalar()
+        tc = tc.where(F.col("feature") != DOC_MARKER)
+        per_term = _term_sums(tc)
+    if once is not None:
+        rows = _row_terms(once, key, text_cols, n_grams, stop_words).persist(StorageLevel.MEMORY_AND_DISK)
+        n_rows = rows.select(F.count(F.lit(1))).scalar()
+        n_docs = n_rows if many is None else n_docs + n_rows
+        own = _row_counts(rows, text_cols, n_grams, stop_words)
+        per_term = own if many is None else _added_counts(own, tc)
+    vocab = _vocab(per_term, n_docs, max_features)
+    if not max_features:
+        v = small_side(vocab.select("feature", "term", "idx", "idf"))
+        return vocab, _l2(tc.join(v, ["feature", "term"]).withColumn("raw", F.col("cnt") * F.col("idf")), key), tc
+    vocab = materialize(vocab)  # ≤ max_features rows per text column
+    cells = _cells(rows, vocab, key, text_cols, n_grams, stop_words)
+    if packed:
+        return vocab, cells, rows
+    out = cell_rows(cells, vocab, key, text_cols)
+    if many is not None:
+        v = F.broadcast(vocab.select("feature", "term", "idx", "idf"))
+        out = out.unionByName(_l2(tc.join(v, ["feature", "term"]).withColumn("raw", F.col("cnt") * F.col("idf")), key))
+    return vocab, out, rows
+
+
+def _term_sums(tc: DataFrame) -> DataFrame:
+    return tc.groupBy("feature", "term").agg(F.sum("cnt").alias("tf"), F.count(F.lit(1)).alias("df"))
+
+
+def _added_counts(per_term: DataFrame, tc: DataFrame) -> DataFrame:
+    return per_term.unionByName(_term_sums(tc)).groupBy("feature", "term").agg(F.sum("tf").alias("tf"), F.sum("df").alias("df"))
+
+
+def _vocab(per_term: DataFrame, n_docs, max_features: int | None) -> DataFrame:
     if max_features:
         per_term = top_terms(per_term, max_features, group=["feature"], count_col="tf")
     idf = F.log((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)
@@ -131,6 +217,52 @@ def _vocab_from_counts(tc: DataFrame, n_docs, max_features: int | None) -> DataF
     return idx.select("feature", "term", F.col("idx").cast("int").alias("idx"), "df", idf.alias("idf"))
 
 
+CELLS = "array<struct<idx:int,value:double>>"
+
+
+def _cells(rows: DataFrame, vocab: DataFrame, key: Sequence[str], text_cols: Sequence[str], n_grams, stop_words) -> DataFrame:
+    """:func:`tfidf_cells` of :func:`_row_terms` rows."""
+    fitted: dict[str, list] = {}
+    for r in vocab.select("feature", "idx", "term", "idf").collect():  # ≤ ROW_VOCABULARY rows
+        if not (stop_words and tuple(n_grams) == (1, 1) and r["term"] in stop_words):
+            fitted.setdefault(r["feature"], []).append((r["idx"], r["term"], r["idf"]))
+    out = rows
+    for i, c in enumerate(text_cols):
+        own = sorted(fitted.get(c, []))
+        if not own:
+            out = out.withColumn(c, F.array().cast(CELLS))
+            continue
+        idx, names, idf = zip(*own)
+        counted = CountVectorizerModel.from_vocabulary(list(names), f"_t{i}", f"_c{i}")
+        weighed = ElementwiseProduct(scalingVec=Vectors.dense(idf), inputCol=f"_c{i}", outputCol=f"_w{i}")
+        normed = Normalizer(p=2.0, inputCol=f"_w{i}", outputCol=f"_n{i}")
+        out = normed.transform(weighed.transform(counted.transform(out)))
+        out = out.withColumn(f"_u{i}", F.unwrap_udt(f"_n{i}"))
+        gapless = idx == tuple(range(len(idx)))
+        place = (lambda k: k) if gapless else (lambda k: F.get(F.array(*map(F.lit, idx)), k))  # noqa: B023
+        out = out.withColumn(c, F.zip_with(f"_u{i}.indices", f"_u{i}.values", lambda k, v: F.struct(
+            place(k).cast("int").alias("idx"), v.alias("value"))))  # noqa: B023
+    return out.select(*key, *text_cols)
+
+
+def tfidf_cells(df: DataFrame, vocab: DataFrame, key: Sequence[str], text_cols: Sequence[str], n_grams=(1, 1),
+                stop_words: Sequence[str] | None = STOP_WORDS) -> DataFrame:
+    """J8 within the row, for documents of one row each: ``key…`` and in place
+    of each text column its non-zero entries (idx, value), by idx. Counting,
+    weighing and the norm are Spark ML's transformers over the fitted
+    vocabulary; nothing is exploded, joined or shuffled."""
+    return _cells(_row_terms(df, key, text_cols, n_grams, stop_words), vocab, key, text_cols, n_grams, stop_words)
+
+
+def cell_rows(cells: DataFrame, vocab: DataFrame, key: Sequence[str], text_cols: Sequence[str]) -> DataFrame:
+    """The rows ``(key…, feature, term, idx, value)`` of :func:`tfidf_cells`."""
+    blocks = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("cells")) for c in text_cols])
+    t = cells.select(*key, F.explode_outer(blocks).alias("_b")).select(*key, "_b.feature", F.explode_outer("_b.cells").alias("_e"))
+    t = t.select(*key, "feature", F.col("_e.idx").alias("idx"), F.col("_e.value").alias("value")).where(F.col("idx").isNotNull())
+    t = t.join(F.broadcast(vocab.select("feature", "idx", "term")), ["feature", "idx"])
+    return t.select(*key, "feature", "term", "idx", "value")
+
+
 def _l2(raw: DataFrame, key: Sequence[str]) -> DataFrame:
     w = Window.partitionBy(*key, "feature")
     norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(w))
@@ -138,15 +270,26 @@ def _l2(raw: DataFrame, key: Sequence[str]) -> DataFrame:
 
 
 def tfidf_transform(df: DataFrame, vocab: DataFrame, key: Sequence[str], text_cols: Sequence[str],
-                    n_grams=(1, 1), stop_words: Sequence[str] | None = STOP_WORDS) -> DataFrame:
+                    n_grams=(1, 1), stop_words: Sequence[str] | None = STOP_WORDS, unique: bool = False) -> DataFrame:
     """``(key…, feature, term, idx, value)`` with value = L2-normalised
     tf·idf; only non-zero entries (missing = 0).
 
-    Tokens are filtered by a join against the vocabulary before counting:
-    a broadcast after a row-count check of the (small, fitted) vocabulary. Counting groups by (key, term) and the
-    norm is a window by key: when the input is already hash-partitioned by
-    ``key`` (e.g. the session aggregate), neither step shuffles again.
+    Documents of one row are counted within the row (:func:`tfidf_cells`).
+    Documents of several rows, and all with a vocabulary of more than
+    ``ROW_VOCABULARY`` terms, are grouped: their tokens are filtered by a
+    join against the vocabulary before counting, a broadcast after a check of
+    its size. Counting groups by (key, term) and the norm is a window by key:
+    when the input is already hash-partitioned by ``key`` (e.g. the session
+    aggregate), neither step shuffles again.
     """
+    if vocab.limit(ROW_VOCABULARY + 1).count() > ROW_VOCABULARY:
+        return _transform_by_key(df, vocab, key, text_cols, n_grams, stop_words)
+    once, many = _by_key(df, key, unique)
+    out = cell_rows(tfidf_cells(once, vocab, key, text_cols, n_grams, stop_words), vocab, key, text_cols)
+    return out if many is None else out.unionByName(_transform_by_key(many, vocab, key, text_cols, n_grams, stop_words))
+
+
+def _transform_by_key(df: DataFrame, vocab: DataFrame, key: Sequence[str], text_cols: Sequence[str], n_grams, stop_words) -> DataFrame:
     t = terms(df, key, text_cols, n_grams=n_grams, stop_words=stop_words)
     v = small_side(vocab.select("feature", "term", "idx", "idf"))
     hit = t.join(v, ["feature", "term"])
@@ -202,20 +345,28 @@ def as_vectors(df: DataFrame, col: str) -> DataFrame:
 
 def assemble(long: DataFrame, key: Sequence[str], size: int, index_col: str = "idx",
              value_col: str = "value", label_col: str | None = None, out: str = "features",
-             rows: DataFrame | None = None) -> DataFrame:
+             rows: DataFrame | None = None, cells: str | None = None) -> DataFrame:
     """Long rows → one sparse ML vector per key, of ``size`` dimensions.
 
     A vector holds the sorted (index, value) pairs of its row that are not
     zero; nothing of vocabulary size is built, so the size costs nothing.
     With ``rows`` (a frame with the key) each of its rows gets a vector and
     keeps its columns, the zero vector where ``long`` has no entry. An index
-    must occur once a key."""
-    entry = F.struct(F.col(index_col).cast("int").alias("i"), F.col(value_col).cast("double").alias("v"))
-    by = [*key, *([label_col] if label_col else [])]
-    g = long.groupBy(*by).agg(F.sort_array(F.collect_list(entry)).alias("_e"))
-    keep = by
-    if rows is not None:
-        g, keep = rows.join(g, by, "left"), rows.columns
+    must occur once a key. ``cells`` names a column of ``long`` that has all
+    entries of its row, sorted by index: then a row is a key, with its other
+    columns, and nothing is grouped (a row with a null in its key has the
+    zero vector, as the join with ``rows`` gives it)."""
+    keep = [*key, *([label_col] if label_col else [])]
+    if cells is not None:
+        keep = [c for c in long.columns if c != cells]
+        known = reduce(and_, [F.col(k).isNotNull() for k in key])
+        entries = F.transform(cells, lambda x: F.struct(x[index_col].cast("int").alias("i"), x[value_col].cast("double").alias("v")))
+        g = long.select(*keep, F.when(known, entries).alias("_e"))
+    else:
+        entry = F.struct(F.col(index_col).cast("int").alias("i"), F.col(value_col).cast("double").alias("v"))
+        g = long.groupBy(*keep).agg(F.sort_array(F.collect_list(entry)).alias("_e"))
+        if rows is not None:
+            g, keep = rows.join(g, keep, "left"), rows.columns
     e = F.filter(F.coalesce("_e", F.array().cast("array<struct<i:int,v:double>>")), lambda x: x["v"] != 0)
     g = g.select(*keep, e.alias("_e"))
     vector = F.struct(F.lit(0).cast("tinyint").alias("type"), F.lit(size).cast("int").alias("size"),

@@ -109,6 +109,13 @@ def _feature_index(long: DataFrame, vocab: DataFrame) -> DataFrame:
     return long.withColumn("fidx", (F.col("idx") + off).cast("int"))
 
 
+def _cells(found: DataFrame, vocab: DataFrame) -> DataFrame:
+    """The entries (fidx, value) of all text columns in ``cells``, by feature position."""
+    n_agent = vocab.where(F.col("feature") == TEXT[0]).count()
+    part = lambda c, off: F.transform(c, lambda x: F.struct((x["idx"] + off).cast("int").alias("fidx"), x["value"].alias("value")))
+    return found.select(*KEY, F.concat(part(TEXT[0], 0), part(TEXT[1], n_agent)).alias("cells"))
+
+
 def _training_log(log: DataFrame, cfg: TrainConfig) -> DataFrame:
     """C1/C3 with a time range of its own for the classes that have one."""
     rows = predict_filter(log)
@@ -148,9 +155,9 @@ def train_job(spark: SparkSession, log: DataFrame, cfg: TrainConfig, base: str,
     by_hash = F.xxhash64(*KEY)
     chosen = limit_by_threshold(train.withColumn("_h", by_hash), cfg.fit_rows, "label", ["_h", *KEY[:3]]).drop("_h")
     if cfg.fit_on == "balanced":
-        vocab = V.tfidf_fit(K.oversample_to_max(train, "label", KEY[:3]), [*KEY, "copy"], TEXT, cfg.max_features)
+        vocab = V.tfidf_fit(K.oversample_to_max(train, "label", KEY[:3]), [*KEY, "copy"], TEXT, cfg.max_features, unique=True)
     else:
-        vocab = V.tfidf_fit(train, KEY, TEXT, cfg.max_features)
+        vocab = V.tfidf_fit(train, KEY, TEXT, cfg.max_features, unique=True)
     vocab = materialize(vocab)
     A.save_fit(vocab, base, "tfidf", version)
     names, n_text = _names(spark, vocab, cfg.numeric)
@@ -160,8 +167,10 @@ def train_job(spark: SparkSession, log: DataFrame, cfg: TrainConfig, base: str,
         A.save_fit(scaler, base, "scaler", version)
     n = n_text + (len(NUMERIC) if cfg.numeric else 0)
 
-    def vectors(sessions: DataFrame) -> DataFrame:
-        long = _feature_index(V.tfidf_transform(sessions, vocab, KEY, TEXT), vocab)
+    def vectors(sessions: DataFrame) -> DataFrame:  # a row of the session aggregate is a session
+        if scaler is None and n <= V.ROW_VOCABULARY:
+            return V.assemble(_cells(V.tfidf_cells(sessions, vocab, KEY, TEXT), vocab), KEY, n, index_col="fidx", cells="cells")
+        long = _feature_index(V.tfidf_transform(sessions, vocab, KEY, TEXT, unique=True), vocab)
         return V.assemble(_entries(long, sessions, n_text, scaler), KEY, n, index_col="fidx", rows=sessions.select(*KEY))
 
     rows_tr = vectors(train)
@@ -256,19 +265,23 @@ def load_artifacts(spark: SparkSession, base: str, as_of: str | None = None, ver
         load("scaler") if load("settings").first()["numeric"] else None, load("roles").drop("version"))
 
 
-def score_sessions(art: Artifacts, s: DataFrame, interval: str, part: DataFrame | None = None) -> Scored:
+def score_sessions(art: Artifacts, s: DataFrame, interval: str, part: DataFrame | None = None, unique: bool = False) -> Scored:
     """Tree, specialists, confirmation (L7), fusion (L8) and anomaly (L9) of
-    sessions. A model with numeric features needs the log rows ``part``, too."""
+    sessions. A model with numeric features needs the log rows ``part``, too.
+    ``unique``: the sessions have one row each."""
     if art.scaler is not None:
         if part is None:
             raise ValueError("this model version has numeric features: scoring needs the log rows")
         s = _with_numeric(s, part, interval)
     s = R.apply_roles(s, art.roles)
-    long = _feature_index(V.tfidf_transform(s, art.vocab, KEY, TEXT), art.vocab)
+    long = _feature_index(V.tfidf_transform(s, art.vocab, KEY, TEXT, unique=unique), art.vocab)
     names, n_text = _names(s.sparkSession, art.vocab, art.scaler is not None)
     entries = _entries(long, s, n_text, art.scaler)
     n = n_text + (len(NUMERIC) if art.scaler is not None else 0)
-    rows = V.assemble(entries, KEY, n, index_col="fidx", rows=s.select(*KEY))
+    if unique and art.scaler is None and n <= V.ROW_VOCABULARY:
+        rows = V.assemble(_cells(V.tfidf_cells(s, art.vocab, KEY, TEXT), art.vocab), KEY, n, index_col="fidx", cells="cells")
+    else:
+        rows = V.assemble(entries, KEY, n, index_col="fidx", rows=s.select(*KEY))
     scored = ML.outlier_score(art.pca, ML.predict_specialists(art.spec, ML.predict_tree(art.tree, art.labels, rows)))
     for a in art.labels:
         if a not in scored.columns:
@@ -293,7 +306,7 @@ def predict_job(spark: SparkSession, log: DataFrame, base: str, as_of: str, star
     art = load_artifacts(spark, base, as_of)
     part = predict_filter(time_range(log, start, end))
     s = materialize(session_text_labeled(part, interval))
-    sc = score_sessions(art, s, interval, part)
+    sc = score_sessions(art, s, interval, part, unique=True)
     drift = R.role_drift(_with_numeric(s, part, interval) if art.scaler is not None else s, art.roles, KEY[:3], "label")
     fused = materialize(sc.fused)
     result = L.result_record(fused, model_id, art.version).dropDuplicates()

@@ -321,18 +321,50 @@ MAXF_EXPLAIN = 256
 def explain_inputs(spark, sf, max_features=MAXF_EXPLAIN):
     """Hour sessions → TF-IDF (rounded) with a global feature position
     ``fidx`` (agent terms first, then query terms) and names."""
+    if max_features:
+        s, vocab, cells, names = explain_cells(spark, sf, max_features)
+        return s, vocab, _cell_entries(cells, vocab), names
     s = session_text_labeled(http_log(spark, sf), "1 hour")
     vocab, long, _ = V.tfidf_fit_transform(s, _KEY, ["agent", "query"], max_features)
     vocab = materialize(vocab)
-    n_agent = vocab.where(F.col("feature") == "agent").select(F.count(F.lit(1))).scalar()
-    off = F.when(F.col("feature") == "query", n_agent).otherwise(F.lit(0))
+    off = _query_offset(vocab)
     long = long.withColumn("value", F.round("value", 6))
     # read three times downstream (class sums, feature grid, contributions):
     # keep it (memory and disk; recomputed from lineage if an executor is lost)
     long = long.withColumn("fidx", (F.col("idx") + off).cast("int")).persist(StorageLevel.MEMORY_AND_DISK)
-    names = vocab.select((F.col("idx") + off).cast("int").alias("fidx"),
-                         F.concat_ws("_", "feature", "term").alias("feature_term"))
-    return s, vocab, long, names
+    return s, vocab, long, _feature_names(vocab, off)
+
+
+def _query_offset(vocab):
+    n_agent = vocab.where(F.col("feature") == "agent").select(F.count(F.lit(1))).scalar()
+    return F.when(F.col("feature") == "query", n_agent).otherwise(F.lit(0))
+
+
+def _feature_names(vocab, off):
+    return vocab.select((F.col("idx") + off).cast("int").alias("fidx"),
+                        F.concat_ws("_", "feature", "term").alias("feature_term"))
+
+
+def explain_cells(spark, sf, max_features=MAXF_EXPLAIN):
+    """:func:`explain_inputs` for a capped vocabulary, a row a session: its
+    non-zero entries (fidx, value) in ``cells``. A session is a row of the
+    session aggregate, so nothing is grouped by session again."""
+    s = session_text_labeled(http_log(spark, sf), "1 hour")
+    vocab, found, _ = V.tfidf_fit_transform(s, _KEY, ["agent", "query"], max_features, unique=True, packed=True)
+    n_agent = vocab.where(F.col("feature") == "agent").count()
+    part = lambda c, off: F.transform(c, lambda x: F.struct((x["idx"] + off).cast("int").alias("fidx"), F.round(x["value"], 6).alias("value")))
+    cells = found.select(*_KEY, F.concat(part("agent", 0), part("query", n_agent)).alias("cells"))
+    # read several times downstream: keep it (memory and disk; recomputed from lineage if an executor is lost)
+    cells = cells.persist(StorageLevel.MEMORY_AND_DISK)
+    names = _feature_names(vocab, _query_offset(vocab))
+    return cells.select(*_KEY), vocab, cells, names
+
+
+def _cell_entries(cells, vocab):
+    """``(key…, feature, term, idx, value, fidx)`` of :func:`explain_cells`."""
+    e = cells.select(*_KEY, F.explode_outer("cells").alias("_e")).select(*_KEY, "_e.fidx", "_e.value").where("fidx IS NOT NULL")
+    side = vocab.select("feature", "term", "idx", (F.col("idx") + _query_offset(vocab)).cast("int").alias("fidx"))
+    return e.join(F.broadcast(side), "fidx").select(*_KEY, "feature", "term", "idx", "value", "fidx")
 
 
 def _explain_sql(max_features):
@@ -479,15 +511,15 @@ def trained(spark, sf, max_depth=10, max_features=MAXF_EXPLAIN):
     key = (spark.sparkContext.applicationId, sf)
     if key in _CACHE:
         return _CACHE[key]
-    s, vocab, long, names = explain_inputs(spark, sf, max_features)
+    s, vocab, cells, names = explain_cells(spark, sf, max_features)
     n = names.count()
-    allrows = V.assemble(long, _KEY, n, index_col="fidx", rows=s.select(*_KEY))
+    allrows = V.assemble(cells, _KEY, n, index_col="fidx", cells="cells")
     data = K.split_fraction(allrows, bucket=_split_bucket())
     train = data.where(F.col("split") == "train")
     tree, labels = ML.fit_tree(train, max_depth=max_depth)
     spec, epochs = SP.fit_specialists_together(train, [x for x in labels if x != "normal"])
     pca = ML.fit_outlier(train.where(F.col("label") == "normal"))
-    out = dict(data=data, tree=tree, labels=labels, spec=spec, pca=pca, names=names, n=n, epochs=epochs, entries=long)
+    out = dict(data=data, tree=tree, labels=labels, spec=spec, pca=pca, names=names, n=n, epochs=epochs, entries=_cell_entries(cells, vocab))
     _CACHE[key] = out
     return out
 
