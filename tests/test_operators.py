@@ -275,3 +275,14 @@ def test_assemble_from_cells(spark):
     got = {r["note"]: (r["features"].size, dict(zip(r["features"].indices.tolist(), r["features"].values.tolist())))
            for r in V.assemble(cells, ["k"], 5, cells="cells").collect()}
     assert got == {"x": (5, {0: 2.0, 4: 1.0}), "y": (5, {}), "z": (5, {})}
+
+
+def test_top_terms_in_two_levels(spark):
+    """A large k is limited per salt first: the group's last task gets no more than TERM_SALTS x k terms."""
+    from wtprof.operators import topk
+    t = spark.range(70_000).select(F.lit("f").alias("feature"), F.concat(F.lit("w"), F.lpad("id", 6, "0")).alias("term"), (F.col("id") % 40).alias("cnt"))
+    got = topk.top_terms(t, 1500, group=["feature"])
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window [") == 2 and "_salt" in plan
+    want = sorted(((-(i % 40), f"w{i:06d}") for i in range(70_000)))[:1500]
+    assert {r["term"] for r in got.collect()} == {w for _, w in want}

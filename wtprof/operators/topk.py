@@ -16,6 +16,8 @@ from pyspark.sql import types as T
 
 SALTS = 16
 BINS = 4096
+TERM_SALTS = 64
+GROUP_LIMIT = 1000
 
 
 def limit_n(df: DataFrame, n: int, key: Sequence[str], order: str = "hash") -> DataFrame:
@@ -102,9 +104,20 @@ def limit_by_threshold(df: DataFrame, n: int, class_col: str, order: Sequence[st
 
 def top_terms(term_counts: DataFrame, k: int, group: Sequence[str] = ("feature",),
               term_col: str = "term", count_col: str = "cnt") -> DataFrame:
-    """The ``k`` most frequent terms per group; ties by term ascending."""
-    w = Window.partitionBy(*group).orderBy(F.col(count_col).desc(), F.col(term_col))
-    return term_counts.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k).drop("_rn")
+    """The ``k`` most frequent terms per group; ties by term ascending.
+
+    Spark limits a group on the map side only for small ``k`` (below
+    ``spark.sql.optimizer.windowGroupLimitThreshold``, 1000). From there on
+    the limit is taken in two levels, per (group, salt) and then per group,
+    so the last task of a group gets ``TERM_SALTS`` x ``k`` terms at most."""
+    order = [F.col(count_col).desc(), F.col(term_col)]
+    out = term_counts
+    if k >= GROUP_LIMIT:
+        salted = Window.partitionBy(*group, "_salt").orderBy(*order)
+        out = out.withColumn("_salt", F.pmod(F.xxhash64(term_col), F.lit(TERM_SALTS)))
+        out = out.withColumn("_rn", F.row_number().over(salted)).where(F.col("_rn") <= k).drop("_rn", "_salt")
+    w = Window.partitionBy(*group).orderBy(*order)
+    return out.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k).drop("_rn")
 
 
 def rank_features(scores: DataFrame, key: Sequence[str], feature_col: str = "feature",
