@@ -51,15 +51,15 @@ TEXT = ["agent", "query"]
 
 @dataclass
 class TrainConfig:
-    """``fit_rows`` bounds the rows of a class that the tree and specialist
-    fits read (those of smallest key hash); everything else, vocabulary,
-    scaler, outlier model, threshold and evaluation, takes all rows.
-    ``class_ranges`` gives classes a time range of their own."""
+    """Everything is fitted on all training rows. Only a caller who sets
+    ``fit_rows`` bounds the rows of a class that the tree and specialist fits
+    read (those of smallest key hash). ``class_ranges`` gives classes a time
+    range of their own."""
 
     start: str
     end: str
     interval: str = "1 minute"
-    fit_rows: int = 100_000
+    fit_rows: int | None = None
     max_features: int = 256
     max_depth: int = 10
     spec_iter: int = 50
@@ -152,8 +152,6 @@ def train_job(spark: SparkSession, log: DataFrame, cfg: TrainConfig, base: str,
     A.save_fit(roles, base, "roles", version)
     s = K.split_fraction(R.apply_roles(s, roles), KEY, 0.7)
     train, test = s.where(F.col("split") == "train"), s.where(F.col("split") == "test")
-    by_hash = F.xxhash64(*KEY)
-    chosen = limit_by_threshold(train.withColumn("_h", by_hash), cfg.fit_rows, "label", ["_h", *KEY[:3]]).drop("_h")
     if cfg.fit_on == "balanced":
         vocab = V.tfidf_fit(K.oversample_to_max(train, "label", KEY[:3]), [*KEY, "copy"], TEXT, cfg.max_features, unique=True)
     else:
@@ -174,7 +172,12 @@ def train_job(spark: SparkSession, log: DataFrame, cfg: TrainConfig, base: str,
         return V.assemble(_entries(long, sessions, n_text, scaler), KEY, n, index_col="fidx", rows=sessions.select(*KEY))
 
     rows_tr = vectors(train)
-    balanced = materialize(K.oversample_to_max(rows_tr.join(chosen.select(*KEY), KEY, "left_semi"), "label", KEY).drop("copy"))
+    fitted = rows_tr.dropna(subset=KEY)  # a null in the key: no vector to fit on, see assemble
+    if cfg.fit_rows is not None:
+        by_hash = train.withColumn("_h", F.xxhash64(*KEY))
+        chosen = limit_by_threshold(by_hash, cfg.fit_rows, "label", ["_h", *KEY[:3]])
+        fitted = fitted.join(chosen.select(*KEY), KEY, "left_semi")
+    balanced = materialize(K.oversample_to_max(fitted, "label", KEY).drop("copy"))
     tree, labels = ML.fit_tree(balanced, max_depth=cfg.max_depth)
     mdir = os.path.join(base, "models", version)
     tree.write().overwrite().save(os.path.join(mdir, "tree"))
