@@ -178,7 +178,7 @@ def train_job(spark: SparkSession, log: DataFrame, cfg: TrainConfig, base: str,
         chosen = limit_by_threshold(by_hash, cfg.fit_rows, "label", ["_h", *KEY[:3]])
         fitted = fitted.join(chosen.select(*KEY), KEY, "left_semi")
     balanced = materialize(K.oversample_to_max(fitted, "label", KEY).drop("copy"))
-    tree, labels = ML.fit_tree(balanced, max_depth=cfg.max_depth)
+    tree, labels = ML.fit_tree_on_all_rows(balanced, max_depth=cfg.max_depth)
     mdir = os.path.join(base, "models", version)
     tree.write().overwrite().save(os.path.join(mdir, "tree"))
     A.save_fit(spark.createDataFrame([(x,) for x in labels], "label string"), base, "labels", version)
